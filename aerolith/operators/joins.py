@@ -20,8 +20,8 @@ DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of ``df`` in bytes (None if unavailable)."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else size.toString())
     except Exception:  # pragma: no cover - e.g. Spark Connect sessions
         return None
 

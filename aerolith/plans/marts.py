@@ -30,3 +30,35 @@ def top_polluted_stations(
         F.count(F.lit(1)).alias("hourly_readings"),
     )
     return agg.orderBy(F.desc("avg_pm25"), "station_name_en", "area_en").limit(k)
+
+
+def weather_by_city_day(
+    fct_weather: DataFrame, dim_weather_condition: DataFrame, digits: int | None = None
+) -> DataFrame:
+    """Q2: average temperature, humidity and wind per city, day and condition."""
+    wc = dim_weather_condition.select("weather_condition_key", "weather_main", "weather_description")
+    df = fct_weather.join(maybe_broadcast(wc), "weather_condition_key")
+    return df.groupBy("city_name", "reading_date", "weather_main", "weather_description").agg(
+        _avg("temp_c", digits).alias("avg_temp_c"),
+        _avg("humidity_pct", digits).alias("avg_humidity_pct"),
+        _avg("wind_speed_ms", digits).alias("avg_wind_ms"),
+        F.count(F.lit(1)).alias("hourly_readings"),
+    )
+
+
+def scd2_history(dim: DataFrame, natural_key: str, attributes: list[str]) -> DataFrame:
+    """Q3: superseded (non-current) versions, ordered by key and start date."""
+    return (
+        dim.filter(F.col("is_current") == F.lit(False))
+        .select(natural_key, *attributes, "effective_date", "expiry_date", "is_current")
+        .orderBy(natural_key, "effective_date")
+    )
+
+
+def key_versions(dim: DataFrame, natural_key: str, value, attributes: list[str]) -> DataFrame:
+    """All versions of one natural key, oldest first."""
+    return (
+        dim.filter(F.col(natural_key) == F.lit(value))
+        .select(natural_key, *attributes, "effective_date", "expiry_date", "is_current")
+        .orderBy("effective_date")
+    )

@@ -110,3 +110,164 @@ def q_top10(spark, sf_dir):
     sa, ds, dr = air_star(spark, sf_dir)
     fct = facts.fct_air_quality_hourly(sa, ds, dr)
     return marts.top_polluted_stations(fct, ds)
+
+
+def silver_sensor_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.silver_sensor(S.bronze_sensor(spark, sf_dir))
+
+
+def silver_weather_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.silver_weather(S.bronze_weather(spark, sf_dir))
+
+
+def sensor_star(spark: SparkSession, sf_dir: str):
+    ss = silver_sensor_of(spark, sf_dir)
+    snap = scd2.snapshot(ss, "sensor_id", ["sensor_type", "zone_id", "target", "unit"], "reading_ts_utc")
+    dim_sensor = scd2.first_load(snap, "sensor_id", "sensor_key", S.AS_OF_LOAD)
+    return ss, dim_sensor, dims.dim_zone(ss), dims.dim_sensor_type(ss)
+
+
+def fct_sensor_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ss, ds, dz, dt = sensor_star(spark, sf_dir)
+    return facts.fct_sensor_reading(ss, ds, dz, dt)
+
+
+def customer_dims(spark: SparkSession, sf_dir: str):
+    snap1 = S.customer_snapshot(spark, sf_dir, S.SCD2_FIRST_SNAPSHOT)
+    v1 = scd2.first_load(snap1, "c_custkey", "customer_key", S.SCD2_FIRST_SNAPSHOT)
+    snap2 = S.customer_snapshot(spark, sf_dir, S.SCD2_SECOND_SNAPSHOT)
+    v2 = scd2.merge(
+        v1, snap2, "c_custkey", ["c_mktsegment", "c_nationkey", "last_priority"], "customer_key",
+        S.SCD2_SECOND_SNAPSHOT, type1=["c_name", "last_status"],
+    )
+    return v1, v2
+
+
+@register("silver_sensor", with_ctes(("silver_sensor",), "SELECT * FROM silver_sensor"))
+def q_silver_sensor(spark, sf_dir):
+    """ISO time parse, date key, deviation, latest-per-(sensor, time)."""
+    return silver_sensor_of(spark, sf_dir)
+
+
+@register("silver_weather", with_ctes(("silver_weather",), "SELECT * FROM silver_weather"))
+def q_silver_weather(spark, sf_dir):
+    """C4: epoch seconds -> UTC, date key, latest-per-(city, time)."""
+    return silver_weather_of(spark, sf_dir)
+
+
+@register("dim_sensor", with_ctes(("dim_sensor",), "SELECT * FROM dim_sensor"))
+def q_dim_sensor(spark, sf_dir):
+    """C12 first load: latest sensor attributes, dense keys."""
+    return sensor_star(spark, sf_dir)[1]
+
+
+@register("dim_zone", with_ctes(("dim_zone",), "SELECT * FROM dim_zone"))
+def q_dim_zone(spark, sf_dir):
+    """Distinct zones with dense keys."""
+    return sensor_star(spark, sf_dir)[2]
+
+
+@register("dim_sensor_type", with_ctes(("dim_sensor_type",), "SELECT * FROM dim_sensor_type"))
+def q_dim_sensor_type(spark, sf_dir):
+    """Distinct (type, unit) with dense keys and the typical range."""
+    return sensor_star(spark, sf_dir)[3]
+
+
+@register("dim_weather_condition", with_ctes(("dim_weather_condition",), "SELECT * FROM dim_weather_condition"))
+def q_dim_weather_condition(spark, sf_dir):
+    """Distinct (main, description), main non-null, dense keys."""
+    return dims.dim_weather_condition(silver_weather_of(spark, sf_dir))
+
+
+@register("fct_sensor", with_ctes(("fct_sensor",), "SELECT * FROM fct_sensor"))
+def q_fct_sensor(spark, sf_dir):
+    """Readings with sensor, zone and sensor-type keys."""
+    return fct_sensor_of(spark, sf_dir).drop("sensor_reading_key")
+
+
+@register("fct_anomaly", with_ctes(("fct_sensor",), """
+SELECT date_key, sensor_key, zone_key, value, target, deviation, reading_ts_utc, reading_date
+FROM fct_sensor WHERE is_anomaly = true"""))
+def q_fct_anomaly(spark, sf_dir):
+    """C17: anomalous readings, keys inherited from the reading fact."""
+    return facts.fct_sensor_anomaly_event(fct_sensor_of(spark, sf_dir)).drop("anomaly_event_key")
+
+
+@register("anomaly_rate", with_ctes(("fct_sensor",), """
+SELECT count(*) AS total_readings, count(*) FILTER (WHERE is_anomaly = true) AS anomaly_events,
+       CASE WHEN count(*) > 0 THEN count(*) FILTER (WHERE is_anomaly = true) * 100.0 / count(*)
+            ELSE 0.0 END AS anomaly_pct
+FROM fct_sensor"""))
+def q_anomaly_rate(spark, sf_dir):
+    """Total, anomalies and percentage in one aggregate."""
+    return facts.anomaly_rate(fct_sensor_of(spark, sf_dir))
+
+
+@register("fct_weather", with_ctes(("fct_weather",), "SELECT * FROM fct_weather"))
+def q_fct_weather(spark, sf_dir):
+    """Readings with the condition key on (main, description) — row count preserved."""
+    sw = silver_weather_of(spark, sf_dir)
+    dwc = dims.dim_weather_condition(sw)
+    ddate = dims.dim_date_covering(sw, "reading_date")
+    return facts.fct_weather_hourly(sw, dwc, ddate).drop("weather_hourly_key")
+
+
+@register("by_city_day", with_ctes(("fct_weather", "dim_weather_condition"), """
+SELECT w.city_name, w.reading_date, wc.weather_main, wc.weather_description,
+       AVG(w.temp_c) AS avg_temp_c, AVG(w.humidity_pct) AS avg_humidity_pct,
+       AVG(w.wind_speed_ms) AS avg_wind_ms, COUNT(*) AS hourly_readings
+FROM fct_weather w JOIN dim_weather_condition wc ON w.weather_condition_key = wc.weather_condition_key
+GROUP BY w.city_name, w.reading_date, wc.weather_main, wc.weather_description"""))
+def q_by_city_day(spark, sf_dir):
+    """Q2: weather by city, day and condition."""
+    from aerolith.plans import marts
+
+    sw = silver_weather_of(spark, sf_dir)
+    dwc = dims.dim_weather_condition(sw)
+    return marts.weather_by_city_day(facts.fct_weather_hourly(sw, dwc), dwc)
+
+
+@register("hot_windows", with_ctes(("hot_windows",), "SELECT * FROM hot_windows"))
+def q_hot_windows(spark, sf_dir):
+    """T-1/T-5/A8 batch form: 1-minute windows per sensor with the mean rule."""
+    from aerolith.operators.windows import window_aggregates
+
+    return window_aggregates(silver_sensor_of(spark, sf_dir), sigma=S.EVENT_SIGMA)
+
+
+@register("scd2_first_load", with_ctes(("dim_customer_v1",), "SELECT * FROM dim_customer_v1"))
+def q_scd2_first_load(spark, sf_dir):
+    """C11 first load of the customer snapshot."""
+    return customer_dims(spark, sf_dir)[0]
+
+
+@register("scd2_merge", with_ctes(("dim_customer_v2",), "SELECT * FROM dim_customer_v2"))
+def q_scd2_merge(spark, sf_dir):
+    """C11 merge of the second snapshot: new, changed (close + insert), type-1 refresh."""
+    return customer_dims(spark, sf_dir)[1]
+
+
+@register("history_listing", with_ctes(("dim_customer_v2",), """
+SELECT c_custkey, c_name, c_mktsegment, effective_date, expiry_date, is_current
+FROM dim_customer_v2 WHERE is_current = false ORDER BY c_custkey, effective_date"""))
+def q_history_listing(spark, sf_dir):
+    """Q3: superseded versions."""
+    from aerolith.plans import marts
+
+    return marts.scd2_history(customer_dims(spark, sf_dir)[1], "c_custkey", ["c_name", "c_mktsegment"])
+
+
+@register("asof_lookup", with_ctes(("dim_customer_v2",), """
+SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, d.customer_key, d.last_priority
+FROM orders o LEFT JOIN (
+  SELECT *, CASE WHEN effective_date = min(effective_date) OVER (PARTITION BY c_custkey)
+                 THEN NULL ELSE effective_date END AS valid_from
+  FROM dim_customer_v2) d
+ON o.o_custkey = d.c_custkey
+   AND (d.valid_from IS NULL OR CAST(o.o_orderdate AS DATE) >= d.valid_from)
+   AND CAST(o.o_orderdate AS DATE) < d.expiry_date"""))
+def q_asof_lookup(spark, sf_dir):
+    """Each order gets the customer version valid on its order date."""
+    orders = S.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    dim = customer_dims(spark, sf_dir)[1]
+    return scd2.asof_lookup(orders, dim, "o_custkey", "c_custkey", "o_orderdate", ["customer_key", "last_priority"])

@@ -8,6 +8,7 @@ mirror the Spark operators' total orders.
 
 from __future__ import annotations
 
+from aerolith.functions.constants import HOLIDAYS_2026
 from aerolith.plans import standins as S
 
 _POLLUTANTS = ("pm25_value", "pm10_value", "o3_value", "co_value", "no2_value", "so2_value")
@@ -48,6 +49,23 @@ _WEATHER_COLS = (
 )
 
 
+def _calendar_sql(bounds: str) -> str:
+    hol = ", ".join(f"DATE '{h}'" for h in HOLIDAYS_2026)
+    return f"""
+SELECT {_date_key('d')} AS date_key, d AS full_date, CAST(year(d) AS INTEGER) AS year,
+       CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
+       monthname(d) AS month_name, CAST(day(d) AS INTEGER) AS day_of_month,
+       CAST(isodow(d) AS INTEGER) AS day_of_week, dayname(d) AS day_name, isodow(d) >= 6 AS is_weekend,
+       d IN ({hol}) AS is_thai_holiday
+FROM (SELECT CAST(unnest(generate_series(CAST(lo AS DATE), CAST(hi AS DATE), INTERVAL 1 DAY)) AS DATE) AS d
+      FROM ({bounds}))"""
+
+
+def int_text(expr: str) -> str:
+    """Text -> INTEGER only for plain integer text (as Spark's try_cast)."""
+    return f"CASE WHEN regexp_full_match(trim({expr}), '[+-]?[0-9]+') THEN TRY_CAST(trim({expr}) AS INTEGER) END"
+
+
 def _snapshot_sql(as_of: str) -> str:
     return f"""
 SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_mktsegment, o.o_orderpriority AS last_priority,
@@ -216,6 +234,17 @@ SELECT i_c_custkey, i_c_name, i_c_nationkey, i_c_mktsegment, i_last_priority, i_
             + row_number() OVER (ORDER BY i_c_custkey) AS INTEGER),
        DATE '{S.SCD2_SECOND_SNAPSHOT.isoformat()}', DATE '9999-12-31', true
 FROM scd2_joined WHERE i_c_custkey IS NOT NULL AND (c_custkey IS NULL OR changed)"""),
+    "air_keyed": (("silver_air", "dim_station", "dim_region"), """
+SELECT a.*, s.station_key, r.region_key FROM silver_air a
+LEFT JOIN (SELECT station_id, station_key FROM dim_station WHERE is_current) s ON a.station_id = s.station_id
+LEFT JOIN dim_region r ON a.area_en = r.region_name"""),
+    "dim_date_air": (("silver_air",), _calendar_sql("SELECT min(reading_date) AS lo, max(reading_date) AS hi FROM silver_air")),
+    "recent10": (("hot_windows",), """
+SELECT * FROM hot_windows
+WHERE window_start >= (SELECT max(window_end) FROM hot_windows) - INTERVAL 10 MINUTE"""),
+    "recent_day": (("hot_windows",), """
+SELECT * FROM hot_windows
+WHERE window_start >= (SELECT max(window_end) FROM hot_windows) - INTERVAL 1440 MINUTE"""),
 }
 
 

@@ -271,3 +271,367 @@ def q_asof_lookup(spark, sf_dir):
     orders = S.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     dim = customer_dims(spark, sf_dir)[1]
     return scd2.asof_lookup(orders, dim, "o_custkey", "c_custkey", "o_orderdate", ["customer_key", "last_priority"])
+
+
+# --- scalar functions over whole tables -------------------------------------------
+
+from aerolith.functions import clean as C  # noqa: E402
+from aerolith.functions import json as J  # noqa: E402
+from aerolith.functions import time as T  # noqa: E402
+from aerolith.operators.dedup import latest_per_key  # noqa: E402
+from aerolith.plans.oracle import int_text  # noqa: E402
+
+_LI = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+       "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+@register("dedup_latest", f"""
+SELECT * FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY
+  {", ".join(c + " DESC NULLS LAST" for c in ("l_shipdate",) + tuple(c for c in _LI if c not in ("l_orderkey", "l_linenumber", "l_shipdate")))}) = 1""")
+def q_dedup_latest(spark, sf_dir):
+    """Latest row per (order, line) by ship date with a total tie-break."""
+    return latest_per_key(S.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+
+
+@register("sentinel_null", f"""
+SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_acctbal END AS acctbal_clean,
+       CASE WHEN TRY_CAST(CAST(c_acctbal AS VARCHAR) AS DOUBLE) < 0 THEN NULL
+            ELSE TRY_CAST(CAST(c_acctbal AS VARCHAR) AS DOUBLE) END AS acctbal_parsed,
+       CASE WHEN {int_text('CAST(c_acctbal AS VARCHAR)')} < 0 THEN NULL
+            ELSE {int_text('CAST(c_acctbal AS VARCHAR)')} END AS acctbal_int,
+       {int_text('CAST(c_nationkey AS VARCHAR)')} AS nation_parsed,
+       {int_text('c_mktsegment')} AS segment_int
+FROM customer""")
+def q_sentinel_null(spark, sf_dir):
+    """Negative sentinels to NULL; safe text->double/int parsing."""
+    c = S.table(spark, sf_dir, "customer")
+    txt = F.col("c_acctbal").cast("string")
+    return c.select(
+        "c_custkey",
+        C.sentinel_to_null("c_acctbal").alias("acctbal_clean"),
+        C.parse_double(txt).alias("acctbal_parsed"),
+        C.parse_int(txt).alias("acctbal_int"),
+        C.parse_int(F.col("c_nationkey").cast("string")).alias("nation_parsed"),
+        C.parse_int("c_mktsegment").alias("segment_int"),
+    )
+
+
+@register("utc_normalize", """
+SELECT event_id, u AS reading_ts_utc,
+       CAST(year(u) * 10000 + month(u) * 100 + day(u) AS INTEGER) AS date_key,
+       CAST(hour(u) AS INTEGER) AS reading_hour, CAST(hour(u + INTERVAL 7 HOUR) AS INTEGER) AS local_hour,
+       CAST(u AS DATE) AS reading_date
+FROM (SELECT event_id, date_trunc('minute', ts) - INTERVAL 7 HOUR AS u FROM events)""")
+def q_utc_normalize(spark, sf_dir):
+    """Local date + HH:mm strings (Bangkok) -> UTC, keys, hours."""
+    ev = S.table(spark, sf_dir, "events")
+    u = T.local_strings_to_utc(F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "HH:mm"))
+    df = ev.select("event_id", u.alias("reading_ts_utc"))
+    return df.select(
+        "event_id",
+        "reading_ts_utc",
+        T.date_key("reading_ts_utc").alias("date_key"),
+        F.hour("reading_ts_utc").alias("reading_hour"),
+        F.hour(T.utc_to_local("reading_ts_utc")).alias("local_hour"),
+        F.to_date("reading_ts_utc").alias("reading_date"),
+    )
+
+
+@register("time_parsing", """
+SELECT event_id, date_trunc('second', ts) AS from_epoch, date_trunc('second', ts) AS from_iso_offset,
+       date_trunc('millisecond', ts) AS from_iso_z, CAST(NULL AS TIMESTAMP) AS from_bad_text,
+       CAST(ts AS DATE) AS reading_date
+FROM events""")
+def q_time_parsing(spark, sf_dir):
+    """Epoch seconds, ISO text with offset or Z, bad text -> NULL."""
+    ev = S.table(spark, sf_dir, "events")
+    local = F.col("ts") + F.expr("INTERVAL 7 HOURS")
+    return ev.select(
+        "event_id",
+        T.epoch_seconds_to_ts(F.unix_seconds(F.col("ts").cast("timestamp"))).alias("from_epoch"),
+        T.iso_to_ts(F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+07:00"))).alias("from_iso_offset"),
+        T.iso_to_ts(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("Z"))).alias("from_iso_z"),
+        T.iso_to_ts(F.concat(F.col("event_type"), F.lit("T99"))).alias("from_bad_text"),
+        F.to_date(T.epoch_seconds_to_ts(F.unix_seconds(F.col("ts").cast("timestamp")))).alias("reading_date"),
+    )
+
+
+@register("json_extract", """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+       CAST(json_extract_string(props, '$.k') AS INTEGER) AS k_struct, false AS malformed
+FROM events""")
+def q_json_extract(spark, sf_dir):
+    """JSON path and schema parsing of the props payload."""
+    from pyspark.sql.types import IntegerType, StructField, StructType
+
+    ev = S.table(spark, sf_dir, "events")
+    parsed = J.parse_payload(ev, "props", StructType([StructField("k", IntegerType())]))
+    return parsed.select(
+        "event_id",
+        J.json_field("props", "$.k", "int").alias("k"),
+        F.col("payload.k").alias("k_struct"),
+        J.is_malformed("payload").alias("malformed"),
+    )
+
+
+@register("deviation", f"""
+SELECT event_id, coalesce(event_type, 'unknown') AS sensor_type,
+       round(value - {S.EVENT_TARGET}, 4) AS deviation,
+       {__import__('aerolith.plans.oracle', fromlist=['_sigma_case'])._sigma_case('event_type')} AS sigma,
+       abs(value - {S.EVENT_TARGET}) > 3.0 * {__import__('aerolith.plans.oracle', fromlist=['_sigma_case'])._sigma_case('event_type')} AS is_anomaly,
+       CAST(round(value, 4) AS DECIMAL(18, 4)) AS value_dec
+FROM events""")
+def q_deviation(spark, sf_dir):
+    """Deviation, sigma lookup with default, 3-sigma test, decimal."""
+    ev = S.table(spark, sf_dir, "events")
+    sigma = C.sigma_lookup("event_type", S.EVENT_SIGMA)
+    return ev.select(
+        "event_id",
+        C.or_unknown("event_type").alias("sensor_type"),
+        C.deviation("value", F.lit(S.EVENT_TARGET)).alias("deviation"),
+        sigma.alias("sigma"),
+        C.beyond_sigma("value", F.lit(S.EVENT_TARGET), sigma).alias("is_anomaly"),
+        C.decimal4("value").alias("value_dec"),
+    )
+
+
+@register("dim_date", __import__("aerolith.plans.oracle", fromlist=["_calendar_sql"])._calendar_sql(
+    "SELECT min(l_shipdate) AS lo, max(l_shipdate) AS hi FROM lineitem"))
+def q_dim_date(spark, sf_dir):
+    """Calendar dimension covering the ship dates (ISO weekday, holidays)."""
+    return dims.dim_date_covering(S.table(spark, sf_dir, "lineitem"), "l_shipdate")
+
+
+# --- facts and marts --------------------------------------------------------------
+
+STANDIN_PM25_THRESHOLD = 25.0
+
+
+@register("fct_daily_summary", with_ctes(("air_keyed",), f"""
+SELECT d.*, m.aqi_param AS dominant_aqi_param FROM (
+  SELECT date_key, station_key, region_key, reading_date, avg(pm25_value) AS avg_pm25,
+         max(pm25_value) AS max_pm25, min(pm25_value) AS min_pm25,
+         count(*) FILTER (WHERE pm25_value > {STANDIN_PM25_THRESHOLD}) AS hours_exceeding_threshold
+  FROM air_keyed GROUP BY date_key, station_key, region_key, reading_date) d
+LEFT JOIN (
+  SELECT date_key, station_key, region_key, reading_date, aqi_param FROM (
+    SELECT date_key, station_key, region_key, reading_date, aqi_param,
+           row_number() OVER (PARTITION BY date_key, station_key, region_key, reading_date
+                              ORDER BY count(*) DESC, aqi_param ASC) AS rn
+    FROM air_keyed WHERE aqi_param IS NOT NULL
+    GROUP BY date_key, station_key, region_key, reading_date, aqi_param) WHERE rn = 1) m
+ON d.date_key = m.date_key AND d.station_key IS NOT DISTINCT FROM m.station_key
+   AND d.region_key IS NOT DISTINCT FROM m.region_key AND d.reading_date = m.reading_date"""))
+def q_fct_daily_summary(spark, sf_dir):
+    """C14/A1-A3: per station-day avg/max/min, hours above threshold, dominant parameter."""
+    sa, ds, dr = air_star(spark, sf_dir)
+    return facts.fct_pollution_daily_summary(sa, ds, dr, threshold=STANDIN_PM25_THRESHOLD).drop("daily_summary_key")
+
+
+def _marts():
+    from aerolith.plans import marts
+
+    return marts
+
+
+def fct_air_of(spark, sf_dir):
+    sa, ds, dr = air_star(spark, sf_dir)
+    return sa, ds, dr, facts.fct_air_quality_hourly(sa, ds, dr)
+
+
+@register("b1_region_month", with_ctes(("fct_air", "dim_region", "dim_date_air"), """
+SELECT r.region_name, d.year, d.month, avg(f.pm25_value) AS avg_pm25, count(f.pm25_value) AS readings
+FROM fct_air f JOIN dim_region r ON f.region_key = r.region_key JOIN dim_date_air d ON f.date_key = d.date_key
+GROUP BY r.region_name, d.year, d.month"""))
+def q_b1(spark, sf_dir):
+    """B1: average PM2.5 by region by month (star join incl. dim_date)."""
+    sa, ds, dr, fct = fct_air_of(spark, sf_dir)
+    return _marts().b1_pm25_by_region_month(fct, dr, dims.dim_date_covering(sa, "reading_date"))
+
+
+@register("b2_exceedance_top", with_ctes(("fct_air", "dim_station"), f"""
+SELECT s.station_id, s.station_name_en,
+       count(*) FILTER (WHERE f.pm25_value > {STANDIN_PM25_THRESHOLD}) AS hours_exceeding,
+       count(f.pm25_value) AS readings
+FROM fct_air f JOIN (SELECT * FROM dim_station WHERE is_current) s ON f.station_key = s.station_key
+GROUP BY s.station_id, s.station_name_en ORDER BY hours_exceeding DESC, s.station_id LIMIT 10"""))
+def q_b2(spark, sf_dir):
+    """B2: stations most often above the threshold (top 10)."""
+    sa, ds, dr, fct = fct_air_of(spark, sf_dir)
+    return _marts().b2_threshold_exceedance(fct, ds, STANDIN_PM25_THRESHOLD)
+
+
+@register("b3_air_weather_corr", with_ctes(("fct_air", "dim_region", "fct_weather"), """
+SELECT corr(a.pm25, b.humidity) AS corr_pm25_humidity, corr(a.pm25, b.wind) AS corr_pm25_wind,
+       count(*) AS matched_periods
+FROM (SELECT r.region_name AS city, f.date_key, avg(f.pm25_value) AS pm25
+      FROM fct_air f JOIN dim_region r ON f.region_key = r.region_key GROUP BY r.region_name, f.date_key) a
+JOIN (SELECT city_name AS city, date_key, avg(humidity_pct) AS humidity, avg(wind_speed_ms) AS wind
+      FROM fct_weather GROUP BY city_name, date_key) b
+ON a.city = b.city AND a.date_key = b.date_key"""))
+def q_b3(spark, sf_dir):
+    """PM2.5 vs humidity / wind correlation, pre-aggregated to (city, day)."""
+    sa, ds, dr, fct = fct_air_of(spark, sf_dir)
+    sw = silver_weather_of(spark, sf_dir)
+    fw = facts.fct_weather_hourly(sw, dims.dim_weather_condition(sw))
+    return _marts().b3_air_weather_correlation(fct, dr, fw, grain="day")
+
+
+@register("b4_local_hour", with_ctes(("fct_air",), """
+SELECT CAST((reading_hour + 7) % 24 AS INTEGER) AS local_hour, avg(pm25_value) AS avg_pm25,
+       count(pm25_value) AS readings
+FROM fct_air GROUP BY CAST((reading_hour + 7) % 24 AS INTEGER)"""))
+def q_b4(spark, sf_dir):
+    """PM2.5 by local hour of day."""
+    return _marts().b4_worst_local_hour(fct_air_of(spark, sf_dir)[3])
+
+
+@register("b5_aqi_driver", with_ctes(("fct_air",), """
+SELECT aqi_param, count(*) AS readings, count(*) * 100.0 / (SELECT count(*) FROM fct_air) AS share_pct
+FROM fct_air GROUP BY aqi_param"""))
+def q_b5(spark, sf_dir):
+    """Frequency of each AQI driver parameter."""
+    return _marts().b5_aqi_driver_frequency(fct_air_of(spark, sf_dir)[3])
+
+
+@register("b6_zone_anomaly_7d", with_ctes(("fct_sensor", "dim_zone"), """
+SELECT z.zone_id, count(*) AS readings, count(*) FILTER (WHERE f.is_anomaly) AS anomalies,
+       count(*) FILTER (WHERE f.is_anomaly) * 100.0 / count(*) AS anomaly_pct
+FROM fct_sensor f JOIN dim_zone z ON f.zone_key = z.zone_key
+WHERE f.reading_date > (SELECT max(reading_date) FROM fct_sensor) - 7
+GROUP BY z.zone_id"""))
+def q_b6(spark, sf_dir):
+    """Zone anomaly rates over the last 7 days."""
+    ss, dsn, dz, dt = sensor_star(spark, sf_dir)
+    return _marts().b6_zone_anomaly_rates(facts.fct_sensor_reading(ss, dsn, dz, dt), dz)
+
+
+STANDIN_TREND_TYPE = "view"
+STANDIN_PAIR = ("click", "purchase")
+
+
+@register("b7_zone_trend_30d", with_ctes(("fct_sensor", "dim_zone", "dim_sensor_type"), f"""
+SELECT zone_id, reading_date, avg_value,
+       avg(avg_value) OVER (PARTITION BY zone_id ORDER BY reading_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS moving_avg
+FROM (SELECT z.zone_id, f.reading_date, avg(f.value) AS avg_value
+      FROM fct_sensor f
+      JOIN dim_sensor_type t ON f.sensor_type_key = t.sensor_type_key AND t.sensor_type = '{STANDIN_TREND_TYPE}'
+      JOIN dim_zone z ON f.zone_key = z.zone_key
+      WHERE f.reading_date > (SELECT max(reading_date) FROM fct_sensor) - 30
+      GROUP BY z.zone_id, f.reading_date)"""))
+def q_b7(spark, sf_dir):
+    """30-day daily trend per zone with a 7-day moving average."""
+    ss, dsn, dz, dt = sensor_star(spark, sf_dir)
+    return _marts().b7_zone_trend(facts.fct_sensor_reading(ss, dsn, dz, dt), dz, dt, STANDIN_TREND_TYPE)
+
+
+@register("b8_sensor_drift", with_ctes(("fct_sensor", "dim_sensor"), """
+SELECT s.sensor_id, avg(abs(f.deviation)) AS mean_abs_deviation, count(*) AS readings
+FROM fct_sensor f JOIN dim_sensor s ON f.sensor_key = s.sensor_key
+GROUP BY s.sensor_id ORDER BY mean_abs_deviation DESC, s.sensor_id LIMIT 10"""))
+def q_b8(spark, sf_dir):
+    """Sensors furthest from target on average (top 10)."""
+    ss, dsn, dz, dt = sensor_star(spark, sf_dir)
+    return _marts().b8_sensor_drift(facts.fct_sensor_reading(ss, dsn, dz, dt), dsn)
+
+
+@register("b9_anomalies_type_day", with_ctes(("fct_sensor", "dim_sensor_type"), """
+SELECT t.sensor_type, f.reading_date, count(*) AS anomalies
+FROM fct_sensor f JOIN dim_sensor_type t ON f.sensor_type_key = t.sensor_type_key
+WHERE f.is_anomaly GROUP BY t.sensor_type, f.reading_date"""))
+def q_b9(spark, sf_dir):
+    """Anomalies per sensor type per day."""
+    ss, dsn, dz, dt = sensor_star(spark, sf_dir)
+    return _marts().b9_anomalies_by_type_day(facts.fct_sensor_reading(ss, dsn, dz, dt), dt)
+
+
+@register("b10_pair_corr", with_ctes(("fct_sensor", "dim_zone", "dim_sensor_type"), f"""
+SELECT zone_id, corr(a, b) AS correlation,
+       count(*) FILTER (WHERE a IS NOT NULL AND b IS NOT NULL) AS paired_buckets
+FROM (SELECT z.zone_id, date_trunc('hour', f.reading_ts_utc) AS bucket,
+             avg(CASE WHEN t.sensor_type = '{STANDIN_PAIR[0]}' THEN f.value END) AS a,
+             avg(CASE WHEN t.sensor_type = '{STANDIN_PAIR[1]}' THEN f.value END) AS b
+      FROM fct_sensor f JOIN dim_sensor_type t ON f.sensor_type_key = t.sensor_type_key
+      JOIN dim_zone z ON f.zone_key = z.zone_key
+      WHERE t.sensor_type IN ('{STANDIN_PAIR[0]}', '{STANDIN_PAIR[1]}')
+      GROUP BY z.zone_id, date_trunc('hour', f.reading_ts_utc))
+GROUP BY zone_id"""))
+def q_b10(spark, sf_dir):
+    """Per-zone correlation of two sensor types' hourly means."""
+    ss, dsn, dz, dt = sensor_star(spark, sf_dir)
+    return _marts().b10_type_pair_correlation(
+        facts.fct_sensor_reading(ss, dsn, dz, dt), dz, dt, STANDIN_PAIR[0], STANDIN_PAIR[1], "1 hour")
+
+
+@register("b11_share_above", with_ctes(("fct_air",), """
+SELECT count(*) AS hours, count(*) FILTER (WHERE pm25_value > 15.0) AS hours_above,
+       avg(CAST(pm25_value > 15.0 AS INTEGER)) AS share_above
+FROM fct_air WHERE pm25_value IS NOT NULL"""))
+def q_b11(spark, sf_dir):
+    """Share of hourly readings above 15."""
+    return _marts().b11_share_above(fct_air_of(spark, sf_dir)[3])
+
+
+@register("b12_hot_cold", with_ctes(("hot_windows", "silver_sensor"), """
+SELECT CAST(sum(coalesce(hot_count, 0)) AS BIGINT) AS hot_anomalies,
+       CAST(sum(coalesce(cold_count, 0)) AS BIGINT) AS cold_anomalies,
+       CAST(sum(coalesce(cold_count, 0)) - sum(coalesce(hot_count, 0)) AS BIGINT) AS delta,
+       count(*) FILTER (WHERE coalesce(hot_count, 0) <> coalesce(cold_count, 0)) AS mismatched_windows
+FROM (SELECT sensor_id, window_start, anomaly_count AS hot_count FROM hot_windows WHERE anomaly_count > 0) h
+FULL OUTER JOIN (SELECT sensor_id, date_trunc('minute', reading_ts_utc) AS window_start, count(*) AS cold_count
+                 FROM silver_sensor WHERE is_anomaly GROUP BY sensor_id, date_trunc('minute', reading_ts_utc)) c
+ON h.sensor_id = c.sensor_id AND h.window_start = c.window_start"""))
+def q_b12(spark, sf_dir):
+    """Hot vs cold anomaly reconciliation per (sensor, minute)."""
+    from aerolith.operators.windows import window_aggregates
+
+    ss = silver_sensor_of(spark, sf_dir)
+    return _marts().b12_hot_cold_reconciliation(window_aggregates(ss, sigma=S.EVENT_SIGMA), ss)
+
+
+def hot_of(spark, sf_dir):
+    from aerolith.operators.windows import window_aggregates
+
+    hot = window_aggregates(silver_sensor_of(spark, sf_dir), sigma=S.EVENT_SIGMA)
+    as_of = hot.agg(F.max("window_end")).scalar()
+    return hot, as_of
+
+
+@register("live_kpis", with_ctes(("recent10",), """
+SELECT count(*) AS total_readings, count(*) FILTER (WHERE is_anomaly) AS anomalies_detected,
+       count(DISTINCT sensor_id) AS active_sensors,
+       CASE WHEN count(*) > 0 THEN count(*) FILTER (WHERE is_anomaly) * 100.0 / count(*) END AS anomaly_pct
+FROM recent10"""))
+def q_live_kpis(spark, sf_dir):
+    """Q4: KPI row over the last 10 minutes of hot aggregates."""
+    hot, as_of = hot_of(spark, sf_dir)
+    return _marts().live_kpis(_marts().recent_window(hot, as_of))
+
+
+@register("live_anomalies", with_ctes(("recent10",), """
+SELECT sensor_id, sensor_type, zone_id, avg_value, target_value, window_start FROM recent10 WHERE is_anomaly"""))
+def q_live_anomalies(spark, sf_dir):
+    """Q5: anomalous windows of the last 10 minutes."""
+    hot, as_of = hot_of(spark, sf_dir)
+    return _marts().live_anomalies(_marts().recent_window(hot, as_of))
+
+
+@register("recent50", with_ctes(("recent_day",), """
+SELECT sensor_id, sensor_type, zone_id, avg_value, target_value, is_anomaly, reading_count, window_start
+FROM recent_day ORDER BY window_start DESC, sensor_id LIMIT 50"""))
+def q_recent50(spark, sf_dir):
+    """Q6: newest 50 aggregates of the last day."""
+    hot, as_of = hot_of(spark, sf_dir)
+    return _marts().recent_aggregates(_marts().recent_window(hot, as_of, 24 * 60))
+
+
+@register("key_versions", with_ctes(("dim_customer_v2",), """
+SELECT c_custkey, c_name, last_priority, effective_date, expiry_date, is_current FROM dim_customer_v2
+WHERE c_custkey = (SELECT min(c_custkey) FROM dim_customer_v2 WHERE NOT is_current)
+ORDER BY effective_date"""))
+def q_key_versions(spark, sf_dir):
+    """All versions of one key that has history."""
+    dim = customer_dims(spark, sf_dir)[1]
+    key = dim.filter(~F.col("is_current")).agg(F.min("c_custkey")).scalar()
+    return _marts().key_versions(dim, "c_custkey", key, ["c_name", "last_priority"])

@@ -245,6 +245,13 @@ WHERE window_start >= (SELECT max(window_end) FROM hot_windows) - INTERVAL 10 MI
     "recent_day": (("hot_windows",), """
 SELECT * FROM hot_windows
 WHERE window_start >= (SELECT max(window_end) FROM hot_windows) - INTERVAL 1440 MINUTE"""),
+    "bronze_sensor": ((), f"""
+SELECT CAST(user_id AS VARCHAR) AS sensor_id, event_type AS sensor_type,
+       'Z0' || CAST(user_id % 5 + 1 AS VARCHAR) AS zone_id, '{S.EVENT_UNIT}' AS unit, value,
+       {S.EVENT_TARGET} AS target,
+       abs(value - {S.EVENT_TARGET}) > 3.0 * {_sigma_case('event_type')} AS is_anomaly,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS reading_ts, CAST(NULL AS VARCHAR) AS ingested_at
+FROM events"""),
 }
 
 

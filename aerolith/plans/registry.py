@@ -635,3 +635,135 @@ def q_key_versions(spark, sf_dir):
     dim = customer_dims(spark, sf_dir)[1]
     key = dim.filter(~F.col("is_current")).agg(F.min("c_custkey")).scalar()
     return _marts().key_versions(dim, "c_custkey", key, ["c_name", "last_priority"])
+
+
+# --- sources, sinks and streams -----------------------------------------------------
+
+from aerolith.session import scratch_path  # noqa: E402
+
+
+@register("flatten_air", with_ctes(("bronze_air",), """
+SELECT station_id, station_name_en, station_name_th, area_en, area_th, station_type,
+       CASE WHEN lat < 0 THEN NULL ELSE lat END AS lat, CASE WHEN lon < 0 THEN NULL ELSE lon END AS lon,
+       reading_date, reading_time,
+       CASE WHEN pm25_value < 0 THEN NULL ELSE pm25_value END AS pm25_value,
+       CASE WHEN pm25_aqi < 0 THEN NULL ELSE pm25_aqi END AS pm25_aqi,
+       CASE WHEN pm10_value < 0 THEN NULL ELSE pm10_value END AS pm10_value,
+       CASE WHEN o3_value < 0 THEN NULL ELSE o3_value END AS o3_value,
+       CASE WHEN co_value < 0 THEN NULL ELSE co_value END AS co_value,
+       CASE WHEN no2_value < 0 THEN NULL ELSE no2_value END AS no2_value,
+       CASE WHEN so2_value < 0 THEN NULL ELSE so2_value END AS so2_value,
+       CASE WHEN overall_aqi < 0 THEN NULL ELSE overall_aqi END AS overall_aqi,
+       aqi_param, ingested_at
+FROM bronze_air"""))
+def q_flatten_air(spark, sf_dir):
+    """Station documents (numbers as text) -> Bronze records."""
+    from aerolith.operators.flatten import flatten_air
+
+    b = S.bronze_air(spark, sf_dir)
+    txt = lambda c: F.col(c).cast("string")
+    doc = F.struct(
+        F.col("station_id").alias("stationID"), F.col("station_name_en").alias("nameEN"),
+        F.col("station_name_th").alias("nameTH"), F.col("area_en").alias("areaEN"),
+        F.col("area_th").alias("areaTH"), F.col("station_type").alias("stationType"),
+        txt("lat").alias("lat"), txt("lon").alias("long"),
+        F.struct(
+            F.col("reading_date").alias("date"), F.col("reading_time").alias("time"),
+            F.struct(txt("pm25_value").alias("value"), txt("pm25_aqi").alias("aqi")).alias("PM25"),
+            F.struct(txt("pm10_value").alias("value")).alias("PM10"),
+            F.struct(txt("o3_value").alias("value")).alias("O3"),
+            F.struct(txt("co_value").alias("value")).alias("CO"),
+            F.struct(txt("no2_value").alias("value")).alias("NO2"),
+            F.struct(txt("so2_value").alias("value")).alias("SO2"),
+            F.struct(txt("overall_aqi").alias("aqi"), F.col("aqi_param").alias("param")).alias("AQI"),
+        ).alias("AQILast"),
+    )
+    raw = b.select(F.to_json(doc).alias("value"), "ingested_at")
+    return flatten_air(raw, "value", "ingested_at")[0]
+
+
+@register("flatten_weather", with_ctes(("bronze_weather",), """
+SELECT CAST(city_id AS BIGINT) AS city_id, city_name, country, lat, lon, reading_ts, temp_c,
+       feels_like_c, pressure_hpa, humidity_pct, wind_speed_ms, wind_deg, visibility_m,
+       weather_main, weather_desc, weather_icon, ingested_at
+FROM bronze_weather"""))
+def q_flatten_weather(spark, sf_dir):
+    """Nested weather documents (struct paths, array element 0) -> Bronze."""
+    from aerolith.operators.flatten import flatten_weather
+
+    b = S.bronze_weather(spark, sf_dir)
+    doc = F.struct(
+        F.col("city_id").alias("id"), F.col("city_name").alias("name"), F.col("reading_ts").alias("dt"),
+        F.col("visibility_m").alias("visibility"),
+        F.struct("lat", "lon").alias("coord"), F.struct("country").alias("sys"),
+        F.struct(F.col("temp_c").alias("temp"), F.col("feels_like_c").alias("feels_like"),
+                 F.col("pressure_hpa").alias("pressure"), F.col("humidity_pct").alias("humidity")).alias("main"),
+        F.struct(F.col("wind_speed_ms").alias("speed"), F.col("wind_deg").alias("deg")).alias("wind"),
+        F.array(F.struct(F.col("weather_main").alias("main"), F.col("weather_desc").alias("description"),
+                         F.col("weather_icon").alias("icon"))).alias("weather"),
+    )
+    raw = b.select(F.to_json(doc).alias("value"), "ingested_at")
+    return flatten_weather(raw, "value", "ingested_at")[0]
+
+
+@register("csv_roundtrip", "SELECT * FROM customer")
+def q_csv_roundtrip(spark, sf_dir):
+    """Write CSV with a header, read it back with an explicit schema."""
+    from aerolith.sinks import rebalanced
+    from aerolith.sources import read_csv
+
+    cust = S.table(spark, sf_dir, "customer")
+    path = scratch_path(spark, "csv")
+    rebalanced(cust).write.mode("overwrite").option("header", "true").csv(path)
+    return read_csv(spark, path, cust.schema)[0]
+
+
+@register("bronze_ingest", with_ctes(("bronze_sensor",), "SELECT * FROM bronze_sensor"))
+def q_bronze_ingest(spark, sf_dir):
+    """Keyed JSON messages -> stream -> partitioned Bronze files."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from aerolith.schemas import BRONZE_SENSOR
+    from aerolith.sinks import publish
+    from aerolith.sources import file_stream
+    from aerolith.streaming.ingest import start_ingest
+
+    root = scratch_path(spark, "ingest")
+    publish(S.bronze_sensor(spark, sf_dir), "sensor_id", fmt="parquet", path=f"{root}/messages")
+    msg_schema = StructType([StructField("key", StringType()), StructField("value", StringType())])
+    stream = file_stream(spark, f"{root}/messages", msg_schema, "parquet")
+    for q in start_ingest(stream, BRONZE_SENSOR, f"{root}/bronze", f"{root}/chk", f"{root}/quarantine",
+                          trigger={"availableNow": True}):
+        q.awaitTermination()
+    return spark.read.parquet(f"{root}/bronze").select(*BRONZE_SENSOR.fieldNames())
+
+
+@register("hot_windows_stream", with_ctes(("hot_windows",), "SELECT * FROM hot_windows"))
+def q_hot_windows_stream(spark, sf_dir):
+    """C18/T-1..T-6/K9/K10: streaming windows (watermark, update mode) upserted
+    into the keyed store, drained with availableNow, then read back."""
+    from aerolith.functions.time import iso_to_ts
+    from aerolith.operators.windows import WINDOW_COLUMNS
+    from aerolith.sources import file_stream
+    from aerolith.streaming.hot_path import start_hot_path
+
+    root = scratch_path(spark, "hot")
+    schema = S.table(spark, sf_dir, "events").schema
+    events = file_stream(spark, sf_dir, schema, "parquet", glob="events.parquet")
+    readings = S.sensor_messages(events).withColumn("reading_ts_utc", iso_to_ts("reading_ts"))
+    q = start_hot_path(readings, f"{root}/store", f"{root}/chk", f"{root}/staging",
+                       trigger={"availableNow": True}, sigma=S.EVENT_SIGMA, decimals=False)
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/store").select(*WINDOW_COLUMNS)
+
+
+@register("cold_path", with_ctes(("fct_air",), "SELECT * FROM fct_air"))
+def q_cold_path(spark, sf_dir):
+    """The whole cold pipeline written stage by stage; returns the hourly fact."""
+    from aerolith.plans.pipeline import run_cold_path
+
+    res = run_cold_path(
+        spark, S.bronze_air(spark, sf_dir), S.bronze_weather(spark, sf_dir), S.bronze_sensor(spark, sf_dir),
+        scratch_path(spark, "cold"), S.AS_OF_LOAD,
+    )
+    return spark.read.parquet(res.path("gold/fct_air_quality_hourly")).drop("air_quality_key")

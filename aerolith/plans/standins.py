@@ -108,7 +108,11 @@ def bronze_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    return sensor_messages(table(spark, sf_dir, "events"))
+
+
+def sensor_messages(ev: DataFrame) -> DataFrame:
+    """Events (batch or stream) -> flat sensor-reading records."""
     sigma = sigma_lookup("event_type", EVENT_SIGMA)
     return ev.select(
         F.col("user_id").cast("string").alias("sensor_id"),

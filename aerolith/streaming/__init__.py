@@ -1 +1 @@
-"""aerolith.streaming"""
+"""Structured Streaming jobs: Bronze ingest (file sink) and the hot path."""

@@ -1,19 +1,26 @@
 """Latest-record-per-key de-duplication.
 
-Default strategy is an aggregate: ``max(struct(order..., rest...))`` per key.
-The partial (map-side) aggregate collapses duplicates before the shuffle, so a
-key that holds a third of all rows costs one row per map task in the exchange
-instead of a third of the data in one reducer (which a ``row_number`` window
-would sort in a single task). Struct ordering compares fields left to right
-with NULL lowest, i.e. ``order DESC NULLS LAST`` followed by every remaining
-column as a total tie-break, so the chosen row is deterministic.
+Both strategies reduce duplicates *before* the shuffle, so a key holding a
+third of all rows ships one row per map task instead of a third of the data
+to one reducer:
+
+* ``window`` (default): ``row_number() OVER (PARTITION BY keys ORDER BY
+  order DESC, rest DESC) = 1``; Spark plans a partial ``WindowGroupLimit``
+  (per-partition top-1) below the exchange and a final one above it;
+* ``agg``: ``max(struct(order..., rest...))`` per key, a partial + final
+  aggregate. Struct ordering compares fields left to right with NULL lowest.
+
+Either way the pick is ``order DESC NULLS LAST`` followed by every remaining
+column as a total tie-break, so the chosen row is deterministic and both
+strategies return the same rows.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _PICK = "__pick"
@@ -23,14 +30,14 @@ def latest_per_key(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    method: str = "agg",
+    method: str | None = None,
 ) -> DataFrame:
     """Keep, per ``keys``, the row with the greatest ``order`` (then the greatest
     remaining columns as tie-break). Output columns and order equal the input's.
 
-    ``method="window"`` gives the ``row_number() = 1`` form with the same pick;
-    Spark plans it with a per-partition ``WindowGroupLimit`` before the shuffle.
+    ``method="agg"`` gives the aggregate form with the same pick.
     """
+    method = method or os.environ.get("AEROLITH_DEDUP", "window")
     keys = list(keys)
     order = [c for c in order if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
@@ -50,8 +57,3 @@ def latest_per_key(
     return picked.select(
         *[F.col(c) for c in keys], *[F.col(f"{_PICK}.{c}").alias(c) for c in fields]
     ).select(*df.columns)
-
-
-def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """Deterministic 'one row per key' (latest by ``order``)."""
-    return latest_per_key(df, keys, [c for c in order if isinstance(c, str)])

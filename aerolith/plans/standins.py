@@ -38,6 +38,12 @@ SCD2_SECOND_SNAPSHOT = date(1999, 1, 1)
 AS_OF_LOAD = date(2024, 1, 1)
 
 
+def _iso_seconds_after(ts: str, secs: str):
+    """ISO-8601 text (``yyyy-MM-ddTHH:mm:ss``) of a wall-clock time plus seconds."""
+    shifted = F.timestamp_seconds(F.unix_seconds(F.col(ts).cast("timestamp")) + F.col(secs))
+    return F.date_format(shifted, "yyyy-MM-dd'T'HH:mm:ss")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -52,7 +58,6 @@ def bronze_air(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     places = supplier_places(spark, sf_dir)
     df = lookup(li, places, li.l_suppkey == places.s_suppkey)
-    ingest = F.timestamp_seconds(F.unix_seconds(F.col("l_shipdate").cast("timestamp")) + F.col("l_orderkey"))
     return df.select(
         F.col("l_suppkey").cast("string").alias("station_id"),
         F.col("s_name").alias("station_name_en"),
@@ -62,8 +67,8 @@ def bronze_air(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("station_type"),
         (F.col("s_acctbal") / 1000).alias("lat"),
         F.col("s_nationkey").cast("double").alias("lon"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("reading_date"),
-        F.format_string("%02d:00", F.col("l_linenumber")).alias("reading_time"),
+        F.to_date("l_shipdate").cast("string").alias("reading_date"),
+        F.concat(F.lpad(F.col("l_linenumber").cast("string"), 2, "0"), F.lit(":00")).alias("reading_time"),
         F.col("l_quantity").alias("pm25_value"),
         F.col("l_quantity").cast("int").alias("pm25_aqi"),
         (F.col("l_extendedprice") / 1000).alias("pm10_value"),
@@ -73,7 +78,7 @@ def bronze_air(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("s_acctbal") / 100).alias("so2_value"),
         F.floor(F.col("l_extendedprice") / 1000).cast("int").alias("overall_aqi"),
         F.col("l_returnflag").alias("aqi_param"),
-        F.date_format(ingest, "yyyy-MM-dd'T'HH:mm:ss").alias("ingested_at"),
+        _iso_seconds_after("l_shipdate", "l_orderkey").alias("ingested_at"),
     )
 
 
@@ -101,9 +106,7 @@ def bronze_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_type").alias("weather_main"),
         F.col("p_brand").alias("weather_desc"),
         F.col("l_returnflag").alias("weather_icon"),
-        F.date_format(F.timestamp_seconds(F.unix_seconds(ts) + F.col("l_orderkey")), "yyyy-MM-dd'T'HH:mm:ss").alias(
-            "ingested_at"
-        ),
+        _iso_seconds_after("l_shipdate", "l_orderkey").alias("ingested_at"),
     )
 
 

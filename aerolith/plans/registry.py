@@ -463,7 +463,8 @@ def q_b2(spark, sf_dir):
 
 
 @register("b3_air_weather_corr", with_ctes(("fct_air", "dim_region", "fct_weather"), """
-SELECT corr(a.pm25, b.humidity) AS corr_pm25_humidity, corr(a.pm25, b.wind) AS corr_pm25_wind,
+SELECT CASE WHEN isnan(corr(a.pm25, b.humidity)) THEN NULL ELSE corr(a.pm25, b.humidity) END AS corr_pm25_humidity,
+       CASE WHEN isnan(corr(a.pm25, b.wind)) THEN NULL ELSE corr(a.pm25, b.wind) END AS corr_pm25_wind,
        count(*) AS matched_periods
 FROM (SELECT r.region_name AS city, f.date_key, avg(f.pm25_value) AS pm25
       FROM fct_air f JOIN dim_region r ON f.region_key = r.region_key GROUP BY r.region_name, f.date_key) a
@@ -547,7 +548,7 @@ def q_b9(spark, sf_dir):
 
 
 @register("b10_pair_corr", with_ctes(("fct_sensor", "dim_zone", "dim_sensor_type"), f"""
-SELECT zone_id, corr(a, b) AS correlation,
+SELECT zone_id, CASE WHEN isnan(corr(a, b)) THEN NULL ELSE corr(a, b) END AS correlation,
        count(*) FILTER (WHERE a IS NOT NULL AND b IS NOT NULL) AS paired_buckets
 FROM (SELECT z.zone_id, date_trunc('hour', f.reading_ts_utc) AS bucket,
              avg(CASE WHEN t.sensor_type = '{STANDIN_PAIR[0]}' THEN f.value END) AS a,

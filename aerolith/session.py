@@ -19,6 +19,11 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Coalesced shuffle partitions target max(advisory size, total / cores);
+    # the default 1 MB floor would collapse small shuffles (e.g. a day's
+    # incremental load) into one task that writes every partition file alone.
+    # At scale the advisory size dominates and this has no effect.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
 }
 
 

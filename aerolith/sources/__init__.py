@@ -5,29 +5,38 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool = True) -> tuple[DataFrame, DataFrame]:
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType, header: bool = True, staging: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """CSV with an explicit schema; returns ``(rows, malformed)``.
 
-    PERMISSIVE mode keeps bad lines in a corrupt-record column, which is split
-    off, so one bad line neither fails the job nor turns into a row of NULLs.
+    PERMISSIVE mode keeps bad lines in a corrupt-record column. The parsed
+    lines (all columns) are saved once as Parquet under ``staging`` (default:
+    a new folder in the shared scratch area) and split from that copy, so the
+    malformed-line test never depends on which columns a later query prunes
+    the CSV scan down to.
     """
+    from aerolith.session import scratch_path
+
     full = StructType(list(schema.fields) + [StructField(CORRUPT, StringType())])
-    df = (
+    parsed = (
         spark.read.schema(full)
         .option("header", str(header).lower())
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
-    good = df.filter(df[CORRUPT].isNull()).drop(CORRUPT)
-    # Keep the data columns in the reject frame: a query that references only
-    # the corrupt-record column of a raw CSV scan is not allowed.
-    bad = df.filter(df[CORRUPT].isNotNull())
+    staging = staging or scratch_path(spark, "csv-parsed")
+    parsed.write.mode("overwrite").parquet(staging)
+    saved = spark.read.schema(full).parquet(staging)
+    good = saved.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    bad = saved.filter(F.col(CORRUPT).isNotNull())
     return good, bad
 
 

@@ -18,7 +18,8 @@ from aerolith.functions.constants import ANOMALY_SIGMA, DEFAULT_SIGMA, SENSOR_SI
 
 WINDOW_COLUMNS = (
     "sensor_id", "window_start", "window_end", "sensor_type", "zone_id", "avg_value",
-    "max_value", "min_value", "target_value", "reading_count", "anomaly_count", "is_anomaly",
+    "max_value", "min_value", "target_value", "reading_count", "anomaly_count",
+    "reading_rule_count", "is_anomaly",
 )
 
 
@@ -33,10 +34,12 @@ def window_aggregates(
     decimals: bool = False,
 ) -> DataFrame:
     """One row per (key, window): avg/max/min value, reading count, count of
-    labelled anomalies, and ``is_anomaly`` = window mean beyond ``k`` sigma of
-    the target. Type, zone and target come from the window's first reading
-    (earliest event time; ties broken by the values); a missing type or zone
-    becomes ``"unknown"``. ``decimals=True`` stores measures as decimal(18,4).
+    labelled anomalies, ``reading_rule_count`` = readings individually beyond
+    ``k`` sigma of their target (per-reading rule), and ``is_anomaly`` = the
+    window mean beyond ``k`` sigma of the target (window rule). Type, zone and
+    target come from the window's first reading (earliest event time; ties
+    broken by the values); a missing type or zone becomes ``"unknown"``.
+    ``decimals=True`` stores measures as decimal(18,4).
     """
     first = F.min(F.struct(F.col(ts_col), "sensor_type", "zone_id", "target")).alias("__first")
     agg = readings.groupBy(F.col(key).alias("sensor_id"), F.window(ts_col, duration).alias("__w")).agg(
@@ -45,6 +48,9 @@ def window_aggregates(
         F.min("value").alias("min_value"),
         F.count(F.lit(1)).alias("reading_count"),
         F.count_if(F.col("is_anomaly") == F.lit(True)).alias("anomaly_count"),
+        F.count_if(
+            beyond_sigma("value", "target", sigma_lookup(or_unknown("sensor_type"), sigma, default_sigma), k)
+        ).alias("reading_rule_count"),
         first,
     )
     stype = or_unknown("__first.sensor_type")
@@ -60,6 +66,7 @@ def window_aggregates(
         F.col("__first.target").alias("target_value"),
         "reading_count",
         "anomaly_count",
+        "reading_rule_count",
         beyond_sigma("avg_value", "__first.target", sigma_lookup(stype, sigma, default_sigma), k).alias(
             "is_anomaly"
         ),

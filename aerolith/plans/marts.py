@@ -80,12 +80,15 @@ def recent_window(hot: DataFrame, as_of, lookback_minutes: int = LIVE_LOOKBACK_M
     return hot.filter(F.col("window_start") >= t - F.make_dt_interval(mins=F.lit(lookback_minutes)))
 
 
-def live_kpis(recent: DataFrame) -> DataFrame:
-    """Q4: one row — windows, anomalous windows, anomaly %, active sensors."""
+def live_kpis(recent: DataFrame, approx: bool = False) -> DataFrame:
+    """Q4: one row — windows, anomalous windows, anomaly %, active sensors
+    (``approx=True``: HyperLogLog++ distinct count, a fixed-size sketch per
+    partition instead of shuffling every distinct sensor id)."""
+    distinct = F.approx_count_distinct("sensor_id") if approx else F.count_distinct("sensor_id")
     agg = recent.agg(
         F.count(F.lit(1)).alias("total_readings"),
         F.count_if(F.col("is_anomaly") == F.lit(True)).alias("anomalies_detected"),
-        F.count_distinct("sensor_id").alias("active_sensors"),
+        distinct.alias("active_sensors"),
     )
     return agg.withColumn(
         "anomaly_pct",

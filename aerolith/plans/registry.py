@@ -768,3 +768,40 @@ def q_cold_path(spark, sf_dir):
         scratch_path(spark, "cold"), S.AS_OF_LOAD,
     )
     return spark.read.parquet(res.path("gold/fct_air_quality_hourly")).drop("air_quality_key")
+
+
+# --- SQL over catalog views (S4, entry C) ----------------------------------------------
+
+
+@register("top10_sql", ORACLE["top10"])
+def q_top10_sql(spark, sf_dir):
+    """Q1 as Spark SQL over temp views of the Gold tables."""
+    from aerolith.plans.sql import register_views, top_stations_sql
+
+    sa, ds, dr = air_star(spark, sf_dir)
+    views = register_views(
+        {"fct_air_quality_hourly": facts.fct_air_quality_hourly(sa, ds, dr), "dim_station": ds}, prefix="gold_q1_"
+    )
+    return top_stations_sql(spark, views)
+
+
+@register("by_city_day_sql", ORACLE["by_city_day"])
+def q_by_city_day_sql(spark, sf_dir):
+    """Q2 as Spark SQL over temp views."""
+    from aerolith.plans.sql import register_views, weather_by_city_day_sql
+
+    sw = silver_weather_of(spark, sf_dir)
+    dwc = dims.dim_weather_condition(sw)
+    views = register_views(
+        {"fct_weather_hourly": facts.fct_weather_hourly(sw, dwc), "dim_weather_condition": dwc}, prefix="gold_q2_"
+    )
+    return weather_by_city_day_sql(spark, views)
+
+
+@register("history_sql", ORACLE["history_listing"])
+def q_history_sql(spark, sf_dir):
+    """Q3 as Spark SQL over a temp view of the merged SCD2 dimension."""
+    from aerolith.plans.sql import register_views, scd2_history_sql
+
+    views = register_views({"dim_customer": customer_dims(spark, sf_dir)[1]}, prefix="gold_q3_")
+    return scd2_history_sql(spark, views["dim_customer"], "c_custkey", ["c_name", "c_mktsegment"])

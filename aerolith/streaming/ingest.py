@@ -58,3 +58,20 @@ def start_ingest(
             .start()
         )
     return queries
+
+
+def start_routes(
+    messages: DataFrame,
+    routes: dict[str, tuple[StructType, str]],
+    checkpoint_root: str,
+    quarantine_root: str | None = None,
+    trigger: dict | None = None,
+) -> list[StreamingQuery]:
+    """Topic -> (schema, Bronze path) routing: one landing query per topic,
+    each with its own checkpoint, from one multi-topic subscription."""
+    queries: list[StreamingQuery] = []
+    root = checkpoint_root.rstrip("/")
+    for topic, (schema, path) in routes.items():
+        q_path = f"{quarantine_root.rstrip('/')}/{topic}" if quarantine_root else None
+        queries += start_ingest(messages, schema, path, f"{root}/{topic}", q_path, topic=topic, trigger=trigger)
+    return queries

@@ -18,6 +18,7 @@ from aerolith.operators import dims, facts, scd2, silver
 from aerolith.plans import standins as S
 from aerolith.plans.oracle import with_ctes
 from aerolith.session import configure
+from aerolith.sinks import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,7 +54,9 @@ def silver_air_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def air_star(spark: SparkSession, sf_dir: str):
-    sa = silver_air_of(spark, sf_dir)
+    # Silver is written once and read by the dimension and fact stages, as in
+    # the cold pipeline (no stage chain recomputed per consumer).
+    sa = materialize(silver_air_of(spark, sf_dir), "silver-air")
     station_snap = scd2.snapshot(
         sa, "station_id",
         ["station_name_en", "station_name_th", "area_en", "station_type", "lat", "lon"],
@@ -121,7 +124,7 @@ def silver_weather_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sensor_star(spark: SparkSession, sf_dir: str):
-    ss = silver_sensor_of(spark, sf_dir)
+    ss = materialize(silver_sensor_of(spark, sf_dir), "silver-sensor")
     snap = scd2.snapshot(ss, "sensor_id", ["sensor_type", "zone_id", "target", "unit"], "reading_ts_utc")
     dim_sensor = scd2.first_load(snap, "sensor_id", "sensor_key", S.AS_OF_LOAD)
     return ss, dim_sensor, dims.dim_zone(ss), dims.dim_sensor_type(ss)
@@ -206,7 +209,7 @@ def q_anomaly_rate(spark, sf_dir):
 @register("fct_weather", with_ctes(("fct_weather",), "SELECT * FROM fct_weather"))
 def q_fct_weather(spark, sf_dir):
     """Readings with the condition key on (main, description) — row count preserved."""
-    sw = silver_weather_of(spark, sf_dir)
+    sw = materialize(silver_weather_of(spark, sf_dir), "silver-weather")
     dwc = dims.dim_weather_condition(sw)
     ddate = dims.dim_date_covering(sw, "reading_date")
     return facts.fct_weather_hourly(sw, dwc, ddate).drop("weather_hourly_key")
@@ -222,7 +225,7 @@ def q_by_city_day(spark, sf_dir):
     """Q2: weather by city, day and condition."""
     from aerolith.plans import marts
 
-    sw = silver_weather_of(spark, sf_dir)
+    sw = materialize(silver_weather_of(spark, sf_dir), "silver-weather")
     dwc = dims.dim_weather_condition(sw)
     return marts.weather_by_city_day(facts.fct_weather_hourly(sw, dwc), dwc)
 
@@ -474,7 +477,7 @@ ON a.city = b.city AND a.date_key = b.date_key"""))
 def q_b3(spark, sf_dir):
     """PM2.5 vs humidity / wind correlation, pre-aggregated to (city, day)."""
     sa, ds, dr, fct = fct_air_of(spark, sf_dir)
-    sw = silver_weather_of(spark, sf_dir)
+    sw = materialize(silver_weather_of(spark, sf_dir), "silver-weather")
     fw = facts.fct_weather_hourly(sw, dims.dim_weather_condition(sw))
     return _marts().b3_air_weather_correlation(fct, dr, fw, grain="day")
 
@@ -790,7 +793,7 @@ def q_by_city_day_sql(spark, sf_dir):
     """Q2 as Spark SQL over temp views."""
     from aerolith.plans.sql import register_views, weather_by_city_day_sql
 
-    sw = silver_weather_of(spark, sf_dir)
+    sw = materialize(silver_weather_of(spark, sf_dir), "silver-weather")
     dwc = dims.dim_weather_condition(sw)
     views = register_views(
         {"fct_weather_hourly": facts.fct_weather_hourly(sw, dwc), "dim_weather_condition": dwc}, prefix="gold_q2_"

@@ -45,6 +45,18 @@ def write_observed(df: DataFrame, path: str, partition_cols: Sequence[str] = (),
     return int(obs.get["rows"])
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared scratch folder and return a
+    scan of it: later consumers (dimensions, facts) read the written table with
+    column pruning instead of re-running its lineage, and a lost executor
+    re-reads files rather than recomputing the stage chain."""
+    from aerolith.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    write_table(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
 # --- versioned tables (read-modify-write without deleting the input) --------------------
 
 

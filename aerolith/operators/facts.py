@@ -46,20 +46,44 @@ AIR_HOURLY_COLUMNS = (
 )
 
 
+def unknown_member(df: DataFrame, key_cols, value: int = -1) -> DataFrame:
+    """Replace NULL dimension keys (no matching member) by ``value``."""
+    return df.fillna({c: value for c in key_cols})
+
+
+def observe_unmatched(df: DataFrame, key_cols, name: str = "unmatched"):
+    """Attach per-key NULL counts, collected in whichever pass writes ``df``.
+
+    Returns ``(df, observation)``; ``observation.get`` holds
+    ``{"rows": n, "<key>_unmatched": m, ...}`` after the action.
+    """
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    metrics = [F.count(F.lit(1)).alias("rows")] + [
+        F.count_if(F.col(c).isNull()).alias(f"{c}_unmatched") for c in key_cols
+    ]
+    return df.observe(obs, *metrics), obs
+
+
 def fct_air_quality_hourly(
     silver_air: DataFrame,
     dim_station: DataFrame,
     dim_region: DataFrame,
     mode: str = "current",
     key: str = "hash",
+    unknown_key: int | None = None,
 ) -> DataFrame:
     """One row per Silver air reading with station and region keys.
 
     ``mode="as_of"`` picks the station version valid at the reading time.
     ``air_quality_key`` is a stable hash of (station_id, reading_ts_utc) by
-    default; ``key="run"`` gives the per-run unique id.
+    default; ``key="run"`` gives the per-run unique id. Unmatched keys stay
+    NULL unless ``unknown_key`` (e.g. -1) names an unknown member.
     """
     df = _air_keys(silver_air, dim_station, dim_region, mode)
+    if unknown_key is not None:
+        df = unknown_member(df, ["station_key", "region_key"], unknown_key)
     df = df.withColumns(
         {
             "reading_hour": F.hour("reading_ts_utc"),
@@ -76,7 +100,6 @@ def fct_pollution_daily_summary(
     threshold: float = PM25_THRESHOLD,
     dominant: str = "mode",
     digits: int | None = None,
-    compat: bool = False,
     mode: str = "current",
     key: str = "hash",
 ) -> DataFrame:
@@ -85,9 +108,9 @@ def fct_pollution_daily_summary(
 
     ``dominant="mode"`` is the most frequent parameter (ties -> smallest
     value); ``"first"`` is the original job's arbitrary pick. Grain is
-    ``(date_key, station_key, region_key)`` plus ``reading_date``; with
-    ``compat=True`` Silver's local ``reading_date`` splits a UTC day in two as
-    the original job does.
+    ``(date_key, station_key, region_key)`` plus ``reading_date``; Silver
+    built with ``silver_air(compat=True)`` keeps the local ``reading_date``,
+    which splits a UTC day in two as the original job does.
     """
     df = _air_keys(silver_air, dim_station, dim_region, mode)
     avg = F.avg("pm25_value")
@@ -123,6 +146,7 @@ def fct_sensor_reading(
     dim_sensor_type: DataFrame | None = None,
     mode: str = "current",
     key: str = "hash",
+    unknown_key: int | None = None,
 ) -> DataFrame:
     """One row per Silver sensor reading with sensor, zone (and type) keys."""
     if mode == "current":
@@ -134,6 +158,8 @@ def fct_sensor_reading(
     if dim_sensor_type is not None:
         df = lookup(df, dim_sensor_type.select("sensor_type", "unit", "sensor_type_key"), ["sensor_type", "unit"])
         cols.insert(3, "sensor_type_key")
+    if unknown_key is not None:
+        df = unknown_member(df, [c for c in ("sensor_key", "zone_key", "sensor_type_key") if c in df.columns], unknown_key)
     df = df.withColumn("sensor_reading_key", _fact_key(key, ["sensor_id", "reading_ts_utc"]))
     return df.select("sensor_reading_key", *cols)
 

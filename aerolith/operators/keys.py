@@ -7,6 +7,10 @@ and sorted, each row gets its position inside its partition from
 the lower 33), per-partition row counts are aggregated (one row per partition,
 a bound set by the partition count, not the data), turned into running offsets
 and broadcast back. Result equals ``row_number() OVER (ORDER BY nk)``.
+
+The id-stamped frame is written once to the shared scratch folder and both the
+counts and the keyed rows read that copy: the input is computed once, and ids
+are fixed on disk, so a stage retried after an executor loss cannot renumber.
 """
 
 from __future__ import annotations
@@ -38,15 +42,20 @@ def dense_keys(
     keys. ``start`` may be a literal or a scalar-subquery column (e.g. the
     current maximum key of a dimension).
     """
+    from aerolith.sinks import materialize
+
     order = [F.col(c).asc_nulls_first() for c in order_cols]
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranked = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn(_ID, F.monotonically_increasing_id())
-        .withColumn(_PID, F.shiftright(F.col(_ID), _LOW_BITS))
-        .withColumn(_POS, F.col(_ID).bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
+    stamped = materialize(
+        df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn(_ID, F.monotonically_increasing_id()),
+        "dense-keys",
+    )
+    ranked = stamped.withColumns(
+        {
+            _PID: F.shiftright(F.col(_ID), _LOW_BITS),
+            _POS: F.col(_ID).bitwiseAND(F.lit((1 << _LOW_BITS) - 1)),
+        }
     )
     # One row per non-empty partition: bounded by the partition count.
     counts = ranked.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))

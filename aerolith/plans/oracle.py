@@ -20,7 +20,7 @@ _BRONZE_AIR_COLS = (
 )
 
 
-def _sigma_case(col: str) -> str:
+def sigma_case(col: str) -> str:
     whens = " ".join(f"WHEN '{k}' THEN {float(v)}" for k, v in S.EVENT_SIGMA.items())
     return f"(CASE {col} {whens} ELSE 1.0 END)"
 
@@ -49,7 +49,7 @@ _WEATHER_COLS = (
 )
 
 
-def _calendar_sql(bounds: str) -> str:
+def calendar_sql(bounds: str) -> str:
     hol = ", ".join(f"DATE '{h}'" for h in HOLIDAYS_2026)
     return f"""
 SELECT {_date_key('d')} AS date_key, d AS full_date, CAST(year(d) AS INTEGER) AS year,
@@ -126,7 +126,7 @@ SELECT * FROM (
   SELECT CAST(user_id AS VARCHAR) AS sensor_id, event_type AS sensor_type,
          'Z0' || CAST(user_id % 5 + 1 AS VARCHAR) AS zone_id, '{S.EVENT_UNIT}' AS unit, value,
          {S.EVENT_TARGET} AS target,
-         abs(value - {S.EVENT_TARGET}) > 3.0 * {_sigma_case('event_type')} AS is_anomaly,
+         abs(value - {S.EVENT_TARGET}) > 3.0 * {sigma_case('event_type')} AS is_anomaly,
          strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS reading_ts, CAST(NULL AS VARCHAR) AS ingested_at,
          ts AS reading_ts_utc, CAST(ts AS DATE) AS reading_date, {_date_key('ts')} AS date_key,
          round(value - {S.EVENT_TARGET}, 4) AS deviation
@@ -162,12 +162,12 @@ LEFT JOIN dim_sensor_type t ON r.sensor_type = t.sensor_type AND r.unit = t.unit
 SELECT sensor_id, window_start, window_start + INTERVAL 1 MINUTE AS window_end,
        coalesce(f_type, 'unknown') AS sensor_type, coalesce(f_zone, 'unknown') AS zone_id,
        avg_value, max_value, min_value, f_target AS target_value, reading_count, anomaly_count,
-       reading_rule_count, abs(avg_value - f_target) > 3.0 * {_sigma_case("coalesce(f_type, 'unknown')")} AS is_anomaly
+       reading_rule_count, abs(avg_value - f_target) > 3.0 * {sigma_case("coalesce(f_type, 'unknown')")} AS is_anomaly
 FROM (
   SELECT sensor_id, date_trunc('minute', reading_ts_utc) AS window_start,
          avg(value) AS avg_value, max(value) AS max_value, min(value) AS min_value,
          count(*) AS reading_count, count(*) FILTER (WHERE is_anomaly) AS anomaly_count,
-         count(*) FILTER (WHERE abs(value - target) > 3.0 * {_sigma_case("coalesce(sensor_type, 'unknown')")}) AS reading_rule_count,
+         count(*) FILTER (WHERE abs(value - target) > 3.0 * {sigma_case("coalesce(sensor_type, 'unknown')")}) AS reading_rule_count,
          arg_min(sensor_type, (reading_ts_utc, sensor_type, zone_id, target)) AS f_type,
          arg_min(zone_id, (reading_ts_utc, sensor_type, zone_id, target)) AS f_zone,
          arg_min(target, (reading_ts_utc, sensor_type, zone_id, target)) AS f_target
@@ -239,7 +239,7 @@ FROM scd2_joined WHERE i_c_custkey IS NOT NULL AND (c_custkey IS NULL OR changed
 SELECT a.*, s.station_key, r.region_key FROM silver_air a
 LEFT JOIN (SELECT station_id, station_key FROM dim_station WHERE is_current) s ON a.station_id = s.station_id
 LEFT JOIN dim_region r ON a.area_en = r.region_name"""),
-    "dim_date_air": (("silver_air",), _calendar_sql("SELECT min(reading_date) AS lo, max(reading_date) AS hi FROM silver_air")),
+    "dim_date_air": (("silver_air",), calendar_sql("SELECT min(reading_date) AS lo, max(reading_date) AS hi FROM silver_air")),
     "recent10": (("hot_windows",), """
 SELECT * FROM hot_windows
 WHERE window_start >= (SELECT max(window_end) FROM hot_windows) - INTERVAL 10 MINUTE"""),
@@ -250,7 +250,7 @@ WHERE window_start >= (SELECT max(window_end) FROM hot_windows) - INTERVAL 1440
 SELECT CAST(user_id AS VARCHAR) AS sensor_id, event_type AS sensor_type,
        'Z0' || CAST(user_id % 5 + 1 AS VARCHAR) AS zone_id, '{S.EVENT_UNIT}' AS unit, value,
        {S.EVENT_TARGET} AS target,
-       abs(value - {S.EVENT_TARGET}) > 3.0 * {_sigma_case('event_type')} AS is_anomaly,
+       abs(value - {S.EVENT_TARGET}) > 3.0 * {sigma_case('event_type')} AS is_anomaly,
        strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS reading_ts, CAST(NULL AS VARCHAR) AS ingested_at
 FROM events"""),
 }

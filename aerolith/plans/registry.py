@@ -282,6 +282,8 @@ from aerolith.functions import clean as C  # noqa: E402
 from aerolith.functions import json as J  # noqa: E402
 from aerolith.functions import time as T  # noqa: E402
 from aerolith.operators.dedup import latest_per_key  # noqa: E402
+from aerolith.plans.oracle import calendar_sql  # noqa: E402
+from aerolith.plans.oracle import sigma_case  # noqa: E402
 from aerolith.plans.oracle import int_text  # noqa: E402
 
 _LI = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -381,8 +383,8 @@ def q_json_extract(spark, sf_dir):
 @register("deviation", f"""
 SELECT event_id, coalesce(event_type, 'unknown') AS sensor_type,
        round(value - {S.EVENT_TARGET}, 4) AS deviation,
-       {__import__('aerolith.plans.oracle', fromlist=['_sigma_case'])._sigma_case('event_type')} AS sigma,
-       abs(value - {S.EVENT_TARGET}) > 3.0 * {__import__('aerolith.plans.oracle', fromlist=['_sigma_case'])._sigma_case('event_type')} AS is_anomaly,
+       {sigma_case('event_type')} AS sigma,
+       abs(value - {S.EVENT_TARGET}) > 3.0 * {sigma_case('event_type')} AS is_anomaly,
        CAST(round(value, 4) AS DECIMAL(18, 4)) AS value_dec
 FROM events""")
 def q_deviation(spark, sf_dir):
@@ -399,8 +401,7 @@ def q_deviation(spark, sf_dir):
     )
 
 
-@register("dim_date", __import__("aerolith.plans.oracle", fromlist=["_calendar_sql"])._calendar_sql(
-    "SELECT min(l_shipdate) AS lo, max(l_shipdate) AS hi FROM lineitem"))
+@register("dim_date", calendar_sql("SELECT min(l_shipdate) AS lo, max(l_shipdate) AS hi FROM lineitem"))
 def q_dim_date(spark, sf_dir):
     """Calendar dimension covering the ship dates (ISO weekday, holidays)."""
     return dims.dim_date_covering(S.table(spark, sf_dir, "lineitem"), "l_shipdate")

@@ -53,7 +53,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     from aerolith.session import scratch_path
 
     path = scratch_path(df.sparkSession, name)
-    write_table(df, path)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -134,3 +134,12 @@ def test_flatten_weather_array_rules(spark):
     assert len(rows) == 2 and rows[0].weather_main == "Rain" and rows[0].humidity_pct == 70
     assert rows[1].weather_main is None
     assert [b.reason for b in bad.collect()] == ["empty weather"]
+
+
+def test_unknown_member_and_unmatched_observation(spark):
+    df = spark.createDataFrame([(1, None), (None, 2), (3, 4)], "station_key int, region_key int")
+    out, obs = facts.observe_unmatched(df, ["station_key", "region_key"])
+    out.write.format("noop").mode("overwrite").save()
+    assert obs.get == {"rows": 3, "station_key_unmatched": 1, "region_key_unmatched": 1}
+    filled = facts.unknown_member(df, ["station_key", "region_key"]).collect()
+    assert sorted((r.station_key, r.region_key) for r in filled) == [(-1, 2), (1, -1), (3, 4)]

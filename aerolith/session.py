@@ -69,13 +69,12 @@ def scratch_root(spark: SparkSession) -> str:
     Only when the setting is absent (local tests) a fresh private folder is
     created and registered as the checkpoint dir for the rest of the session.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        # Core settings cannot change at run time; register the folder with
+        # the context so later calls (and RDD checkpoints) find the same one.
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="aerolith-"))
         root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="aerolith-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -17,8 +17,18 @@ from aerolith.functions.constants import TTL_HOURS
 from aerolith.operators.dedup import latest_per_key
 
 
+def _aqe_on(df: DataFrame) -> bool:
+    return str(df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true")).lower() == "true"
+
+
 def rebalanced(df: DataFrame, cols: Sequence[str] = ()) -> DataFrame:
-    return df.hint("rebalance", *cols) if cols else df.hint("rebalance")
+    """AQE ``REBALANCE`` when adaptive execution is on. Streaming micro-batches
+    (e.g. inside ``foreachBatch``) run with AQE off, where the hint would be
+    ignored: there, hash-partition by the partition columns so each batch
+    writes one file per partition value instead of one per shuffle task."""
+    if _aqe_on(df):
+        return df.hint("rebalance", *cols) if cols else df.hint("rebalance")
+    return df.repartition(*cols) if cols else df
 
 
 def write_partitioned(

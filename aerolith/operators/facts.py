@@ -175,24 +175,21 @@ def fct_weather_hourly(
     silver_weather: DataFrame,
     dim_weather_condition: DataFrame,
     dim_date: DataFrame | None = None,
-    compat: bool = False,
     key: str = "hash",
 ) -> DataFrame:
     """One row per city reading with its weather-condition key.
 
-    The condition is looked up on (main, description), the dimension's grain;
-    ``compat=True`` joins on ``weather_main`` only, as the original job does,
-    which repeats a reading once per description of its main condition.
+    The condition is looked up on (main, description), the dimension's grain,
+    so each reading matches at most one member. (Joining on ``weather_main``
+    alone, as the original job does, repeats a reading once per description
+    of its main condition — a many-to-many fan-out that is not reproduced.)
     ``dim_date`` (optional) is a conformance check: the left join adds no
     columns; use :func:`unmatched_dates` to report keys missing from it.
     """
     conds = dim_weather_condition.select(
         "weather_main", F.col("weather_description").alias("weather_desc"), "weather_condition_key"
     )
-    on = ["weather_main"] if compat else ["weather_main", "weather_desc"]
-    if compat:
-        conds = conds.drop("weather_desc")
-    df = lookup(silver_weather, conds, on)
+    df = lookup(silver_weather, conds, ["weather_main", "weather_desc"])
     if dim_date is not None:
         df = df.join(maybe_broadcast(dim_date.select("date_key")), "date_key", "left")
     df = df.withColumn("weather_hourly_key", _fact_key(key, ["city_id", "reading_ts_utc", "weather_condition_key"]))

@@ -253,6 +253,14 @@ SELECT CAST(user_id AS VARCHAR) AS sensor_id, event_type AS sensor_type,
        abs(value - {S.EVENT_TARGET}) > 3.0 * {sigma_case('event_type')} AS is_anomaly,
        strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS reading_ts, CAST(NULL AS VARCHAR) AS ingested_at
 FROM events"""),
+    "silver_air_local": (("air_dedup",), f"""
+SELECT *, {_date_key('reading_ts_utc')} AS date_key
+FROM (SELECT *, CAST(strptime(reading_date || ' ' || reading_time || ':00', '%Y-%m-%d %H:%M:%S')
+                     - INTERVAL 7 HOUR AS TIMESTAMP) AS reading_ts_utc FROM air_dedup)"""),
+    "air_keyed_local": (("silver_air_local", "dim_station", "dim_region"), """
+SELECT a.*, s.station_key, r.region_key FROM silver_air_local a
+LEFT JOIN (SELECT station_id, station_key FROM dim_station WHERE is_current) s ON a.station_id = s.station_id
+LEFT JOIN dim_region r ON a.area_en = r.region_name"""),
 }
 
 

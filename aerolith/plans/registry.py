@@ -809,3 +809,37 @@ def q_history_sql(spark, sf_dir):
 
     views = register_views({"dim_customer": customer_dims(spark, sf_dir)[1]}, prefix="gold_q3_")
     return scd2_history_sql(spark, views["dim_customer"], "c_custkey", ["c_name", "c_mktsegment"])
+
+
+# --- source-compatible modes (H2, H4) ----------------------------------------------------
+
+
+def _daily_sql(keyed: str) -> str:
+    return f"""
+SELECT d.*, m.aqi_param AS dominant_aqi_param FROM (
+  SELECT date_key, station_key, region_key, reading_date, avg(pm25_value) AS avg_pm25,
+         max(pm25_value) AS max_pm25, min(pm25_value) AS min_pm25,
+         count(*) FILTER (WHERE pm25_value > {STANDIN_PM25_THRESHOLD}) AS hours_exceeding_threshold
+  FROM {keyed} GROUP BY date_key, station_key, region_key, reading_date) d
+LEFT JOIN (
+  SELECT date_key, station_key, region_key, reading_date, aqi_param FROM (
+    SELECT date_key, station_key, region_key, reading_date, aqi_param,
+           row_number() OVER (PARTITION BY date_key, station_key, region_key, reading_date
+                              ORDER BY count(*) DESC, aqi_param ASC) AS rn
+    FROM {keyed} WHERE aqi_param IS NOT NULL
+    GROUP BY date_key, station_key, region_key, reading_date, aqi_param) WHERE rn = 1) m
+ON d.date_key = m.date_key AND d.station_key IS NOT DISTINCT FROM m.station_key
+   AND d.region_key IS NOT DISTINCT FROM m.region_key AND d.reading_date = m.reading_date"""
+
+
+@register("fct_daily_summary_local", with_ctes(("air_keyed_local",), _daily_sql("air_keyed_local")))
+def q_fct_daily_summary_local(spark, sf_dir):
+    """C14 with Silver's local reading_date (compat): UTC day split at 07:00 local."""
+    sa_local = materialize(silver.silver_air(S.bronze_air(spark, sf_dir), compat=True), "silver-air-local")
+    snap = scd2.snapshot(
+        sa_local, "station_id",
+        ["station_name_en", "station_name_th", "area_en", "station_type", "lat", "lon"], "reading_ts_utc",
+    )
+    ds = scd2.first_load(snap, "station_id", "station_key", S.AS_OF_LOAD)
+    out = facts.fct_pollution_daily_summary(sa_local, ds, dims.dim_region(sa_local), threshold=STANDIN_PM25_THRESHOLD)
+    return out.drop("daily_summary_key")

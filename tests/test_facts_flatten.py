@@ -24,8 +24,7 @@ def test_weather_fact_keeps_row_count(spark):
     sw = _silver_weather(spark)
     dwc = dims.dim_weather_condition(sw)
     assert dwc.count() == 2
-    assert facts.fct_weather_hourly(sw, dwc).count() == 2          # join on (main, description)
-    assert facts.fct_weather_hourly(sw, dwc, compat=True).count() == 4  # original fan-out
+    assert facts.fct_weather_hourly(sw, dwc).count() == 2  # join on (main, description): no fan-out
     dd = dims.dim_date(spark, date(2026, 1, 1), date(2026, 1, 31))
     assert facts.unmatched_dates(sw, dd).count() == 0
 

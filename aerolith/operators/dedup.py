@@ -17,7 +17,6 @@ strategies return the same rows.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -30,14 +29,13 @@ def latest_per_key(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    method: str | None = None,
+    method: str = "window",
 ) -> DataFrame:
     """Keep, per ``keys``, the row with the greatest ``order`` (then the greatest
     remaining columns as tie-break). Output columns and order equal the input's.
 
     ``method="agg"`` gives the aggregate form with the same pick.
     """
-    method = method or os.environ.get("AEROLITH_DEDUP", "window")
     keys = list(keys)
     order = [c for c in order if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]

@@ -23,7 +23,13 @@ from aerolith.operators.windows import window_aggregates
 from aerolith.sinks import upsert, with_ttl
 
 STORE_KEYS = ("sensor_id", "window_start")
-STORE_PARTITION = "window_date"
+# Store partitions by window time. Live operation uses hours: a micro-batch
+# touches the current hour (and, for late rows within the watermark, the
+# previous one), so each upsert rewrites a bounded slice of the store instead
+# of a whole day that grows through the day. A replay whose single batch spans
+# many days is better served by days (fewer, larger partition files).
+STORE_PARTITION = "window_part"
+GRAINS = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd"}
 
 
 def hot_aggregates(
@@ -45,13 +51,14 @@ def hot_aggregates(
     return window_aggregates(clean, ts_col=ts_col, duration=duration, sigma=sigma, decimals=decimals)
 
 
-def upsert_batch(store_path: str, staging_root: str, ttl_hours: int = TTL_HOURS):
+def upsert_batch(store_path: str, staging_root: str, ttl_hours: int = TTL_HOURS, partition_grain: str = "hour"):
     """``foreachBatch`` function: stamp ``updated_at``/``ttl`` and upsert."""
+    fmt = GRAINS[partition_grain]
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        rows = with_ttl(batch, ttl_hours).withColumn(STORE_PARTITION, F.to_date("window_start"))
+        rows = with_ttl(batch, ttl_hours).withColumn(STORE_PARTITION, F.date_format("window_start", fmt))
         staging = f"{staging_root.rstrip('/')}/epoch={epoch_id}-{uuid.uuid4().hex[:8]}"
         upsert(rows, store_path, STORE_KEYS, STORE_PARTITION, staging)
 
@@ -65,6 +72,7 @@ def start_hot_path(
     staging_root: str,
     output_mode: str = "update",
     trigger: dict | None = None,
+    partition_grain: str = "hour",
     **kwargs,
 ) -> StreamingQuery:
     """Start the hot-path query. ``output_mode="append"`` emits each window
@@ -73,7 +81,7 @@ def start_hot_path(
     writer = (
         aggs.writeStream.outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(upsert_batch(store_path, staging_root))
+        .foreachBatch(upsert_batch(store_path, staging_root, partition_grain=partition_grain))
     )
     writer = writer.trigger(**(trigger or {"processingTime": FLUSH_INTERVAL}))
     return writer.start()

@@ -19,7 +19,7 @@ from aerolith.functions.constants import ANOMALY_SIGMA, DEFAULT_SIGMA, SENSOR_SI
 WINDOW_COLUMNS = (
     "sensor_id", "window_start", "window_end", "sensor_type", "zone_id", "avg_value",
     "max_value", "min_value", "target_value", "reading_count", "anomaly_count",
-    "reading_rule_count", "is_anomaly",
+    "reading_rule_count", "invalid_count", "is_anomaly",
 )
 
 
@@ -36,7 +36,10 @@ def window_aggregates(
     """One row per (key, window): avg/max/min value, reading count, count of
     labelled anomalies, ``reading_rule_count`` = readings individually beyond
     ``k`` sigma of their target (per-reading rule), and ``is_anomaly`` = the
-    window mean beyond ``k`` sigma of the target (window rule). Type, zone and
+    window mean beyond ``k`` sigma of the target (window rule). Readings
+    lacking a value or target are kept and counted in ``invalid_count``; the
+    aggregates ignore their NULLs, so one bad reading never fails or poisons
+    its window. Type, zone and
     target come from the window's first reading (earliest event time; ties
     broken by the values); a missing type or zone becomes ``"unknown"``.
     ``decimals=True`` stores measures as decimal(18,4).
@@ -51,6 +54,7 @@ def window_aggregates(
         F.count_if(
             beyond_sigma("value", "target", sigma_lookup(or_unknown("sensor_type"), sigma, default_sigma), k)
         ).alias("reading_rule_count"),
+        F.count_if(F.col("value").isNull() | F.col("target").isNull()).alias("invalid_count"),
         first,
     )
     stype = or_unknown("__first.sensor_type")
@@ -67,6 +71,7 @@ def window_aggregates(
         "reading_count",
         "anomaly_count",
         "reading_rule_count",
+        "invalid_count",
         beyond_sigma("avg_value", "__first.target", sigma_lookup(stype, sigma, default_sigma), k).alias(
             "is_anomaly"
         ),

@@ -162,12 +162,13 @@ LEFT JOIN dim_sensor_type t ON r.sensor_type = t.sensor_type AND r.unit = t.unit
 SELECT sensor_id, window_start, window_start + INTERVAL 1 MINUTE AS window_end,
        coalesce(f_type, 'unknown') AS sensor_type, coalesce(f_zone, 'unknown') AS zone_id,
        avg_value, max_value, min_value, f_target AS target_value, reading_count, anomaly_count,
-       reading_rule_count, abs(avg_value - f_target) > 3.0 * {sigma_case("coalesce(f_type, 'unknown')")} AS is_anomaly
+       reading_rule_count, invalid_count, abs(avg_value - f_target) > 3.0 * {sigma_case("coalesce(f_type, 'unknown')")} AS is_anomaly
 FROM (
   SELECT sensor_id, date_trunc('minute', reading_ts_utc) AS window_start,
          avg(value) AS avg_value, max(value) AS max_value, min(value) AS min_value,
          count(*) AS reading_count, count(*) FILTER (WHERE is_anomaly) AS anomaly_count,
          count(*) FILTER (WHERE abs(value - target) > 3.0 * {sigma_case("coalesce(sensor_type, 'unknown')")}) AS reading_rule_count,
+         count(*) FILTER (WHERE value IS NULL OR target IS NULL) AS invalid_count,
          arg_min(sensor_type, (reading_ts_utc, sensor_type, zone_id, target)) AS f_type,
          arg_min(zone_id, (reading_ts_utc, sensor_type, zone_id, target)) AS f_zone,
          arg_min(target, (reading_ts_utc, sensor_type, zone_id, target)) AS f_target

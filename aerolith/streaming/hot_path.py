@@ -42,13 +42,12 @@ def hot_aggregates(
 ) -> DataFrame:
     """Streaming (or batch) window aggregates with an event-time watermark.
 
-    Readings lacking a value or target are excluded up front so that one bad
-    row can never poison its window's aggregate.
+    Readings lacking a value or target stay in their window (``invalid_count``);
+    the aggregates ignore their NULLs, so they never block a window's output.
     """
-    clean = readings.filter(F.col("value").isNotNull() & F.col("target").isNotNull())
     if readings.isStreaming:
-        clean = clean.withWatermark(ts_col, watermark)
-    return window_aggregates(clean, ts_col=ts_col, duration=duration, sigma=sigma, decimals=decimals)
+        readings = readings.withWatermark(ts_col, watermark)
+    return window_aggregates(readings, ts_col=ts_col, duration=duration, sigma=sigma, decimals=decimals)
 
 
 def upsert_batch(store_path: str, staging_root: str, ttl_hours: int = TTL_HOURS, partition_grain: str = "hour"):

@@ -130,3 +130,14 @@ def test_append_mode_emits_closed_windows_only(spark, tmp):
         q.stop()
     got = {(r.sensor_id, r.window_start.minute): r.reading_count for r in spark.read.parquet(store).collect()}
     assert got == {("s1", 0): 2}  # 10:00 closed (watermark 10:15); 10:20 still open
+
+
+def test_invalid_readings_are_counted_not_dropped(spark):
+    rows = [
+        ("s1", "flow", "Z01", 50.0, 50.0, False, datetime(2026, 1, 1, 10, 0, 1)),
+        ("s1", "flow", "Z01", None, 50.0, False, datetime(2026, 1, 1, 10, 0, 2)),
+        ("s1", "flow", "Z01", 52.0, None, False, datetime(2026, 1, 1, 10, 0, 3)),
+    ]
+    r = hot_aggregates(_readings(spark, rows)).first()
+    assert r.reading_count == 3 and r.invalid_count == 2 and r.avg_value == 51.0
+    assert r.is_anomaly is False

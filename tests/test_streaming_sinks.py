@@ -1,3 +1,4 @@
+import json
 import os
 import time
 from datetime import date, datetime
@@ -141,3 +142,34 @@ def test_invalid_readings_are_counted_not_dropped(spark):
     r = hot_aggregates(_readings(spark, rows)).first()
     assert r.reading_count == 3 and r.invalid_count == 2 and r.avg_value == 51.0
     assert r.is_anomaly is False
+
+
+def test_topic_routing_lands_each_topic_and_quarantines_bad_messages(spark, tmp):
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from aerolith.schemas import BRONZE_SENSOR, BRONZE_WEATHER
+    from aerolith.sources import file_stream
+    from aerolith.streaming.ingest import start_routes
+
+    msgs = [
+        ("sensor-stream", "s1", json.dumps({"sensor_id": "s1", "value": 1.5, "target": 1.0, "reading_ts": "2026-01-01T00:00:00Z"})),
+        ("sensor-stream", "s2", "{not json"),
+        ("weather-raw", "1", json.dumps({"city_id": 1, "city_name": "BKK", "reading_ts": 1700000000, "temp_c": 30.5})),
+    ]
+    schema = StructType([StructField(c, StringType()) for c in ("topic", "key", "value")])
+    spark.createDataFrame(msgs, schema).write.parquet(os.path.join(tmp, "msgs"))
+    stream = file_stream(spark, os.path.join(tmp, "msgs"), schema)
+    routes = {
+        "sensor-stream": (BRONZE_SENSOR, os.path.join(tmp, "bronze", "sensor")),
+        "weather-raw": (BRONZE_WEATHER, os.path.join(tmp, "bronze", "weather")),
+    }
+    for q in start_routes(stream, routes, os.path.join(tmp, "chk"), os.path.join(tmp, "quarantine"),
+                          trigger={"availableNow": True}):
+        q.awaitTermination()
+    sensor = spark.read.parquet(routes["sensor-stream"][1]).collect()
+    weather = spark.read.parquet(routes["weather-raw"][1]).collect()
+    assert [(r.sensor_id, r.value) for r in sensor] == [("s1", 1.5)]
+    assert [(r.city_id, r.temp_c) for r in weather] == [(1, 30.5)]
+    assert {"date", "hour"} <= set(spark.read.parquet(routes["weather-raw"][1]).columns)
+    bad = spark.read.parquet(os.path.join(tmp, "quarantine", "sensor-stream")).collect()
+    assert [r.raw for r in bad] == ["{not json"]

@@ -21,8 +21,8 @@ _BRONZE_AIR_COLS = (
 
 
 def sigma_case(col: str) -> str:
-    whens = " ".join(f"WHEN '{k}' THEN {float(v)}" for k, v in S.EVENT_SIGMA.items())
-    return f"(CASE {col} {whens} ELSE 1.0 END)"
+    whens = " ".join(f"WHEN '{k}' THEN CAST({float(v)} AS DOUBLE)" for k, v in S.EVENT_SIGMA.items())
+    return f"(CASE {col} {whens} ELSE CAST(1.0 AS DOUBLE) END)"
 
 
 def _date_key(ts: str) -> str:
@@ -125,7 +125,7 @@ LEFT JOIN dim_region r ON a.area_en = r.region_name"""),
 SELECT * FROM (
   SELECT CAST(user_id AS VARCHAR) AS sensor_id, event_type AS sensor_type,
          'Z0' || CAST(user_id % 5 + 1 AS VARCHAR) AS zone_id, '{S.EVENT_UNIT}' AS unit, value,
-         {S.EVENT_TARGET} AS target,
+         CAST({S.EVENT_TARGET} AS DOUBLE) AS target,
          abs(value - {S.EVENT_TARGET}) > 3.0 * {sigma_case('event_type')} AS is_anomaly,
          strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS reading_ts, CAST(NULL AS VARCHAR) AS ingested_at,
          ts AS reading_ts_utc, CAST(ts AS DATE) AS reading_date, {_date_key('ts')} AS date_key,
@@ -149,7 +149,7 @@ FROM (SELECT DISTINCT zone_id FROM silver_sensor)"""),
     "dim_sensor_type": (("silver_sensor",), """
 SELECT sensor_type, unit,
        CAST(row_number() OVER (ORDER BY sensor_type, unit) AS INTEGER) AS sensor_type_key,
-       0.0 AS typical_range_min, 999.0 AS typical_range_max
+       CAST(0.0 AS DOUBLE) AS typical_range_min, CAST(999.0 AS DOUBLE) AS typical_range_max
 FROM (SELECT DISTINCT sensor_type, unit FROM silver_sensor)"""),
     "fct_sensor": (("silver_sensor", "dim_sensor", "dim_zone", "dim_sensor_type"), """
 SELECT r.date_key, d.sensor_key, z.zone_key, t.sensor_type_key, r.value, r.target, r.deviation,
@@ -250,7 +250,7 @@ WHERE window_start >= (SELECT max(window_end) FROM hot_windows) - INTERVAL 1440
     "bronze_sensor": ((), f"""
 SELECT CAST(user_id AS VARCHAR) AS sensor_id, event_type AS sensor_type,
        'Z0' || CAST(user_id % 5 + 1 AS VARCHAR) AS zone_id, '{S.EVENT_UNIT}' AS unit, value,
-       {S.EVENT_TARGET} AS target,
+       CAST({S.EVENT_TARGET} AS DOUBLE) AS target,
        abs(value - {S.EVENT_TARGET}) > 3.0 * {sigma_case('event_type')} AS is_anomaly,
        strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS reading_ts, CAST(NULL AS VARCHAR) AS ingested_at
 FROM events"""),

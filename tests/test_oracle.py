@@ -55,10 +55,23 @@ def test_entry_smoke(spark):
     assert 0 < df.count() <= 10
 
 
+def _duck_type(dt):
+    from pyspark.sql import types as T
+
+    simple = {T.StringType: "VARCHAR", T.LongType: "BIGINT", T.IntegerType: "INTEGER", T.DoubleType: "DOUBLE",
+              T.BooleanType: "BOOLEAN", T.DateType: "DATE", T.TimestampNTZType: "TIMESTAMP"}
+    if isinstance(dt, T.DecimalType):
+        return f"DECIMAL({dt.precision},{dt.scale})"
+    return simple.get(type(dt), dt.simpleString())
+
+
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - SLOW))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     cols, rows = df.columns, [tuple(r) for r in df.collect()]
+    rel = duck.sql(E.oracle_sql()[name])
+    types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {f.name: _duck_type(f.dataType) for f in df.schema.fields} == types
     cur = duck.execute(E.oracle_sql()[name])
     ocols, orows = [d[0] for d in cur.description], cur.fetchall()
     assert sorted(cols) == sorted(ocols)

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from aerolith.session import scratch_path
 
@@ -78,3 +78,30 @@ def mapped(df: DataFrame, each: Callable[[pa.RecordBatch], dict], schema: str, c
 def worker_cache(name: str) -> dict:
     """A dict that lives as long as the Python worker, across its tasks (functions travel by value, their globals do not stay)."""
     return sys.modules.setdefault("_aerolith_worker_cache", types.ModuleType("_aerolith_worker_cache")).__dict__.setdefault(name, {})
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` with ``value`` computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def running_sums(sizes: Column, step: int = 256) -> Column:
+    """Sum of all earlier elements, for each element of an array of numbers: by blocks, so that long arrays stay cheap."""
+
+    def total(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0).cast("long"), lambda s, x: s + x)
+
+    def placed(r: Column) -> Column:
+        last = F.floor((F.size(r) - 1) / step)
+        blocks = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda b: total(F.slice(r, (b * step + 1).cast("int"), F.lit(step))))
+
+        def at(sums: Column) -> Column:
+            def one(x: Column, i: Column) -> Column:
+                block = F.floor(i / step).cast("int")
+                return total(F.slice(sums, F.lit(1), block)) + total(F.slice(r, block * step + 1, i % step))
+
+            return F.transform(r, one)
+
+        return let(blocks, at)
+
+    return let(sizes, placed)

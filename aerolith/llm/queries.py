@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aerolith.llm import bpe, decontaminate, langid, secrets, simhash
+from aerolith.llm import bpe, chat, decontaminate, langid, repeats, secrets, simhash, topk
 from aerolith.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -20,11 +20,28 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path())
     return coded.select("doc_id", "n_tokens", F.sha2("ids_text", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(chat.probe_rows(spark))
+    rows = rows.withColumn("content", chat.text_parts(F.col("text")))
+    made = chat.read_back(chat.format_chats(rows))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return made.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"), F.size("attachments").cast("long").alias("n_attachments"),
+        "expanded_tokens",
+    )
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     profiles = langid.fit(docs.where(~langid.held_out()))
@@ -32,6 +49,11 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(rows, profiles).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return clean.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -72,13 +94,18 @@ FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 
 QUERIES = {
     "op2_secret_scan": op2_secret_scan,
+    "op3_topk": op3_topk,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_chat_format": op6_chat_format,
     "op7_language_id": op7_language_id,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_simhash": op10_simhash,
 }
 
 ORACLE = {
     "op2_secret_scan": secrets.oracle(),
+    "op3_topk": topk.ORACLE,
+    "op6_chat_format": chat.oracle(),
     "op9_decontamination": ORACLE_OP9,
 }

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from aerolith.llm.common import saved
+from aerolith.llm.common import let, running_sums, saved
 
 
 def either_case(word: str) -> str:
@@ -23,12 +21,6 @@ ACCESS = "AKIA[A-Z0-9]{16,}"
 HEX = "[0-9a-f]{24,}"
 KINDS = (("assign", ASSIGN, 2, 6), ("access", ACCESS, 0, 20), ("hex", HEX, 0, 24))
 PLACEHOLDER = "(?i)(example|sample|changeme|placeholder|your|dummy|xxxx|0000|1234)"
-STEP = 256
-
-
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` with ``value`` computed once."""
-    return F.transform(F.array(value), body)[0]
 
 
 def _matches(text: Column, kind: int) -> Column:
@@ -48,24 +40,14 @@ def _matches(text: Column, kind: int) -> Column:
     )
     rows = F.filter(rows, lambda r: r["size"].isNotNull())  # the text after the last match
 
-    def total(part: Column) -> Column:
-        return F.aggregate(part, F.lit(0), lambda s, r: s + r["gap"] + r["size"])
-
     def placed(r: Column) -> Column:
-        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(r) - 1) / STEP)), lambda b: total(F.slice(r, (b * STEP + 1).cast("int"), F.lit(STEP))))
-
-        def at(sums: Column) -> Column:
-            def one(row: Column, i: Column) -> Column:
-                block = F.floor(i / STEP).cast("int")
-                before = F.aggregate(F.slice(sums, F.lit(1), block), F.lit(0), lambda s, x: s + x)
-                start = before + total(F.slice(r, block * STEP + 1, i % STEP)) + row["gap"]
-                return F.struct(
-                    start.alias("start"), F.lit(kind).alias("kind_no"), (start + row["size"]).alias("end"), row["value"].alias("value")
-                )
+        before = running_sums(F.transform(r, lambda x: x["gap"] + x["size"]))
 
-            return F.transform(r, one)
+        def one(row: Column, at: Column) -> Column:
+            start = (at + row["gap"]).cast("int")
+            return F.struct(start.alias("start"), F.lit(kind).alias("kind_no"), (start + row["size"]).alias("end"), row["value"].alias("value"))
 
-        return let(blocks, at)
+        return F.zip_with(r, before, one)
 
     spans = F.filter(let(rows, placed), lambda s: F.length(s["value"]) >= least)
     return F.when(text.rlike(pattern), spans)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aerolith.llm import bpe, chat, decontaminate, langid, repeats, secrets, simhash, topk
+from aerolith.llm import bpe, chat, decontaminate, langid, licenses, paragraphs, repeats, secrets, simhash, topk
 from aerolith.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -16,6 +16,13 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.find_licenses(table(spark, sf_dir, "documents"))
+    where = F.transform("matches", lambda m: F.concat_ws(":", m["license"], m["template"].cast("string"), m["first_word"].cast("string")))
+    best = F.coalesce(F.array_max(F.transform("matches", lambda m: m["containment"])), F.lit(0.0))
+    return found.select("doc_id", "n_matches", "licenses", best.alias("containment"), F.array_join(F.array_sort(where), ",").alias("matches"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -24,6 +31,11 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op4_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = paragraphs.remove_repeated_paragraphs(table(spark, sf_dir, "documents"))
+    return clean.select("doc_id", "n_paragraphs", "n_removed", "sources", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path())
     return coded.select("doc_id", "n_tokens", F.sha2("ids_text", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -93,8 +105,10 @@ FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_secret_scan": op2_secret_scan,
     "op3_topk": op3_topk,
+    "op4_paragraph_dedup": op4_paragraph_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_chat_format": op6_chat_format,
     "op7_language_id": op7_language_id,

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -72,7 +71,7 @@ def shingles(text: Column) -> Column:
         each = F.transform(F.sequence(F.lit(0), F.size(w) - SHINGLE), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(SHINGLE)]))
         return F.when(F.size(w) >= SHINGLE, each).otherwise(F.array().cast("array<bigint>"))
 
-    return let(words(text), hashed)
+    return let(F.transform(words(text), lambda w: F.xxhash64(w)), hashed)
 
 
 @dataclass(frozen=True)
@@ -80,9 +79,11 @@ class SizeClass:
     """Templates of about one size and how texts are cut for them.
 
     Windows start every ``step`` shingles and hold ``blocks`` steps, so that
-    any run of ``most`` shingles lies whole in one of them. ``bands`` make a
-    window with the wanted containment of the smallest template meet it with
-    at least the wanted probability; a band is one MinHash row.
+    any run of the largest size lies whole in one of them. A band is one
+    MinHash row: the ``bands`` smallest hashes of a set, of which each is in
+    both sets with the probability of their Jaccard similarity. Their number
+    makes a window with the wanted containment of the smallest template share
+    a band with it with at least the wanted probability.
     """
 
     templates: tuple[int, ...]
@@ -108,35 +109,23 @@ def size_classes(sizes: list[int], containment: float, probability: float) -> li
     return out
 
 
-def masks(n: int) -> list[int]:
-    """One 64-bit mask per MinHash row (signed); the smallest masked hash picks the shingle. They spread over the top bits."""
-    out = []
-    for k in range(n):
-        top = int(f"{k:010b}"[::-1], 2) << 54  # bit-reversed counting: the first masks differ in their highest bits
-        x = (top ^ (0x9E3779B97F4A7C15 * (k + 1) & ((1 << 54) - 1))) & ((1 << 64) - 1)
-        out.append(x - (1 << 64) if x >> 63 else x)
-    return out
-
-
 def _window(h: Column, c: SizeClass, w: Column) -> Column:
     return F.slice(h, (w * c.step + 1).cast("int"), F.lit(c.step * c.blocks))
 
 
 def candidate_windows(h: Column, c: SizeClass, template_hashes: list[list[int]]) -> Column:
     """Numbers of the windows that share a band with a template of the class."""
-    last = F.floor((F.size(h) - 1) / c.step).cast("int")
-    found = []
-    for mask in masks(c.bands):
-        values = sorted({min(x ^ mask for x in template_hashes[t]) for t in c.templates})
-
-        def least(b: Column, mask: int = mask) -> Column:
-            return F.array_min(F.transform(F.slice(h, b * c.step + 1, F.lit(c.step)), lambda x: x.bitwiseXOR(F.lit(mask).cast("long"))))
+    values = sorted({x for t in c.templates for x in sorted(template_hashes[t])[: c.bands]})
+    literal = F.array(*[F.lit(x) for x in values])
 
-        def met(blocks: Column, values: list[int] = values) -> Column:
-            return F.filter(F.sequence(F.lit(0), last), lambda w: F.array_min(F.slice(blocks, w + 1, F.lit(c.blocks))).isin(values))
+    def meets(w: Column) -> Column:
+        window = _window(h, c, w)
+        if c.bands == 1:
+            return F.array_min(window).isin(values)
+        return F.arrays_overlap(F.slice(F.sort_array(F.array_distinct(window)), 1, c.bands), literal)
 
-        found.append(let(F.transform(F.sequence(F.lit(0), last), lambda b: least(b)), met))
-    return F.when(F.size(h) > 0, reduce(F.array_union, found)).otherwise(F.array().cast("array<int>"))
+    last = F.floor((F.size(h) - 1) / c.step).cast("int")
+    return F.when(F.size(h) > 0, F.filter(F.sequence(F.lit(0), last), meets)).otherwise(F.array().cast("array<int>"))
 
 
 def find_licenses(
@@ -164,33 +153,35 @@ def find_licenses(
 
     none = F.array().cast("array<struct<license:string,template:int,containment:double,first_word:int>>")
 
-    def _match(best: Column, t: int) -> Column:
+    def _match(t: int, best: Column) -> Column:
         row = F.struct(
             F.lit(templates[t][0]).alias("license"), F.lit(t).alias("template"),
             best["share"].alias("containment"), (-best["start"]).cast("int").alias("first_word"),
         )
         return F.when(best.isNotNull(), F.array(row)).otherwise(none)
 
-    def matches(h: Column) -> Column:
-        out = [none]
-        for c in classes:
-            c = SizeClass(tuple(usable[t] for t in c.templates), c.step, c.blocks, c.bands)
+    def _matcher(t: int):
+        return lambda best: _match(t, best)
+
+    def _best(h: Column, windows: Column, c: SizeClass, t: int) -> Column:
+        literal = F.array(*[F.lit(x) for x in hashes[t]])
 
-            def verified(windows: Column, c: SizeClass = c) -> Column:
-                parts = []
-                for t in c.templates:
-                    literal = F.array(*[F.lit(x) for x in hashes[t]])
+        def scored(w: Column) -> Column:
+            share = F.size(F.array_intersect(_window(h, c, w), literal)) / F.lit(float(len(hashes[t])))
+            return F.struct(share.alias("share"), (-w * c.step).alias("start"))
 
-                    def scored(w: Column, t: int = t, literal: Column = literal) -> Column:
-                        share = F.size(F.array_intersect(_window(h, c, w), literal)) / F.lit(float(len(hashes[t])))
-                        return F.struct(share.alias("share"), (-w * c.step).alias("start"))
+        return F.array_max(F.filter(F.transform(windows, scored), lambda s: s["share"] >= containment - 1e-9))
 
-                    best = F.array_max(F.filter(F.transform(windows, scored), lambda s: s["share"] >= containment - 1e-9))
-                    parts.append(let(best, lambda s, t=t: _match(s, t)))
-                return F.when(F.size(windows) > 0, F.concat(*parts)).otherwise(none)
+    def _verified(h: Column, c: SizeClass) -> Column:
+        def of(windows: Column) -> Column:
+            parts = [let(_best(h, windows, c, t), _matcher(t)) for t in c.templates]
+            return F.when(F.size(windows) > 0, F.concat(*parts)).otherwise(none)
 
-            out.append(let(candidate_windows(h, c, hashes), verified))
-        return F.concat(*out)
+        return let(candidate_windows(h, c, hashes), of)
+
+    def matches(h: Column) -> Column:
+        named = [SizeClass(tuple(usable[t] for t in c.templates), c.step, c.blocks, c.bands) for c in classes]
+        return F.concat(none, *[_verified(h, c) for c in named])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), let(shingles(F.coalesce(F.col(text_col), F.lit(""))), matches).alias("matches"))
     names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"])))

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from aerolith.llm.common import row_chunks, worker_cache
 
@@ -260,7 +260,7 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: st
     """
     shared, key = _shared(docs, vocabulary)
     other = [c for c in docs.columns if c.lower() != ids_col.lower()]
-    schema = docs.select(other).schema.add(ids_col, "array<int>")
+    schema = docs.select(other).schema.add(ids_col, T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in row_chunks(batches, text_col, chunk_bytes):

@@ -30,13 +30,7 @@ PM25_THRESHOLD = 50.0
 # Share-of-hours threshold for PM2.5 used in the clean-air question.
 PM25_GUIDELINE = 15.0
 
-# Sensor types: (sensor_type, sensor count, target, unit, sigma, anomaly rate).
-SENSOR_TYPES = (
-    ("temperature", 20, 22.0, "celsius", 1.5, 0.01),
-    ("pressure", 15, 100.0, "kPa", 2.0, 0.02),
-    ("vibration", 10, 0.5, "mm/s", 0.1, 0.015),
-    ("flow", 5, 50.0, "L/min", 3.0, 0.01),
-)
+# Sigma by sensor type.
 SENSOR_SIGMA = {"temperature": 1.5, "pressure": 2.0, "vibration": 0.1, "flow": 3.0}
 
 # Anomaly rule: |value - target| > ANOMALY_SIGMA * sigma(type); unknown type sigma.

@@ -25,11 +25,6 @@ def local_strings_to_utc(
     return F.to_utc_timestamp(local, tz)
 
 
-def local_to_utc(ts: str | Column, tz: str = SOURCE_TIMEZONE) -> Column:
-    """Reinterpret a wall-clock timestamp of zone ``tz`` as UTC."""
-    return F.to_utc_timestamp(_c(ts), tz)
-
-
 def utc_to_local(ts: str | Column, tz: str = SOURCE_TIMEZONE) -> Column:
     """UTC timestamp -> wall clock of ``tz`` (presentation only)."""
     return F.from_utc_timestamp(_c(ts), tz)
@@ -50,10 +45,6 @@ def date_key(ts: str | Column) -> Column:
     return (F.year(t) * 10000 + F.month(t) * 100 + F.dayofmonth(t)).cast("int")
 
 
-def minute_start(ts: str | Column) -> Column:
-    return F.date_trunc("minute", _c(ts))
-
-
 def calendar_columns(day: str | Column) -> dict[str, Column]:
     """Calendar attributes of a DATE column; ISO weekday 1=Monday..7=Sunday."""
     d = _c(day)

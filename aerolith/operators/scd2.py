@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolith.functions.clean import any_changed
@@ -22,6 +22,7 @@ from aerolith.functions.constants import FAR_FUTURE
 from aerolith.operators.dedup import latest_per_key
 from aerolith.operators.joins import maybe_broadcast
 from aerolith.operators.keys import dense_keys
+from aerolith.sinks import materialize
 
 EFFECTIVE = "effective_date"
 EXPIRY = "expiry_date"
@@ -84,7 +85,10 @@ def merge(
       (``expiry_date = as_of``, ``is_current = false``) and insert a new one;
     * unchanged -> keep; ``type1`` attributes are overwritten in place;
     * key absent from ``incoming`` -> keep (or close when ``close_missing``).
-    Re-running with the same snapshot changes nothing.
+    The classified join is written once to the scratch folder. Re-running
+    with the same snapshot changes nothing. A NULL key is a key
+    like any other (NULL-safe join). Two incoming rows of one key, or a change
+    dated before the current version took effect, fail the load.
     """
     as_of_c = _d(as_of)
     attrs = [c for c in incoming.columns if c != natural_key]
@@ -93,13 +97,21 @@ def merge(
     history = existing.filter(~is_cur)
     current = existing.filter(is_cur)
 
-    cur = current.select(*[F.col(c).alias(f"c_{c}") for c in out_cols])
-    inc = incoming.select(*[F.col(c).alias(f"i_{c}") for c in incoming.columns])
-    j = cur.join(inc, F.col(f"c_{natural_key}") == F.col(f"i_{natural_key}"), "full_outer")
-
-    has_cur = F.col(f"c_{natural_key}").isNotNull()
-    has_inc = F.col(f"i_{natural_key}").isNotNull()
-    changed = has_cur & has_inc & any_changed((f"i_{a}", f"c_{a}") for a in tracked)
+    cur = current.select(F.lit(True).alias("c__here"), *[F.col(c).alias(f"c_{c}") for c in out_cols])
+    inc = incoming.select(
+        (F.count(F.lit(1)).over(Window.partitionBy(natural_key)) == 1).alias("i__here"),
+        *[F.col(c).alias(f"i_{c}") for c in incoming.columns],
+    )
+    j = cur.join(inc, F.col(f"c_{natural_key}").eqNullSafe(F.col(f"i_{natural_key}")), "full_outer")
+
+    has_cur = F.col("c__here").isNotNull()
+    twice = F.raise_error(F.concat(F.lit("two incoming rows of key "), F.col(f"i_{natural_key}").cast("string")))
+    has_inc = F.when(F.col("i__here") == F.lit(False), twice.cast("boolean")).otherwise(F.col("i__here").isNotNull())
+    differs = any_changed((f"i_{a}", f"c_{a}") for a in tracked)
+    back_dated = F.raise_error(F.concat(F.lit("change dated before the current version of key "), F.col(f"c_{natural_key}").cast("string")))
+    changed = F.when(
+        has_cur & has_inc & differs & (F.col(f"c_{EFFECTIVE}") > as_of_c), back_dated.cast("boolean")
+    ).otherwise(has_cur & has_inc & differs)
     same_day = F.col(f"c_{EFFECTIVE}") == as_of_c
     j = j.withColumns(
         {
@@ -109,6 +121,7 @@ def merge(
             "__has_inc": has_inc,
         }
     )
+    j = materialize(j, "scd2-classified")  # one join for the kept and the inserted versions
 
     # Current versions kept, closed, updated in place (same day) or type-1 refreshed.
     in_place = F.col("__changed") & F.col("__same_day")
@@ -152,17 +165,8 @@ def with_validity(dim: DataFrame, natural_key: str, open_first: bool = True) ->
     key's first version so that facts older than the first load still match."""
     if not open_first:
         return dim.withColumn("valid_from", F.col(EFFECTIVE))
-    firsts = dim.groupBy(natural_key).agg(F.min(EFFECTIVE).alias("__first"))
-    return (
-        dim.join(firsts, natural_key, "left")
-        .withColumn(
-            "valid_from",
-            F.when(F.col(EFFECTIVE) == F.col("__first"), F.lit(None).cast("date")).otherwise(
-                F.col(EFFECTIVE)
-            ),
-        )
-        .drop("__first")
-    )
+    first = F.min(EFFECTIVE).over(Window.partitionBy(natural_key))
+    return dim.withColumn("valid_from", F.when(F.col(EFFECTIVE) != first, F.col(EFFECTIVE)))
 
 
 def asof_lookup(
@@ -195,11 +199,3 @@ def asof_lookup(
         & (F.col("__d") < F.col("__vt"))
     )
     return fact.join(maybe_broadcast(versions), cond, how).drop("__vk", "__vf", "__vt", "__d")
-
-
-def current_lookup(
-    fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str], how: str = "left"
-) -> DataFrame:
-    """Lookup against current versions only (the original jobs' behaviour)."""
-    cur = current_versions(dim).select(key, *columns)
-    return fact.join(maybe_broadcast(cur), key, how)

@@ -39,12 +39,14 @@ def window_aggregates(
     window mean beyond ``k`` sigma of the target (window rule). Readings
     lacking a value or target are kept and counted in ``invalid_count``; the
     aggregates ignore their NULLs, so one bad reading never fails or poisons
-    its window. Type, zone and
-    target come from the window's first reading (earliest event time; ties
-    broken by the values); a missing type or zone becomes ``"unknown"``.
+    its window. Type, zone and target come from the window's first valid
+    reading (earliest event time; ties broken by the values), from its first
+    reading if none is valid; a missing type or zone becomes ``"unknown"``.
     ``decimals=True`` stores measures as decimal(18,4).
     """
-    first = F.min(F.struct(F.col(ts_col), "sensor_type", "zone_id", "target")).alias("__first")
+    reading = F.struct(F.col(ts_col), "sensor_type", "zone_id", "target")
+    valid = F.col("value").isNotNull() & F.col("target").isNotNull()
+    first = F.coalesce(F.min(F.when(valid, reading)), F.min(reading)).alias("__first")
     agg = readings.groupBy(F.col(key).alias("sensor_id"), F.window(ts_col, duration).alias("__w")).agg(
         F.avg("value").alias("avg_value"),
         F.max("value").alias("max_value"),

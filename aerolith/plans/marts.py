@@ -41,15 +41,21 @@ def top_polluted_stations(
 def weather_by_city_day(
     fct_weather: DataFrame, dim_weather_condition: DataFrame, digits: int | None = None
 ) -> DataFrame:
-    """Q2: average temperature, humidity and wind per city, day and condition."""
-    wc = dim_weather_condition.select("weather_condition_key", "weather_main", "weather_description")
-    df = fct_weather.join(maybe_broadcast(wc), "weather_condition_key")
-    return df.groupBy("city_name", "reading_date", "weather_main", "weather_description").agg(
+    """Q2: average temperature, humidity and wind per city, day and condition.
+
+    Aggregated by condition key first, named last. Sorted by city and day;
+    ``city_row`` is a row's place among its city's rows.
+    """
+    per_key = fct_weather.groupBy("city_name", "reading_date", "weather_condition_key").agg(
         _avg("temp_c", digits).alias("avg_temp_c"),
         _avg("humidity_pct", digits).alias("avg_humidity_pct"),
         _avg("wind_speed_ms", digits).alias("avg_wind_ms"),
         F.count(F.lit(1)).alias("hourly_readings"),
     )
+    wc = dim_weather_condition.select("weather_condition_key", "weather_main", "weather_description")
+    named = per_key.join(maybe_broadcast(wc), "weather_condition_key").drop("weather_condition_key")
+    in_city = Window.partitionBy("city_name").orderBy("reading_date", "weather_main", "weather_description")
+    return named.withColumn("city_row", F.row_number().over(in_city)).orderBy("city_name", "city_row")
 
 
 def scd2_history(dim: DataFrame, natural_key: str, attributes: list[str]) -> DataFrame:

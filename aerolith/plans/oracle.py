@@ -66,15 +66,37 @@ def int_text(expr: str) -> str:
     return f"CASE WHEN regexp_full_match(trim({expr}), '[+-]?[0-9]+') THEN TRY_CAST(trim({expr}) AS INTEGER) END"
 
 
-def _snapshot_sql(as_of: str) -> str:
+LAST_SNAPSHOT = "(SELECT CAST(max(o_orderdate) AS DATE) + 1 FROM orders)"
+
+
+def _snapshot_sql(as_of: str, known: str = "") -> str:
     return f"""
 SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_mktsegment, o.o_orderpriority AS last_priority,
        o.o_orderstatus AS last_status
-FROM customer c JOIN (
-  SELECT * FROM orders WHERE o_orderdate < DATE '{as_of}'
+FROM customer c LEFT JOIN (
+  SELECT * FROM orders WHERE o_orderdate < {as_of}
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC,
     o_orderpriority DESC NULLS LAST, o_orderstatus DESC NULLS LAST) = 1) o
-ON c.c_custkey = o.o_custkey"""
+ON c.c_custkey = o.o_custkey {known}"""
+
+
+def _windows_sql(unit: str) -> str:
+    return f"""
+SELECT sensor_id, window_start, window_start + INTERVAL 1 {unit} AS window_end,
+       coalesce(f_type, 'unknown') AS sensor_type, coalesce(f_zone, 'unknown') AS zone_id,
+       avg_value, max_value, min_value, f_target AS target_value, reading_count, anomaly_count,
+       reading_rule_count, invalid_count, abs(avg_value - f_target) > 3.0 * {sigma_case("coalesce(f_type, 'unknown')")} AS is_anomaly
+FROM (
+  SELECT sensor_id, date_trunc('{unit}', reading_ts_utc) AS window_start,
+         avg(value) AS avg_value, max(value) AS max_value, min(value) AS min_value,
+         count(*) AS reading_count, count(*) FILTER (WHERE is_anomaly) AS anomaly_count,
+         count(*) FILTER (WHERE abs(value - target) > 3.0 * {sigma_case("coalesce(sensor_type, 'unknown')")}) AS reading_rule_count,
+         count(*) FILTER (WHERE value IS NULL OR target IS NULL) AS invalid_count,
+         arg_min(sensor_type, (reading_ts_utc, sensor_type, zone_id, target)) AS f_type,
+         arg_min(zone_id, (reading_ts_utc, sensor_type, zone_id, target)) AS f_zone,
+         arg_min(target, (reading_ts_utc, sensor_type, zone_id, target)) AS f_target
+  FROM silver_sensor GROUP BY sensor_id, date_trunc('{unit}', reading_ts_utc))"""
+
 
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "bronze_air": ((), f"""
@@ -158,21 +180,8 @@ FROM silver_sensor r
 LEFT JOIN (SELECT sensor_id, sensor_key FROM dim_sensor WHERE is_current) d ON r.sensor_id = d.sensor_id
 LEFT JOIN dim_zone z ON r.zone_id = z.zone_id
 LEFT JOIN dim_sensor_type t ON r.sensor_type = t.sensor_type AND r.unit = t.unit"""),
-    "hot_windows": (("silver_sensor",), f"""
-SELECT sensor_id, window_start, window_start + INTERVAL 1 MINUTE AS window_end,
-       coalesce(f_type, 'unknown') AS sensor_type, coalesce(f_zone, 'unknown') AS zone_id,
-       avg_value, max_value, min_value, f_target AS target_value, reading_count, anomaly_count,
-       reading_rule_count, invalid_count, abs(avg_value - f_target) > 3.0 * {sigma_case("coalesce(f_type, 'unknown')")} AS is_anomaly
-FROM (
-  SELECT sensor_id, date_trunc('minute', reading_ts_utc) AS window_start,
-         avg(value) AS avg_value, max(value) AS max_value, min(value) AS min_value,
-         count(*) AS reading_count, count(*) FILTER (WHERE is_anomaly) AS anomaly_count,
-         count(*) FILTER (WHERE abs(value - target) > 3.0 * {sigma_case("coalesce(sensor_type, 'unknown')")}) AS reading_rule_count,
-         count(*) FILTER (WHERE value IS NULL OR target IS NULL) AS invalid_count,
-         arg_min(sensor_type, (reading_ts_utc, sensor_type, zone_id, target)) AS f_type,
-         arg_min(zone_id, (reading_ts_utc, sensor_type, zone_id, target)) AS f_zone,
-         arg_min(target, (reading_ts_utc, sensor_type, zone_id, target)) AS f_target
-  FROM silver_sensor GROUP BY sensor_id, date_trunc('minute', reading_ts_utc))"""),
+    "hot_windows": (("silver_sensor",), _windows_sql("minute")),
+    "hot_hours": (("silver_sensor",), _windows_sql("hour")),
     "bronze_weather": ((), f"""
 SELECT n.n_nationkey AS city_id, n.n_name AS city_name, 'TH' AS country,
        CAST(n.n_regionkey AS DOUBLE) AS lat, CAST(s.s_nationkey AS DOUBLE) AS lon,
@@ -206,8 +215,9 @@ SELECT w.date_key, c.weather_condition_key, w.city_id, w.city_name, w.temp_c, w.
        w.reading_ts_utc, w.reading_date
 FROM silver_weather w LEFT JOIN dim_weather_condition c
   ON w.weather_main = c.weather_main AND w.weather_desc = c.weather_description"""),
-    "snap1": ((), _snapshot_sql(S.SCD2_FIRST_SNAPSHOT.isoformat())),
-    "snap2": ((), _snapshot_sql(S.SCD2_SECOND_SNAPSHOT.isoformat())),
+    "snap1": ((), _snapshot_sql(
+        f"DATE '{S.SCD2_FIRST_SNAPSHOT.isoformat()}'", "WHERE c.c_custkey IN (SELECT o_custkey FROM orders)")),
+    "snap2": ((), _snapshot_sql(LAST_SNAPSHOT)),
     "dim_customer_v1": (("snap1",), f"""
 SELECT *, CAST(row_number() OVER (ORDER BY c_custkey) AS INTEGER) AS customer_key,
        DATE '{S.SCD2_FIRST_SNAPSHOT.isoformat()}' AS effective_date,
@@ -227,26 +237,23 @@ SELECT c_custkey, CASE WHEN i_c_custkey IS NOT NULL THEN i_c_name ELSE c_name EN
        c_nationkey, c_mktsegment, last_priority,
        CASE WHEN i_c_custkey IS NOT NULL THEN i_last_status ELSE last_status END AS last_status,
        customer_key, effective_date,
-       CASE WHEN changed THEN DATE '{S.SCD2_SECOND_SNAPSHOT.isoformat()}' ELSE expiry_date END AS expiry_date,
+       CASE WHEN changed THEN {LAST_SNAPSHOT} ELSE expiry_date END AS expiry_date,
        CASE WHEN changed THEN false ELSE is_current END AS is_current
 FROM scd2_joined WHERE c_custkey IS NOT NULL
 UNION ALL
 SELECT i_c_custkey, i_c_name, i_c_nationkey, i_c_mktsegment, i_last_priority, i_last_status,
        CAST((SELECT coalesce(max(customer_key), 0) FROM dim_customer_v1)
             + row_number() OVER (ORDER BY i_c_custkey) AS INTEGER),
-       DATE '{S.SCD2_SECOND_SNAPSHOT.isoformat()}', DATE '9999-12-31', true
+       {LAST_SNAPSHOT}, DATE '9999-12-31', true
 FROM scd2_joined WHERE i_c_custkey IS NOT NULL AND (c_custkey IS NULL OR changed)"""),
     "air_keyed": (("silver_air", "dim_station", "dim_region"), """
 SELECT a.*, s.station_key, r.region_key FROM silver_air a
 LEFT JOIN (SELECT station_id, station_key FROM dim_station WHERE is_current) s ON a.station_id = s.station_id
 LEFT JOIN dim_region r ON a.area_en = r.region_name"""),
     "dim_date_air": (("silver_air",), calendar_sql("SELECT min(reading_date) AS lo, max(reading_date) AS hi FROM silver_air")),
-    "recent10": (("hot_windows",), """
-SELECT * FROM hot_windows
-WHERE window_start >= (SELECT max(window_end) FROM hot_windows) - INTERVAL 10 MINUTE"""),
-    "recent_day": (("hot_windows",), """
-SELECT * FROM hot_windows
-WHERE window_start >= (SELECT max(window_end) FROM hot_windows) - INTERVAL 1440 MINUTE"""),
+    "recent_days": (("hot_hours",), """
+SELECT * FROM hot_hours
+WHERE window_start >= (SELECT max(window_end) FROM hot_hours) - INTERVAL 3 DAY"""),
     "bronze_sensor": ((), f"""
 SELECT CAST(user_id AS VARCHAR) AS sensor_id, event_type AS sensor_type,
        'Z0' || CAST(user_id % 5 + 1 AS VARCHAR) AS zone_id, '{S.EVENT_UNIT}' AS unit, value,

@@ -98,13 +98,13 @@ def q_fct_hourly(spark, sf_dir):
 @register(
     "top10",
     with_ctes(("fct_air", "dim_station"), """
-SELECT s.station_name_en, s.area_en, AVG(h.pm25_value) AS avg_pm25,
-       MAX(h.pm25_value) AS max_pm25, COUNT(*) AS hourly_readings
-FROM fct_air h JOIN dim_station s ON h.station_key = s.station_key AND s.is_current = true
-WHERE h.pm25_value IS NOT NULL
-GROUP BY s.station_name_en, s.area_en
-ORDER BY avg_pm25 DESC, s.station_name_en, s.area_en
-LIMIT 10"""),
+SELECT * FROM (
+  SELECT names.station_name_en, names.area_en, avg(pm25_value) AS avg_pm25, max(pm25_value) AS max_pm25,
+         count(pm25_value) AS hourly_readings
+  FROM (FROM dim_station SELECT station_key, station_name_en, area_en WHERE is_current) names
+  INNER JOIN fct_air USING (station_key)
+  GROUP BY ALL HAVING count(pm25_value) > 0)
+QUALIFY row_number() OVER (ORDER BY avg_pm25 DESC, station_name_en, area_en) <= 10"""),
 )
 def q_top10(spark, sf_dir):
     """Q1: top-10 stations by average PM2.5."""
@@ -136,12 +136,13 @@ def fct_sensor_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_dims(spark: SparkSession, sf_dir: str):
-    snap1 = S.customer_snapshot(spark, sf_dir, S.SCD2_FIRST_SNAPSHOT)
+    snap1 = S.customer_snapshot(spark, sf_dir, S.SCD2_FIRST_SNAPSHOT, known_only=True)
     v1 = scd2.first_load(snap1, "c_custkey", "customer_key", S.SCD2_FIRST_SNAPSHOT)
-    snap2 = S.customer_snapshot(spark, sf_dir, S.SCD2_SECOND_SNAPSHOT)
+    last = S.last_snapshot(spark, sf_dir)
+    snap2 = S.customer_snapshot(spark, sf_dir, last)
     v2 = scd2.merge(
         v1, snap2, "c_custkey", ["c_mktsegment", "c_nationkey", "last_priority"], "customer_key",
-        S.SCD2_SECOND_SNAPSHOT, type1=["c_name", "last_status"],
+        last, type1=["c_name", "last_status"],
     )
     return v1, v2
 
@@ -216,11 +217,11 @@ def q_fct_weather(spark, sf_dir):
 
 
 @register("by_city_day", with_ctes(("fct_weather", "dim_weather_condition"), """
-SELECT w.city_name, w.reading_date, wc.weather_main, wc.weather_description,
-       AVG(w.temp_c) AS avg_temp_c, AVG(w.humidity_pct) AS avg_humidity_pct,
-       AVG(w.wind_speed_ms) AS avg_wind_ms, COUNT(*) AS hourly_readings
-FROM fct_weather w JOIN dim_weather_condition wc ON w.weather_condition_key = wc.weather_condition_key
-GROUP BY w.city_name, w.reading_date, wc.weather_main, wc.weather_description"""))
+SELECT *, CAST(row_number() OVER (PARTITION BY city_name ORDER BY reading_date, weather_main, weather_description)
+               AS INTEGER) AS city_row
+FROM (SELECT city_name, reading_date, weather_main, weather_description, avg(temp_c) AS avg_temp_c,
+             avg(humidity_pct) AS avg_humidity_pct, avg(wind_speed_ms) AS avg_wind_ms, count(1) AS hourly_readings
+      FROM dim_weather_condition INNER JOIN fct_weather USING (weather_condition_key) GROUP BY ALL)"""))
 def q_by_city_day(spark, sf_dir):
     """Q2: weather by city, day and condition."""
     from aerolith.plans import marts
@@ -595,40 +596,59 @@ def q_b12(spark, sf_dir):
     return _marts().b12_hot_cold_reconciliation(window_aggregates(ss, sigma=S.EVENT_SIGMA), ss)
 
 
+HOT_DURATION = "1 hour"
+LIVE_DAYS = 3
+
+
 def hot_of(spark, sf_dir):
-    from aerolith.operators.windows import window_aggregates
+    """The stored aggregates of the last days before the newest window, pruned by store partition."""
+    from aerolith.sinks import read_store
+    from aerolith.streaming.hot_path import STORE_KEYS, STORE_PARTITION
 
-    hot = window_aggregates(silver_sensor_of(spark, sf_dir), sigma=S.EVENT_SIGMA)
-    as_of = hot.agg(F.max("window_end")).scalar()
-    return hot, as_of
+    path = hot_store(spark, sf_dir)
+    stored = spark.read.parquet(path)
+    newest = stored.agg(F.max(STORE_PARTITION)).first()[0]
+    as_of = stored.where(F.col(STORE_PARTITION) == newest).agg(F.max("window_end")).scalar()
+    oldest = F.date_format(F.date_sub(F.lit(newest).cast("date"), LIVE_DAYS + 1), "yyyy-MM-dd")
+    return read_store(spark, path, STORE_KEYS, F.col(STORE_PARTITION) >= oldest), as_of
 
 
-@register("live_kpis", with_ctes(("recent10",), """
+@register("live_kpis", with_ctes(("recent_days",), """
 SELECT count(*) AS total_readings, count(*) FILTER (WHERE is_anomaly) AS anomalies_detected,
        count(DISTINCT sensor_id) AS active_sensors,
        CASE WHEN count(*) > 0 THEN count(*) FILTER (WHERE is_anomaly) * 100.0 / count(*) END AS anomaly_pct
-FROM recent10"""))
+FROM recent_days"""))
 def q_live_kpis(spark, sf_dir):
-    """Q4: KPI row over the last 10 minutes of hot aggregates."""
+    """Q4: KPI row over the last days of the stored hot aggregates."""
     hot, as_of = hot_of(spark, sf_dir)
-    return _marts().live_kpis(_marts().recent_window(hot, as_of))
+    return _marts().live_kpis(_marts().recent_window(hot, as_of, LIVE_DAYS * 24 * 60))
 
 
-@register("live_anomalies", with_ctes(("recent10",), """
-SELECT sensor_id, sensor_type, zone_id, avg_value, target_value, window_start FROM recent10 WHERE is_anomaly"""))
+@register("live_anomalies", with_ctes(("recent_days",), """
+SELECT sensor_id, sensor_type, zone_id, avg_value, target_value, window_start FROM recent_days WHERE is_anomaly"""))
 def q_live_anomalies(spark, sf_dir):
-    """Q5: anomalous windows of the last 10 minutes."""
+    """Q5: anomalous windows of the last days."""
     hot, as_of = hot_of(spark, sf_dir)
-    return _marts().live_anomalies(_marts().recent_window(hot, as_of))
+    return _marts().live_anomalies(_marts().recent_window(hot, as_of, LIVE_DAYS * 24 * 60))
 
 
-@register("recent50", with_ctes(("recent_day",), """
+@register("recent50", with_ctes(("recent_days",), """
 SELECT sensor_id, sensor_type, zone_id, avg_value, target_value, is_anomaly, reading_count, window_start
-FROM recent_day ORDER BY window_start DESC, sensor_id LIMIT 50"""))
+FROM recent_days ORDER BY window_start DESC, sensor_id LIMIT 50"""))
 def q_recent50(spark, sf_dir):
-    """Q6: newest 50 aggregates of the last day."""
+    """Q6: newest 50 stored aggregates."""
+    hot, as_of = hot_of(spark, sf_dir)
+    return _marts().recent_aggregates(_marts().recent_window(hot, as_of, LIVE_DAYS * 24 * 60))
+
+
+@register("recent50_filtered", with_ctes(("recent_days",), """
+SELECT sensor_id, sensor_type, zone_id, avg_value, target_value, is_anomaly, reading_count, window_start
+FROM recent_days WHERE is_anomaly AND zone_id = 'Z02' ORDER BY window_start DESC, sensor_id LIMIT 50"""))
+def q_recent50_filtered(spark, sf_dir):
+    """The newest anomalous aggregates of one zone."""
     hot, as_of = hot_of(spark, sf_dir)
-    return _marts().recent_aggregates(_marts().recent_window(hot, as_of, 24 * 60))
+    recent = _marts().recent_window(hot, as_of, LIVE_DAYS * 24 * 60)
+    return _marts().recent_aggregates(recent, anomalies_only=True, zone="Z02")
 
 
 @register("key_versions", with_ctes(("dim_customer_v2",), """
@@ -745,12 +765,13 @@ def q_bronze_ingest(spark, sf_dir):
 
 @register("hot_windows_stream", with_ctes(("hot_windows",), "SELECT * FROM hot_windows"))
 def q_hot_windows_stream(spark, sf_dir):
-    """C18/T-1..T-6/K9/K10: streaming windows (watermark, update mode) upserted
-    into the keyed store, drained with availableNow, then read back."""
+    """C18/T-1..T-6/K9/K10: streaming windows (watermark, update mode) appended
+    to the epoch store, drained with availableNow, then read back."""
     from aerolith.functions.time import iso_to_ts
     from aerolith.operators.windows import WINDOW_COLUMNS
+    from aerolith.sinks import read_store
     from aerolith.sources import file_stream
-    from aerolith.streaming.hot_path import start_hot_path
+    from aerolith.streaming.hot_path import STORE_KEYS, start_hot_path
 
     root = scratch_path(spark, "hot")
     schema = S.table(spark, sf_dir, "events").schema
@@ -758,10 +779,43 @@ def q_hot_windows_stream(spark, sf_dir):
     readings = S.sensor_messages(events).withColumn("reading_ts_utc", iso_to_ts("reading_ts"))
     # A replay: the whole month arrives in one micro-batch, so the store is laid
     # out by day (live operation keeps the hourly default).
-    q = start_hot_path(readings, f"{root}/store", f"{root}/chk", f"{root}/staging",
+    q = start_hot_path(readings, f"{root}/store", f"{root}/chk",
                        trigger={"availableNow": True}, partition_grain="day", sigma=S.EVENT_SIGMA, decimals=False)
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/store").select(*WINDOW_COLUMNS)
+    return read_store(spark, f"{root}/store", STORE_KEYS).select(*WINDOW_COLUMNS)
+
+
+def hot_store(spark, sf_dir) -> str:
+    """Path of a hot store filled over several micro-batches: the events lie in
+    four files by a hash, so each batch adds readings to windows of earlier
+    ones (late rows), within a watermark that covers the whole replay."""
+    from aerolith.functions.time import iso_to_ts
+    from aerolith.sources import file_stream
+    from aerolith.streaming.hot_path import start_hot_path
+
+    root = scratch_path(spark, "hot-multi")
+    events = S.table(spark, sf_dir, "events")
+    events.repartitionByRange(4, F.xxhash64("event_id")).write.parquet(f"{root}/events")
+    stream = file_stream(spark, f"{root}/events", events.schema, "parquet", max_files_per_trigger=1)
+    readings = S.sensor_messages(stream).withColumn("reading_ts_utc", iso_to_ts("reading_ts"))
+    q = start_hot_path(readings, f"{root}/store", f"{root}/chk", trigger={"availableNow": True}, partition_grain="day",
+                       watermark="3650 days", duration=HOT_DURATION, sigma=S.EVENT_SIGMA, decimals=False)
+    q.awaitTermination()
+    return f"{root}/store"
+
+
+@register("hot_store_multi_batch", with_ctes(("hot_hours",), "SELECT * FROM hot_hours"))
+def q_hot_store_multi_batch(spark, sf_dir):
+    """Several micro-batches into one store, one epoch written twice, then the latest row per key."""
+    from aerolith.operators.windows import WINDOW_COLUMNS
+    from aerolith.sinks import EPOCH, append_epoch, read_store
+    from aerolith.streaming.hot_path import STORE_KEYS, STORE_PARTITION
+
+    path = hot_store(spark, sf_dir)
+    rows = spark.read.parquet(path)
+    replayed = materialize(rows.where(F.col(EPOCH) == 1).drop(EPOCH), "replayed-epoch")
+    append_epoch(replayed, path, 1, STORE_KEYS, STORE_PARTITION)
+    return read_store(spark, path, STORE_KEYS).select(*WINDOW_COLUMNS)
 
 
 @register("cold_path", with_ctes(("fct_air",), "SELECT * FROM fct_air"))
@@ -807,10 +861,9 @@ def q_by_city_day_sql(spark, sf_dir):
 @register("history_sql", ORACLE["history_listing"])
 def q_history_sql(spark, sf_dir):
     """Q3 as Spark SQL over a temp view of the merged SCD2 dimension."""
-    from aerolith.plans.sql import register_views, scd2_history_sql
+    from aerolith.plans.sql import scd2_history_sql
 
-    views = register_views({"dim_customer": customer_dims(spark, sf_dir)[1]}, prefix="gold_q3_")
-    return scd2_history_sql(spark, views["dim_customer"], "c_custkey", ["c_name", "c_mktsegment"])
+    return scd2_history_sql(spark, customer_dims(spark, sf_dir)[1], "c_custkey", ["c_name", "c_mktsegment"])
 
 
 # --- source-compatible modes (H2, H4) ----------------------------------------------------

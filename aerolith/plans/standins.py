@@ -15,14 +15,16 @@ runs over whole tables and its work grows with them:
   type, zone = ``Z0`` + (user % 5 + 1), target 50, label = beyond 3 sigma with
   the stand-in sigmas below;
 * customer snapshots for SCD2: customer attributes plus the priority and
-  status of the customer's latest order placed before the snapshot date.
+  status of the customer's latest order placed before the snapshot date: a
+  first snapshot of the customers that ever order, and a last one of all
+  customers, the day after the newest order.
 """
 
 from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith.functions.clean import beyond_sigma, sigma_lookup
@@ -34,7 +36,6 @@ EVENT_TARGET = 50.0
 EVENT_SIGMA = {"view": 20.0, "click": 25.0, "error": 30.0, "signup": 35.0, "purchase": 40.0}
 EVENT_UNIT = "count"
 SCD2_FIRST_SNAPSHOT = date(1997, 1, 1)
-SCD2_SECOND_SNAPSHOT = date(1999, 1, 1)
 AS_OF_LOAD = date(2024, 1, 1)
 
 
@@ -130,17 +131,28 @@ def sensor_messages(ev: DataFrame) -> DataFrame:
     )
 
 
-def customer_snapshot(spark: SparkSession, sf_dir: str, as_of: date) -> DataFrame:
-    """Customers with at least one order before ``as_of`` and the priority and
-    status of their latest such order (ties: greater order key)."""
-    orders = table(spark, sf_dir, "orders").filter(F.col("o_orderdate") < F.lit(as_of))
+def last_snapshot(spark: SparkSession, sf_dir: str) -> Column:
+    """The day after the newest order, from the data: every order falls before it."""
+    return table(spark, sf_dir, "orders").agg(F.date_add(F.max("o_orderdate").cast("date"), 1)).scalar()
+
+
+def customer_snapshot(spark: SparkSession, sf_dir: str, as_of: date | Column, known_only: bool = False) -> DataFrame:
+    """Customers with the priority and status of their latest order before
+    ``as_of`` (ties: greater order key), NULL where there is none yet.
+    ``known_only`` leaves out customers that never order at all."""
+    day = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    orders = table(spark, sf_dir, "orders")
     latest = latest_per_key(
-        orders.select("o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority", "o_orderstatus"),
+        orders.filter(F.col("o_orderdate") < day).select(
+            "o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority", "o_orderstatus"
+        ),
         ["o_custkey"],
         ["o_orderdate", "o_orderkey"],
     )
     cust = table(spark, sf_dir, "customer")
-    return cust.join(latest, cust.c_custkey == latest.o_custkey, "inner").select(
+    if known_only:
+        cust = cust.join(orders, cust.c_custkey == orders.o_custkey, "left_semi")
+    return cust.join(latest, cust.c_custkey == latest.o_custkey, "left").select(
         "c_custkey",
         "c_name",
         "c_nationkey",

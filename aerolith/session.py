@@ -61,15 +61,22 @@ def build_session(
     return configure(spark)
 
 
+def _one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    On a cluster this is the shared folder named by ``spark.checkpoint.dir``.
-    Only when the setting is absent (local tests) a fresh private folder is
-    created and registered as the checkpoint dir for the rest of the session.
+    On a cluster this is the shared folder named by ``spark.checkpoint.dir``;
+    without it executors would write where no other host can read, so that is
+    an error. Only under a local master, where all tasks share one machine, a
+    fresh private folder is created and registered for the rest of the session.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not _one_machine(spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         # Core settings cannot change at run time; register the folder with
         # the context so later calls (and RDD checkpoints) find the same one.
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="aerolith-"))

@@ -1,4 +1,4 @@
-"""Writers: partitioned / full overwrite, versioned swap, keyed upsert, publish.
+"""Writers: partitioned / full overwrite, versioned swap, epoch-appended store, publish.
 
 Files are sized by an AQE ``REBALANCE`` (split skewed partitions, coalesce
 small ones) rather than ``repartition(col)`` / ``coalesce(n)``: a date holding
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith.functions.constants import TTL_HOURS
@@ -32,11 +32,19 @@ def rebalanced(df: DataFrame, cols: Sequence[str] = ()) -> DataFrame:
 
 
 def write_partitioned(
-    df: DataFrame, path: str, partition_cols: Sequence[str] = ("reading_date",), mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    partition_cols: Sequence[str] = ("reading_date",),
+    mode: str = "overwrite",
+    replace: str = "all",
 ) -> None:
-    """Partitioned Parquet write. With the session's dynamic partition
-    overwrite mode only the partitions present in ``df`` are replaced."""
-    rebalanced(df, partition_cols).write.mode(mode).partitionBy(*partition_cols).parquet(path)
+    """Partitioned Parquet write. ``replace="all"`` overwrites the whole table,
+    so a full reload leaves no partition of an earlier run behind;
+    ``"touched"`` replaces only the partitions present in ``df`` (incremental
+    loads). The choice is made per write, whatever the session's setting."""
+    overwrite = {"all": "static", "touched": "dynamic"}[replace]
+    writer = rebalanced(df, partition_cols).write.mode(mode).option("partitionOverwriteMode", overwrite)
+    writer.partitionBy(*partition_cols).parquet(path)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -113,7 +121,9 @@ def write_version(df: DataFrame, base: str) -> str:
     return path
 
 
-# --- keyed upsert (hot-path store) ----------------------------------------------
+# --- epoch-appended store (hot path) ----------------------------------------------
+
+EPOCH = "epoch"
 
 
 def with_ttl(df: DataFrame, hours: int = TTL_HOURS) -> DataFrame:
@@ -124,33 +134,51 @@ def with_ttl(df: DataFrame, hours: int = TTL_HOURS) -> DataFrame:
     )
 
 
-def upsert(
-    batch: DataFrame,
-    path: str,
-    keys: Sequence[str],
-    partition_col: str,
-    staging: str,
-    order_col: str = "updated_at",
-) -> None:
-    """Replace rows of ``batch`` by key in a table partitioned by ``partition_col``.
+def append_epoch(batch: DataFrame, path: str, epoch: int, keys: Sequence[str], partition_col: str, spread: int = 16) -> None:
+    """Write a micro-batch's changed rows under ``epoch=<id>``, by ``partition_col``.
+
+    Nothing written before is read, changed or deleted, so a crash loses no
+    row; the retry of an epoch overwrites its own folder only. Rows of one
+    partition value (the hour all sensors report in) are spread over
+    ``spread`` tasks by a hash of the key.
+    """
+    lot = F.pmod(F.xxhash64(*keys), F.lit(spread))
+    tasks = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = batch.repartition(tasks, F.col(partition_col), lot)
+    writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(partition_col).parquet(f"{path.rstrip('/')}/{EPOCH}={epoch:012d}")
+
+
+def read_store(spark: SparkSession, path: str, keys: Sequence[str], where: Column | None = None) -> DataFrame:
+    """The latest row of each key. ``where`` (on the partition columns) prunes the scan before the rows are compared."""
+    rows = spark.read.parquet(path)
+    if where is not None:
+        rows = rows.where(where)
+    return latest_per_key(rows, list(keys), [EPOCH, "updated_at"])
+
+
+def compact_store(spark: SparkSession, path: str, target: str, keys: Sequence[str], partition_col: str, as_of=None) -> None:
+    """A copy of the store in a new place: one epoch (the newest) with the latest, unexpired row of each key.
 
-    Only the partitions the batch touches are read and rewritten: the merged
-    partitions are first written to ``staging`` (durable; re-running from it
-    is idempotent), then swapped in with a dynamic partition overwrite.
-    A whole-row replace: the newer row (``order_col``) wins.
+    The old store stays as it is until its readers and its writer moved on.
     """
-    spark = batch.sparkSession
-    fs, p = _fs(spark, path)
-    merged = batch
-    schema = batch.schema
-    if fs.exists(p):
-        touched = batch.select(partition_col).distinct()
-        existing = spark.read.parquet(path).join(F.broadcast(touched), partition_col, "left_semi")
-        merged = batch.unionByName(existing.select(*batch.columns))
-    merged = latest_per_key(merged, list(keys), [order_col])
-    write_partitioned(merged, staging, [partition_col])
-    staged = spark.read.schema(schema).parquet(staging)
-    write_partitioned(staged.select(*batch.columns), path, [partition_col])
+    rows = spark.read.parquet(path)
+    newest = rows.agg(F.max(EPOCH)).first()[0]
+    live = live_rows(read_store(spark, path, keys), as_of).drop(EPOCH)
+    append_epoch(live, target, int(newest or 0), keys, partition_col)
+
+
+def expire_partitions(spark: SparkSession, path: str, partition_col: str, before: str) -> list[str]:
+    """Delete the folders of closed partition values before ``before`` (past the TTL) in every epoch; returns them."""
+    fs, root = _fs(spark, path)
+    gone = []
+    for epoch in fs.listStatus(root) if fs.exists(root) else []:
+        for part in fs.listStatus(epoch.getPath()) if epoch.isDirectory() else []:
+            name, _, value = part.getPath().getName().partition("=")
+            if name == partition_col and value < before:
+                fs.delete(part.getPath(), True)
+                gone.append(f"{epoch.getPath().getName()}/{name}={value}")
+    return sorted(gone)
 
 
 def live_rows(store: DataFrame, as_of=None) -> DataFrame:

@@ -49,11 +49,6 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return r.parquet(path)
 
 
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """Catalog table or temp view."""
-    return spark.table(name)
-
-
 def kafka_stream(
     spark: SparkSession,
     servers: str,

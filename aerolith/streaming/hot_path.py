@@ -1,17 +1,16 @@
-"""Hot path: one-minute per-sensor aggregates upserted into a keyed store.
+"""Hot path: one-minute per-sensor aggregates in an epoch-appended store.
 
 ``readings -> withWatermark -> groupBy(sensor, window) -> update mode ->
-foreachBatch(upsert)``. Each trigger emits the windows whose aggregate changed;
-late rows within the watermark merge into their window (the stored row is
-replaced by the merged aggregate), rows later than the watermark are dropped
-and the window's state is evicted. The checkpoint holds source offsets and the
-state store, so a restarted query resumes without loss or double counting, and
-the upsert is idempotent on (sensor_id, window_start) when a batch is retried.
+foreachBatch(append epoch)``. Each trigger emits the windows whose aggregate
+changed; late rows within the watermark merge into their window (readers take
+the row of the newest epoch), rows later than the watermark are dropped and
+the window's state is evicted. The checkpoint holds source offsets and the
+state store, so a restarted query resumes without loss or double counting. A
+retried epoch overwrites its own folder: a store belongs to one checkpoint.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -20,14 +19,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from aerolith.functions.constants import FLUSH_INTERVAL, SENSOR_SIGMA, TTL_HOURS, WINDOW_DURATION
 from aerolith.operators.windows import window_aggregates
-from aerolith.sinks import upsert, with_ttl
+from aerolith.sinks import append_epoch, with_ttl
 
 STORE_KEYS = ("sensor_id", "window_start")
-# Store partitions by window time. Live operation uses hours: a micro-batch
-# touches the current hour (and, for late rows within the watermark, the
-# previous one), so each upsert rewrites a bounded slice of the store instead
-# of a whole day that grows through the day. A replay whose single batch spans
-# many days is better served by days (fewer, larger partition files).
+# Store partitions by window time: hours in live operation, so that readers of
+# the last minutes prune to one or two folders an epoch and expiry deletes whole
+# hours; days for a replay whose single batch spans many days.
 STORE_PARTITION = "window_part"
 GRAINS = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd"}
 
@@ -50,16 +47,16 @@ def hot_aggregates(
     return window_aggregates(readings, ts_col=ts_col, duration=duration, sigma=sigma, decimals=decimals)
 
 
-def upsert_batch(store_path: str, staging_root: str, ttl_hours: int = TTL_HOURS, partition_grain: str = "hour"):
-    """``foreachBatch`` function: stamp ``updated_at``/``ttl`` and upsert."""
+def store_batch(store_path: str, ttl_hours: int = TTL_HOURS, partition_grain: str = "hour"):
+    """``foreachBatch`` function: stamp ``updated_at``/``ttl`` and append the epoch.
+
+    One action on the batch, so the stateful plan runs once per trigger.
+    """
     fmt = GRAINS[partition_grain]
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
         rows = with_ttl(batch, ttl_hours).withColumn(STORE_PARTITION, F.date_format("window_start", fmt))
-        staging = f"{staging_root.rstrip('/')}/epoch={epoch_id}-{uuid.uuid4().hex[:8]}"
-        upsert(rows, store_path, STORE_KEYS, STORE_PARTITION, staging)
+        append_epoch(rows, store_path, epoch_id, STORE_KEYS, STORE_PARTITION)
 
     return run
 
@@ -68,7 +65,6 @@ def start_hot_path(
     readings: DataFrame,
     store_path: str,
     checkpoint: str,
-    staging_root: str,
     output_mode: str = "update",
     trigger: dict | None = None,
     partition_grain: str = "hour",
@@ -80,7 +76,7 @@ def start_hot_path(
     writer = (
         aggs.writeStream.outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(upsert_batch(store_path, staging_root, partition_grain=partition_grain))
+        .foreachBatch(store_batch(store_path, partition_grain=partition_grain))
     )
     writer = writer.trigger(**(trigger or {"processingTime": FLUSH_INTERVAL}))
     return writer.start()

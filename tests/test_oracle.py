@@ -13,6 +13,7 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
+from aerolith.plans.registry import ORACLE, QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -46,7 +47,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle_or_is_documented():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(ORACLE) == set(QUERIES)
 
 
 def test_entry_smoke(spark):
@@ -65,14 +66,14 @@ def _duck_type(dt):
     return simple.get(type(dt), dt.simpleString())
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     cols, rows = df.columns, [tuple(r) for r in df.collect()]
-    rel = duck.sql(E.oracle_sql()[name])
+    rel = duck.sql(ORACLE[name])
     types = dict(zip(rel.columns, [str(t) for t in rel.types]))
     assert {f.name: _duck_type(f.dataType) for f in df.schema.fields} == types
-    cur = duck.execute(E.oracle_sql()[name])
+    cur = duck.execute(ORACLE[name])
     ocols, orows = [d[0] for d in cur.description], cur.fetchall()
     assert sorted(cols) == sorted(ocols)
     assert len(rows) == len(orows)

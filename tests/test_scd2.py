@@ -151,3 +151,15 @@ def test_merge_keys_unique_under_partitioning(spark, parts):
     out = scd2.merge(dim, s2.repartition(parts), "id", TRACKED, "key", D2)
     check_invariants(out)
     assert out.count() == 200 + 67 + 50
+
+
+def test_merge_guards(spark):
+    cols = "k int, a string"
+    v1 = scd2.first_load(spark.createDataFrame([(None, "x"), (1, "x")], cols), "k", "sk", "2024-01-01")
+    again = scd2.merge(v1, spark.createDataFrame([(None, "x"), (1, "y")], cols), "k", ["a"], "sk", "2024-02-01")
+    rows = sorted((r.k or 0, r.a, r.is_current) for r in again.collect())
+    assert rows == [(0, "x", True), (1, "x", False), (1, "y", True)]  # the NULL key stays
+    with pytest.raises(Exception, match="two incoming rows of key 1"):
+        scd2.merge(v1, spark.createDataFrame([(1, "y"), (1, "z")], cols), "k", ["a"], "sk", "2024-02-01").collect()
+    with pytest.raises(Exception, match="dated before the current version of key 1"):
+        scd2.merge(v1, spark.createDataFrame([(1, "y")], cols), "k", ["a"], "sk", "2023-02-01").collect()

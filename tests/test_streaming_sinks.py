@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from aerolith.functions.constants import SENSOR_SIGMA
 from aerolith.operators.windows import window_aggregates
 from aerolith import sinks
-from aerolith.streaming.hot_path import hot_aggregates, start_hot_path
+from aerolith.streaming.hot_path import STORE_KEYS, STORE_PARTITION, hot_aggregates, start_hot_path, store_batch
 
 SCHEMA = "sensor_id string, sensor_type string, zone_id string, value double, target double, is_anomaly boolean, reading_ts_utc timestamp"
 
@@ -35,7 +35,7 @@ def test_window_boundaries_and_rules(spark):
 
 def test_stream_update_equals_batch_and_late_data(spark, tmp):
     src = os.path.join(tmp, "src")
-    store, chk, stg = (os.path.join(tmp, d) for d in ("store", "chk", "stg"))
+    store, chk = (os.path.join(tmp, d) for d in ("store", "chk"))
     first = [
         ("s1", "flow", "Z01", 50.0, 50.0, False, datetime(2026, 1, 1, 10, 0, 5)),
         ("s1", "flow", "Z01", 60.0, 50.0, True, datetime(2026, 1, 1, 10, 0, 35)),
@@ -43,7 +43,7 @@ def test_stream_update_equals_batch_and_late_data(spark, tmp):
     ]
     _readings(spark, first).write.mode("append").parquet(src)
     stream = spark.readStream.schema(_readings(spark, first).schema).parquet(src)
-    q = start_hot_path(stream, store, chk, stg, trigger={"processingTime": "1 second"},
+    q = start_hot_path(stream, store, chk, trigger={"processingTime": "1 second"},
                        watermark="5 minutes", decimals=False)
     try:
         q.processAllAvailable()
@@ -58,7 +58,7 @@ def test_stream_update_equals_batch_and_late_data(spark, tmp):
         q.processAllAvailable()
     finally:
         q.stop()
-    got = {(r.sensor_id, r.window_start.minute): r for r in spark.read.parquet(store).collect()}
+    got = {(r.sensor_id, r.window_start.minute): r for r in sinks.read_store(spark, store, STORE_KEYS).collect()}
     assert got[("s1", 0)].reading_count == 2  # late row beyond the watermark dropped
     assert got[("s2", 20)].reading_count == 2 and got[("s2", 20)].avg_value == 52.0
     assert len(got) == 2
@@ -80,22 +80,94 @@ def test_versioned_tables_and_observed_counts(spark, tmp):
     assert n == 10 and spark.read.parquet(os.path.join(tmp, "t")).count() == 10
 
 
-def test_upsert_replaces_by_key_and_ttl_filter(spark, tmp):
+def _windows(spark, rows):
+    return spark.createDataFrame(rows, "sensor_id string, window_start timestamp, v double")
+
+
+def test_store_keeps_latest_row_per_key_and_filters_by_ttl(spark, tmp):
     path = os.path.join(tmp, "store")
-    b1 = spark.createDataFrame([("s1", 1, 1.0), ("s2", 1, 2.0)], "sensor_id string, w int, v double")
-    b1 = sinks.with_ttl(b1).withColumn("d", F.lit("2026-01-01"))
-    sinks.upsert(b1, path, ["sensor_id", "w"], "d", os.path.join(tmp, "s1"))
-    b2 = spark.createDataFrame([("s1", 1, 9.0)], "sensor_id string, w int, v double")
-    b2 = sinks.with_ttl(b2).withColumn("d", F.lit("2026-01-01"))
-    sinks.upsert(b2, path, ["sensor_id", "w"], "d", os.path.join(tmp, "s2"))
-    sinks.upsert(b2, path, ["sensor_id", "w"], "d", os.path.join(tmp, "s3"))  # retried batch: idempotent
-    got = {r.sensor_id: r.v for r in spark.read.parquet(path).collect()}
-    assert got == {"s1": 9.0, "s2": 2.0}
-    store = spark.read.parquet(path)
-    assert sinks.live_rows(store).count() == 2
+    ten, eleven = datetime(2026, 1, 1, 10, 5), datetime(2026, 1, 1, 11, 5)
+    put = store_batch(path)
+    put(_windows(spark, [("s1", ten, 1.0), ("s2", ten, 2.0), ("s1", eleven, 3.0)]), 0)
+    put(_windows(spark, [("s1", ten, 9.0)]), 1)
+    put(_windows(spark, [("s1", ten, 9.0)]), 1)  # retried epoch: its own folder again
+    store = sinks.read_store(spark, path, STORE_KEYS)
+    assert {(r.sensor_id, r.window_start): r.v for r in store.collect()} == {("s1", ten): 9.0, ("s2", ten): 2.0, ("s1", eleven): 3.0}
+    pruned = sinks.read_store(spark, path, STORE_KEYS, F.col(STORE_PARTITION) >= "2026-01-01-11")
+    assert [r.v for r in pruned.collect()] == [3.0]
+    assert sinks.live_rows(store).count() == 3
     assert sinks.live_rows(store, datetime(2100, 1, 1)).count() == 0
 
 
+def test_crash_while_an_epoch_is_written_loses_no_row(spark, tmp):
+    path = os.path.join(tmp, "store")
+    t = datetime(2026, 1, 1, 10, 5)
+    put = store_batch(path)
+    put(_windows(spark, [(f"s{k}", t, 1.0) for k in range(50)]), 0)
+
+    def boom(x):
+        raise RuntimeError("lost")
+
+    bad = _windows(spark, [("s1", t, 2.0)]).withColumn("v", F.udf(boom, "double")("v"))
+    try:
+        put(bad, 1)
+    except Exception:
+        pass
+    assert sinks.read_store(spark, path, STORE_KEYS).count() == 50
+    put(_windows(spark, [("s1", t, 2.0)]), 1)
+    got = {r.sensor_id: r.v for r in sinks.read_store(spark, path, STORE_KEYS).collect()}
+    assert len(got) == 50 and got["s1"] == 2.0
+
+
+def test_one_hour_is_written_by_several_tasks(spark, tmp):
+    path = os.path.join(tmp, "store")
+    store_batch(path)(_windows(spark, [(f"s{k}", datetime(2026, 1, 1, 10, k % 60), 1.0) for k in range(500)]), 0)
+    hour = os.path.join(path, "epoch=000000000000", "window_part=2026-01-01-10")
+    assert len([f for f in os.listdir(hour) if f.endswith(".parquet")]) > 1
+
+
+def test_expired_hours_go_and_compaction_keeps_the_latest_rows(spark, tmp):
+    path, small = os.path.join(tmp, "store"), os.path.join(tmp, "small")
+    ten, eleven = datetime(2026, 1, 1, 10, 5), datetime(2026, 1, 1, 11, 5)
+    put = store_batch(path)
+    put(_windows(spark, [("s1", ten, 1.0), ("s1", eleven, 3.0)]), 0)
+    put(_windows(spark, [("s1", eleven, 4.0)]), 1)
+    sinks.compact_store(spark, path, small, STORE_KEYS, STORE_PARTITION)
+    assert sorted(r.v for r in spark.read.parquet(small).collect()) == [1.0, 4.0]
+    gone = sinks.expire_partitions(spark, path, STORE_PARTITION, "2026-01-01-11")
+    assert gone == ["epoch=000000000000/window_part=2026-01-01-10"]
+    assert [r.v for r in sinks.read_store(spark, path, STORE_KEYS).collect()] == [4.0]
+
+
+def test_full_and_touched_partition_replacement(spark, tmp):
+    path = os.path.join(tmp, "t")
+    two = spark.createDataFrame([(1, date(2026, 1, 1)), (2, date(2026, 1, 2))], "id int, reading_date date")
+    one = two.where("id = 2")
+    sinks.write_partitioned(two, path)
+    sinks.write_partitioned(one, path, replace="touched")
+    assert spark.read.parquet(path).count() == 2
+    sinks.write_partitioned(one, path)
+    assert [r.id for r in spark.read.parquet(path).collect()] == [2]
+
+
+def test_a_bad_first_reading_does_not_blank_the_window(spark):
+    rows = [
+        ("s1", "flow", "Z01", 90.0, None, False, datetime(2026, 1, 1, 10, 0, 1)),
+        ("s1", "flow", "Z02", 90.0, 50.0, False, datetime(2026, 1, 1, 10, 0, 2)),
+        ("s2", "flow", "Z03", None, None, False, datetime(2026, 1, 1, 10, 0, 2)),
+    ]
+    out = {r.sensor_id: r for r in hot_aggregates(_readings(spark, rows)).collect()}
+    assert out["s1"].is_anomaly is True and out["s1"].zone_id == "Z02" and out["s1"].invalid_count == 1
+    assert out["s2"].is_anomaly is None and out["s2"].zone_id == "Z03"
+
+
+def test_scratch_needs_a_shared_folder_off_one_machine():
+    from aerolith import session
+
+    assert session._one_machine("local[4]") and session._one_machine("local")
+    assert not session._one_machine("local-cluster[3,2,1024]") and not session._one_machine("spark://host:7077")
+
+
 def test_csv_reader_quarantines_bad_lines(spark, tmp):
     from pyspark.sql.types import FloatType, StringType, StructField, StructType
 
@@ -113,7 +185,7 @@ def test_csv_reader_quarantines_bad_lines(spark, tmp):
 
 def test_append_mode_emits_closed_windows_only(spark, tmp):
     src = os.path.join(tmp, "src")
-    store, chk, stg = (os.path.join(tmp, d) for d in ("store", "chk", "stg"))
+    store, chk = (os.path.join(tmp, d) for d in ("store", "chk"))
     rows = [
         ("s1", "flow", "Z01", 50.0, 50.0, False, datetime(2026, 1, 1, 10, 0, 5)),
         ("s1", "flow", "Z01", 60.0, 50.0, True, datetime(2026, 1, 1, 10, 0, 35)),
@@ -121,7 +193,7 @@ def test_append_mode_emits_closed_windows_only(spark, tmp):
     ]
     _readings(spark, rows).write.mode("append").parquet(src)
     stream = spark.readStream.schema(_readings(spark, rows).schema).parquet(src)
-    q = start_hot_path(stream, store, chk, stg, output_mode="append", trigger={"processingTime": "1 second"},
+    q = start_hot_path(stream, store, chk, output_mode="append", trigger={"processingTime": "1 second"},
                        watermark="5 minutes", decimals=False)
     try:
         q.processAllAvailable()
@@ -129,7 +201,7 @@ def test_append_mode_emits_closed_windows_only(spark, tmp):
         q.processAllAvailable()
     finally:
         q.stop()
-    got = {(r.sensor_id, r.window_start.minute): r.reading_count for r in spark.read.parquet(store).collect()}
+    got = {(r.sensor_id, r.window_start.minute): r.reading_count for r in sinks.read_store(spark, store, STORE_KEYS).collect()}
     assert got == {("s1", 0): 2}  # 10:00 closed (watermark 10:15); 10:20 still open
 
 

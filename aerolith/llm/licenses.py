@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -195,3 +196,49 @@ def _template_hashes(spark: SparkSession, templates: tuple[tuple[str, str], ...]
     rows = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(templates)], "k int, text string")
     found = rows.select("k", F.array_sort(F.array_distinct(shingles(F.col("text")))).alias("h")).collect()
     return [list(r["h"]) for r in sorted(found, key=lambda r: r["k"])]
+
+
+# --- the same in DuckDB -----------------------------------------------------------
+
+
+def oracle(templates: tuple[tuple[str, str], ...] = TEMPLATES, containment: float = 0.8, probability: float = 0.999) -> str:
+    """DuckDB SQL of the registered query: exact containment in every window."""
+    found = []
+    for _, text in templates:
+        lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+        w = [x for x in re.split("[^a-z0-9\x80-\U0010ffff]+", lower) if x]
+        found.append(sorted({" ".join(w[k : k + SHINGLE]) for k in range(len(w) - SHINGLE + 1)}))
+    usable = [k for k, f in enumerate(found) if f]
+    kinds, parts = [], []
+    for c in size_classes([len(found[k]) for k in usable], containment, probability):
+        for t in (usable[k] for k in c.templates):
+            kinds.append(f"({t}, '{templates[t][0]}', {c.step}, {c.blocks}, {len(found[t])})")
+            parts += [f"({t}, '{x}')" for x in found[t]]
+    # fmt: off
+    return f"""
+    WITH kinds(template, license, step, blocks, n) AS (VALUES {", ".join(kinds)}),
+    parts(template, s) AS (VALUES {", ".join(parts)}),
+    lists AS (
+      SELECT doc_id, list_filter_empty AS w FROM (
+        SELECT doc_id, [x FOR x IN string_split_regex(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^a-z0-9\\x{{80}}-\\x{{10FFFF}}]+') IF x <> ''] AS list_filter_empty FROM documents)),
+    shingled AS (
+      SELECT doc_id, i - 1 AS i, array_to_string(list_slice(w, i, i + {SHINGLE - 1}), ' ') AS s FROM (
+        SELECT doc_id, w, unnest(generate_series(1, len(w) - {SHINGLE - 1})) AS i FROM lists WHERE len(w) >= {SHINGLE})),
+    windows AS (
+      SELECT doc_id, template, license, step, n, s,
+             unnest(generate_series(greatest(0, ((i - step * blocks) // step) + 1), i // step)) AS w
+      FROM (SELECT * FROM shingled WHERE i >= 0) JOIN parts USING (s) JOIN kinds USING (template)),
+    shares AS (
+      SELECT doc_id, template, license, w * step AS first_word, count(DISTINCT s) / n AS share
+      FROM windows GROUP BY doc_id, template, license, step, n, w HAVING count(DISTINCT s) / n >= {containment} - 1e-9),
+    best AS (
+      SELECT * FROM shares QUALIFY row_number() OVER (PARTITION BY doc_id, template ORDER BY share DESC, first_word) = 1),
+    each_doc AS (
+      SELECT doc_id, count(*) AS n_matches, array_to_string(list_sort(list(DISTINCT license)), ',') AS licenses, max(share) AS containment,
+             array_to_string(list_sort(list(license || ':' || template || ':' || first_word)), ',') AS matches FROM best GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_matches, 0)::BIGINT AS n_matches, coalesce(licenses, '') AS licenses,
+           coalesce(containment, 0)::DOUBLE AS containment, coalesce(matches, '') AS matches
+    FROM documents LEFT JOIN each_doc USING (doc_id)"""
+    # fmt: on

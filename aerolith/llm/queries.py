@@ -104,6 +104,29 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+ORACLE_OP8 = """
+WITH raw AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (
+  SELECT doc_id, k, substring(h, 2 * k + 1, 100) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, greatest(0, len(h) // 2 - 49))) AS k FROM raw)),
+later AS (
+  SELECT doc_id, k FROM windows JOIN (SELECT s, min(doc_id) AS first FROM windows GROUP BY s) USING (s) WHERE first < doc_id),
+marked AS (
+  SELECT doc_id, k, coalesce(k > lag(k) OVER (PARTITION BY doc_id ORDER BY k) + 50, true) AS new FROM later),
+numbered AS (
+  SELECT doc_id, k, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY k) AS span FROM marked),
+spans AS (SELECT doc_id, span, min(k) AS a, max(k) + 50 AS z FROM numbered GROUP BY doc_id, span),
+gaps AS (
+  SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS z FROM spans
+  UNION ALL SELECT doc_id, max(z), 1000000000 FROM spans GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(substring(h, 2 * a + 1, 2 * (z - a)), '' ORDER BY a, z) AS h FROM gaps JOIN raw USING (doc_id) GROUP BY doc_id),
+counted AS (SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT doc_id, (len(raw.h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept.h, raw.h))) AS kept_sha256
+FROM raw LEFT JOIN counted USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_secret_scan": op2_secret_scan,
@@ -118,8 +141,10 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_license_scan": licenses.oracle(),
     "op2_secret_scan": secrets.oracle(),
     "op3_topk": topk.ORACLE,
     "op6_chat_format": chat.oracle(),
+    "op8_suffix_dedup": ORACLE_OP8,
     "op9_decontamination": ORACLE_OP9,
 }

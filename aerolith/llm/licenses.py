@@ -219,16 +219,16 @@ def oracle(templates: tuple[tuple[str, str], ...] = TEMPLATES, containment: floa
     WITH kinds(template, license, step, blocks, n) AS (VALUES {", ".join(kinds)}),
     parts(template, s) AS (VALUES {", ".join(parts)}),
     lists AS (
-      SELECT doc_id, list_filter_empty AS w FROM (
+      SELECT doc_id, w FROM (
         SELECT doc_id, [x FOR x IN string_split_regex(
           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-          '[^a-z0-9\\x{{80}}-\\x{{10FFFF}}]+') IF x <> ''] AS list_filter_empty FROM documents)),
+          '[^a-z0-9\\x{{80}}-\\x{{10FFFF}}]+') IF x <> ''] AS w FROM documents)),
     shingled AS (
       SELECT doc_id, i - 1 AS i, array_to_string(list_slice(w, i, i + {SHINGLE - 1}), ' ') AS s FROM (
         SELECT doc_id, w, unnest(generate_series(1, len(w) - {SHINGLE - 1})) AS i FROM lists WHERE len(w) >= {SHINGLE})),
     windows AS (
       SELECT doc_id, template, license, step, n, s,
-             unnest(generate_series(greatest(0, ((i - step * blocks) // step) + 1), i // step)) AS w
+             unnest(generate_series(greatest(0, (i - step * blocks + step) // step), i // step)) AS w
       FROM (SELECT * FROM shingled WHERE i >= 0) JOIN parts USING (s) JOIN kinds USING (template)),
     shares AS (
       SELECT doc_id, template, license, w * step AS first_word, count(DISTINCT s) / n AS share

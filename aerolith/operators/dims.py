@@ -54,25 +54,34 @@ def dim_date_covering(
     return _calendar(days, holidays)
 
 
-def _distinct_keyed(df: DataFrame, nk: list[str], key: str) -> DataFrame:
-    return dense_keys(df.distinct(), nk, key)
-
-
-def dim_region(silver_air: DataFrame, country: str = COUNTRY) -> DataFrame:
+def _distinct_keyed(df: DataFrame, nk: list[str], key: str, known: DataFrame | None = None) -> DataFrame:
+    """Members with dense keys. With the ``known`` members of an earlier run
+    their keys stay and new members continue after the largest; members no
+    longer seen stay too (facts may point at them)."""
+    if known is None:
+        return dense_keys(df.distinct(), nk, key)
+    known = known.select(*nk, key)
+    new, old = df.distinct().alias("n"), known.alias("k")
+    fresh = new.join(old, [F.col(f"n.{c}").eqNullSafe(F.col(f"k.{c}")) for c in nk], "left_anti").select(*nk)
+    start = known.agg(F.coalesce(F.max(key), F.lit(0)).alias("m")).scalar()
+    return known.unionByName(dense_keys(fresh, nk, key, start=start).select(*nk, key))
+
+
+def dim_region(silver_air: DataFrame, country: str = COUNTRY, known: DataFrame | None = None) -> DataFrame:
     regions = silver_air.select(F.col("area_en").alias("region_name")).filter(
         F.col("region_name").isNotNull()
     )
-    return _distinct_keyed(regions, ["region_name"], "region_key").select(
+    return _distinct_keyed(regions, ["region_name"], "region_key", known).select(
         "region_name", "region_key", F.lit(country).alias("country")
     )
 
 
-def dim_weather_condition(silver_weather: DataFrame) -> DataFrame:
+def dim_weather_condition(silver_weather: DataFrame, known: DataFrame | None = None) -> DataFrame:
     conds = silver_weather.select(
         "weather_main", F.col("weather_desc").alias("weather_description")
     ).filter(F.col("weather_main").isNotNull())
     return _distinct_keyed(
-        conds, ["weather_main", "weather_description"], "weather_condition_key"
+        conds, ["weather_main", "weather_description"], "weather_condition_key", known
     ).select("weather_main", "weather_description", "weather_condition_key")
 
 
@@ -80,10 +89,11 @@ def dim_zone(
     silver_sensor: DataFrame,
     names: Mapping[str, str] | None = None,
     description: str = ZONE_DESCRIPTION,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """Zones; ``zone_name`` is the zone id unless a ``names`` map is given."""
     zones = silver_sensor.select("zone_id")
-    keyed = _distinct_keyed(zones, ["zone_id"], "zone_key")
+    keyed = _distinct_keyed(zones, ["zone_id"], "zone_key", known)
     if names:
         pairs = []
         for k, v in names.items():
@@ -100,9 +110,10 @@ def dim_sensor_type(
     silver_sensor: DataFrame,
     range_min: float = SENSOR_RANGE_MIN,
     range_max: float = SENSOR_RANGE_MAX,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     types = silver_sensor.select("sensor_type", "unit")
-    return _distinct_keyed(types, ["sensor_type", "unit"], "sensor_type_key").select(
+    return _distinct_keyed(types, ["sensor_type", "unit"], "sensor_type_key", known).select(
         "sensor_type",
         "unit",
         "sensor_type_key",

@@ -156,7 +156,9 @@ def fct_sensor_reading(
     df = lookup(df, dim_zone.select("zone_id", "zone_key"), "zone_id")
     cols = list(SENSOR_READING_COLUMNS)
     if dim_sensor_type is not None:
-        df = lookup(df, dim_sensor_type.select("sensor_type", "unit", "sensor_type_key"), ["sensor_type", "unit"])
+        types = dim_sensor_type.select(F.col("sensor_type").alias("__t"), F.col("unit").alias("__u"), "sensor_type_key")
+        same = F.col("sensor_type").eqNullSafe(F.col("__t")) & F.col("unit").eqNullSafe(F.col("__u"))
+        df = lookup(df, types, same).drop("__t", "__u")
         cols.insert(3, "sensor_type_key")
     if unknown_key is not None:
         df = unknown_member(df, [c for c in ("sensor_key", "zone_key", "sensor_type_key") if c in df.columns], unknown_key)
@@ -187,9 +189,11 @@ def fct_weather_hourly(
     columns; use :func:`unmatched_dates` to report keys missing from it.
     """
     conds = dim_weather_condition.select(
-        "weather_main", F.col("weather_description").alias("weather_desc"), "weather_condition_key"
+        F.col("weather_main").alias("__m"), F.col("weather_description").alias("__d"), "weather_condition_key"
     )
-    df = lookup(silver_weather, conds, ["weather_main", "weather_desc"])
+    # A member may lack a description; NULL matches NULL there.
+    same = (F.col("weather_main") == F.col("__m")) & F.col("weather_desc").eqNullSafe(F.col("__d"))
+    df = lookup(silver_weather, conds, same).drop("__m", "__d")
     if dim_date is not None:
         df = df.join(maybe_broadcast(dim_date.select("date_key")), "date_key", "left")
     df = df.withColumn("weather_hourly_key", _fact_key(key, ["city_id", "reading_ts_utc", "weather_condition_key"]))

@@ -63,7 +63,12 @@ def silver_weather(bronze: DataFrame) -> DataFrame:
 
 
 def silver_sensor(bronze: DataFrame, digits: int | None = 4) -> DataFrame:
-    """ISO text -> timestamp, date, date key, deviation; latest per (sensor, time)."""
+    """ISO text -> timestamp, date, date key, deviation; latest per (sensor, instant).
+
+    Texts of one instant (``Z`` or an offset) are one reading. Rows whose time
+    does not parse have no instant: :func:`unparsed_times` lists them for
+    quarantine, and they are told apart here by their text.
+    """
     df = bronze.withColumn("reading_ts_utc", iso_to_ts("reading_ts"))
     df = df.withColumns(
         {
@@ -72,4 +77,10 @@ def silver_sensor(bronze: DataFrame, digits: int | None = 4) -> DataFrame:
             "deviation": deviation("value", "target", digits),
         }
     )
-    return _latest(df, ["sensor_id", "reading_ts"])
+    df = df.withColumn("__bad_time", F.when(F.col("reading_ts_utc").isNull(), F.col("reading_ts")))
+    return _latest(df, ["sensor_id", "reading_ts_utc", "__bad_time"]).drop("__bad_time")
+
+
+def unparsed_times(bronze: DataFrame, ts_col: str = "reading_ts") -> DataFrame:
+    """Rows whose ISO time text does not parse (for quarantine)."""
+    return bronze.filter(iso_to_ts(ts_col).isNull())

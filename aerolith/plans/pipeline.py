@@ -15,6 +15,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from aerolith.operators import dims, facts, scd2, silver
+from aerolith.operators.keys import duplicate_keys
 from aerolith.sinks import read_latest, table_exists, write_observed, write_version
 
 STATION_ATTRS = ["station_name_en", "station_name_th", "area_en", "station_type", "lat", "lon"]
@@ -22,10 +23,19 @@ STATION_TRACKED = ["station_name_en", "area_en", "lat", "lon"]
 SENSOR_ATTRS = ["sensor_type", "zone_id", "target", "unit"]
 
 
+FACT_KEYS = {
+    "fct_air_quality_hourly": "air_quality_key",
+    "fct_sensor_reading": "sensor_reading_key",
+    "fct_weather_hourly": "weather_hourly_key",
+}
+
+
 @dataclass
 class ColdPathResult:
     root: str
     counts: dict[str, int] = field(default_factory=dict)
+    unmatched_dates: int = 0
+    duplicate_keys: dict[str, int] = field(default_factory=dict)
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -39,6 +49,12 @@ def _load_scd2(spark, snapshot: DataFrame, base: str, key: str, surrogate: str,
     write_version(merged, base)
 
 
+def _load_scd1(spark, base: str, build) -> int:
+    """Next version of a type-1 dimension; members keep the keys of the last one."""
+    known = read_latest(spark, base) if table_exists(spark, base) else None
+    return spark.read.parquet(write_version(build(known), base)).count()
+
+
 def run_cold_path(
     spark: SparkSession,
     bronze_air: DataFrame,
@@ -67,10 +83,14 @@ def run_cold_path(
     else:
         dd = dims.dim_date(spark)
     res.counts["dim_date"] = write_observed(dd, p("gold/dim_date"))
-    res.counts["dim_region"] = write_observed(dims.dim_region(sa), p("gold/dim_region"))
-    res.counts["dim_weather_condition"] = write_observed(dims.dim_weather_condition(sw), p("gold/dim_weather_condition"))
-    res.counts["dim_zone"] = write_observed(dims.dim_zone(ss), p("gold/dim_zone"))
-    res.counts["dim_sensor_type"] = write_observed(dims.dim_sensor_type(ss), p("gold/dim_sensor_type"))
+    type1 = {
+        "dim_region": lambda known: dims.dim_region(sa, known=known),
+        "dim_weather_condition": lambda known: dims.dim_weather_condition(sw, known=known),
+        "dim_zone": lambda known: dims.dim_zone(ss, known=known),
+        "dim_sensor_type": lambda known: dims.dim_sensor_type(ss, known=known),
+    }
+    for name, build in type1.items():
+        res.counts[name] = _load_scd1(spark, p(f"gold/{name}"), build)
     station_snap = scd2.snapshot(sa, "station_id", STATION_ATTRS, "reading_ts_utc")
     _load_scd2(spark, station_snap, p("gold/dim_station"), "station_id", "station_key", STATION_TRACKED, as_of)
     sensor_snap = scd2.snapshot(ss, "sensor_id", SENSOR_ATTRS, "reading_ts_utc")
@@ -78,10 +98,9 @@ def run_cold_path(
 
     dim_station = read_latest(spark, p("gold/dim_station"))
     dim_sensor = read_latest(spark, p("gold/dim_sensor"))
-    dim_region = spark.read.parquet(p("gold/dim_region"))
-    dim_zone = spark.read.parquet(p("gold/dim_zone"))
-    dim_type = spark.read.parquet(p("gold/dim_sensor_type"))
-    dim_wc = spark.read.parquet(p("gold/dim_weather_condition"))
+    dim_region, dim_zone, dim_type, dim_wc = (
+        read_latest(spark, p(f"gold/{n}")) for n in ("dim_region", "dim_zone", "dim_sensor_type", "dim_weather_condition")
+    )
     dim_date = spark.read.parquet(p("gold/dim_date"))
 
     # Stage 3: facts.
@@ -103,4 +122,9 @@ def run_cold_path(
     res.counts["fct_sensor_anomaly_event"] = write_observed(
         facts.fct_sensor_anomaly_event(readings), p("gold/fct_sensor_anomaly_event")
     )
+
+    # Reports: fact dates outside the calendar, and fact keys that are not unique.
+    res.unmatched_dates = facts.unmatched_dates(spark.read.parquet(p("gold/fct_air_quality_hourly")), dim_date).count()
+    for name, key in FACT_KEYS.items():
+        res.duplicate_keys[name] = duplicate_keys(spark.read.parquet(p(f"gold/{name}")).select(key), key).count()
     return res

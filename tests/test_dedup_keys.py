@@ -65,3 +65,33 @@ def test_dense_keys_offset_and_scalar_start(spark):
     assert got == [("a", 42), ("b", 43), ("c", 44)]
     empty = base.filter("false")
     assert dense_keys(empty, ["n"], "k").count() == 0
+
+
+def test_type1_members_keep_their_keys(spark):
+    from aerolith.operators import dims
+
+    first = spark.createDataFrame([("B",), ("C",)], "area_en string")
+    v1 = dims.dim_region(first)
+    v2 = dims.dim_region(spark.createDataFrame([("A",), ("C",)], "area_en string"), known=v1)
+    assert {r.region_name: r.region_key for r in v2.collect()} == {"B": 1, "C": 2, "A": 3}
+
+
+def test_one_instant_is_one_reading(spark):
+    from aerolith.operators.silver import silver_sensor, unparsed_times
+
+    rows = [("s", "2026-01-01T00:00:00Z"), ("s", "2026-01-01T07:00:00+07:00"), ("s", "bad"), ("s", "worse")]
+    df = spark.createDataFrame(rows, "sensor_id string, reading_ts string").selectExpr(
+        "*", "'t' AS sensor_type", "'z' AS zone_id", "'u' AS unit", "1.0D AS value", "1.0D AS target", "false AS is_anomaly")
+    assert silver_sensor(df).count() == 3
+    assert unparsed_times(df).count() == 2
+
+
+def test_condition_without_description_is_found(spark):
+    from aerolith.operators import dims, facts
+
+    df = spark.range(2).selectExpr(
+        "20260101 AS date_key", "id AS city_id", "'c' AS city_name", "1.0D AS temp_c", "1.0D AS feels_like_c", "1 AS pressure_hpa",
+        "1 AS humidity_pct", "1.0D AS wind_speed_ms", "1 AS wind_deg", "1 AS visibility_m", "'Rain' AS weather_main",
+        "if(id = 0, 'light', null) AS weather_desc", "timestamp'2026-01-01 00:00:00' AS reading_ts_utc", "date'2026-01-01' AS reading_date")
+    fct = facts.fct_weather_hourly(df, dims.dim_weather_condition(df))
+    assert sorted(r.weather_condition_key for r in fct.collect()) == [1, 2]

@@ -75,6 +75,7 @@ def test_cold_path_rerun_is_stable(spark, tmp):
     c1 = dict(r1.counts)
     r2 = run_cold_path(spark, *args, tmp + "/wh", date(2026, 1, 2), (date(1995, 12, 1), date(1997, 1, 31)))
     assert r2.counts == c1
+    assert r1.unmatched_dates == 0 and set(r1.duplicate_keys.values()) == {0}
     assert c1["fct_air_quality_hourly"] == c1["silver_air"]
     assert c1["fct_weather_hourly"] == c1["silver_weather"]
     assert c1["fct_sensor_reading"] == c1["silver_sensor"]
@@ -85,3 +86,10 @@ def test_cold_path_rerun_is_stable(spark, tmp):
     fa = spark.read.parquet(r2.path("gold/fct_air_quality_hourly"))
     assert fa.filter(F.col("station_key").isNull()).count() == 0
     assert fa.select("air_quality_key").distinct().count() == fa.count()
+
+    # a third run on changed input: a reload of half the stations leaves none of the other half behind
+    half = air.filter(F.col("station_id").cast("int") % 2 == 0)
+    r3 = run_cold_path(spark, half, weather, sensor, tmp + "/wh", date(2026, 1, 3), (date(1995, 12, 1), date(1997, 1, 31)))
+    assert r3.counts["silver_air"] == spark.read.parquet(r3.path("silver/air_quality")).count() < c1["silver_air"]
+    regions = read_latest(spark, r3.path("gold/dim_region"))
+    assert regions.count() == regions.select("region_key").distinct().count() == c1["dim_region"]

@@ -143,7 +143,7 @@ class Coder:
 
     LONG = 60
 
-    def __init__(self, ranks: dict[bytes, int], memory: str = "250MB", words_per_query: int = 30_000, remembered: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], memory: str = "200MB", words_per_query: int = 20_000, remembered: int = 250_000):
         self.ranks, self.words_per_query, self.remembered = ranks, words_per_query, remembered
         self.known: dict[str, tuple[bytes, bytes]] = {}  # ids and decoded ids of a word
         self.older: dict[str, tuple[bytes, bytes]] = {}
@@ -285,17 +285,19 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", bytes_col: str
 
 
 def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 4 << 20) -> DataFrame:
-    """(doc_id, ids, n_tokens, ids_text, decoded): encodes every text and decodes the ids again in the same task,
+    """(doc_id, ids, n_tokens, ids_text, decoded, same): encodes every text and decodes the ids again in the same task,
     each distinct piece's ids once, joined in the order of the text.
 
-    ``ids_text`` is the decimal ids joined by one blank. Null text counts as
+    ``ids_text`` is the decimal ids joined by one blank, ``same`` whether the
+    decoded bytes are those of the text. Null text counts as
     empty; repeated rows come out as often as they go in.
     """
     shared, key = _shared(docs, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in row_chunks(batches, "text", chunk_bytes):
-            ids, decoded = _coder(shared, key).encode([t or "" for t in part.column("text").to_pylist()])
+            texts = [t or "" for t in part.column("text").to_pylist()]
+            ids, decoded = _coder(shared, key).encode(texts)
             decimal = pa.ListArray.from_arrays(ids.offsets, ids.values.cast(pa.string()))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -304,9 +306,10 @@ def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
                     pc.list_value_length(ids).cast(pa.int64()),
                     pc.binary_join(decimal, " "),
                     pa.array(decoded, pa.binary()),
+                    pa.array([t.encode() == d for t, d in zip(texts, decoded)]),
                 ],
-                ["doc_id", "ids", "n_tokens", "ids_text", "decoded"],
+                ["doc_id", "ids", "n_tokens", "ids_text", "decoded", "same"],
             )
 
     cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return cols.mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, ids_text string, decoded binary")
+    return cols.mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, ids_text string, decoded binary, same boolean")

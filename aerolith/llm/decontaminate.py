@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from aerolith.llm.common import byte_column, row_chunks, worker_cache
+from aerolith.llm.common import byte_column, row_chunks
 
 # --- words -------------------------------------------------------------------
 
@@ -26,21 +26,18 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
-def _powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Powers of each multiplier and of its inverse modulo 2**64, ``n`` or more."""
-    cache = worker_cache("powers")
-    if len(cache.get("up", [[()]])[0][0]) < n:
-        up = lambda odd: np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n, odd, np.uint64))))
-        cache["up"] = [(up(np.uint64(odd)), up(np.uint64(pow(odd, -1, 1 << 64)))) for odd in ODD]
-    return cache["up"]
+def _powers(n: int, odd: int) -> np.ndarray:
+    """The first ``n`` powers of a multiplier modulo 2**64."""
+    return np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n - 1, odd, np.uint64))))
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Two polynomial hashes of 64 bits of each word, as one record."""
     out = np.empty(len(starts), "u8,u8")
-    for name, (power, undo) in zip(out.dtype.names, _powers(len(data) + 1)):
-        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)])))
-        out[name] = (total[ends] - total[starts]) * undo[starts]
+    for name, odd in zip(out.dtype.names, ODD):
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(len(data) + 1, odd)[:-1], out=total[1:])
+        out[name] = (total[ends] - total[starts]) * _powers(len(data) + 1, pow(odd, -1, 1 << 64))[starts]
     return out
 
 
@@ -215,7 +212,7 @@ def find_overlaps(
     text_col: str = "text",
     item_col: str = "item_id",
     window: int = 10,
-    shard_bytes: int = 8 << 20,
+    shard_bytes: int = 2 << 20,
     most_bytes: int = 64 << 20,
 ) -> DataFrame:
     """(doc_id, n_words, n_hit, item_ids): words inside any occurrence of an item's window, and the items met (sorted as strings).
@@ -253,7 +250,7 @@ def remove_overlaps(
     text_col: str = "text",
     item_col: str = "item_id",
     window: int = 10,
-    shard_bytes: int = 8 << 20,
+    shard_bytes: int = 2 << 20,
     most_bytes: int = 64 << 20,
 ) -> DataFrame:
     """``docs`` without the merged spans of benchmark words (first to last hit word of each), as long as any is found.

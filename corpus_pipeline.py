@@ -37,12 +37,8 @@ def secret_values(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, and whether they decode to it."""
-    coded = bpe.encode(docs, vocabulary_path())
-    back = bpe.decode(coded, vocabulary_path())
-    return back.select(
-        "doc_id", "lang", "source", "text", "ids", F.size("ids").cast("long").alias("n_tokens"),
-        (F.col("decoded") == F.col("text").cast("binary")).alias("round_trip"),
-    )
+    coded = bpe.round_trip(docs, vocabulary_path())
+    return coded.select("doc_id", "ids", "n_tokens", F.col("same").alias("round_trip"))
 
 
 def _counted(docs: DataFrame) -> DataFrame:

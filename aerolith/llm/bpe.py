@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import base64
-import hashlib
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from itertools import chain
 
 import duckdb
@@ -234,20 +234,21 @@ class Coder:
         return out
 
 
-def _coder(shared, key: str) -> Coder:
-    """The worker's coder of this vocabulary (kept between tasks)."""
-    coders = worker_cache("bpe")
-    if key not in coders:
-        coders.clear()
-        coders[key] = Coder(shared.value)
-    return coders[key]
+@contextmanager
+def _coder(ranks: dict[bytes, int]) -> Iterator[Coder]:
+    """A task's coder; its memory goes with the task, as Python workers live on."""
+    coder = Coder(ranks)
+    try:
+        yield coder
+    finally:
+        coder.con.close()
+        coder.known.clear()
+        coder.older.clear()
 
 
 def _shared(df: DataFrame, vocabulary: str):
-    """The vocabulary as a broadcast (a few MB, fixed by the file) and its key."""
-    ranks = read_ranks(vocabulary)
-    key = hashlib.sha256(repr(sorted(ranks.items())).encode()).hexdigest()
-    return df.sparkSession.sparkContext.broadcast(ranks), key
+    """The vocabulary as a broadcast (a few MB, fixed by the file)."""
+    return df.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
 
 
 def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: str = "ids", chunk_bytes: int = 4 << 20) -> DataFrame:
@@ -258,28 +259,30 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: st
     rest up. Null text has no ids. No special tokens. Split by the Unicode
     tables of the ``regex`` package.
     """
-    shared, key = _shared(docs, vocabulary)
+    shared = _shared(docs, vocabulary)
     other = [c for c in docs.columns if c.lower() != ids_col.lower()]
     schema = docs.select(other).schema.add(ids_col, T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in row_chunks(batches, text_col, chunk_bytes):
-            ids, _ = _coder(shared, key).encode([t or "" for t in part.column(text_col).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, ids_col])
+        with _coder(shared.value) as coder:
+            for part in row_chunks(batches, text_col, chunk_bytes):
+                ids, _ = coder.encode([t or "" for t in part.column(text_col).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, ids_col])
 
     return docs.select(other).mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
     """``df`` with the bytes of the ids in ``bytes_col`` (an input column of that name is replaced); null ids have none."""
-    shared, key = _shared(df, vocabulary)
+    shared = _shared(df, vocabulary)
     other = [c for c in df.columns if c.lower() != bytes_col.lower()]
     schema = df.select(other).schema.add(bytes_col, "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            raw = pa.array(_coder(shared, key).decode(part.column(ids_col)), pa.binary())
-            yield pa.RecordBatch.from_arrays([*part.columns, raw], [*part.schema.names, bytes_col])
+        with _coder(shared.value) as coder:
+            for part in batches:
+                raw = pa.array(coder.decode(part.column(ids_col)), pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, raw], [*part.schema.names, bytes_col])
 
     return df.select(other).mapInArrow(run, schema)
 
@@ -292,24 +295,25 @@ def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
     decoded bytes are those of the text. Null text counts as
     empty; repeated rows come out as often as they go in.
     """
-    shared, key = _shared(docs, vocabulary)
+    shared = _shared(docs, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in row_chunks(batches, "text", chunk_bytes):
-            texts = [t or "" for t in part.column("text").to_pylist()]
-            ids, decoded = _coder(shared, key).encode(texts)
-            decimal = pa.ListArray.from_arrays(ids.offsets, ids.values.cast(pa.string()))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"),
-                    ids,
-                    pc.list_value_length(ids).cast(pa.int64()),
-                    pc.binary_join(decimal, " "),
-                    pa.array(decoded, pa.binary()),
-                    pa.array([t.encode() == d for t, d in zip(texts, decoded)]),
-                ],
-                ["doc_id", "ids", "n_tokens", "ids_text", "decoded", "same"],
-            )
+        with _coder(shared.value) as coder:
+            for part in row_chunks(batches, "text", chunk_bytes):
+                texts = [t or "" for t in part.column("text").to_pylist()]
+                ids, decoded = coder.encode(texts)
+                decimal = pa.ListArray.from_arrays(ids.offsets, ids.values.cast(pa.string()))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        ids,
+                        pc.list_value_length(ids).cast(pa.int64()),
+                        pc.binary_join(decimal, " "),
+                        pa.array(decoded, pa.binary()),
+                        pa.array([t.encode() == d for t, d in zip(texts, decoded)]),
+                    ],
+                    ["doc_id", "ids", "n_tokens", "ids_text", "decoded", "same"],
+                )
 
     cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return cols.mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, ids_text string, decoded binary, same boolean")

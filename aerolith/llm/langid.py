@@ -95,7 +95,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", top: in
     rows = rows.where(F.pmod(F.xxhash64("k"), F.lit(1_000_003)) < limit * 1_000_003).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in row_chunks(batches, "text", 2 << 20):
+        for part in row_chunks(batches, "text", 1 << 20):
             langs, texts = part.column("lang").to_pylist(), part.column("text").to_pylist()
             for lang in sorted(set(langs)):
                 doc, gram, _, count = ranked_grams([t for t, x in zip(texts, langs) if x == lang], 0)
@@ -141,7 +141,7 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], text_col: str = "t
     schema = docs.select(other).schema.add(lang_col, "string").add(score_col, "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in row_chunks(batches, text_col, 2 << 20):
+        for part in row_chunks(batches, text_col, 1 << 20):
             lang, score = [UNKNOWN] * part.num_rows, np.zeros(part.num_rows)
             if names:
                 far, has = distances(part.column(text_col).to_pylist(), profiles, top)

@@ -125,8 +125,10 @@ def candidate_windows(h: Column, c: SizeClass, template_hashes: list[list[int]])
             return F.array_min(window).isin(values)
         return F.arrays_overlap(F.slice(F.sort_array(F.array_distinct(window)), 1, c.bands), literal)
 
+    # A band is a shingle hash of the window, hence of the text: one probe tells that no window can have any of the values.
     last = F.floor((F.size(h) - 1) / c.step).cast("int")
-    return F.when(F.size(h) > 0, F.filter(F.sequence(F.lit(0), last), meets)).otherwise(F.array().cast("array<int>"))
+    windows = F.filter(F.sequence(F.lit(0), last), meets)
+    return F.when(F.arrays_overlap(h, literal), windows).otherwise(F.array().cast("array<int>"))
 
 
 def find_licenses(

@@ -235,15 +235,19 @@ class Coder:
 
 
 @contextmanager
-def _coder(ranks: dict[bytes, int]) -> Iterator[Coder]:
-    """A task's coder; its memory goes with the task, as Python workers live on."""
-    coder = Coder(ranks)
+def _coder(ranks: dict[bytes, int], keep: str | None = None) -> Iterator[Coder]:
+    """A task's coder. Its memory goes with the task, unless ``keep`` names it for the worker's next task."""
+    kept = worker_cache("bpe")
+    coder = kept.pop(keep, None) or Coder(ranks)
     try:
         yield coder
     finally:
-        coder.con.close()
-        coder.known.clear()
-        coder.older.clear()
+        if keep:
+            kept[keep] = coder
+        else:
+            coder.con.close()
+            coder.known.clear()
+            coder.older.clear()
 
 
 def _shared(df: DataFrame, vocabulary: str):
@@ -287,10 +291,11 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", bytes_col: str
     return df.select(other).mapInArrow(run, schema)
 
 
-def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 4 << 20) -> DataFrame:
+def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 4 << 20, keep: bool = False) -> DataFrame:
     """(doc_id, ids, n_tokens, ids_text, decoded, same): encodes every text and decodes the ids again in the same task,
     each distinct piece's ids once, joined in the order of the text.
 
+    ``keep``: words learnt by a task serve the worker's next one (more memory, less work).
     ``ids_text`` is the decimal ids joined by one blank, ``same`` whether the
     decoded bytes are those of the text. Null text counts as
     empty; repeated rows come out as often as they go in.
@@ -298,7 +303,7 @@ def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
     shared = _shared(docs, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with _coder(shared.value) as coder:
+        with _coder(shared.value, vocabulary if keep else None) as coder:
             for part in row_chunks(batches, "text", chunk_bytes):
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 ids, decoded = coder.encode(texts)

@@ -37,7 +37,7 @@ def op4_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path())
+    coded = bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path(), keep=True)
     return coded.select("doc_id", "n_tokens", F.sha2("ids_text", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

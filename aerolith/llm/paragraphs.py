@@ -15,6 +15,8 @@ from aerolith.llm.decontaminate import LOWER, word_hashes
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+ENDS_SENTENCE = np.zeros(256, bool)
+ENDS_SENTENCE[list(b".!?:;")] = True
 MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -27,12 +29,16 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 class Paragraphs:
     """Paragraphs (lines of at least ``min_words`` words) of a few texts, with the hashes of their word shingles.
 
-    ``row`` is the text, ``line`` the line in it, ``key`` a 128-bit digest of
-    the lower-cased words (ASCII letters and white space); ``shingles`` of
-    paragraph p are ``hashes[cuts[p]:cuts[p + 1]]``.
+    ``row`` is the text, ``line`` the first line in it and ``size`` the number
+    of lines (1, or more with ``blocks``: runs of lines between blank ones);
+    ``key`` is a 128-bit digest of the lower-cased words (ASCII letters and
+    white space), however they are wrapped; ``shingles`` of paragraph p are
+    ``hashes[cuts[p]:cuts[p + 1]]``, none if it is shorter than a shingle.
+    ``near`` tells which may be compared for near copies: all with a shingle
+    but blocks whose lines all end a sentence, as those lines are paragraphs.
     """
 
-    def __init__(self, texts: list[bytes | None], min_words: int, shingle: int):
+    def __init__(self, texts: list[bytes | None], min_words: int, shingle: int, blocks: bool = False):
         data = LOWER[np.frombuffer(b"\n".join(t or b"" for t in texts) + b"\n", np.uint8)]
         inside = np.concatenate(([False], ~IS_SPACE[data], [False]))
         edge = np.flatnonzero(inside[1:] != inside[:-1])
@@ -40,34 +46,51 @@ class Paragraphs:
         breaks = np.flatnonzero(data == 10)
         first = np.concatenate(([0], np.searchsorted(starts, breaks)))  # first word of each line
         count = np.diff(first)
-        line = np.flatnonzero(count >= max(min_words, shingle))
-        a, n = first[line], count[line]
+        text_ends = np.cumsum([len(t or b"") + 1 for t in texts])
+        text_first = np.searchsorted(breaks, text_ends - 1) + 1  # lines up to the end of each text
+        line = last = np.flatnonzero(count)
+        if blocks and len(line):
+            of = np.searchsorted(text_first, line, side="right")
+            new = np.concatenate(([True], (np.diff(line) > 1) | (np.diff(of) > 0)))
+            line, last = line[new], line[np.concatenate((new[1:], [True]))]
+        n = first[last + 1] - first[line]
+        enough = n >= max(min_words, 1)
+        line, last, n = line[enough], last[enough], n[enough]
+        a, self.size = first[line], last - line + 1
+        open_ = np.zeros(len(count) + 1, np.int64)  # lines up to each that end within a sentence
+        open_[1:] = np.cumsum((count > 0) & ~ENDS_SENTENCE[data[ends[first[1:] - 1] - 1]]) if len(ends) else 0
         words = word_hashes(data, starts, ends)
         one = _mixed(words["f0"])
         total = np.zeros(max(0, len(one) - shingle + 1), np.uint64)
         for k in range(shingle):
             total = (total + one[k : k + len(total)]) * MIX[0]
         total = _mixed(total)
-        sizes = n - shingle + 1
+        sizes = np.maximum(n - shingle + 1, 0)
+        self.near = (sizes > 0) & ((self.size == 1) | (open_[last] > open_[line]))
         self.cuts = np.concatenate(([0], np.cumsum(sizes)))
         at = np.arange(self.cuts[-1]) + np.repeat(a - self.cuts[:-1], sizes)
         self.hashes = total[at] if len(at) else np.empty(0, np.uint64)
-        text_ends = np.cumsum([len(t or b"") + 1 for t in texts])
-        text_first = np.searchsorted(breaks, text_ends - 1) + 1  # lines up to the end of each text
         self.row = np.searchsorted(text_first, line, side="right")
         self.line = line - np.concatenate(([0], text_first))[self.row]
         raw = np.ascontiguousarray(words).view(np.uint8).tobytes()
         self.key = [xxhash.xxh128_digest(raw[16 * x : 16 * (x + m)]) for x, m in zip(a.tolist(), n.tolist())]
 
-    def bands(self, bands: int, rows: int) -> np.ndarray:
-        """(paragraphs, bands): one number for the ``rows`` smallest hashes of each band."""
-        out = np.zeros((len(self.key), bands), np.uint64)
-        if len(out):
+    def bands(self, bands: int, rows: int) -> list[bytes | None]:
+        """One number for the ``rows`` smallest hashes of each band; none for paragraphs without near copies."""
+        near = np.flatnonzero(self.near)
+        out = np.zeros((len(near), bands), np.uint64)
+        if len(near):
+            sizes = np.diff(self.cuts)[near]
+            cuts = np.cumsum(sizes) - sizes
+            hashes = self.hashes[np.arange(sizes.sum()) + np.repeat(self.cuts[near] - cuts, sizes)]
             seeds = _mixed(np.arange(1, bands * rows + 1, dtype=np.uint64) * MIX[0])
             for k, seed in enumerate(seeds):
-                least = np.minimum.reduceat(_mixed(self.hashes ^ seed), self.cuts[:-1])
+                least = np.minimum.reduceat(_mixed(hashes ^ seed), cuts)
                 out[:, k // rows] = _mixed((out[:, k // rows] + least) * MIX[0] + np.uint64(k // rows))
-        return out
+        signed: list[bytes | None] = [None] * len(self.key)
+        for x, value in zip(near.tolist(), out.astype("<u8")):
+            signed[x] = value.tobytes()
+        return signed
 
 
 def similar(sets: list[np.ndarray], bands: np.ndarray, threshold: float) -> Iterator[tuple[int, int]]:
@@ -102,29 +125,30 @@ def similar(sets: list[np.ndarray], bands: np.ndarray, threshold: float) -> Iter
 
 def paragraph_clusters(
     docs: DataFrame,
-    min_words: int = 20,
+    min_words: int = 5,
     shingle: int = 5,
     threshold: float = 0.8,
     bands: int = 12,
     rows: int = 3,
     block: int = 1000,
+    blocks: bool = False,
 ) -> DataFrame:
     """(key, n, keep_doc, keep_line): distinct paragraphs of ``docs`` (doc_id, text) that occur more than once, exactly or nearly.
 
     ``keep_doc`` and ``keep_line`` name the first occurrence in the component.
+    Paragraphs shorter than a shingle are folded by their key alone.
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in row_chunks(batches, "text", 4 << 20):
-            p = Paragraphs(byte_column(part, "text").to_pylist(), min_words, shingle)
+            p = Paragraphs(byte_column(part, "text").to_pylist(), min_words, shingle, blocks)
             ids = part.column("doc_id").to_numpy(zero_copy_only=False)
-            signed = p.bands(bands, rows).astype("<u8")
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(p.key, pa.binary()),
                     pa.array(ids[p.row].astype(np.int64)),
                     pa.array(p.line.astype(np.int64)),
-                    pa.array([x.tobytes() for x in signed], pa.binary()),
+                    pa.array(p.bands(bands, rows), pa.binary()),
                 ],
                 ["key", "doc_id", "line", "bands"],
             )
@@ -137,7 +161,7 @@ def paragraph_clusters(
 
     # Distinct paragraphs with a band in common, as stars around the smallest key of each band: groups to verify.
     position = F.explode(F.sequence(F.lit(0), F.lit(bands - 1)))
-    dealt = heads.select("key", "bands", position.alias("b")).select(
+    dealt = heads.where(F.col("bands").isNotNull()).select("key", "bands", position.alias("b")).select(
         "key", F.concat(F.col("b").cast("string").cast("binary"), F.substring("bands", F.col("b") * 8 + 1, F.lit(8))).alias("band")
     )
     least = dealt.groupBy("band").agg(F.min("key").alias("least"), F.max("key").alias("most")).where(F.col("least") != F.col("most"))
@@ -163,7 +187,7 @@ def paragraph_clusters(
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Shingle sets of the wanted paragraphs."""
         for part in row_chunks(batches, "text", 1 << 20):
-            p = Paragraphs(byte_column(part, "text").to_pylist(), min_words, shingle)
+            p = Paragraphs(byte_column(part, "text").to_pylist(), min_words, shingle, blocks)
             place = {(r, x, k): i for i, (r, x, k) in enumerate(zip(p.row.tolist(), p.line.tolist(), p.key))}
             out = {"shard": [], "key": [], "root": [], "bands": [], "shingles": []}
             for r, wanted_ in enumerate(part.column("wanted").to_pylist()):
@@ -200,70 +224,84 @@ def paragraph_clusters(
     return rooted.join(keep, "root").select("key", "n", F.col("keep.doc_id").alias("keep_doc"), F.col("keep.line").alias("keep_line"))
 
 
-def remove_repeated_paragraphs(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    min_words: int = 20,
-    shingle: int = 5,
-    **parameters,
-) -> DataFrame:
-    """(doc_id, n_paragraphs, n_removed, sources, kept): texts without paragraphs that repeat, exactly or nearly, one met earlier.
-
-    A paragraph is a line of at least ``min_words`` words. Equal ones (by
-    lower-cased words) are folded first. MinHash bands (12 of 3 rows: a pair
-    of similarity 0.8 meets with probability 0.9998) find candidates; exact
-    Jaccard similarity of 5-word shingles, 0.8 or more, verifies them; each
-    component keeps its first paragraph by doc_id and line. ``sources`` lists
-    the documents that hold the kept paragraphs instead.
+def _without_repeats(rows: DataFrame, min_words: int, shingle: int, blocks: bool, **parameters) -> DataFrame:
+    """``rows`` (doc_id, text, n, removed, sources) without their later paragraphs.
 
-    Null text counts as empty; a row without id is kept whole and is no
-    source. Repeated rows of one id share the decision. An empty table gives
-    no rows.
+    Adds to ``n`` the lines, or with ``blocks`` those of several lines and the removed ones.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    known = rows.where("doc_id IS NOT NULL")
-    clusters = paragraph_clusters(known.where("text IS NOT NULL"), min_words, shingle, **parameters)
+    known = rows.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    clusters = paragraph_clusters(known, min_words, shingle, blocks=blocks, **parameters)
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in row_chunks(batches, "text", 4 << 20):
-            p = Paragraphs(byte_column(part, "text").to_pylist(), min_words, shingle)
+            p = Paragraphs(byte_column(part, "text").to_pylist(), min_words, shingle, blocks)
             ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(p.key, pa.binary()), pa.array(ids[p.row]), pa.array(p.line.astype(np.int64))], ["key", "doc_id", "line"]
             )
 
-    met = known.where("text IS NOT NULL").mapInArrow(occurrences, "key binary, doc_id long, line long").join(clusters, "key")
+    met = known.mapInArrow(occurrences, "key binary, doc_id long, line long").join(clusters, "key")
     gone = met.where((F.col("doc_id") != F.col("keep_doc")) | (F.col("line") != F.col("keep_line")))
     per_doc = gone.groupBy("doc_id").agg(
-        F.collect_set(F.struct("line", "key")).alias("gone"), F.sort_array(F.collect_set("keep_doc")).alias("sources")
+        F.collect_set(F.struct("line", "key")).alias("gone"), F.collect_set("keep_doc").alias("more")
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in row_chunks(batches, "text", 4 << 20):
             texts = byte_column(part, "text").to_pylist()
-            p = Paragraphs(texts, min_words, shingle)
-            here: list[dict[int, bytes]] = [{} for _ in texts]
-            for r, x, k in zip(p.row.tolist(), p.line.tolist(), p.key):
-                here[r][x] = k
-            removed, kept = [], []
-            for text, lines, drop in zip(texts, here, part.column("gone").to_pylist()):
-                out = {g["line"] for g in drop or [] if lines.get(g["line"]) == g["key"]}
-                removed.append(len(out))
+            p = Paragraphs(texts, min_words, shingle, blocks)
+            here: list[dict[int, tuple[bytes, int]]] = [{} for _ in texts]
+            for r, x, k, m in zip(p.row.tolist(), p.line.tolist(), p.key, p.size.tolist()):
+                here[r][x] = k, m
+            n, removed, kept = part.column("n").to_pylist(), part.column("removed").to_pylist(), []
+            for r, (text, found, drop) in enumerate(zip(texts, here, part.column("gone").to_pylist())):
+                first = {g["line"] for g in drop or [] if found.get(g["line"], (None,))[0] == g["key"]}
+                out = {y for x in first for y in range(x, x + found[x][1])}
+                n[r] += sum(m > 1 or x in first for x, (_, m) in found.items()) if blocks else len(found)
+                removed[r] += len(first)
                 whole = (text or b"").decode()
                 kept.append("\n".join(x for k, x in enumerate(whole.split("\n")) if k not in out) if out else whole)
             yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"),
-                    pa.array([len(x) for x in here], pa.int64()),
-                    pa.array(removed, pa.int64()),
-                    part.column("sources"),
-                    pa.array(kept, pa.string()),
-                ],
-                ["doc_id", "n_paragraphs", "n_removed", "sources", "kept"],
+                [part.column("doc_id"), pa.array(kept, pa.string()), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), part.column("sources")],
+                ["doc_id", "text", "n", "removed", "sources"],
             )
 
-    joined = rows.join(per_doc, "doc_id", "left").select(
-        "doc_id", "text", "gone", F.coalesce("sources", F.array().cast("array<long>")).alias("sources")
-    )
-    return joined.mapInArrow(cut, "doc_id long, n_paragraphs long, n_removed long, sources array<long>, kept string")
+    sources = F.when(F.col("more").isNull(), F.col("sources")).otherwise(F.array_sort(F.array_union("sources", "more")))
+    joined = rows.join(per_doc, "doc_id", "left").select("doc_id", "text", "n", "removed", sources.alias("sources"), "gone")
+    return joined.mapInArrow(cut, "doc_id long, text string, n long, removed long, sources array<long>")
+
+
+def remove_repeated_paragraphs(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    min_words: int = 5,
+    shingle: int = 5,
+    **parameters,
+) -> DataFrame:
+    """(doc_id, n_paragraphs, n_removed, sources, kept): texts without paragraphs that repeat, exactly or nearly, one met earlier.
+
+    Paragraphs are first the blocks between blank lines, so that wrapped text
+    meets however it is wrapped, then in what is left the lines; both of at
+    least ``min_words`` words. Equal ones (by lower-cased words) are folded
+    first, which is all for those shorter than a shingle. MinHash bands (12
+    of 3 rows: a pair of similarity 0.8 meets with probability 0.9998) find
+    candidates; exact Jaccard similarity of 5-word shingles, 0.8 or more,
+    verifies them; each component keeps its first paragraph by doc_id and
+    line. Blocks whose lines all end a sentence go only if equal: their lines
+    are paragraphs and are compared for near copies one by one.
+    ``n_paragraphs`` counts blocks of several lines, removed single ones and
+    lines left to compare; ``sources`` lists the documents that held the kept
+    paragraph when one was removed (its lines may repeat yet earlier ones).
+
+    Null text counts as empty; a row without id is kept whole and is no
+    source. Repeated rows of one id share the decision. An empty table gives
+    no rows.
+    """
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n"),
+        F.lit(0).cast("long").alias("removed"), F.array().cast("array<long>").alias("sources"),
+    )
+    rows = saved(_without_repeats(rows, min_words, shingle, True, **parameters), "blocks")
+    rows = _without_repeats(rows, min_words, shingle, False, **parameters)
+    return rows.select("doc_id", F.col("n").alias("n_paragraphs"), F.col("removed").alias("n_removed"), "sources", F.col("text").alias("kept"))

@@ -32,7 +32,7 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = paragraphs.remove_repeated_paragraphs(table(spark, sf_dir, "documents"))
+    clean = paragraphs.remove_repeated_paragraphs(table(spark, sf_dir, "documents"), min_words=1)
     return clean.select("doc_id", "n_paragraphs", "n_removed", "sources", F.sha2("kept", 256).alias("kept_sha256"))
 
 

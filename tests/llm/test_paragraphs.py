@@ -57,3 +57,37 @@ def test_empty_table_and_no_repeats(spark):
     docs = as_docs(spark, [(1, "a b c"), (2, None)])
     assert [r["n_removed"] for r in paragraphs.remove_repeated_paragraphs(docs).collect()] == [0, 0]
     assert paragraphs.remove_repeated_paragraphs(docs.limit(0)).collect() == []
+
+
+def test_short_lines_and_wrapped_paragraphs(spark):
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(400)]
+    short, tiny = "share this page with all of your friends", "Read more"
+    w = prose(rng, 60, words).split(" ")
+
+    def wrapped(w, n):
+        return "\n".join(" ".join(w[k : k + n]) for k in range(0, len(w), n))
+
+    own = [prose(rng, 12, words) for _ in range(6)]
+    rows = [
+        (0, f"{own[0]}.\n{short}.\n{tiny}"), (1, f"{own[1]}.\n{short.upper()}.\n{tiny}"), (2, f"{own[2]}\n\n{wrapped(w, 11)}\n\n{own[3]}"),
+        (3, f"{own[4]}\n\n{wrapped(w, 13)}"), (4, wrapped(w[:30] + ["new"] + w[31:], 10)), (5, f"{' '.join(w)}\n{own[5]}."),
+    ]
+    found = {r["doc_id"]: r for r in paragraphs.remove_repeated_paragraphs(as_docs(spark, rows), min_words=1).collect()}
+    assert [found[k]["kept"] for k in (0, 2)] == [rows[0][1], rows[2][1]]
+    assert found[1]["kept"] == own[1] + "." and (found[1]["n_removed"], found[1]["sources"]) == (2, [0])
+    assert found[3]["kept"] == own[4] + "\n" and (found[3]["n_removed"], found[3]["sources"]) == (1, [2])
+    assert found[4]["kept"] == "" and found[4]["sources"] == [2]
+    assert all(r["n_paragraphs"] >= r["n_removed"] for r in found.values())
+    found = {r["doc_id"]: r["kept"] for r in paragraphs.remove_repeated_paragraphs(as_docs(spark, rows)).collect()}
+    assert found[1] == f"{own[1]}.\n{tiny}"
+
+
+def test_lines_of_a_near_copied_list_are_kept(spark):
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(400)]
+    lines = [prose(rng, 15, words) + "." for _ in range(10)]
+    new = prose(rng, 15, words) + "."
+    rows = [(1, "\n".join(lines)), (2, "\n".join([*lines[:9], new]))]
+    found = {r["doc_id"]: r["kept"] for r in paragraphs.remove_repeated_paragraphs(as_docs(spark, rows)).collect()}
+    assert found == {1: rows[0][1], 2: new}

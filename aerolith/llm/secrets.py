@@ -98,6 +98,27 @@ def ownership(candidates: DataFrame, max_owners: int) -> DataFrame:
     return spread.select("hash", "n_repositories", "n_owners", (F.col("looks") & (F.col("n_owners") <= max_owners)).alias("live"))
 
 
+def live_values(candidates: DataFrame, max_owners: int, max_repositories: int) -> DataFrame:
+    """(hash, n_repositories, n_owners, most_repositories, live) by owners and by repositories of an owner.
+
+    Repositories are counted per owner, where copies of one text count once,
+    as that of the first repository, then owners. ``live``: at most
+    ``max_owners`` owners, none with more than ``max_repositories``
+    repositories, and no placeholder.
+    """
+    looks = ~F.col("value").rlike(PLACEHOLDER) & (
+        (F.col("kind_no") > 0) | (F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]") & (F.length("value") >= 8))
+    )
+    texts = candidates.groupBy("hash", "owner", "text_key").agg(F.min("repository").alias("repository"), F.max(looks).alias("looks"))
+    each = texts.groupBy("hash", "owner", "repository").agg(F.max("looks").alias("looks"))
+    per_owner = each.groupBy("hash", "owner").agg(F.count("repository").alias("n"), F.max("looks").alias("looks"))
+    spread = per_owner.groupBy("hash").agg(
+        F.sum("n").alias("n_repositories"), F.count("owner").alias("n_owners"), F.max("n").alias("most_repositories"), F.max("looks").alias("looks")
+    )
+    few = (F.col("n_owners") <= max_owners) & (F.col("most_repositories") <= max_repositories)
+    return spread.select("hash", "n_repositories", "n_owners", "most_repositories", (F.col("looks") & few).alias("live"))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository_col: str = "doc_id") -> DataFrame:
     """(doc_id, owner, repository, text_key, found) of every document."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -118,10 +139,12 @@ def find_secrets(
     """Secrets of each document, and which of them look live by the owners that hold them.
 
     (doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live,
-    n_widespread, most_owners). Offsets are code points, end exclusive. This
+    n_widespread, most_owners, n_repositories). Offsets are code points, end exclusive. This
     method classifies the base spans and adds none: ``spans`` lists the base
     spans; ``n_live`` of them hold a value of at most ``max_owners`` owners
     that is no placeholder, ``n_widespread`` hold one of more owners.
+    ``n_repositories`` is that of the most widely copied value. The registered
+    query's SQL fixes this rule; masking goes by :func:`live_values`.
     Null text counts as empty, null owners and repositories are not counted.
     Repeated rows come out as often as they go in. Other columns are ignored.
     """
@@ -132,6 +155,7 @@ def find_secrets(
         F.sum(F.col("live").cast("long")).alias("n_live"),
         F.sum((F.col("n_owners") > max_owners).cast("long")).alias("n_widespread"),
         F.max("n_owners").alias("most_owners"),
+        F.max("n_repositories").alias("n_repositories"),
     )
     joined = scanned.join(per_text, "text_key", "left")
     count = [
@@ -140,7 +164,7 @@ def find_secrets(
     written = _written(F.col("found"))
     return joined.select(
         "doc_id", *count, F.sha2(written, 256).alias("base_sha256"), written.alias("spans"),
-        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_live", "n_widespread", "most_owners")],
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_live", "n_widespread", "most_owners", "n_repositories")],
     )
 
 
@@ -150,17 +174,19 @@ def redact_live(
     owner_col: str = "source",
     repository_col: str = "doc_id",
     max_owners: int = 2,
+    max_repositories: int = 10,
     mask: str = "[SECRET]",
 ) -> DataFrame:
     """``docs`` with every occurrence of its own live-looking values replaced by ``mask``.
 
+    :func:`live_values` decides, by owners and by repositories of an owner.
     All rows stay; texts without a candidate are passed on as they are and
     never shuffled. Widely copied examples stay.
     """
     has = any_secret(F.col(text_col))
     some = docs.where(has)
     candidates = _candidates(saved(scan(some, repository_col, text_col, owner_col, repository_col), "secrets"))
-    live = candidates.select("text_key", "hash", "value").distinct().join(ownership(candidates, max_owners).where("live"), "hash")
+    live = candidates.select("text_key", "hash", "value").distinct().join(live_values(candidates, max_owners, max_repositories).where("live"), "hash")
     longest = F.transform(F.reverse(F.array_sort(F.collect_list(F.struct(F.length("value"), "value")))), lambda s: s["value"])
     values = live.groupBy("text_key").agg(longest.alias("values"))
     name, key = "_secret_values", "_secret_text_key"

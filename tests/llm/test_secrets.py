@@ -40,3 +40,17 @@ def test_ownership_separates_copied_examples(spark):
     text = {r["doc_id"]: r["text"] for r in masked.collect()}
     assert text[20] == "x [SECRET] y" and text[24] == "secret: [SECRET]" and text[0] == rows[0][1] and text[30] is None
     assert len(text) == len(rows)
+
+
+def owned(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
+
+
+def test_masking_counts_repositories_of_an_owner_and_copies_once(spark):
+    live, example = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b", "0beec7b5ea3f0fdbc95d0dd47f3c5bc275da8a33"
+    rows = [(k, "hot", f"text {k} token = {example}") for k in range(30)] + [(100 + k, "s", f"one text with {live}") for k in range(30)]
+    text = {r["doc_id"]: r["text"] for r in secrets.redact_live(owned(spark, rows)).collect()}
+    assert all(text[k] == rows[k][2] for k in range(30))
+    assert [text[100 + k] for k in range(30)] == ["one text with [SECRET]"] * 30
+    found = {r["doc_id"]: r["n_repositories"] for r in secrets.find_secrets(owned(spark, rows)).collect()}
+    assert found[0] == 30 and found[100] == 30

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from aerolith.llm.common import let, running_sums, saved
@@ -23,6 +25,14 @@ KINDS = (("assign", ASSIGN, 2, 6), ("access", ACCESS, 0, 20), ("hex", HEX, 0, 24
 PLACEHOLDER = "(?i)(example|sample|changeme|placeholder|your|dummy|xxxx|0000|1234)"
 
 
+# Placeholders by their whole value, or by a long run of one character: what masking leaves whatever the counts say.
+FILLER = "my|your|the|an?|this|is|some|test|password|passwd|secret|token|api|key|access|value|here|insert|enter"
+WHOLE_PLACEHOLDER = (
+    rf"(?i)^(?:(?:{FILLER})[-_./+=]*)*(?:example|sample|change[-_.]?me|placeholder|your|dummy)(?:[-_./+=]*(?:{FILLER}))*[-_./+=]*[0-9]{{0,4}}$"
+    r"|^0?123456(?:7(?:8(?:90?)?)?)?$|^(.)\1*$|(.)\2{11}|(?-i:EXAMPLE(?:KEY)?$)"
+)
+
+
 def _matches(text: Column, kind: int) -> Column:
     """Array of (start, kind_no, end, value) of one kind, in code points.
 
@@ -99,16 +109,14 @@ def ownership(candidates: DataFrame, max_owners: int) -> DataFrame:
 
 
 def live_values(candidates: DataFrame, max_owners: int, max_repositories: int) -> DataFrame:
-    """(hash, n_repositories, n_owners, most_repositories, live) by owners and by repositories of an owner.
+    """(hash, n_repositories, n_owners, most_repositories, live) where ownership frequency decides alone.
 
     Repositories are counted per owner, where copies of one text count once,
     as that of the first repository, then owners. ``live``: at most
     ``max_owners`` owners, none with more than ``max_repositories``
-    repositories, and no placeholder.
+    repositories, and not a placeholder as a whole.
     """
-    looks = ~F.col("value").rlike(PLACEHOLDER) & (
-        (F.col("kind_no") > 0) | (F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]") & (F.length("value") >= 8))
-    )
+    looks = ~F.col("value").rlike(WHOLE_PLACEHOLDER)
     texts = candidates.groupBy("hash", "owner", "text_key").agg(F.min("repository").alias("repository"), F.max(looks).alias("looks"))
     each = texts.groupBy("hash", "owner", "repository").agg(F.max("looks").alias("looks"))
     per_owner = each.groupBy("hash", "owner").agg(F.count("repository").alias("n"), F.max("looks").alias("looks"))
@@ -181,7 +189,8 @@ def redact_live(
 
     :func:`live_values` decides, by owners and by repositories of an owner.
     All rows stay; texts without a candidate are passed on as they are and
-    never shuffled. Widely copied examples stay.
+    never shuffled. Widely copied examples stay. A value of letters only is
+    masked where it is a whole word.
     """
     has = any_secret(F.col(text_col))
     some = docs.where(has)
@@ -191,7 +200,12 @@ def redact_live(
     values = live.groupBy("text_key").agg(longest.alias("values"))
     name, key = "_secret_values", "_secret_text_key"
     joined = some.withColumn(key, F.sha2(F.col(text_col), 256)).join(values.select(F.col("text_key").alias(key), F.col("values").alias(name)), key, "left")
-    masked = F.aggregate(F.coalesce(name, F.array().cast("array<string>")), F.col(text_col), lambda t, v: F.replace(t, v, F.lit(mask)))
+
+    def one(t: Column, v: Column) -> Column:
+        word = F.regexp_replace(t, F.concat(F.lit("(?<![A-Za-z])"), v, F.lit("(?![A-Za-z])")), F.lit(re.sub(r"([\\$])", r"\\\1", mask)))
+        return F.when(v.rlike("^[A-Za-z]+$"), word).otherwise(F.replace(t, v, F.lit(mask)))
+
+    masked = F.aggregate(F.coalesce(name, F.array().cast("array<string>")), F.col(text_col), one)
     return joined.withColumn(text_col, masked).select(docs.columns).unionByName(docs.where(~has))
 
 

@@ -10,6 +10,25 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from aerolith.llm.common import let
 
+GNU = (
+    "This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} Public License"
+    " as published by the Free Software Foundation, {version}."
+)
+GNU_KINDS = (
+    ("GPL-2.0", "program", "General", "2"), ("GPL-3.0", "program", "General", "3"), ("LGPL-2.0", "library", "Library General", "2"),
+    ("LGPL-2.1", "library", "Lesser General", "2.1"), ("LGPL-3.0", "program", "Lesser General", "3"), ("AGPL-3.0", "program", "Affero General", "3"),
+)
+CREATIVE = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-ND": "Attribution-NoDerivatives", "BY-NC": "Attribution-NonCommercial",
+            "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+BSD_3 = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the"
+    " following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of"
+    " conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice,"
+    " this list of conditions and the following disclaimer in the documentation and/or other materials provided with the"
+    " distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or"
+    " promote products derived from this software without specific prior written permission."
+)
+
 # Public license notices (SPDX id, text). Callers may pass their own.
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
@@ -53,6 +72,45 @@ TEMPLATES = (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not"
         " distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     ),
+    *(
+        (f"{k}-or-later", GNU.format(what=w, name=n, version=f"either version {v} of the License, or (at your option) any later version"))
+        for k, w, n, v in GNU_KINDS
+        if k != "GPL-3.0"
+    ),
+    *((f"{k}-only", GNU.format(what=w, name=n, version=f"version {v} of the License")) for k, w, n, v in GNU_KINDS),
+    (
+        "GPL-2.0-only",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public"
+        " License version 2 as published by the Free Software Foundation.",
+    ),
+    ("GPL-2.0-only", "This work is licensed under the GNU General Public License, version 2."),
+    ("BSD-3-Clause", BSD_3),
+    *((f"CC-{k}-4.0", f"Licensed under CC {k} 4.0.") for k in CREATIVE if k != "BY-NC"),
+    *((f"CC-{k}-4.0", f"This work is licensed under a Creative Commons {n} 4.0 International License.") for k, n in CREATIVE.items()),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0 Universal."),
+    (
+        "Unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use,"
+        " compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose,"
+        " commercial or non-commercial, and by any means.",
+    ),
+    (
+        "BSL-1.0",
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at"
+        " http://www.boost.org/LICENSE_1_0.txt)",
+    ),
+    (
+        "Zlib",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it"
+        " and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be"
+        " misrepresented; you must not claim that you wrote the original software.",
+    ),
+    (
+        "EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is"
+        " available at https://www.eclipse.org/legal/epl-2.0/",
+    ),
 )
 
 SHINGLE = 5
@@ -139,12 +197,15 @@ def find_licenses(
     containment: float = 0.8,
     probability: float = 0.999,
 ) -> DataFrame:
-    """(doc_id, n_matches, licenses, matches) of each document.
+    """(doc_id, n_matches, licenses, matches, best_licenses) of each document.
 
     ``matches`` has (license, template, containment, first_word) for each
     template of which a window holds at least ``containment`` of the distinct
     5-word shingles: the best window, the first of equal ones. ``licenses``
-    lists their ids, sorted, comma-joined. One pass over the texts without a
+    lists their ids, sorted, comma-joined; ``best_licenses`` leaves out each
+    match that an overlapping window with a better containment accounts for
+    (an equal one, of a larger template): one that reaches no more than the
+    share of its shingles that the better template holds itself. One pass over the texts without a
     shuffle. The templates are a stated list (their shingles become literals
     of the plan); those of fewer than five words find nothing. Null and short
     texts match nothing; repeated rows come out as often as they go in.
@@ -186,9 +247,34 @@ def find_licenses(
         named = [SizeClass(tuple(usable[t] for t in c.templates), c.step, c.blocks, c.bands) for c in classes]
         return F.concat(none, *[_verified(h, c) for c in named])
 
+    length = {usable[t]: c.step * c.blocks for c in classes for t in c.templates}
+    # (share of a template's shingles in another, size of either, shingles in a window of either) where that share is a match by itself
+    pairs = []
+    for a in usable:
+        for b in usable:
+            share = len(set(hashes[a]) & set(hashes[b])) / len(hashes[a])
+            if a != b and share >= containment - 1e-9:
+                pairs.append((a, b, share, len(hashes[b]) > len(hashes[a]) or (len(hashes[b]) == len(hashes[a]) and b < a)))
+    names_of = ("t", "o", "share", "larger", "n", "m")
+    table = [F.struct(*[F.lit(x).alias(y) for x, y in zip((a, b, share, larger, length[a], length[b]), names_of)]) for a, b, share, larger in pairs]
+
+    def accounted(m: Column, o: Column) -> Column:
+        def by(p: Column) -> Column:
+            better = (o["containment"] > m["containment"] + 1e-9) | ((o["containment"] >= m["containment"] - 1e-9) & p["larger"])
+            overlap = (o["first_word"] < m["first_word"] + p["n"]) & (m["first_word"] < o["first_word"] + p["m"])
+            return (p["t"] == m["template"]) & (p["o"] == o["template"]) & better & overlap & (m["containment"] <= p["share"] + 1e-9)
+
+        return F.exists(F.array(*table), by)
+
     rows = docs.select(F.col(id_col).alias("doc_id"), let(shingles(F.coalesce(F.col(text_col), F.lit(""))), matches).alias("matches"))
-    names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"])))
-    return rows.select("doc_id", F.size("matches").cast("long").alias("n_matches"), F.array_join(names, ",").alias("licenses"), "matches")
+
+    def joined(found: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(found, lambda m: m["license"]))), ",")
+
+    best = F.filter("matches", lambda m: ~F.exists("matches", lambda o: accounted(m, o))) if pairs else F.col("matches")
+    return rows.select(
+        "doc_id", F.size("matches").cast("long").alias("n_matches"), joined(F.col("matches")).alias("licenses"), "matches", joined(best).alias("best_licenses")
+    )
 
 
 def _template_hashes(spark: SparkSession, templates: tuple[tuple[str, str], ...]) -> list[list[int]]:

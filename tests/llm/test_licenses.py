@@ -59,3 +59,17 @@ def test_own_templates_short_templates_and_empty_table(spark):
 def test_bands_reach_the_wanted_probability():
     for c in licenses.size_classes([1, 3, 8, 30, 58, 83], 0.8, 0.999):
         assert c.bands >= 1 and c.step >= 1 and c.blocks * c.step >= c.step
+
+
+def test_common_licenses_are_told_apart(spark):
+    gnu = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."  # noqa: E501
+    texts = {
+        gnu.format("Affero General", 3): "AGPL-3.0-or-later", gnu.format("Lesser General", 3): "LGPL-3.0-or-later",
+        gnu.format("General", 2): "GPL-2.0-or-later", gnu.format("General", 3): "GPL-3.0-or-later",
+        "Licensed under CC BY 4.0.": "CC-BY-4.0", "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        licenses.BSD_3: "BSD-3-Clause", licenses.BSD_3.split(" 3. ")[0]: "BSD-2-Clause",
+        gnu.format("General", 3) + " " + gnu.format("Affero General", 3): "AGPL-3.0-or-later,GPL-3.0-or-later",
+    }
+    rows = list(enumerate(f"some words before it: {t} And some after it." for t in texts))
+    found = {r["doc_id"]: r["best_licenses"] for r in licenses.find_licenses(as_docs(spark, rows)).collect()}
+    assert [found[k] for k, _ in rows] == list(texts.values())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aerolith.llm import bpe, chat, decontaminate, langid, licenses, paragraphs, repeats, secrets, simhash, topk
+from aerolith.llm import bpe, chat, decontaminate, langid, licenses, paragraphs, repeats, secrets, simhash, topk, whitening
 from aerolith.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -78,6 +78,15 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    each = found.select("*", F.posexplode("whitened").alias("k", "value"))
+    return each.select(
+        "vec_id", (F.col("k") + 1).alias("component"), "n", F.col("deviation").cast("long").alias("deviation"),
+        F.col("value").alias("whitened"), F.get("explained", F.col("k")).alias("explained"), "identity_error",
+    )
+
+
 ORACLE_OP9 = r"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -138,6 +147,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_simhash": op10_simhash,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 ORACLE = {

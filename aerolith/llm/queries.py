@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aerolith.llm import bpe, chat, decontaminate, langid, licenses, paragraphs, repeats, secrets, simhash, topk, whitening
+from aerolith.llm import alignment, bpe, chat, decontaminate, langid, licenses, ngram_join, paragraphs, repeats, secrets, simhash, topk, whitening
 from aerolith.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+BYTE_TOKENIZER, PIECE_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +79,16 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = alignment.byte_level(vocabulary_path(BYTE_TOKENIZER)), alignment.sentence_piece(vocabulary_path(PIECE_TOKENIZER))
+    found = alignment.align(table(spark, sf_dir, "documents"), a, b, keep_groups=lambda g: F.when(g == "", g).otherwise(F.sha2(g, 256)))
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.whiten(table(spark, sf_dir, "embeddings"))
     each = found.select("*", F.posexplode("whitened").alias("k", "value"))
@@ -147,6 +158,8 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_simhash": op10_simhash,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
+    "op12_ngram_jaccard": op12_ngram_jaccard,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
 
@@ -157,4 +170,5 @@ ORACLE = {
     "op6_chat_format": chat.oracle(),
     "op8_suffix_dedup": ORACLE_OP8,
     "op9_decontamination": ORACLE_OP9,
+    "op12_ngram_jaccard": ngram_join.ORACLE,
 }

@@ -8,6 +8,7 @@ keep their parallelism.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -75,6 +76,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, columns: Sequence[str], sort: Sequence[str] = ()) -> DataFrame:
+    """Catalog table (files at ``path``) cut into ``buckets`` by a hash of ``columns``, sorted within.
+
+    Windows, aggregates and joins on those columns, or on more columns that
+    include them, then need no exchange. Rows are dealt to their buckets once,
+    before the write, so there is one file a bucket. A key's rows share one
+    bucket: for keys of many moderate groups, not for one that holds a third.
+    """
+    dealt = df.repartition(buckets, *columns)
+    writer = dealt.write.format("parquet").mode("overwrite").option("path", path)
+    writer.bucketBy(buckets, *columns).sortBy(*(sort or columns)).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 # --- versioned tables (read-modify-write without deleting the input) --------------------
 
 
@@ -121,6 +136,27 @@ def write_version(df: DataFrame, base: str) -> str:
     return path
 
 
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the streaming query that a checkpoint folder belongs to (the same after every restart)."""
+    text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").agg(F.max("value")).first()[0]
+    return json.loads(text)["id"]
+
+
+def claim(spark: SparkSession, path: str, owner: str) -> None:
+    """Record ``owner`` as the only writer of a store; fails if it belongs to another.
+
+    Epoch numbers start at zero with every new checkpoint, so a second
+    checkpoint on one store would replace the epochs of the first.
+    """
+    fs, root = _fs(spark, path)
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    held = [f.getPath().getName().removeprefix("_owner-") for f in (fs.listStatus(root) if fs.exists(root) else []) if f.getPath().getName().startswith("_owner-")]
+    if not held:
+        fs.create(hadoop_path(root, f"_owner-{owner}"), True).close()  # readers skip names with an underscore
+    elif held != [owner]:
+        raise RuntimeError(f"{path} is written by the streaming query {held[0]}; give {owner} a store of its own")
+
+
 # --- epoch-appended store (hot path) ----------------------------------------------
 
 EPOCH = "epoch"
@@ -135,26 +171,29 @@ def with_ttl(df: DataFrame, hours: int = TTL_HOURS) -> DataFrame:
 
 
 def append_epoch(batch: DataFrame, path: str, epoch: int, keys: Sequence[str], partition_col: str, spread: int = 16) -> None:
-    """Write a micro-batch's changed rows under ``epoch=<id>``, by ``partition_col``.
+    """Write a micro-batch's changed rows under ``partition_col`` and, below it, ``epoch=<id>``.
 
     Nothing written before is read, changed or deleted, so a crash loses no
-    row; the retry of an epoch overwrites its own folder only. Rows of one
+    row; the retry of an epoch replaces its own folders only. Rows of one
     partition value (the hour all sensors report in) are spread over
     ``spread`` tasks by a hash of the key.
     """
     lot = F.pmod(F.xxhash64(*keys), F.lit(spread))
     tasks = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = batch.repartition(tasks, F.col(partition_col), lot)
-    writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(partition_col).parquet(f"{path.rstrip('/')}/{EPOCH}={epoch:012d}")
+    dealt = batch.withColumn(EPOCH, F.lit(f"{epoch:012d}")).repartition(tasks, F.col(partition_col), lot)
+    writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(partition_col, EPOCH).parquet(path)
 
 
-def read_store(spark: SparkSession, path: str, keys: Sequence[str], where: Column | None = None) -> DataFrame:
-    """The latest row of each key. ``where`` (on the partition columns) prunes the scan before the rows are compared."""
+def read_store(spark: SparkSession, path: str, keys: Sequence[str], where: Column | None = None, live_at=None) -> DataFrame:
+    """The latest row of each key. ``where`` (on the partition columns) prunes the
+    scan before the rows are compared; ``live_at`` (a time, or ``"now"``) leaves
+    out rows past their time-to-live."""
     rows = spark.read.parquet(path)
     if where is not None:
         rows = rows.where(where)
-    return latest_per_key(rows, list(keys), [EPOCH, "updated_at"])
+    latest = latest_per_key(rows, list(keys), [EPOCH, "updated_at"])
+    return latest if live_at is None else live_rows(latest, None if live_at == "now" else live_at)
 
 
 def compact_store(spark: SparkSession, path: str, target: str, keys: Sequence[str], partition_col: str, as_of=None) -> None:
@@ -164,21 +203,24 @@ def compact_store(spark: SparkSession, path: str, target: str, keys: Sequence[st
     """
     rows = spark.read.parquet(path)
     newest = rows.agg(F.max(EPOCH)).first()[0]
-    live = live_rows(read_store(spark, path, keys), as_of).drop(EPOCH)
+    live = read_store(spark, path, keys, live_at=as_of or "now").drop(EPOCH)
     append_epoch(live, target, int(newest or 0), keys, partition_col)
 
 
+def partition_values(spark: SparkSession, path: str, partition_col: str) -> list[str]:
+    """Values of a table's outer partition column, from its folder names: no file is opened."""
+    fs, root = _fs(spark, path)
+    names = [st.getPath().getName() for st in (fs.listStatus(root) if fs.exists(root) else []) if st.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{partition_col}="))
+
+
 def expire_partitions(spark: SparkSession, path: str, partition_col: str, before: str) -> list[str]:
-    """Delete the folders of closed partition values before ``before`` (past the TTL) in every epoch; returns them."""
+    """Delete whole partition values before ``before``, with all their epochs; returns them."""
     fs, root = _fs(spark, path)
-    gone = []
-    for epoch in fs.listStatus(root) if fs.exists(root) else []:
-        for part in fs.listStatus(epoch.getPath()) if epoch.isDirectory() else []:
-            name, _, value = part.getPath().getName().partition("=")
-            if name == partition_col and value < before:
-                fs.delete(part.getPath(), True)
-                gone.append(f"{epoch.getPath().getName()}/{name}={value}")
-    return sorted(gone)
+    gone = [v for v in partition_values(spark, path, partition_col) if v < before]
+    for value in gone:
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"{partition_col}={value}"), True)
+    return gone
 
 
 def live_rows(store: DataFrame, as_of=None) -> DataFrame:

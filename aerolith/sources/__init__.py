@@ -11,19 +11,13 @@ from pyspark.sql.types import StringType, StructField, StructType
 CORRUPT = "_corrupt_record"
 
 
-def read_csv(
-    spark: SparkSession, path: str, schema: StructType, header: bool = True, staging: str | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """CSV with an explicit schema; returns ``(rows, malformed)``.
+def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """CSV with an explicit schema; returns ``(rows, malformed)``, both scans of the files.
 
-    PERMISSIVE mode keeps bad lines in a corrupt-record column. The parsed
-    lines (all columns) are saved once as Parquet under ``staging`` (default:
-    a new folder in the shared scratch area) and split from that copy, so the
-    malformed-line test never depends on which columns a later query prunes
-    the CSV scan down to.
+    PERMISSIVE mode keeps bad lines in a corrupt-record column. A line is
+    tested by the columns that a query reads, so both sides read all of them:
+    a projection of good columns cannot make a bad line good.
     """
-    from aerolith.session import scratch_path
-
     full = StructType(list(schema.fields) + [StructField(CORRUPT, StringType())])
     parsed = (
         spark.read.schema(full)
@@ -32,12 +26,9 @@ def read_csv(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
-    staging = staging or scratch_path(spark, "csv-parsed")
-    parsed.write.mode("overwrite").parquet(staging)
-    saved = spark.read.schema(full).parquet(staging)
-    good = saved.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = saved.filter(F.col(CORRUPT).isNotNull())
-    return good, bad
+    never = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in schema.fieldNames()])) < 0  # reads every column
+    bad = F.col(CORRUPT).isNotNull() | never
+    return parsed.filter(~bad).drop(CORRUPT), parsed.filter(bad)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -49,29 +40,30 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return r.parquet(path)
 
 
-def kafka_stream(
-    spark: SparkSession,
+def kafka_options(
     servers: str,
     topics: Sequence[str],
     starting: str = "earliest",
     max_offsets_per_trigger: int | None = None,
     **options: str,
-) -> DataFrame:
-    """Kafka subscription (needs the ``spark-sql-kafka`` package on the
-    classpath). Offsets live in the query checkpoint, so restarts resume
-    exactly where the last committed batch ended."""
-    r = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", ",".join(topics))
-        .option("startingOffsets", starting)
-    )
+) -> dict[str, str]:
+    """Reader options of a subscription. ``earliest`` reads what the topics hold,
+    ``latest`` only what comes; either counts for the first start alone, after
+    which the checkpoint has the offsets."""
+    if starting not in ("earliest", "latest") and not starting.startswith("{"):
+        raise ValueError("starting is earliest, latest or offsets as JSON")
+    out = {"kafka.bootstrap.servers": servers, "subscribe": ",".join(topics), "startingOffsets": starting}
     if max_offsets_per_trigger:
-        r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-    for k, v in options.items():
-        r = r.option(k, v)
-    df = r.load()
-    return df.selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value", "topic", "timestamp")
+        out["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    return out | options
+
+
+def kafka_stream(spark: SparkSession, servers: str, topics: Sequence[str], **options) -> DataFrame:
+    """Kafka subscription (needs the ``spark-sql-kafka`` package on the
+    classpath; options as in :func:`kafka_options`). Offsets live in the query
+    checkpoint, so restarts resume exactly where the last committed batch ended."""
+    df = spark.readStream.format("kafka").options(**kafka_options(servers, topics, **options)).load()
+    return df.selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value", "topic", "partition", "offset", "timestamp")
 
 
 def file_stream(

@@ -99,3 +99,43 @@ def test_json_field_and_payload(spark):
     assert rows[0].k == 5 and rows[0].m is False
     assert rows[1].m is True and rows[1].k is None
     assert rows[2].k is None
+
+
+def test_subscription_options():
+    import pytest
+
+    from aerolith.sources import kafka_options
+
+    archive = kafka_options("a:9092,b:9092", ["air", "weather"], max_offsets_per_trigger=500, failOnDataLoss="false")
+    assert archive == {"kafka.bootstrap.servers": "a:9092,b:9092", "subscribe": "air,weather", "startingOffsets": "earliest",
+                       "maxOffsetsPerTrigger": "500", "failOnDataLoss": "false"}
+    assert kafka_options("a:9092", ["sensors"], starting="latest") == {
+        "kafka.bootstrap.servers": "a:9092", "subscribe": "sensors", "startingOffsets": "latest"}
+    with pytest.raises(ValueError):
+        kafka_options("a:9092", ["sensors"], starting="newest")
+
+
+def test_drifting_documents(spark):
+    from aerolith.operators import drift
+
+    docs = [
+        '{"stationID":"a","lat":"1.5","long":-3,"firmware":{"v":1},"AQILast":{"date":"d","PM25":{"value":7,"color":"red"},"PM10":{"value":{"x":1}},'
+        '"O3":{"value":"n/a"},"AQI":{"aqi":"12.0","param":null}}}',
+        '{"stationID":" "}', "[1]", "{x", None, "7", '{"stationID":5,"AQILast":3}',
+    ]
+    df = spark.createDataFrame([(d, k) for k, d in enumerate(docs)], "value string, n int")
+    out = drift.flatten_variant(df, drift.AIR_FIELDS, id_column="station_id").orderBy("n").collect()
+    assert [r.rejected for r in out] == [False, True, True, True, True, True, False]
+    assert [r.reasons for r in out[1:]] == [["missing id"], ["malformed"], ["malformed"], ["malformed"], ["malformed"], ["wrong type: AQILast"]]
+    one = out[0]
+    assert (one.station_id, one.lat, one.lon, one.pm25_value, one.pm10_value, one.aqi_param) == ("a", 1.5, None, 7.0, None, None)
+    assert one.extras == {"firmware": '{"v":1}', "AQILast.PM25.color": '"red"'}
+    assert one.reasons == ["wrong type: pm10_value", "wrong type: o3_value", "wrong type: overall_aqi"]
+
+
+def test_wide_keys(spark):
+    from aerolith.operators.keys import wide_key
+
+    df = spark.range(1000).select("id", wide_key(["id"]).alias("k"), wide_key(["id"]).alias("again"))
+    assert df.select("k").distinct().count() == 1000 and df.where("k <> again OR length(k) <> 32").count() == 0
+    assert df.where("substring(k, 1, 16) = substring(k, 17, 16)").count() == 0

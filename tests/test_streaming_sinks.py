@@ -96,6 +96,8 @@ def test_store_keeps_latest_row_per_key_and_filters_by_ttl(spark, tmp):
     pruned = sinks.read_store(spark, path, STORE_KEYS, F.col(STORE_PARTITION) >= "2026-01-01-11")
     assert [r.v for r in pruned.collect()] == [3.0]
     assert sinks.live_rows(store).count() == 3
+    assert sinks.read_store(spark, path, STORE_KEYS, live_at="now").count() == 3
+    assert sinks.read_store(spark, path, STORE_KEYS, live_at=datetime(2100, 1, 1)).count() == 0
     assert sinks.live_rows(store, datetime(2100, 1, 1)).count() == 0
 
 
@@ -122,7 +124,7 @@ def test_crash_while_an_epoch_is_written_loses_no_row(spark, tmp):
 def test_one_hour_is_written_by_several_tasks(spark, tmp):
     path = os.path.join(tmp, "store")
     store_batch(path)(_windows(spark, [(f"s{k}", datetime(2026, 1, 1, 10, k % 60), 1.0) for k in range(500)]), 0)
-    hour = os.path.join(path, "epoch=000000000000", "window_part=2026-01-01-10")
+    hour = os.path.join(path, "window_part=2026-01-01-10", "epoch=000000000000")
     assert len([f for f in os.listdir(hour) if f.endswith(".parquet")]) > 1
 
 
@@ -135,7 +137,7 @@ def test_expired_hours_go_and_compaction_keeps_the_latest_rows(spark, tmp):
     sinks.compact_store(spark, path, small, STORE_KEYS, STORE_PARTITION)
     assert sorted(r.v for r in spark.read.parquet(small).collect()) == [1.0, 4.0]
     gone = sinks.expire_partitions(spark, path, STORE_PARTITION, "2026-01-01-11")
-    assert gone == ["epoch=000000000000/window_part=2026-01-01-10"]
+    assert gone == ["2026-01-01-10"]
     assert [r.v for r in sinks.read_store(spark, path, STORE_KEYS).collect()] == [4.0]
 
 
@@ -221,27 +223,93 @@ def test_topic_routing_lands_each_topic_and_quarantines_bad_messages(spark, tmp)
 
     from aerolith.schemas import BRONZE_SENSOR, BRONZE_WEATHER
     from aerolith.sources import file_stream
-    from aerolith.streaming.ingest import start_routes
+    from aerolith.streaming.ingest import Route, start_routes
 
     msgs = [
         ("sensor-stream", "s1", json.dumps({"sensor_id": "s1", "value": 1.5, "target": 1.0, "reading_ts": "2026-01-01T00:00:00Z"})),
         ("sensor-stream", "s2", "{not json"),
+        ("sensor-stream", "s3", json.dumps({"sensor_id": "s3", "value": "warm"})),
+        ("sensor-stream", "s4", json.dumps({"sensor_id": " ", "value": 1.0})),
+        ("sensor-stream", "s5", None),
         ("weather-raw", "1", json.dumps({"city_id": 1, "city_name": "BKK", "reading_ts": 1700000000, "temp_c": 30.5})),
+        ("elsewhere", "1", "{}"),
+        (None, "1", "{}"),
     ]
     schema = StructType([StructField(c, StringType()) for c in ("topic", "key", "value")])
-    spark.createDataFrame(msgs, schema).write.parquet(os.path.join(tmp, "msgs"))
+    spark.createDataFrame(msgs, schema).repartition(3).write.parquet(os.path.join(tmp, "msgs"))
     stream = file_stream(spark, os.path.join(tmp, "msgs"), schema)
     routes = {
-        "sensor-stream": (BRONZE_SENSOR, os.path.join(tmp, "bronze", "sensor")),
-        "weather-raw": (BRONZE_WEATHER, os.path.join(tmp, "bronze", "weather")),
+        "sensor-stream": Route(BRONZE_SENSOR, os.path.join(tmp, "bronze", "sensor"), "sensor_id"),
+        "weather-raw": Route(BRONZE_WEATHER, os.path.join(tmp, "bronze", "weather"), "city_id"),
     }
-    for q in start_routes(stream, routes, os.path.join(tmp, "chk"), os.path.join(tmp, "quarantine"),
-                          trigger={"availableNow": True}):
-        q.awaitTermination()
-    sensor = spark.read.parquet(routes["sensor-stream"][1]).collect()
-    weather = spark.read.parquet(routes["weather-raw"][1]).collect()
-    assert [(r.sensor_id, r.value) for r in sensor] == [("s1", 1.5)]
-    assert [(r.city_id, r.temp_c) for r in weather] == [(1, 30.5)]
-    assert {"date", "hour"} <= set(spark.read.parquet(routes["weather-raw"][1]).columns)
-    bad = spark.read.parquet(os.path.join(tmp, "quarantine", "sensor-stream")).collect()
-    assert [r.raw for r in bad] == ["{not json"]
+    q = start_routes(stream, routes, os.path.join(tmp, "chk"), os.path.join(tmp, "quarantine"), trigger={"availableNow": True})
+    q.awaitTermination()
+    # The source is scanned, and so each message parsed, once although three tables are written from the batch.
+    assert sum(p["numInputRows"] for p in q.recentProgress) == len(msgs)
+    sensor = spark.read.parquet(routes["sensor-stream"].path).collect()
+    weather = spark.read.parquet(routes["weather-raw"].path)
+    assert [(r.sensor_id, r.value, r.topic, r.key) for r in sensor] == [("s1", 1.5, "sensor-stream", "s1")]
+    assert [(r.city_id, r.temp_c) for r in weather.collect()] == [(1, 30.5)]
+    assert {"date", "hour", "topic", "key"} <= set(weather.columns)
+    bad = spark.read.parquet(os.path.join(tmp, "quarantine"))
+    assert {(r.topic, r.key, r.reason) for r in bad.collect()} == {
+        ("sensor-stream", "s2", "malformed"), ("sensor-stream", "s3", "malformed"), ("sensor-stream", "s4", "missing id"),
+        ("sensor-stream", "s5", "no value"), ("elsewhere", "1", "no route"), (None, "1", "no route"),
+    }
+    assert bad.where("key = 's2'").first().raw == "{not json"
+
+
+def test_a_batch_cut_off_before_its_commit_lands_once(spark, tmp):
+    """The batch's files are written, its commit is lost, the restarted query runs it again."""
+    from aerolith.schemas import BRONZE_SENSOR
+    from aerolith.sources import file_stream
+    from aerolith.streaming.ingest import Resends, start_ingest
+
+    src, out, chk = (os.path.join(tmp, d) for d in ("src", "out", "chk"))
+    schema = "id string, sent_at timestamp, value string"
+    t = datetime(2026, 1, 1)
+
+    def send(ids):
+        rows = [(i, t, json.dumps({"sensor_id": i, "value": 1.0})) for i in ids]
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(src)
+
+    def run(checkpoint=chk):
+        stream = file_stream(spark, src, spark.createDataFrame([], schema).schema)
+        start_ingest(stream, BRONZE_SENSOR, out, checkpoint, resends=Resends(["id"], "sent_at", "1 hour"), trigger={"availableNow": True}).awaitTermination()
+        return sorted(r.sensor_id for r in spark.read.parquet(out).collect())
+
+    send(["a", "b", "a"])
+    assert run() == ["a", "b"]
+    send(["b", "c"])
+    assert run() == ["a", "b", "c"]
+    last = max(int(f) for f in os.listdir(os.path.join(chk, "commits")) if f.isdigit())
+    for f in (str(last), f".{last}.crc"):
+        if os.path.exists(os.path.join(chk, "commits", f)):
+            os.remove(os.path.join(chk, "commits", f))
+    assert run() == ["a", "b", "c"]
+    send(["d", "a"])
+    assert run() == ["a", "b", "c", "d"]
+    # A fresh checkpoint reads all again beside, not over, what the first one landed.
+    assert run(os.path.join(tmp, "other")) == ["a", "a", "b", "b", "c", "c", "d", "d"]
+
+
+def test_a_store_refuses_a_second_checkpoint_and_expires_old_hours(spark, tmp):
+    src, store = os.path.join(tmp, "src"), os.path.join(tmp, "store")
+    schema = _readings(spark, []).schema
+
+    def run(checkpoint, hour):
+        rows = [("s1", "flow", "Z01", 50.0, 50.0, False, datetime(2026, 1, hour // 24 + 1, hour % 24, 0, 5))]
+        _readings(spark, rows).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).parquet(src)
+        start_hot_path(stream, store, os.path.join(tmp, checkpoint), trigger={"availableNow": True}, watermark="90 days", expire_every=1).awaitTermination()
+        return sorted(f for f in os.listdir(store) if f.startswith("window_part"))
+
+    assert run("chk", 3) == ["window_part=2026-01-01-03"]
+    assert run("chk", 20) == ["window_part=2026-01-01-03", "window_part=2026-01-01-20"]
+    assert run("chk", 29) == ["window_part=2026-01-01-20", "window_part=2026-01-02-05"]  # 24 h and the hour itself
+    try:
+        run("other", 30)
+        raised = False
+    except Exception as e:
+        raised = "store of its own" in str(e)
+    assert raised

@@ -6,14 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.functions.constants import PM25_THRESHOLD
+from aerolith.operators.history import carry_lookup
 from aerolith.operators.joins import lookup, maybe_broadcast
-from aerolith.operators.keys import hash_key, run_key
-from aerolith.operators.scd2 import asof_lookup, current_versions
+from aerolith.operators.keys import hash_key, run_key, wide_key
+from aerolith.operators.scd2 import current_versions
 
 
 def _fact_key(kind: str, natural: list[str]) -> Column:
     if kind == "hash":
         return hash_key(natural)
+    if kind == "wide":
+        return wide_key(natural)
     if kind == "run":
         return run_key()
     raise ValueError(f"unknown key kind {kind!r}")
@@ -25,7 +28,7 @@ def _station_keys(silver_air: DataFrame, dim_station: DataFrame, mode: str) -> D
             silver_air, current_versions(dim_station).select("station_id", "station_key"), "station_id"
         )
     if mode == "as_of":
-        return asof_lookup(
+        return carry_lookup(
             silver_air, dim_station, "station_id", "station_id", "reading_ts_utc", ["station_key"]
         )
     raise ValueError(f"unknown mode {mode!r}")
@@ -66,6 +69,15 @@ def observe_unmatched(df: DataFrame, key_cols, name: str = "unmatched"):
     return df.observe(obs, *metrics), obs
 
 
+CALENDAR_KEY = "calendar_key"
+
+
+def with_calendar_key(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """``fact`` with the calendar's own key of its day, NULL where the calendar ends."""
+    days = dim_date.select("date_key", F.col("date_key").alias(CALENDAR_KEY))
+    return fact.join(maybe_broadcast(days), "date_key", "left").select(*fact.columns, CALENDAR_KEY)
+
+
 def fct_air_quality_hourly(
     silver_air: DataFrame,
     dim_station: DataFrame,
@@ -77,8 +89,8 @@ def fct_air_quality_hourly(
     """One row per Silver air reading with station and region keys.
 
     ``mode="as_of"`` picks the station version valid at the reading time.
-    ``air_quality_key`` is a stable hash of (station_id, reading_ts_utc) by
-    default; ``key="run"`` gives the per-run unique id. Unmatched keys stay
+    ``air_quality_key`` is a stable 64-bit hash of (station_id, reading_ts_utc)
+    by default; ``key="wide"`` gives 128 bits, ``key="run"`` the per-run unique id. Unmatched keys stay
     NULL unless ``unknown_key`` (e.g. -1) names an unknown member.
     """
     df = _air_keys(silver_air, dim_station, dim_region, mode)
@@ -152,7 +164,7 @@ def fct_sensor_reading(
     if mode == "current":
         df = lookup(silver_sensor, current_versions(dim_sensor).select("sensor_id", "sensor_key"), "sensor_id")
     else:
-        df = asof_lookup(silver_sensor, dim_sensor, "sensor_id", "sensor_id", "reading_ts_utc", ["sensor_key"])
+        df = carry_lookup(silver_sensor, dim_sensor, "sensor_id", "sensor_id", "reading_ts_utc", ["sensor_key"])
     df = lookup(df, dim_zone.select("zone_id", "zone_key"), "zone_id")
     cols = list(SENSOR_READING_COLUMNS)
     if dim_sensor_type is not None:
@@ -214,7 +226,7 @@ ANOMALY_EVENT_COLUMNS = (
 def fct_sensor_anomaly_event(fct_sensor: DataFrame, key: str = "hash") -> DataFrame:
     """Anomalous readings only; keys inherited from the reading fact."""
     df = fct_sensor.filter(F.col("is_anomaly") == F.lit(True))
-    k = hash_key(["sensor_reading_key"]) if key == "hash" else run_key()
+    k = _fact_key(key, ["sensor_reading_key"])
     return df.select(k.alias("anomaly_event_key"), *ANOMALY_EVENT_COLUMNS)
 
 

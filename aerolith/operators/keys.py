@@ -77,6 +77,17 @@ def hash_key(cols: Sequence[str | Column]) -> Column:
     return F.xxhash64(*[F.col(c) if isinstance(c, str) else c for c in cols])
 
 
+def wide_key(cols: Sequence[str | Column]) -> Column:
+    """Stable 128-bit key from a natural key, as 32 hex digits.
+
+    64 bits meet their first collisions at some 10^10 rows; 128 do not at any
+    number of rows a table holds. Two hashes of differently salted input.
+    """
+    parts = [F.col(c) if isinstance(c, str) else c for c in cols]
+    half = lambda *salt: F.lower(F.lpad(F.hex(F.xxhash64(*salt, *parts)), 16, "0"))
+    return F.concat(half(), half(F.lit("second half")))
+
+
 def run_key() -> Column:
     """Unique per run, not stable across runs (``monotonically_increasing_id + 1``)."""
     return F.monotonically_increasing_id() + F.lit(1)

@@ -123,6 +123,28 @@ def recent_aggregates(
     return df.select(*cols).orderBy(F.desc("window_start"), "sensor_id").limit(n)
 
 
+def hour_sketches(hot: DataFrame, lg_k: int = 14) -> DataFrame:
+    """Per hour: counts and a HyperLogLog sketch of its sensors, a few KB whatever the number of windows."""
+    return hot.groupBy(F.date_trunc("hour", "window_start").alias("hour")).agg(
+        F.count(F.lit(1)).alias("windows"),
+        F.count_if(F.col("is_anomaly") == F.lit(True)).alias("anomalies"),
+        F.hll_sketch_agg("sensor_id", F.lit(lg_k)).alias("sensors"),
+    )
+
+
+def live_kpis_from_sketches(sketches: DataFrame) -> DataFrame:
+    """Q4 from stored hours: counts add up, sketches merge; no window is read again."""
+    agg = sketches.agg(
+        F.sum("windows").alias("total_readings"),
+        F.sum("anomalies").alias("anomalies_detected"),
+        F.hll_sketch_estimate(F.hll_union_agg("sensors")).alias("active_sensors"),
+    )
+    return agg.withColumn(
+        "anomaly_pct",
+        F.when(F.col("total_readings") > 0, F.col("anomalies_detected") * 100.0 / F.col("total_readings")),
+    )
+
+
 # --- documented business questions (B1-B12) ------------------------------------------
 
 
@@ -149,13 +171,16 @@ def b2_threshold_exceedance(
     return agg.orderBy(F.desc("hours_exceeding"), "station_id").limit(k)
 
 
-def b3_air_weather_correlation(fct_air: DataFrame, dim_region: DataFrame, fct_weather: DataFrame,
+def b3_air_weather_correlation(fct_air: DataFrame, dim_region: DataFrame | None, fct_weather: DataFrame,
                                grain: str = "hour") -> DataFrame:
     """Correlation of PM2.5 with humidity and wind, matching a station's region
     to the weather city. Both sides are first aggregated to the join grain
-    (city, date_key[, hour]) so the join is one-to-one, never all pairs."""
+    (city, date_key[, hour]) so the join is one-to-one, never all pairs.
+    Without ``dim_region`` the readings name their region themselves."""
     keys = ["city", "date_key"] + (["hour"] if grain == "hour" else [])
-    air = fct_air.join(maybe_broadcast(dim_region.select("region_key", "region_name")), "region_key")
+    air = fct_air
+    if dim_region is not None:
+        air = fct_air.join(maybe_broadcast(dim_region.select("region_key", "region_name")), "region_key")
     air = air.select(F.col("region_name").alias("city"), "date_key", F.col("reading_hour").alias("hour"), "pm25_value")
     w = fct_weather.select(
         F.col("city_name").alias("city"), "date_key", F.hour("reading_ts_utc").alias("hour"),
@@ -180,18 +205,29 @@ def b4_worst_local_hour(fct_air: DataFrame, offset_hours: int = 7) -> DataFrame:
 def b5_aqi_driver_frequency(fct_air: DataFrame) -> DataFrame:
     """How often each parameter drives the AQI, with its share of readings."""
     counts = fct_air.groupBy("aqi_param").agg(F.count(F.lit(1)).alias("readings"))
-    total = fct_air.agg(F.count(F.lit(1))).scalar()
+    total = F.sum("readings").over(Window.partitionBy(F.lit(0)))  # over the few counts, not a second pass over the fact
     return counts.withColumn("share_pct", F.col("readings") * 100.0 / total)
 
 
-def _last_days(df: DataFrame, days: int, as_of=None) -> DataFrame:
-    end = df.agg(F.max("reading_date")).scalar() if as_of is None else F.lit(as_of)
-    return df.filter(F.col("reading_date") > F.date_sub(end, days))
+def _last_days(df: DataFrame, days: int, as_of=None, dim_date: DataFrame | None = None) -> DataFrame:
+    """Rows of the last ``days`` days up to ``as_of`` (default: the newest date of ``df``, read from it).
+
+    With ``dim_date`` the days come from the calendar: on a table partitioned
+    by ``reading_date`` Spark prunes the scan to the folders of those days
+    (dynamic partition pruning), however the days were chosen.
+    """
+    end = df.agg(F.max("reading_date")).scalar() if as_of is None else F.lit(as_of).cast("date")
+    if dim_date is None:
+        return df.filter(F.col("reading_date") > F.date_sub(end, days))
+    recent = dim_date.filter((F.col("full_date") > F.date_sub(end, days)) & (F.col("full_date") <= end)).select("full_date")
+    return df.join(maybe_broadcast(recent), F.col("reading_date") == F.col("full_date")).drop("full_date")
 
 
-def b6_zone_anomaly_rates(fct_sensor: DataFrame, dim_zone: DataFrame, days: int = 7, as_of=None) -> DataFrame:
+def b6_zone_anomaly_rates(
+    fct_sensor: DataFrame, dim_zone: DataFrame, days: int = 7, as_of=None, dim_date: DataFrame | None = None
+) -> DataFrame:
     """Per zone over the last ``days`` days up to ``as_of`` (default: latest date)."""
-    df = _last_days(fct_sensor, days, as_of).join(maybe_broadcast(dim_zone.select("zone_key", "zone_id")), "zone_key")
+    df = _last_days(fct_sensor, days, as_of, dim_date).join(maybe_broadcast(dim_zone.select("zone_key", "zone_id")), "zone_key")
     agg = df.groupBy("zone_id").agg(
         F.count(F.lit(1)).alias("readings"), F.count_if(F.col("is_anomaly") == F.lit(True)).alias("anomalies")
     )
@@ -200,12 +236,12 @@ def b6_zone_anomaly_rates(fct_sensor: DataFrame, dim_zone: DataFrame, days: int
 
 def b7_zone_trend(
     fct_sensor: DataFrame, dim_zone: DataFrame, dim_sensor_type: DataFrame, sensor_type: str = "temperature",
-    days: int = 30, as_of=None, moving: int = 7,
+    days: int = 30, as_of=None, moving: int = 7, dim_date: DataFrame | None = None,
 ) -> DataFrame:
     """Daily average per zone for one sensor type over ``days`` days, with a
     ``moving``-day moving average (window over the small daily series)."""
     t = dim_sensor_type.filter(F.col("sensor_type") == F.lit(sensor_type)).select("sensor_type_key")
-    df = _last_days(fct_sensor, days, as_of).join(maybe_broadcast(t), "sensor_type_key", "left_semi")
+    df = _last_days(fct_sensor, days, as_of, dim_date).join(maybe_broadcast(t), "sensor_type_key", "left_semi")
     df = df.join(maybe_broadcast(dim_zone.select("zone_key", "zone_id")), "zone_key")
     daily = df.groupBy("zone_id", "reading_date").agg(F.avg("value").alias("avg_value"))
     w = Window.partitionBy("zone_id").orderBy("reading_date").rowsBetween(-(moving - 1), 0)

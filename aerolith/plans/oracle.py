@@ -80,7 +80,7 @@ FROM customer c LEFT JOIN (
 ON c.c_custkey = o.o_custkey {known}"""
 
 
-def _windows_sql(unit: str) -> str:
+def windows_sql(unit: str, source: str = "silver_sensor") -> str:
     return f"""
 SELECT sensor_id, window_start, window_start + INTERVAL 1 {unit} AS window_end,
        coalesce(f_type, 'unknown') AS sensor_type, coalesce(f_zone, 'unknown') AS zone_id,
@@ -92,10 +92,10 @@ FROM (
          count(*) AS reading_count, count(*) FILTER (WHERE is_anomaly) AS anomaly_count,
          count(*) FILTER (WHERE abs(value - target) > 3.0 * {sigma_case("coalesce(sensor_type, 'unknown')")}) AS reading_rule_count,
          count(*) FILTER (WHERE value IS NULL OR target IS NULL) AS invalid_count,
-         arg_min(sensor_type, (reading_ts_utc, sensor_type, zone_id, target)) AS f_type,
-         arg_min(zone_id, (reading_ts_utc, sensor_type, zone_id, target)) AS f_zone,
-         arg_min(target, (reading_ts_utc, sensor_type, zone_id, target)) AS f_target
-  FROM silver_sensor GROUP BY sensor_id, date_trunc('{unit}', reading_ts_utc))"""
+         arg_min_null(sensor_type, (reading_ts_utc, sensor_type, zone_id, target)) AS f_type,
+         arg_min_null(zone_id, (reading_ts_utc, sensor_type, zone_id, target)) AS f_zone,
+         arg_min_null(target, (reading_ts_utc, sensor_type, zone_id, target)) AS f_target
+  FROM {source} GROUP BY sensor_id, date_trunc('{unit}', reading_ts_utc))"""
 
 
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
@@ -180,8 +180,8 @@ FROM silver_sensor r
 LEFT JOIN (SELECT sensor_id, sensor_key FROM dim_sensor WHERE is_current) d ON r.sensor_id = d.sensor_id
 LEFT JOIN dim_zone z ON r.zone_id = z.zone_id
 LEFT JOIN dim_sensor_type t ON r.sensor_type = t.sensor_type AND r.unit = t.unit"""),
-    "hot_windows": (("silver_sensor",), _windows_sql("minute")),
-    "hot_hours": (("silver_sensor",), _windows_sql("hour")),
+    "hot_windows": (("silver_sensor",), windows_sql("minute")),
+    "hot_hours": (("silver_sensor",), windows_sql("hour")),
     "bronze_weather": ((), f"""
 SELECT n.n_nationkey AS city_id, n.n_name AS city_name, 'TH' AS country,
        CAST(n.n_regionkey AS DOUBLE) AS lat, CAST(s.s_nationkey AS DOUBLE) AS lon,

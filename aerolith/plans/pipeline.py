@@ -9,14 +9,16 @@ one, so the input of a running merge is never deleted.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from aerolith.operators import dims, facts, scd2, silver
 from aerolith.operators.keys import duplicate_keys
-from aerolith.sinks import read_latest, table_exists, write_observed, write_version
+from aerolith.sinks import read_latest, table_exists, write_partitioned, write_table, write_version
 
 STATION_ATTRS = ["station_name_en", "station_name_th", "area_en", "station_type", "lat", "lon"]
 STATION_TRACKED = ["station_name_en", "area_en", "lat", "lon"]
@@ -30,29 +32,38 @@ FACT_KEYS = {
 }
 
 
+REPORT = "table_name string, row_count long, column_name string, missing long"
+
+
 @dataclass
 class ColdPathResult:
+    """Where the tables are, and what their writing passes counted: rows, and
+    per table the NULLs of natural keys (Silver, dimensions) or of looked-up keys (facts)."""
+
     root: str
     counts: dict[str, int] = field(default_factory=dict)
-    unmatched_dates: int = 0
+    missing: dict[str, dict[str, int]] = field(default_factory=dict)
     duplicate_keys: dict[str, int] = field(default_factory=dict)
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def report(self, spark: SparkSession) -> DataFrame:
+        """One row for each table and observed column."""
+        rows = [(t, self.counts[t], c, n) for t, cols in self.missing.items() for c, n in cols.items()]
+        return spark.createDataFrame(rows, REPORT)
+
 
-def _load_scd2(spark, snapshot: DataFrame, base: str, key: str, surrogate: str, tracked, as_of) -> None:
+def _load_scd2(spark, snapshot: DataFrame, base: str, key: str, surrogate: str, tracked, as_of) -> DataFrame:
+    """The dimension's next version."""
     if table_exists(spark, base):
-        merged = scd2.merge(read_latest(spark, base), snapshot, key, tracked, surrogate, as_of)
-    else:
-        merged = scd2.first_load(snapshot, key, surrogate, as_of)
-    write_version(merged, base)
+        return scd2.merge(read_latest(spark, base), snapshot, key, tracked, surrogate, as_of)
+    return scd2.first_load(snapshot, key, surrogate, as_of)
 
 
-def _load_scd1(spark, base: str, build) -> int:
-    """Next version of a type-1 dimension; members keep the keys of the last one."""
-    known = read_latest(spark, base) if table_exists(spark, base) else None
-    return spark.read.parquet(write_version(build(known), base)).count()
+def _known(spark, base: str) -> DataFrame | None:
+    """Members of a type-1 dimension's last version: they keep their keys."""
+    return read_latest(spark, base) if table_exists(spark, base) else None
 
 
 def run_cold_path(
@@ -64,37 +75,47 @@ def run_cold_path(
     as_of: date,
     dim_date_range: tuple[date, date] | None = None,
 ) -> ColdPathResult:
-    """Run every stage and return the Gold location with per-table row counts
-    (counted in the writing pass)."""
+    """Run every stage and return the Gold location with what each table's
+    writing pass observed. Facts count looked-up keys without a member, and
+    days that the calendar lacks."""
     res = ColdPathResult(root.rstrip("/"))
     p = res.path
 
+    def load(table: str, df: DataFrame, must: Sequence[str], write: Callable[[DataFrame], object], extra: Sequence[str] = ()) -> None:
+        seen, observation = facts.observe_unmatched(df, must, table)
+        write(seen.drop(*extra))
+        counted = observation.get
+        res.counts[table] = int(counted["rows"])
+        res.missing[table] = {c: int(counted[f"{c}_unmatched"]) for c in must}
+
+    def by_date(path: str) -> Callable[[DataFrame], object]:
+        return lambda df: write_partitioned(df, p(path), ["reading_date"])
+
     # Stage 1: Silver (three independent jobs).
-    res.counts["silver_air"] = write_observed(silver.silver_air(bronze_air), p("silver/air_quality"), ["reading_date"])
-    res.counts["silver_weather"] = write_observed(silver.silver_weather(bronze_weather), p("silver/weather"), ["reading_date"])
-    res.counts["silver_sensor"] = write_observed(silver.silver_sensor(bronze_sensor), p("silver/sensor_readings"), ["reading_date"])
+    load("silver_air", silver.silver_air(bronze_air), ["station_id", "reading_ts_utc"], by_date("silver/air_quality"))
+    load("silver_weather", silver.silver_weather(bronze_weather), ["city_id", "reading_ts_utc"], by_date("silver/weather"))
+    load("silver_sensor", silver.silver_sensor(bronze_sensor), ["sensor_id", "reading_ts_utc"], by_date("silver/sensor_readings"))
     sa = spark.read.parquet(p("silver/air_quality"))
     sw = spark.read.parquet(p("silver/weather"))
     ss = spark.read.parquet(p("silver/sensor_readings"))
 
     # Stage 2: dimensions.
-    if dim_date_range:
-        dd = dims.dim_date(spark, *dim_date_range)
-    else:
-        dd = dims.dim_date(spark)
-    res.counts["dim_date"] = write_observed(dd, p("gold/dim_date"))
+    load("dim_date", dims.dim_date(spark, *(dim_date_range or ())), ["date_key"], lambda df: write_table(df, p("gold/dim_date")))
     type1 = {
-        "dim_region": lambda known: dims.dim_region(sa, known=known),
-        "dim_weather_condition": lambda known: dims.dim_weather_condition(sw, known=known),
-        "dim_zone": lambda known: dims.dim_zone(ss, known=known),
-        "dim_sensor_type": lambda known: dims.dim_sensor_type(ss, known=known),
+        "dim_region": (lambda known: dims.dim_region(sa, known=known), "region_name"),
+        "dim_weather_condition": (lambda known: dims.dim_weather_condition(sw, known=known), "weather_description"),
+        "dim_zone": (lambda known: dims.dim_zone(ss, known=known), "zone_id"),
+        "dim_sensor_type": (lambda known: dims.dim_sensor_type(ss, known=known), "sensor_type"),
     }
-    for name, build in type1.items():
-        res.counts[name] = _load_scd1(spark, p(f"gold/{name}"), build)
+    for name, (build, natural) in type1.items():
+        base = p(f"gold/{name}")
+        load(name, build(_known(spark, base)), [natural], lambda df, base=base: write_version(df, base))
     station_snap = scd2.snapshot(sa, "station_id", STATION_ATTRS, "reading_ts_utc")
-    _load_scd2(spark, station_snap, p("gold/dim_station"), "station_id", "station_key", STATION_TRACKED, as_of)
     sensor_snap = scd2.snapshot(ss, "sensor_id", SENSOR_ATTRS, "reading_ts_utc")
-    _load_scd2(spark, sensor_snap, p("gold/dim_sensor"), "sensor_id", "sensor_key", SENSOR_ATTRS, as_of)
+    for name, snap, tracked in (("station", station_snap, STATION_TRACKED), ("sensor", sensor_snap, SENSOR_ATTRS)):
+        base = p(f"gold/dim_{name}")
+        merged = _load_scd2(spark, snap, base, f"{name}_id", f"{name}_key", tracked, as_of)
+        load(f"dim_{name}", merged, [f"{name}_id"], lambda df, base=base: write_version(df, base))
 
     dim_station = read_latest(spark, p("gold/dim_station"))
     dim_sensor = read_latest(spark, p("gold/dim_sensor"))
@@ -104,27 +125,33 @@ def run_cold_path(
     dim_date = spark.read.parquet(p("gold/dim_date"))
 
     # Stage 3: facts.
-    res.counts["fct_air_quality_hourly"] = write_observed(
-        facts.fct_air_quality_hourly(sa, dim_station, dim_region), p("gold/fct_air_quality_hourly"), ["reading_date"]
-    )
-    res.counts["fct_pollution_daily_summary"] = write_observed(
-        facts.fct_pollution_daily_summary(sa, dim_station, dim_region), p("gold/fct_pollution_daily_summary"), ["reading_date"]
-    )
-    res.counts["fct_sensor_reading"] = write_observed(
-        facts.fct_sensor_reading(ss, dim_sensor, dim_zone, dim_type), p("gold/fct_sensor_reading"), ["reading_date"]
-    )
-    res.counts["fct_weather_hourly"] = write_observed(
-        facts.fct_weather_hourly(sw, dim_wc, dim_date), p("gold/fct_weather_hourly")
+    def load_fact(table: str, fact: DataFrame, keys: Sequence[str], write: Callable[[DataFrame], object]) -> None:
+        load(table, facts.with_calendar_key(fact, dim_date), [*keys, facts.CALENDAR_KEY], write, [facts.CALENDAR_KEY])
+
+    air, daily, reading, hourly = "fct_air_quality_hourly", "fct_pollution_daily_summary", "fct_sensor_reading", "fct_weather_hourly"
+    load_fact(air, facts.fct_air_quality_hourly(sa, dim_station, dim_region), ["station_key", "region_key"], by_date(f"gold/{air}"))
+    load_fact(daily, facts.fct_pollution_daily_summary(sa, dim_station, dim_region), ["station_key", "region_key"], by_date(f"gold/{daily}"))
+    load_fact(
+        reading, facts.fct_sensor_reading(ss, dim_sensor, dim_zone, dim_type), ["sensor_key", "zone_key", "sensor_type_key"], by_date(f"gold/{reading}")
     )
+    load_fact(hourly, facts.fct_weather_hourly(sw, dim_wc), ["weather_condition_key"], lambda df: write_table(df, p(f"gold/{hourly}")))
 
     # Stage 4: anomaly fact from the written reading fact.
-    readings = spark.read.parquet(p("gold/fct_sensor_reading"))
-    res.counts["fct_sensor_anomaly_event"] = write_observed(
-        facts.fct_sensor_anomaly_event(readings), p("gold/fct_sensor_anomaly_event")
-    )
+    event = "fct_sensor_anomaly_event"
+    readings = spark.read.parquet(p(f"gold/{reading}"))
+    load_fact(event, facts.fct_sensor_anomaly_event(readings), ["sensor_key", "zone_key"], lambda df: write_table(df, p(f"gold/{event}")))
 
-    # Reports: fact dates outside the calendar, and fact keys that are not unique.
-    res.unmatched_dates = facts.unmatched_dates(spark.read.parquet(p("gold/fct_air_quality_hourly")), dim_date).count()
     for name, key in FACT_KEYS.items():
         res.duplicate_keys[name] = duplicate_keys(spark.read.parquet(p(f"gold/{name}")).select(key), key).count()
     return res
+
+
+def fact_key_report(keyed: dict[str, DataFrame]) -> DataFrame:
+    """(fact, rows, keys, null_keys) of several facts, each a one-column frame of keys: one aggregate over all."""
+    frames = [df.select(F.lit(name).alias("fact"), F.col(df.columns[0]).alias("key")) for name, df in keyed.items()]
+    every = frames[0]
+    for df in frames[1:]:
+        every = every.unionByName(df)
+    return every.groupBy("fact").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("key").alias("distinct_keys"), F.count_if(F.col("key").isNull()).alias("null_keys")
+    )

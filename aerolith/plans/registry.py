@@ -17,7 +17,7 @@ from pyspark.sql.types import TimestampType
 from aerolith.operators import dims, facts, scd2, silver
 from aerolith.plans import standins as S
 from aerolith.plans.oracle import with_ctes
-from aerolith.session import configure
+from aerolith.session import configure, scratch_path
 from aerolith.sinks import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,7 +56,10 @@ def silver_air_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 def air_star(spark: SparkSession, sf_dir: str):
     # Silver is written once and read by the dimension and fact stages, as in
     # the cold pipeline (no stage chain recomputed per consumer).
-    sa = materialize(silver_air_of(spark, sf_dir), "silver-air")
+    return star_of(materialize(silver_air_of(spark, sf_dir), "silver-air"))
+
+
+def star_of(sa: DataFrame):
     station_snap = scd2.snapshot(
         sa, "station_id",
         ["station_name_en", "station_name_th", "area_en", "station_type", "lat", "lon"],
@@ -440,6 +443,13 @@ def _marts():
     return marts
 
 
+def air_measures(spark, sf_dir):
+    """The hourly fact's measures and times alone: questions without a
+    dimension build none (each reading has one row in the fact, matched or not)."""
+    sa = silver_air_of(spark, sf_dir)
+    return sa.select("area_en", "date_key", F.hour("reading_ts_utc").alias("reading_hour"), "pm25_value", "aqi_param")
+
+
 def fct_air_of(spark, sf_dir):
     sa, ds, dr = air_star(spark, sf_dir)
     return sa, ds, dr, facts.fct_air_quality_hourly(sa, ds, dr)
@@ -478,10 +488,8 @@ JOIN (SELECT city_name AS city, date_key, avg(humidity_pct) AS humidity, avg(win
 ON a.city = b.city AND a.date_key = b.date_key"""))
 def q_b3(spark, sf_dir):
     """PM2.5 vs humidity / wind correlation, pre-aggregated to (city, day)."""
-    sa, ds, dr, fct = fct_air_of(spark, sf_dir)
-    sw = materialize(silver_weather_of(spark, sf_dir), "silver-weather")
-    fw = facts.fct_weather_hourly(sw, dims.dim_weather_condition(sw))
-    return _marts().b3_air_weather_correlation(fct, dr, fw, grain="day")
+    air = air_measures(spark, sf_dir).where("area_en IS NOT NULL").withColumnRenamed("area_en", "region_name")
+    return _marts().b3_air_weather_correlation(air, None, silver_weather_of(spark, sf_dir), grain="day")
 
 
 @register("b4_local_hour", with_ctes(("fct_air",), """
@@ -490,7 +498,7 @@ SELECT CAST((reading_hour + 7) % 24 AS INTEGER) AS local_hour, avg(pm25_value) A
 FROM fct_air GROUP BY CAST((reading_hour + 7) % 24 AS INTEGER)"""))
 def q_b4(spark, sf_dir):
     """PM2.5 by local hour of day."""
-    return _marts().b4_worst_local_hour(fct_air_of(spark, sf_dir)[3])
+    return _marts().b4_worst_local_hour(air_measures(spark, sf_dir))
 
 
 @register("b5_aqi_driver", with_ctes(("fct_air",), """
@@ -498,7 +506,18 @@ SELECT aqi_param, count(*) AS readings, count(*) * 100.0 / (SELECT count(*) FROM
 FROM fct_air GROUP BY aqi_param"""))
 def q_b5(spark, sf_dir):
     """Frequency of each AQI driver parameter."""
-    return _marts().b5_aqi_driver_frequency(fct_air_of(spark, sf_dir)[3])
+    return _marts().b5_aqi_driver_frequency(air_measures(spark, sf_dir))
+
+
+def partitioned_fct_sensor(spark, sf_dir):
+    """The reading fact as the cold path stores it, by date; its newest date from the folder names."""
+    from aerolith.sinks import partition_values, write_partitioned
+
+    ss, dsn, dz, dt = sensor_star(spark, sf_dir)
+    path = scratch_path(spark, "fct-sensor")
+    write_partitioned(facts.fct_sensor_reading(ss, dsn, dz, dt), path)
+    dim_date = materialize(dims.dim_date_covering(ss, "reading_date"), "dim-date")
+    return spark.read.parquet(path), dim_date, partition_values(spark, path, "reading_date")[-1], dz, dt
 
 
 @register("b6_zone_anomaly_7d", with_ctes(("fct_sensor", "dim_zone"), """
@@ -508,9 +527,9 @@ FROM fct_sensor f JOIN dim_zone z ON f.zone_key = z.zone_key
 WHERE f.reading_date > (SELECT max(reading_date) FROM fct_sensor) - 7
 GROUP BY z.zone_id"""))
 def q_b6(spark, sf_dir):
-    """Zone anomaly rates over the last 7 days."""
-    ss, dsn, dz, dt = sensor_star(spark, sf_dir)
-    return _marts().b6_zone_anomaly_rates(facts.fct_sensor_reading(ss, dsn, dz, dt), dz)
+    """Zone anomaly rates over the last 7 days, of which alone the fact's folders are read."""
+    fact, dim_date, newest, dz, _ = partitioned_fct_sensor(spark, sf_dir)
+    return _marts().b6_zone_anomaly_rates(fact, dz, as_of=newest, dim_date=dim_date)
 
 
 STANDIN_TREND_TYPE = "view"
@@ -528,8 +547,8 @@ FROM (SELECT z.zone_id, f.reading_date, avg(f.value) AS avg_value
       GROUP BY z.zone_id, f.reading_date)"""))
 def q_b7(spark, sf_dir):
     """30-day daily trend per zone with a 7-day moving average."""
-    ss, dsn, dz, dt = sensor_star(spark, sf_dir)
-    return _marts().b7_zone_trend(facts.fct_sensor_reading(ss, dsn, dz, dt), dz, dt, STANDIN_TREND_TYPE)
+    fact, dim_date, newest, dz, dt = partitioned_fct_sensor(spark, sf_dir)
+    return _marts().b7_zone_trend(fact, dz, dt, STANDIN_TREND_TYPE, as_of=newest, dim_date=dim_date)
 
 
 @register("b8_sensor_drift", with_ctes(("fct_sensor", "dim_sensor"), """
@@ -576,7 +595,7 @@ SELECT count(*) AS hours, count(*) FILTER (WHERE pm25_value > 15.0) AS hours_abo
 FROM fct_air WHERE pm25_value IS NOT NULL"""))
 def q_b11(spark, sf_dir):
     """Share of hourly readings above 15."""
-    return _marts().b11_share_above(fct_air_of(spark, sf_dir)[3])
+    return _marts().b11_share_above(air_measures(spark, sf_dir))
 
 
 @register("b12_hot_cold", with_ctes(("hot_windows", "silver_sensor"), """
@@ -610,7 +629,7 @@ def hot_of(spark, sf_dir):
     newest = stored.agg(F.max(STORE_PARTITION)).first()[0]
     as_of = stored.where(F.col(STORE_PARTITION) == newest).agg(F.max("window_end")).scalar()
     oldest = F.date_format(F.date_sub(F.lit(newest).cast("date"), LIVE_DAYS + 1), "yyyy-MM-dd")
-    return read_store(spark, path, STORE_KEYS, F.col(STORE_PARTITION) >= oldest), as_of
+    return read_store(spark, path, STORE_KEYS, F.col(STORE_PARTITION) >= oldest, live_at="now"), as_of
 
 
 @register("live_kpis", with_ctes(("recent_days",), """
@@ -664,8 +683,6 @@ def q_key_versions(spark, sf_dir):
 
 # --- sources, sinks and streams -----------------------------------------------------
 
-from aerolith.session import scratch_path  # noqa: E402
-
 
 @register("flatten_air", with_ctes(("bronze_air",), """
 SELECT station_id, station_name_en, station_name_th, area_en, area_th, station_type,
@@ -757,9 +774,8 @@ def q_bronze_ingest(spark, sf_dir):
     publish(S.bronze_sensor(spark, sf_dir), "sensor_id", fmt="parquet", path=f"{root}/messages")
     msg_schema = StructType([StructField("key", StringType()), StructField("value", StringType())])
     stream = file_stream(spark, f"{root}/messages", msg_schema, "parquet")
-    for q in start_ingest(stream, BRONZE_SENSOR, f"{root}/bronze", f"{root}/chk", f"{root}/quarantine",
-                          trigger={"availableNow": True}):
-        q.awaitTermination()
+    q = start_ingest(stream, BRONZE_SENSOR, f"{root}/bronze", f"{root}/chk", f"{root}/quarantine", trigger={"availableNow": True})
+    q.awaitTermination()
     return spark.read.parquet(f"{root}/bronze").select(*BRONZE_SENSOR.fieldNames())
 
 
@@ -813,7 +829,7 @@ def q_hot_store_multi_batch(spark, sf_dir):
 
     path = hot_store(spark, sf_dir)
     rows = spark.read.parquet(path)
-    replayed = materialize(rows.where(F.col(EPOCH) == 1).drop(EPOCH), "replayed-epoch")
+    replayed = materialize(rows.where(F.col(EPOCH) == 1).drop(EPOCH).withColumn(STORE_PARTITION, F.date_format(STORE_PARTITION, "yyyy-MM-dd")), "replayed-epoch")
     append_epoch(replayed, path, 1, STORE_KEYS, STORE_PARTITION)
     return read_store(spark, path, STORE_KEYS).select(*WINDOW_COLUMNS)
 
@@ -898,3 +914,8 @@ def q_fct_daily_summary_local(spark, sf_dir):
     ds = scd2.first_load(snap, "station_id", "station_key", S.AS_OF_LOAD)
     out = facts.fct_pollution_daily_summary(sa_local, ds, dims.dim_region(sa_local), threshold=STANDIN_PM25_THRESHOLD)
     return out.drop("daily_summary_key")
+
+
+# --- further registered queries -------------------------------------------------------------
+
+from aerolith.plans import gaps, layout, loads, reports, streams  # noqa: E402, F401

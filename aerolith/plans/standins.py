@@ -115,10 +115,11 @@ def bronze_sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sensor_messages(table(spark, sf_dir, "events"))
 
 
-def sensor_messages(ev: DataFrame) -> DataFrame:
-    """Events (batch or stream) -> flat sensor-reading records."""
+def sensor_messages(ev: DataFrame, *extra: str) -> DataFrame:
+    """Events (batch or stream) -> flat sensor-reading records (and ``extra`` columns)."""
     sigma = sigma_lookup("event_type", EVENT_SIGMA)
     return ev.select(
+        *extra,
         F.col("user_id").cast("string").alias("sensor_id"),
         F.col("event_type").alias("sensor_type"),
         F.concat(F.lit("Z0"), (F.col("user_id") % 5 + 1).cast("string")).alias("zone_id"),

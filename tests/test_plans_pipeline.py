@@ -9,7 +9,9 @@ from aerolith.operators.joins import estimated_bytes, lookup
 from aerolith.plans import standins as S
 from aerolith.plans.registry import QUERIES
 
-STREAMING_OR_IO = {"hot_windows_stream", "bronze_ingest", "csv_roundtrip", "cold_path"}
+# These return the scan of what a run wrote; their stages are the other queries' and the operators' tests.
+STREAMING_OR_IO = {"hot_windows_stream", "bronze_ingest", "csv_roundtrip", "cold_path", "load_report", "cold_path_second_run", "ingest_resent",
+                   "topic_routes", "quarantine_reasons", "closed_windows", "state_left", "hot_cold_delta"}
 
 
 def _plan(df):
@@ -75,7 +77,9 @@ def test_cold_path_rerun_is_stable(spark, tmp):
     c1 = dict(r1.counts)
     r2 = run_cold_path(spark, *args, tmp + "/wh", date(2026, 1, 2), (date(1995, 12, 1), date(1997, 1, 31)))
     assert r2.counts == c1
-    assert r1.unmatched_dates == 0 and set(r1.duplicate_keys.values()) == {0}
+    assert set(r1.duplicate_keys.values()) == {0} and len(c1) == 15
+    # the calendar of these years lacks the sensors' days, and nothing else is missing
+    assert {(t, c) for t, cols in r1.missing.items() for c, n in cols.items() if n} == {(t, "calendar_key") for t in ("fct_sensor_reading", "fct_sensor_anomaly_event")}
     assert c1["fct_air_quality_hourly"] == c1["silver_air"]
     assert c1["fct_weather_hourly"] == c1["silver_weather"]
     assert c1["fct_sensor_reading"] == c1["silver_sensor"]
@@ -93,3 +97,51 @@ def test_cold_path_rerun_is_stable(spark, tmp):
     assert r3.counts["silver_air"] == spark.read.parquet(r3.path("silver/air_quality")).count() < c1["silver_air"]
     regions = read_latest(spark, r3.path("gold/dim_region"))
     assert regions.count() == regions.select("region_key").distinct().count() == c1["dim_region"]
+
+
+def test_newest_days_are_pruned_by_the_calendar(spark):
+    from aerolith.plans.registry import partitioned_fct_sensor
+    from aerolith.plans import marts
+
+    fact, dim_date, newest, zone, _ = partitioned_fct_sensor(spark, SF_SMALL)
+    plan = _plan(marts.b6_zone_anomaly_rates(fact, zone, as_of=newest, dim_date=dim_date))
+    assert "dynamicpruning#" in plan and "PartitionFilters: [" in plan
+
+
+def test_bucketed_star_has_no_exchange_of_the_fact(spark):
+    from aerolith.plans.layout import bucketed_star
+
+    keyed, _ = bucketed_star(spark, SF_SMALL)
+    plan = _plan(keyed)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and "Bucketed: true" in plan
+
+
+def test_gaps_are_reached(spark):
+    """The registered queries over inputs with gaps meet each gap."""
+    regions = QUERIES["regions_with_gaps"](spark, SF_SMALL).collect()
+    assert sum(r.readings for r in regions if r.region_key is None) > 0 and sum(r.readings - r.measured for r in regions) > 0
+    untyped = QUERIES["hot_windows_untyped"](spark, SF_SMALL)
+    assert untyped.where("sensor_type = 'unknown'").count() > 0 and untyped.where("zone_id = 'unknown'").count() > 0
+    assert QUERIES["holiday_readings"](spark, SF_SMALL).where("is_thai_holiday").count() > 0
+    delta = QUERIES["hot_cold_delta"](spark, SF_SMALL).first()
+    assert delta.delta > 0 and delta.mismatched_windows > 0
+    assert QUERIES["scd2_all_cases"](spark, SF_SMALL).count() == 4
+
+
+def test_load_report_counts_what_has_no_member(spark, tmp):
+    from aerolith.plans.pipeline import run_cold_path
+
+    month = F.col("reading_date").startswith("1996-05")
+    air = S.bronze_air(spark, SF_SMALL).filter(month)
+    air = air.withColumn("area_en", F.when(F.col("station_id") != "3", F.col("area_en")))
+    weather = S.bronze_weather(spark, SF_SMALL).filter(F.date_format(F.timestamp_seconds("reading_ts"), "yyyy-MM") == "1996-05")
+    sensor = S.bronze_sensor(spark, SF_SMALL).filter(F.col("reading_ts") < F.lit("2024-01-02"))
+    res = run_cold_path(spark, air, weather, sensor, tmp + "/wh", date(2026, 1, 1), (date(1996, 5, 1), date(1996, 5, 20)))
+    missing = res.missing["fct_air_quality_hourly"]
+    fact = spark.read.parquet(res.path("gold/fct_air_quality_hourly"))
+    assert missing["station_key"] == 0 and missing["region_key"] == fact.filter("region_key IS NULL").count() > 0
+    assert missing["calendar_key"] == fact.filter("date_key > 19960520 OR date_key < 19960501").count() > 0
+    assert "calendar_key" not in fact.columns
+    report = {(r.table_name, r.column_name): (r.row_count, r.missing) for r in res.report(spark).collect()}
+    assert report["fct_sensor_reading", "calendar_key"] == (res.counts["silver_sensor"],) * 2
+    assert len(res.counts) == 15

@@ -44,10 +44,14 @@ def shingle_set(text: bytes | None, shingle: int = 5) -> np.ndarray:
 class Bounds:
     """Sizes and overlaps that a similarity of ``percent`` per cent asks for, as whole numbers.
 
-    A prefix holds the first tokens of a set in one order of all tokens. Two
-    linked sets a and b share at least ``shared(min(a, b))`` prefix tokens: the
-    prefix is longer than the classic one by ``shared - 1``, a ``1 / slack`` of
-    the set, so that one common passage does not yet make a candidate.
+    Sets of a and b tokens that are linked share at least percent * (a + b) /
+    (100 + percent). A prefix holds the first tokens of a set in one order of
+    all tokens; ``rest`` is what a set has left from a token on, itself
+    included. The l-th token that two sets share leaves room for no more than
+    l - 1 + rest common ones, so linked sets share l tokens at which both
+    rests are large enough. l is one, and another for each ``slack`` tokens of
+    the smaller set: a passage that texts have in common does not yet make
+    them candidates.
     """
 
     def __init__(self, percent: int, slack: int = 20):
@@ -61,7 +65,7 @@ class Bounds:
         return 1 + size // self.slack
 
     def prefix(self, size):
-        return np.minimum(size, size - self.least(size) + self.shared(size))
+        return min(size, size - self.least(size) + self.shared(size))
 
     def least_column(self, size: Column) -> Column:
         return F.floor((size * self.percent + 99) / 100)
@@ -69,9 +73,9 @@ class Bounds:
     def shared_column(self, size: Column) -> Column:
         return 1 + F.floor(size / self.slack)
 
-    def near(self, a: Column, b: Column) -> Column:
-        """Sizes that a link allows."""
-        return F.least(a, b) * 100 >= F.greatest(a, b) * self.percent
+    def reaches(self, size: Column, other_size: Column, rest: Column, other_rest: Column, l_size: Column) -> Column:
+        """Whether a shared token with these rests can be among the first l (by ``l_size``) of linked sets."""
+        return self.percent * (size + other_size) <= (100 + self.percent) * (F.least(rest, other_rest) + self.shared_column(l_size) - 1)
 
 
 def common_tokens(docs: DataFrame, shingle: int, sample_rows: int, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -155,26 +159,47 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, shingle: int, p
 
 
 def star_pairs(postings: DataFrame, bounds: Bounds) -> DataFrame:
-    """(a, b): each set with the smallest set id of its tokens, if enough prefix tokens are shared. A few pairs a set."""
-    near = postings.where((F.col("hub") != F.col("sid")) & bounds.near(F.col("hub_size"), F.col("size")))
-    counted = near.groupBy("hub", "hub_size", "sid", "size").count()
-    return counted.where(F.col("count") >= bounds.shared_column(F.least("size", "hub_size"))).select(F.col("hub").alias("a"), F.col("sid").alias("b"))
+    """(a, b): each set with the smallest set id of its tokens, if enough tokens are shared. A few pairs a set.
+
+    They only make the groups; what they miss is found between groups.
+    """
+    hubs = postings.where("sid = hub").select("token", F.col("size").alias("hub_size"), F.col("rest").alias("hub_rest"))
+    less = F.least("size", "hub_size")
+    met = postings.where("sid <> hub").join(hubs, "token")
+    met = met.where(bounds.reaches(F.col("size"), F.col("hub_size"), F.col("rest"), F.col("hub_rest"), less))
+    counted = met.groupBy("hub", "sid", less.alias("less")).count()
+    return counted.where(F.col("count") >= bounds.shared_column(F.col("less"))).select(F.col("hub").alias("a"), F.col("sid").alias("b"))
 
 
 def group_pairs(members: DataFrame, bounds: Bounds) -> DataFrame:
     """(a, b): sets of different groups that may be linked.
 
-    ``members``: (token, sid, size, grp) of tokens that several groups hold.
-    A query set is counted against the token-group matrix first; only in
-    groups whose token union holds enough of its tokens are the members read.
+    ``members``: (token, sid, size, rest, grp) of tokens that several groups
+    hold. The token-group matrix has a row for each token of a group's union,
+    with the smallest size and the largest rest of the members that hold it.
+    They bound the overlap of a query set with any of those members; only
+    groups that reach the bound, with enough tokens, are opened, by the tokens
+    they share with the query. A group of one member needs no opening.
     """
-    matrix = members.groupBy("token", F.col("grp").alias("other")).agg(F.min("size").alias("low"), F.max("size").alias("high"))
-    met = members.join(matrix, "token").where((F.col("grp") < F.col("other")) & (F.col("high") >= bounds.least_column(F.col("size"))) & (F.col("low") * bounds.percent <= F.col("size") * 100))
-    bound = met.groupBy("sid", "size", "other").count().where(F.col("count") >= bounds.shared_column(bounds.least_column(F.col("size"))))
-    queries = bound.select("sid", "other").join(members.select("sid", "size", "token"), "sid")
-    opened = queries.join(members.select("token", F.col("grp").alias("other"), F.col("sid").alias("b"), F.col("size").alias("b_size")), ["token", "other"])
-    counted = opened.where(bounds.near(F.col("size"), F.col("b_size"))).groupBy("sid", "size", "b", "b_size").count()
-    return counted.where(F.col("count") >= bounds.shared_column(F.least("size", "b_size"))).select(F.col("sid").alias("a"), "b")
+    matrix = members.groupBy("token", F.col("grp").alias("other")).agg(
+        F.min("size").alias("low"), F.max("rest").alias("most"), F.min("sid").alias("first"), F.max("sid").alias("last")
+    )
+    size = F.col("size")
+    met = members.join(matrix, "token").where(
+        (F.col("grp") < F.col("other")) & bounds.reaches(size, F.greatest("low", bounds.least_column(size)), F.col("rest"), F.col("most"), size)
+    )
+    bound = met.groupBy("sid", "size", "other").agg(
+        F.count("*").alias("n"), F.min("low").alias("low"), F.min("first").alias("first"), F.max("last").alias("last")
+    )
+    bound = saved(bound.where(F.col("n") >= bounds.shared_column(bounds.least_column(size))), "qualified")
+    single = bound.where(F.col("first") == F.col("last")).where(F.col("n") >= bounds.shared_column(F.least("size", "low")))
+
+    queries = bound.where("first < last").select("sid", "other").join(members.select("sid", "size", "rest", "token"), "sid")
+    inside = members.select("token", F.col("grp").alias("other"), F.col("sid").alias("b"), F.col("size").alias("b_size"), F.col("rest").alias("b_rest"))
+    less = F.least("size", "b_size")
+    opened = queries.join(inside, ["token", "other"]).where(bounds.reaches(size, F.col("b_size"), F.col("rest"), F.col("b_rest"), less))
+    counted = opened.groupBy("sid", "b", less.alias("less")).count().where(F.col("count") >= bounds.shared_column(F.col("less")))
+    return single.select(F.col("sid").alias("a"), F.col("first").alias("b")).unionByName(counted.select(F.col("sid").alias("a"), "b"))
 
 
 def similar_documents(
@@ -195,17 +220,18 @@ def similar_documents(
        set is checked against the smallest set of its tokens; what is really
        similar forms the groups.
     2. The token-group matrix has one row for each token and group that holds
-       it: the group's union of prefix tokens, without its members. A set is
-       counted against the groups other than its own; the count bounds its
-       overlap with any member, and only groups that reach the bound are
-       opened. Pairs within a group need no check: the group is connected.
+       it: the group's union of prefix tokens, without its members. A set
+       is counted against the groups other than its own; a group is opened
+       only if the bound on the set's overlap with its members reaches what a
+       link needs, at as many tokens as it needs.
+       Pairs within a group need no check: the group is connected.
     3. Candidates are verified on their whole sets, made anew from the texts,
        and all links are joined to components.
 
     The result does not depend on the sample: the prefix bound holds in any
     order of the tokens. Shingles are compared by 64-bit hashes, sets by
-    128-bit digests. A token that very many *groups* hold in their prefix
-    costs a row for each pair of such groups.
+    128-bit digests. A token that many *groups* hold in their prefix is
+    compared between each two of them.
 
     Null or blank texts have no shingles and link with nothing. Rows of
     equal id are documents of their own. A row without id keeps its
@@ -219,15 +245,15 @@ def similar_documents(
     folded = rows.where("id IS NOT NULL AND size > 0").groupBy("digest").agg(F.min("id").alias("head"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
     sets = saved(folded.withColumn("sid", F.monotonically_increasing_id()), "sets")
 
-    postings = sets.select("sid", "size", F.explode("prefix").alias("token"))
-    hubs = postings.groupBy("token").agg(F.min(F.struct("sid", "size")).alias("hub"), F.max("sid").alias("last")).where("hub.sid < last")
-    hubs = hubs.select("token", F.col("hub.sid").alias("hub"), F.col("hub.size").alias("hub_size"))
+    postings = sets.select("sid", "size", F.posexplode("prefix").alias("pos", "token"))
+    postings = postings.select("token", "sid", "size", (F.col("size") - F.col("pos")).alias("rest"))
+    hubs = postings.groupBy("token").agg(F.min("sid").alias("hub"), F.max("sid").alias("last")).where("hub < last").drop("last")
     shared = saved(postings.join(hubs, "token"), "postings")
 
     check = lambda pairs: saved(verified(pairs, known, sets, shingle, percent, broadcast_rows), "links")
     stars = check(star_pairs(shared, bounds))
     groups = components(stars, "a", "b").toDF("sid", "root")
-    placed = shared.select("token", "sid", "size").join(groups, "sid", "left").select("token", "sid", "size", F.coalesce("root", "sid").alias("grp"))
+    placed = shared.drop("hub").join(groups, "sid", "left").select("token", "sid", "size", "rest", F.coalesce("root", "sid").alias("grp"))
     mixed = placed.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low < high").select("token")
     members = saved(placed.join(mixed, "token"), "members")
     links = stars.unionByName(check(group_pairs(members, bounds)))

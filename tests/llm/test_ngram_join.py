@@ -86,14 +86,22 @@ def test_one_id_of_several_texts_and_other_thresholds(spark, same_rows):
         same_rows(found.collect(), brute(rows, shingle, percent))
 
 
-def test_prefixes_of_linked_sets_share_enough_tokens():
-    """The bound that the candidates rest on, over all sizes of small sets."""
-    for percent in (50, 80, 95, 100):
-        bounds = ngram_join.Bounds(percent, slack=3)
-        for a in range(1, 25):
-            for b in range(a, 25):
-                for common in range(1, a + 1):
-                    if 100 * common >= percent * (a + b - common):
-                        need = bounds.shared(a)
-                        # the worst order: all tokens of one set only come first
-                        assert min(common, bounds.prefix(a) - (a - common), bounds.prefix(b) - (b - common)) >= min(need, common) > 0
+def test_linked_sets_always_meet():
+    """The bound that the candidates rest on: random linked sets in a random order of all tokens."""
+    rng = random.Random(5)
+    for _ in range(3000):
+        percent, slack = rng.choice([50, 80, 95, 100]), rng.choice([2, 3, 20])
+        bounds = ngram_join.Bounds(percent, slack)
+        universe = list(range(60))
+        rng.shuffle(universe)
+        common = universe[: rng.randrange(1, 40)]
+        only = universe[len(common) :]
+        a = common + only[: rng.randrange(0, 6)]
+        b = common + only[6 : 6 + rng.randrange(0, 6)]
+        if 100 * len(common) < percent * (len(a) + len(b) - len(common)):
+            continue
+        rest = [{t: len(x) - k for k, t in enumerate(sorted(x)) if k < bounds.prefix(len(x))} for x in (a, b)]
+        less = min(len(a), len(b))
+        fits = [t for t in rest[0].keys() & rest[1].keys() if percent * (len(a) + len(b)) <= (100 + percent) * (min(rest[0][t], rest[1][t]) + bounds.shared(less) - 1)]
+        assert len(fits) >= min(bounds.shared(less), len(common))
+        assert slack < 20 or bounds.shared(less) <= bounds.least(less)

@@ -1,4 +1,4 @@
-"""Exact substring deduplication: longest-previous-factor arrays over sharded suffix arrays."""
+"""Exact substring deduplication: suffixes of sharded texts in order of their first bytes, equal ones by document."""
 
 from __future__ import annotations
 
@@ -44,28 +44,54 @@ class Shards:
             raise ValueError("repeats shorter than 16 bytes cannot be sharded")
         self.length, self.buckets, self.piece = length, buckets, 8 * min(3, length // 16)
 
-    def runs(self, data: np.ndarray, sizes: np.ndarray, free: np.ndarray):
-        """(doc, first window, last window, bucket, tag) of each run of windows with one key; texts marked free have none."""
+    def pieces(self, data: np.ndarray) -> np.ndarray:
+        """Hash of the piece at each position."""
         v = _words(data, "<")
         h = v * MIX[0]
         for k in range(8, self.piece, 8):
             h ^= h >> np.uint64(32)
             h = (h + np.concatenate((v[k:], np.zeros(min(k, len(v)), np.uint64)))) * MIX[k // 8]
-        h ^= h >> np.uint64(32)
-        key = _least(h, self.length - self.piece + 1)
+        return h ^ (h >> np.uint64(32))
+
+    def dealt(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bucket, tag of 31 bits) of keys."""
+        mixed = key * MIX[1]
+        mixed ^= mixed >> np.uint64(31)
+        mixed *= MIX[2]
+        return ((mixed & np.uint64(0xFFFFFFFF)) % np.uint64(self.buckets)).astype(np.int64), (mixed >> np.uint64(33)).astype(np.int64)
+
+    def split(self, h: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(run, first window, last window, bucket): runs cut and dealt by the three smallest and two largest piece hashes.
+
+        For keys that very many texts share: what stands around the common
+        piece tells their windows apart, unless it fills nearly the window.
+        """
+        width = self.length - self.piece + 1
+        places = sorted({0, min(1, width - 1), min(2, width - 1), max(0, width - 2), width - 1})
+        size = last - first + 1
+        of = np.repeat(np.arange(len(first)), size)
+        at = np.arange(len(of)) + np.repeat(first - (np.cumsum(size) - size), size)
+        key = np.zeros(len(at), np.uint64)
+        for a in range(0, len(at), 1 << 17):
+            inside = np.partition(h[at[a : a + (1 << 17), None] + np.arange(width)], places, axis=1)
+            for k in places:
+                part = key[a : a + len(inside)]
+                key[a : a + len(inside)] = (part ^ (part >> np.uint64(29)) ^ inside[:, k]) * MIX[0]
+        new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (of[1:] != of[:-1]))) if len(of) else [])
+        stop = np.append(new[1:], len(of))[: len(new)] - 1
+        return of[new], at[new], at[stop], self.dealt(key[new])[0]
+
+    def runs(self, data: np.ndarray, sizes: np.ndarray, free: np.ndarray):
+        """(doc, first window, last window, bucket, tag) of each run of windows with one key; texts marked free have none."""
+        key = _least(self.pieces(data), self.length - self.piece + 1)
         ends = np.cumsum(sizes)
         count = np.where(free, 0, np.maximum(0, sizes - self.length + 1))
         doc = np.repeat(np.arange(len(sizes)), count)
         at = np.arange(len(doc)) + np.repeat((ends - sizes) - (np.cumsum(count) - count), count)
         key = key[at]
         new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]))) if len(key) else [])
-        last = np.append(new[1:], len(key)) - 1
-        mixed = key[new] * MIX[1]
-        mixed ^= mixed >> np.uint64(31)
-        mixed *= MIX[2]
-        bucket = ((mixed & np.uint64(0xFFFFFFFF)) % np.uint64(self.buckets)).astype(np.int64)
-        tag = (mixed >> np.uint64(33)).astype(np.int64)  # 31 bits
-        return doc[new], at[new], at[last], bucket, tag
+        last = np.append(new[1:], len(key))[: len(new)] - 1
+        return doc[new], at[new], at[last], *self.dealt(key[new])
 
 
 def packed(ids: list[int | None], texts: list[bytes | None]) -> bytes:
@@ -97,14 +123,22 @@ class Segments:
     def __init__(self, shards: Shards, row: dict):
         self.data, self.sizes, self.ids, self.free = _open(row)
         doc, first, last, bucket, tag = shards.runs(self.data, self.sizes, self.free)
-        known = [(np.int64(s["bucket"]) << 31) | np.frombuffer(s["tags"], "<u4").astype(np.int64) for s in row["shared"] or []]
-        known = np.sort(np.concatenate(known)) if known else np.empty(0, np.int64)
-        chosen = np.flatnonzero(np.isin(bucket << 31 | tag, known))
-        chosen = chosen[np.argsort(bucket[chosen], kind="stable")]
-        self.doc, self.first, self.bucket = self.ids[doc[chosen]], first[chosen], bucket[chosen]
+        known = [(np.int64(s["bucket"]) << 32) | np.frombuffer(s["tags"], "<u4").astype(np.int64) for s in row["shared"] or []]
+        known = np.concatenate(known) if known else np.empty(0, np.int64)
+        key = bucket << 31 | tag
+        chosen = np.flatnonzero(np.isin(key, known >> 1))
+        hot = chosen[np.isin(key[chosen], known[known & 1 == 1] >> 1)]
+        if len(hot):
+            plain = np.setdiff1d(chosen, hot, assume_unique=True)
+            run, a, b, dealt = shards.split(shards.pieces(self.data), first[hot], last[hot])
+            doc, first, last, bucket = (np.concatenate(x) for x in ((doc[plain], doc[hot[run]]), (first[plain], a), (last[plain], b), (bucket[plain], dealt)))
+        else:
+            doc, first, last, bucket = doc[chosen], first[chosen], last[chosen], bucket[chosen]
+        order = np.argsort(bucket, kind="stable")
+        self.doc, self.first, self.bucket = self.ids[doc[order]], first[order], bucket[order]
         raw = self.data.tobytes()
         number: dict[tuple[int, bytes], int] = {}
-        stop = last[chosen] + shards.length
+        stop = last[order] + shards.length
         of = [number.setdefault((k, raw[a:b]), len(number)) for k, a, b in zip(self.bucket.tolist(), self.first.tolist(), stop.tolist())]
         self.of = np.array(of, np.int64)
         self.texts = [t for _, t in number]
@@ -141,15 +175,14 @@ def _suffix_order(v: np.ndarray, at: np.ndarray, steps: list[int], docs: np.ndar
     return order, head
 
 
-def earliest_sources(texts: list[bytes], docs: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each window of each text the smallest document that holds it.
+def earliest_sources(texts: list[bytes], docs: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(smallest document that holds it, for each window of each text; windows of each text).
 
-    ``docs`` is each text's own smallest document. The suffix array of the
-    texts, cut at ``length`` bytes, lists windows by their bytes, equal ones
-    by document. A window's longest previous factor comes from the nearest
-    entries before and after it with a smaller document; it reaches
-    ``length`` just when the entry before, equal in all its bytes, has one,
-    and following these previous smaller entries leads to the first of them.
+    ``docs`` is each text's own smallest document. Suffixes are sorted by
+    their first ``length`` bytes, equal ones by document, so the first of the
+    equal ones is where following previous smaller entries would lead. What a
+    whole longest-previous-factor array adds, the lengths beyond ``length``,
+    decides nothing here and is not computed.
     """
     data = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.array([len(t) for t in texts], np.int64)
@@ -160,7 +193,18 @@ def earliest_sources(texts: list[bytes], docs: np.ndarray, length: int) -> list[
     order, head = _suffix_order(v, at, [*range(0, length - 7, 8), length - 8], docs[of])
     source = np.empty(len(order), np.int64)
     source[order] = docs[of[order[head]]]
-    return np.split(source, np.cumsum(count)[:-1])
+    return source, count
+
+
+def source_runs(source: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(runs of each text, first window, last window, source): runs of windows of one text with one source."""
+    ends = np.cumsum(count)
+    new = np.concatenate(([True], source[1:] != source[:-1])) if len(source) else np.empty(0, bool)
+    new[(ends - count)[count > 0]] = True
+    first = np.flatnonzero(new)
+    text = np.searchsorted(ends, first, side="right")
+    last = np.append(first[1:], len(source))[: len(first)] - 1
+    return np.bincount(text, minlength=len(count)), first - (ends - count)[text], last - (ends - count)[text], source[first]
 
 
 def remove_repeats(
@@ -170,6 +214,7 @@ def remove_repeats(
     length: int = 50,
     pack_bytes: int = 4 << 20,
     bucket_bytes: int = 8 << 20,
+    hot_packs: int = 256,
 ) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept): texts without the bytes covered by ``length``-byte strings of a document with smaller id.
 
@@ -177,12 +222,14 @@ def remove_repeats(
     packed (a few MB a row). Every window of ``length`` bytes belongs to the
     shard of its smallest piece hash. First only 31-bit tags of these hashes
     travel, once per pack: those of a single document cannot match. Segments
-    of the others travel once per pack and distinct content. Each shard
-    builds the suffix array of its distinct segments and the longest previous
-    factors, and tells each pack which windows have an earlier source. So a
+    of the others travel once per pack and distinct content. Each shard sorts
+    the suffixes of its distinct segments by their first ``length`` bytes and
+    documents, and tells each pack which windows have an earlier source. So a
     passage or copy that fills a third of the corpus is one entry a pack in
-    its shard. Shards grow in number with the input (``bucket_bytes`` of text
-    each).
+    its shard; keys that more than ``hot_packs`` packs hold (a common line with
+    different text around it) are dealt by more keys, so they fill no
+    one shard. Shards grow in number with the input (``bucket_bytes`` of
+    text each).
 
     Null text counts as empty. Documents of equal id are no source for each
     other; a row without id is kept whole and is no source. Repeated rows come
@@ -237,8 +284,10 @@ def remove_repeats(
         tag, back, count = np.unique(entry >> 1, return_inverse=True, return_counts=True)
         several = count > 1
         several[back[(entry & 1) == 1]] = True
-        told = np.split(several[back], np.cumsum([len(b) for b in blobs])[:-1])
-        out = [(b >> 1)[t].astype("<u4").tobytes() for b, t in zip(blobs, told)]
+        cuts = np.cumsum([len(b) for b in blobs])[:-1]
+        told = np.split(several[back], cuts)
+        marked = np.split(((entry >> 1) << 1) | (count > hot_packs)[back].astype(np.uint32), cuts)
+        out = [b[t].astype("<u4").tobytes() for b, t in zip(marked, told)]
         return pa.table({"pack": group.column("pack"), "bucket": group.column("bucket"), "tags": pa.array(out, pa.binary())}).filter(
             pa.array([bool(t.any()) for t in told])
         )
@@ -277,22 +326,19 @@ def remove_repeats(
         docs_ = np.full(len(number), np.iinfo(np.int64).max)
         for _, of, least, _ in each:
             np.minimum.at(docs_, of, least)
-        found = earliest_sources(list(number), docs_, shards.length)
-        runs = []
-        for source in found:  # first window, last window, source: runs of one source
-            first = np.flatnonzero(np.concatenate(([True], np.diff(source) != 0)))
-            runs.append(np.stack((first, np.append(first[1:], len(source)) - 1, source[first])))
+        runs, first, last, source = source_runs(*earliest_sources(list(number), docs_, shards.length))
+        begin = np.cumsum(runs) - runs
         out = {"pack": [], "bucket": [], "found": []}
         for row, of, _, most in each:
-            told = [
-                np.concatenate((np.full((1, part.shape[1]), k), part))
-                for k, n in enumerate(of.tolist())
-                if (part := runs[n][:, runs[n][2] < most[k]]).shape[1]
-            ]
-            if told:
+            n = runs[of]
+            segment = np.repeat(np.arange(len(of)), n)
+            run = np.arange(len(segment)) + np.repeat(begin[of] - (np.cumsum(n) - n), n)
+            told = source[run] < most[segment]
+            segment, run = segment[told], run[told]
+            if len(run):
                 out["pack"].append(row["pack"])
                 out["bucket"].append(row["bucket"])
-                out["found"].append(np.concatenate(told, axis=1).astype("<i8").tobytes())
+                out["found"].append(np.stack((segment, first[run], last[run], source[run])).astype("<i8").tobytes())
         return pa.table(out, pa.schema([("pack", pa.int64()), ("bucket", pa.int64()), ("found", pa.binary())]))
 
     schema = "bucket long, pack long, sizes binary, docs binary, texts binary"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Callable, Iterator
@@ -71,8 +72,35 @@ class Tokens:
         return ids, counts, [data[a:b] == b" " + t.encode() for t, a, b in zip(texts, cuts, cuts[1:])]
 
 
+# Fixed value: how byte-level BPE files without a pattern of their own split a text before merging.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Below this code point (Latin, Greek, Cyrillic) the libraries' Unicode tables agree, whatever their versions.
+BEYOND_STABLE = re.compile("[^\u0000-\u052d]")
+
+
+def plain_encoding(spec: dict, token_bytes: list[bytes]):
+    """A ``tiktoken`` encoding of a byte-level BPE file, four times as fast; none unless the file is plain.
+
+    Plain: no normalizer, the standard split, and merges in the order of their
+    tokens' ids, so that ids serve as ranks.
+    """
+    model, split = spec["model"], spec.get("pre_tokenizer") or {}
+    odd = [spec.get("normalizer"), split.get("add_prefix_space"), *[model.get(k) for k in ("dropout", "ignore_merges", "continuing_subword_prefix", "end_of_word_suffix")]]
+    if model["type"] != "BPE" or split.get("type") != "ByteLevel" or split.get("use_regex") is False or any(odd):
+        return None
+    vocabulary = model["vocab"]
+    merged = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    single = [i for name, i in vocabulary.items() if len(name) == 1]
+    if merged != sorted(set(merged)) or len(single) != 256 or max(single) > merged[0]:
+        return None
+    import tiktoken
+
+    ranks = {token_bytes[i]: i for i in [*single, *merged]}
+    return tiktoken.Encoding("plain", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+
 class ByteLevel(Tokens):
-    def __init__(self, data: bytes):
+    def __init__(self, data: bytes, plain: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -84,9 +112,14 @@ class ByteLevel(Tokens):
         for name, i in names.items():
             table[i] = bytes(of[c] for c in name if c in of)
         self.set_bytes(table)
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        self.plain = plain_encoding(json.loads(data), table) if plain else None
+
+    def encode(self, texts: list[str]) -> list:
+        found = [self.plain.encode_ordinary(" " + t) if self.plain and (t.isascii() or not BEYOND_STABLE.search(t)) else None for t in texts]
+        rest = [k for k, x in enumerate(found) if x is None]
+        for k, e in zip(rest, self.model.encode_batch_fast([" " + texts[k] for k in rest], add_special_tokens=False)):
+            found[k] = e.ids
+        return found
 
 
 class SentencePiece(Tokens):

@@ -23,12 +23,16 @@ def unescape(text: Column) -> Column:
 
 
 class PartVisitor:
-    """What each type of content part becomes: (rendered, type, ref, tokens). A subclass may change or add types."""
+    """What each type of content part becomes: (rendered, type, ref, tokens). A subclass may change or add types.
+
+    A part without a type is text: it is escaped later, joined with the text
+    parts next to it, for a control string may begin in one and end in the next.
+    """
 
     types = ("text", "image", "audio", "document")
 
     def text(self, part: Column) -> Column:
-        return self._result(escape(F.coalesce(part["text"], F.lit(""))), None, part)
+        return self._result(F.coalesce(part["text"], F.lit("")), None, part)
 
     def image(self, part: Column) -> Column:
         return self._attachment("image", part)
@@ -66,6 +70,20 @@ def text_parts(text: Column) -> Column:
     return F.array(part).cast(PART)
 
 
+def joined_parts(parts: Column) -> Column:
+    """Rendered parts one after another; neighbouring texts are escaped as one."""
+    start = F.struct(F.lit("").alias("done"), F.lit("").alias("open"))
+
+    def step(s: Column, p: Column) -> Column:
+        text = F.struct(s["done"].alias("done"), F.concat(s["open"], p["rendered"]).alias("open"))
+        other = F.struct(F.concat(s["done"], escape(s["open"]), p["rendered"]).alias("done"), F.lit("").alias("open"))
+        return F.when(p["type"].isNull(), text).otherwise(other)
+
+    mixed = F.aggregate(parts, start, step, lambda s: F.concat(s["done"], escape(s["open"])))
+    texts = escape(F.array_join(F.transform(parts, lambda p: p["rendered"]), ""))
+    return F.when(F.exists(parts, lambda p: p["type"].isNotNull()), mixed).otherwise(texts)
+
+
 def format_chats(
     rows: DataFrame,
     conv_col: str = "conv_id",
@@ -97,7 +115,7 @@ def format_chats(
 
     def rendered(t: Column) -> Column:
         def whole(parts: Column) -> Column:
-            body = F.array_join(F.transform(parts, lambda p: p["rendered"]), "")
+            body = joined_parts(parts)
             head = F.concat(F.lit(OPEN), F.replace(escape(t["role"]), F.lit("\n"), F.lit(LINE)), F.lit("\n"))
             return F.struct(
                 t["turn"].cast("long").alias("turn"), t["role"].alias("role"), head.alias("head"), body.alias("body"),

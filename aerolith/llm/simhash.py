@@ -227,12 +227,34 @@ def component_table(fps: DataFrame, max_bits: int, segments: int, shard_rows: in
     return heads.join(roots, heads["head"] == roots["node"], "left").select("fp", F.coalesce("root", "head").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
+def _with_fingerprint(docs: DataFrame, text_col: str, name: str, shingle: int) -> DataFrame:
+    schema = docs.schema.add(name, "long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = np.array([fingerprint(t.as_py(), shingle) for t in byte_column(batch, text_col)], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps.view(np.int64))], [*batch.schema.names, name])
+
+    return docs.mapInArrow(run, schema)
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, **parameters) -> DataFrame:
     """``docs`` with the document of smallest id of each component; rows without id stay.
 
-    Repeated rows of the kept id are reduced to one.
+    Where one id has several texts, those stay that belong to a component of
+    which the id is the smallest; the others are copies of something that is
+    kept. Rows equal in id and text are reduced to one (any of them: they may
+    differ in other columns).
     """
-    found = near_duplicates(docs, id_col, text_col, **parameters)
-    keep = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(id_col)).distinct()
-    kept = docs.where(F.col(id_col).isNotNull()).join(keep, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    found = saved(near_duplicates(docs, id_col, text_col, shingle, **parameters).where("doc_id IS NOT NULL"), "groups")
+    own = F.col("doc_id") == F.col("component_id")
+    status = found.groupBy("doc_id").agg(F.max(own).alias("some"), F.min(own).alias("all")).where("some")
+    known = docs.where(F.col(id_col).isNotNull())
+    kept = known.join(status.where("all").select(F.col("doc_id").alias(id_col)), id_col, "left_semi")
+    mixed = status.where("NOT all").select("doc_id")
+    if not mixed.isEmpty():  # ids of several texts, not all of them kept
+        fp = "_simhash_fp"
+        texts = _with_fingerprint(known.join(mixed.select(F.col("doc_id").alias(id_col)), id_col, "left_semi"), text_col, fp, shingle)
+        good = found.where(own).select(F.col("doc_id").alias(id_col), F.conv("fingerprint", 16, -10).cast("long").alias(fp)).distinct()
+        kept = kept.unionByName(texts.join(good, [id_col, fp], "left_semi").select(docs.columns))
+    return kept.dropDuplicates([id_col, text_col]).select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))

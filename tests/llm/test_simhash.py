@@ -1,6 +1,8 @@
+import random
+
 import numpy as np
 import xxhash
-from conftest_llm import as_docs
+from conftest_llm import as_docs, prose
 
 from aerolith.llm import simhash
 
@@ -55,3 +57,12 @@ def test_empty_table_and_one_of_each_group(spark, hard_docs, hard_rows):
     ids = sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None)
     assert ids == sorted({c for i, _, c in slow_components(hard_rows) if i is not None})
     assert as_docs(spark, [(1, None), (2, "")]).count() == 2
+
+
+def test_an_id_of_several_texts_keeps_those_of_its_own(spark):
+    rng = random.Random(2)
+    shared, lone, other = (prose(rng, 80) for _ in range(3))
+    rows = [(5, shared), (3, shared), (5, lone), (5, lone), (9, other), (9, shared), (7, None), (None, shared), (8, "")]
+    kept = simhash.keep_one(as_docs(spark, rows))
+    found = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert found == sorted([(3, shared), (5, lone), (9, other), (7, None), (None, shared)], key=str)

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from aerolith.llm.common import byte_column, row_chunks
+from aerolith.llm.common import byte_column, row_chunks, saved
 
 # --- words -------------------------------------------------------------------
 
@@ -195,14 +195,23 @@ def scan(texts: list[bytes | None], phrases: Phrases):
     return raw, of, starts, ends, hit, items
 
 
-def _shared_phrases(items: DataFrame, id_col: str, text_col: str, window: int, most_bytes: int):
+def phrase_lots(items: DataFrame, id_col: str, text_col: str, window: int, most_bytes: int) -> list:
+    """Functions that make the broadcast phrases of each lot of the benchmark, of about ``most_bytes`` of text.
+
+    A benchmark larger than that is dealt into lots by a hash of its items;
+    the driver holds the windows of one lot at a time.
+    """
     rows = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("binary").alias("text"))
-    rows = rows.where("item IS NOT NULL AND text IS NOT NULL")
+    rows = rows.where("item IS NOT NULL AND text IS NOT NULL").distinct()
     size = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    if size > most_bytes:
-        raise ValueError(f"test phrases of {size} bytes exceed most_bytes={most_bytes}; split the benchmark")
-    found = sorted((r["item"], bytes(r["text"])) for r in rows.collect())
-    return items.sparkSession.sparkContext.broadcast(Phrases(found, window))
+    lots = max(1, -(-size // most_bytes))
+
+    def lot(k: int):
+        mine = rows if lots == 1 else rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(lots)) == k)
+        found = sorted((r["item"], bytes(r["text"])) for r in mine.collect())
+        return items.sparkSession.sparkContext.broadcast(Phrases(found, window))
+
+    return [lambda k=k: lot(k) for k in range(lots)]
 
 
 def find_overlaps(
@@ -213,35 +222,58 @@ def find_overlaps(
     item_col: str = "item_id",
     window: int = 10,
     shard_bytes: int = 2 << 20,
-    most_bytes: int = 64 << 20,
+    most_bytes: int = 4 << 20,
 ) -> DataFrame:
     """(doc_id, n_words, n_hit, item_ids): words inside any occurrence of an item's window, and the items met (sorted as strings).
 
     One pass without a shuffle: each shard of about ``shard_bytes`` of whole
     texts gets its FM-index, all windows are searched in it backwards, hits
-    are located by sampled positions. The test phrases are broadcast; more
-    than ``most_bytes`` of them raise an error. Null texts have no words,
+    are located by sampled positions. The test phrases are broadcast in lots
+    of about ``most_bytes`` of text; each further lot is another pass over the
+    texts with the words hit so far. Null texts have no words,
     items without id or text take no part, an empty benchmark hits nothing.
     Repeated rows come out as often as they go in.
     """
-    shared = _shared_phrases(items, item_col, "text", window, most_bytes)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in row_chunks(batches, "text", shard_bytes):
-            _, of, _, _, hit, found = scan(byte_column(part, "text").to_pylist(), shared.value)
-            n = part.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"),
-                    pa.array(np.bincount(of, minlength=n)),
-                    pa.array(np.bincount(of[hit], minlength=n)),
-                    pa.array([sorted(found.get(k, ())) for k in range(n)], pa.list_(pa.string())),
-                ],
-                ["doc_id", "n_words", "n_hit", "item_ids"],
-            )
-
-    cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return cols.mapInArrow(run, "doc_id long, n_words long, n_hit long, item_ids array<string>")
+    lots = phrase_lots(items, item_col, "text", window, most_bytes)
+    state = "n_words long, n_hit long, item_ids array<string>, runs array<int>"
+    found = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+        F.lit(None).cast("array<string>").alias("item_ids"), F.lit(None).cast("array<int>").alias("runs"),
+    )
+
+    def one_pass(shared, last: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in row_chunks(batches, "text", shard_bytes):
+                _, of, _, _, hit, met = scan(byte_column(part, "text").to_pylist(), shared.value)
+                n = part.num_rows
+                n_words = np.bincount(of, minlength=n)
+                start = np.cumsum(n_words) - n_words
+                for k, runs in enumerate(part.column("runs").to_pylist()):  # words that earlier lots hit
+                    for a, b in zip((runs or [])[::2], (runs or [])[1::2]):
+                        hit[start[k] + a : start[k] + b] = True
+                known = part.column("item_ids").to_pylist()
+                columns = {
+                    "doc_id": part.column("doc_id"),
+                    "n_words": pa.array(n_words),
+                    "n_hit": pa.array(np.bincount(of[hit], minlength=n)),
+                    "item_ids": pa.array([sorted({*(known[k] or ()), *met.get(k, ())}) for k in range(n)], pa.list_(pa.string())),
+                }
+                if not last:
+                    runs = []
+                    for a, size in zip(start.tolist(), n_words.tolist()):
+                        runs.append(np.flatnonzero(np.diff(np.concatenate(([0], hit[a : a + size].astype(np.int8), [0])))).tolist())
+                    columns |= {"runs": pa.array(runs, pa.list_(pa.int32())), "text": part.column("text")}
+                yield pa.RecordBatch.from_pydict(columns)
+
+        return run
+
+    for k, lot in enumerate(lots):
+        last = k == len(lots) - 1
+        schema = "doc_id long, n_words long, n_hit long, item_ids array<string>" if last else f"doc_id long, {state}, text string"
+        found = found.mapInArrow(one_pass(lot(), last), schema)
+        if not last:
+            found = saved(found, "overlaps")
+    return found
 
 
 def remove_overlaps(
@@ -251,19 +283,36 @@ def remove_overlaps(
     item_col: str = "item_id",
     window: int = 10,
     shard_bytes: int = 2 << 20,
-    most_bytes: int = 64 << 20,
+    most_bytes: int = 4 << 20,
 ) -> DataFrame:
     """``docs`` without the merged spans of benchmark words (first to last hit word of each), as long as any is found.
 
     A cut leaves one line break. Other texts stay as they are, byte for byte;
-    null stays null. Every row is kept, also one that is left empty.
+    null stays null. Every row is kept, also one that is left empty. A
+    benchmark of several lots takes a pass a lot, until none finds anything.
     """
-    shared = _shared_phrases(items, item_col, "text", window, most_bytes)
+    lots = phrase_lots(items, item_col, "text", window, most_bytes)
+    if len(lots) == 1:
+        return docs.mapInArrow(_remover(lots[0](), text_col, shard_bytes, None), docs.schema)
+    cut = "_overlap_cut"
+    schema = docs.schema.add(cut, "boolean")
+    while True:
+        changed = False
+        for lot in lots:
+            done = saved(docs.mapInArrow(_remover(lot(), text_col, shard_bytes, cut), schema), "clean")
+            changed |= bool(done.agg(F.max(cut)).first()[0])
+            docs = done.drop(cut)
+        if not changed:
+            return docs
+
+
+def _remover(shared, text_col: str, shard_bytes: int, flag: str | None):
+    """Cuts the windows of one lot out of every text; ``flag`` names a column that says where."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in row_chunks(batches, text_col, shard_bytes):
             texts = byte_column(part, text_col).to_pylist()
-            todo = list(range(len(texts)))
+            todo, touched = list(range(len(texts))), [False] * len(texts)
             while todo:
                 raw, of, starts, ends, hit, _ = scan([texts[k] for k in todo], shared.value)
                 base = np.cumsum([0] + [len(texts[k] or b"") + 1 for k in todo])
@@ -280,9 +329,12 @@ def remove_overlaps(
                         text += raw[at:a] + b"\n"
                         at = b
                     texts[todo[k]] = text + raw[at:end]
+                    touched[todo[k]] = True
                     again.append(todo[k])
                 todo = again
             clean = pa.array([None if t is None else t.decode() for t in texts], pa.string())
-            yield pa.RecordBatch.from_arrays([clean if n == text_col else c for n, c in zip(part.schema.names, part.columns)], part.schema.names)
+            columns = [clean if n == text_col else c for n, c in zip(part.schema.names, part.columns)]
+            names = list(part.schema.names)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(touched)] if flag else columns, [*names, flag] if flag else names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return run

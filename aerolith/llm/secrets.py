@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import string
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -22,14 +23,18 @@ ASSIGN = rf"""({KEYWORDS})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = "AKIA[A-Z0-9]{16,}"
 HEX = "[0-9a-f]{24,}"
 KINDS = (("assign", ASSIGN, 2, 6), ("access", ACCESS, 0, 20), ("hex", HEX, 0, 24))
-PLACEHOLDER = "(?i)(example|sample|changeme|placeholder|your|dummy|xxxx|0000|1234)"
 
 
-# Placeholders by their whole value, or by a long run of one character: what masking leaves whatever the counts say.
+def _alternatives(each: str) -> str:
+    """``each`` for every character a value may hold (no back reference, which SQL engines lack)."""
+    return "|".join(re.escape(c) + each for c in string.ascii_lowercase + string.digits + "+/_.=-")
+
+
+# Values that are placeholders as a whole, or hold a long run of one character: never live, whatever the counts say.
 FILLER = "my|your|the|an?|this|is|some|test|password|passwd|secret|token|api|key|access|value|here|insert|enter"
-WHOLE_PLACEHOLDER = (
+PLACEHOLDER = (
     rf"(?i)^(?:(?:{FILLER})[-_./+=]*)*(?:example|sample|change[-_.]?me|placeholder|your|dummy)(?:[-_./+=]*(?:{FILLER}))*[-_./+=]*[0-9]{{0,4}}$"
-    r"|^0?123456(?:7(?:8(?:90?)?)?)?$|^(.)\1*$|(.)\2{11}|(?-i:EXAMPLE(?:KEY)?$)"
+    rf"|^0?123456(?:7(?:8(?:90?)?)?)?$|^(?:{_alternatives('+')})$|(?:{_alternatives('{12}')})|(?-i:EXAMPLE(?:KEY)?$)"
 )
 
 
@@ -91,40 +96,24 @@ def _candidates(scanned: DataFrame) -> DataFrame:
     )
 
 
-def ownership(candidates: DataFrame, max_owners: int) -> DataFrame:
-    """(hash, n_repositories, n_owners, live): how widely each candidate is spread.
-
-    Repositories are counted per owner first, so that a value found everywhere
-    is reduced before it is gathered. ``live``: at most ``max_owners`` owners
-    and not a placeholder; a value of an assignment must mix letters and digits
-    and have eight characters.
-    """
-    looks = ~F.col("value").rlike(PLACEHOLDER) & (
-        (F.col("kind_no") > 0) | (F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]") & (F.length("value") >= 8))
-    )
-    each = candidates.groupBy("hash", "owner", "repository").agg(F.max(looks).alias("looks"))
-    per_owner = each.groupBy("hash", "owner").agg(F.count("repository").alias("n"), F.max("looks").alias("looks"))
-    spread = per_owner.groupBy("hash").agg(F.sum("n").alias("n_repositories"), F.count("owner").alias("n_owners"), F.max("looks").alias("looks"))
-    return spread.select("hash", "n_repositories", "n_owners", (F.col("looks") & (F.col("n_owners") <= max_owners)).alias("live"))
-
-
-def live_values(candidates: DataFrame, max_owners: int, max_repositories: int) -> DataFrame:
-    """(hash, n_repositories, n_owners, most_repositories, live) where ownership frequency decides alone.
+def ownership(candidates: DataFrame, max_owners: int, max_repositories: int) -> DataFrame:
+    """(hash, n_repositories, n_owners, most_repositories, widespread, live): ownership frequency decides.
 
     Repositories are counted per owner, where copies of one text count once,
-    as that of the first repository, then owners. ``live``: at most
-    ``max_owners`` owners, none with more than ``max_repositories``
-    repositories, and not a placeholder as a whole.
+    as that of the first repository, then owners: a value found everywhere is
+    reduced before it is gathered. ``widespread``: more than ``max_owners``
+    owners, or one with more than ``max_repositories`` repositories. ``live``:
+    not widespread, and not a placeholder as a whole.
     """
-    looks = ~F.col("value").rlike(WHOLE_PLACEHOLDER)
+    looks = ~F.col("value").rlike(PLACEHOLDER)
     texts = candidates.groupBy("hash", "owner", "text_key").agg(F.min("repository").alias("repository"), F.max(looks).alias("looks"))
     each = texts.groupBy("hash", "owner", "repository").agg(F.max("looks").alias("looks"))
     per_owner = each.groupBy("hash", "owner").agg(F.count("repository").alias("n"), F.max("looks").alias("looks"))
     spread = per_owner.groupBy("hash").agg(
         F.sum("n").alias("n_repositories"), F.count("owner").alias("n_owners"), F.max("n").alias("most_repositories"), F.max("looks").alias("looks")
     )
-    few = (F.col("n_owners") <= max_owners) & (F.col("most_repositories") <= max_repositories)
-    return spread.select("hash", "n_repositories", "n_owners", "most_repositories", (F.col("looks") & few).alias("live"))
+    widespread = (F.col("n_owners") > max_owners) | (F.col("most_repositories") > max_repositories)
+    return spread.select("hash", "n_repositories", "n_owners", "most_repositories", widespread.alias("widespread"), (F.col("looks") & ~widespread).alias("live"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository_col: str = "doc_id") -> DataFrame:
@@ -143,28 +132,30 @@ def find_secrets(
     owner_col: str = "source",
     repository_col: str = "doc_id",
     max_owners: int = 2,
+    max_repositories: int = 10,
 ) -> DataFrame:
-    """Secrets of each document, and which of them look live by the owners that hold them.
+    """Secrets of each document, and which of them look live by the owners and repositories that hold them.
 
     (doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live,
-    n_widespread, most_owners, n_repositories). Offsets are code points, end exclusive. This
-    method classifies the base spans and adds none: ``spans`` lists the base
-    spans; ``n_live`` of them hold a value of at most ``max_owners`` owners
-    that is no placeholder, ``n_widespread`` hold one of more owners.
-    ``n_repositories`` is that of the most widely copied value. The registered
-    query's SQL fixes this rule; masking goes by :func:`live_values`.
-    Null text counts as empty, null owners and repositories are not counted.
-    Repeated rows come out as often as they go in. Other columns are ignored.
+    n_widespread, most_owners, most_repositories, n_repositories). Offsets are
+    code points, end exclusive. This method classifies the base spans and adds
+    none: ``spans`` lists the base spans; :func:`ownership` says how many of
+    them hold a live-looking (``n_live``) or a widely copied value
+    (``n_widespread``). The last three are the document's largest counts of
+    owners, of one owner's repositories, and of all repositories of a value.
+    Masking (:func:`redact_live`) goes by the same rule. Null text counts as
+    empty, null owners and repositories are not counted. Repeated rows come
+    out as often as they go in. Other columns are ignored.
     """
     scanned = saved(scan(docs, id_col, text_col, owner_col, repository_col), "secrets")
     candidates = _candidates(scanned)
-    found = candidates.select("text_key", "kind_no", "start", "hash").distinct().join(ownership(candidates, max_owners), "hash")
+    found = candidates.select("text_key", "kind_no", "start", "hash").distinct().join(ownership(candidates, max_owners, max_repositories), "hash")
     per_text = found.groupBy("text_key").agg(
         F.sum(F.col("live").cast("long")).alias("n_live"),
-        F.sum((F.col("n_owners") > max_owners).cast("long")).alias("n_widespread"),
-        F.max("n_owners").alias("most_owners"),
-        F.max("n_repositories").alias("n_repositories"),
+        F.sum(F.col("widespread").cast("long")).alias("n_widespread"),
+        *[F.max(c).alias(c) for c in ("n_owners", "most_repositories", "n_repositories")],
     )
+    per_text = per_text.select("text_key", "n_live", "n_widespread", F.col("n_owners").alias("most_owners"), "most_repositories", "n_repositories")
     joined = scanned.join(per_text, "text_key", "left")
     count = [
         F.size(F.filter("found", lambda s: s["kind_no"] == k)).cast("long").alias(f"n_{name}") for k, (name, *_) in enumerate(KINDS)
@@ -172,7 +163,7 @@ def find_secrets(
     written = _written(F.col("found"))
     return joined.select(
         "doc_id", *count, F.sha2(written, 256).alias("base_sha256"), written.alias("spans"),
-        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_live", "n_widespread", "most_owners", "n_repositories")],
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_live", "n_widespread", "most_owners", "most_repositories", "n_repositories")],
     )
 
 
@@ -187,7 +178,7 @@ def redact_live(
 ) -> DataFrame:
     """``docs`` with every occurrence of its own live-looking values replaced by ``mask``.
 
-    :func:`live_values` decides, by owners and by repositories of an owner.
+    :func:`ownership` decides, by owners and by repositories of an owner.
     All rows stay; texts without a candidate are passed on as they are and
     never shuffled. Widely copied examples stay. A value of letters only is
     masked where it is a whole word.
@@ -195,7 +186,7 @@ def redact_live(
     has = any_secret(F.col(text_col))
     some = docs.where(has)
     candidates = _candidates(saved(scan(some, repository_col, text_col, owner_col, repository_col), "secrets"))
-    live = candidates.select("text_key", "hash", "value").distinct().join(live_values(candidates, max_owners, max_repositories).where("live"), "hash")
+    live = candidates.select("text_key", "hash", "value").distinct().join(ownership(candidates, max_owners, max_repositories).where("live"), "hash")
     longest = F.transform(F.reverse(F.array_sort(F.collect_list(F.struct(F.length("value"), "value")))), lambda s: s["value"])
     values = live.groupBy("text_key").agg(longest.alias("values"))
     name, key = "_secret_values", "_secret_text_key"
@@ -212,40 +203,44 @@ def redact_live(
 # --- the same in DuckDB ---------------------------------------------------------
 
 
-def oracle(max_owners: int = 2) -> str:
+def oracle(max_owners: int = 2, max_repositories: int = 10) -> str:
     """DuckDB SQL of :func:`find_secrets` over ``documents``."""
     one = """
-      SELECT doc_id, source, {k} AS kind_no, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS i, m, v, gap FROM (
-        SELECT doc_id, source, unnest(generate_series(1, len(w))) AS i, unnest(w) AS m, unnest(v) AS v, unnest(g[:len(w)]) AS gap FROM (
-          SELECT doc_id, source, regexp_extract_all(t, $re${p}$re$) AS w, regexp_extract_all(t, $re${p}$re$, {g}) AS v,
+      SELECT doc_id, source, k, {k} AS kind_no, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS i, m, v, gap FROM (
+        SELECT doc_id, source, k, unnest(generate_series(1, len(w))) AS i, unnest(w) AS m, unnest(v) AS v, unnest(g[:len(w)]) AS gap FROM (
+          SELECT doc_id, source, k, regexp_extract_all(t, $re${p}$re$) AS w, regexp_extract_all(t, $re${p}$re$, {g}) AS v,
                  string_split_regex(t, $re${p}$re$) AS g FROM texts)) """
     union = " UNION ALL ".join(one.format(k=k, p=p, g=g) for k, (_, p, g, _) in enumerate(KINDS))
     least = " ".join(f"WHEN {k} THEN {n}" for k, (*_, n) in enumerate(KINDS))
     name = " ".join(f"WHEN {k} THEN '{n}'" for k, (n, *_) in enumerate(KINDS))
     # fmt: off
     return f"""
-    WITH texts AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+    WITH texts AS (SELECT doc_id, source, coalesce(text, '') AS t, sha256(coalesce(text, '')) AS k FROM documents),
     matched AS ({union}),
     placed AS (
       SELECT *, sum(length(gap) + length(m)) OVER (PARTITION BY doc_id, kind_no ORDER BY i) AS stop FROM matched),
     spans AS (
-      SELECT doc_id, source, kind_no, CASE kind_no {name} END AS kind, stop - length(m) AS start, stop, v FROM placed
+      SELECT doc_id, source, k, kind_no, CASE kind_no {name} END AS kind, stop - length(m) AS start, stop, v FROM placed
       WHERE length(v) >= CASE kind_no {least} END),
+    per_text AS (
+      SELECT v, source, k, min(doc_id::VARCHAR) AS repository, bool_or(NOT regexp_matches(v, $re${PLACEHOLDER}$re$)) AS looks FROM spans GROUP BY v, source, k),
+    per_owner AS (
+      SELECT v, source, count(DISTINCT repository) AS n, bool_or(looks) AS looks FROM per_text GROUP BY v, source),
     spread AS (
-      SELECT v, count(DISTINCT source) AS n_owners,
-             bool_or(NOT regexp_matches(v, $re${PLACEHOLDER}$re$) AND (kind_no > 0 OR
-               (regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND length(v) >= 8))) AS looks
-      FROM spans GROUP BY v),
+      SELECT v, sum(n) AS n_repositories, count(source) AS n_owners, max(n) AS most_repositories, bool_or(looks) AS looks,
+             count(source) > {max_owners} OR max(n) > {max_repositories} AS widespread
+      FROM per_owner GROUP BY v),
     each_doc AS (
       SELECT doc_id, count(*) FILTER (kind_no = 0) AS n_assign, count(*) FILTER (kind_no = 1) AS n_access,
              count(*) FILTER (kind_no = 2) AS n_hex,
              string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, kind_no) AS spans,
-             count(*) FILTER (looks AND n_owners <= {max_owners}) AS n_live,
-             count(*) FILTER (n_owners > {max_owners}) AS n_widespread, max(n_owners) AS most_owners
+             count(*) FILTER (looks AND NOT widespread) AS n_live, count(*) FILTER (widespread) AS n_widespread,
+             max(n_owners) AS most_owners, max(most_repositories) AS most_repositories, max(n_repositories) AS n_repositories
       FROM spans JOIN spread USING (v) GROUP BY doc_id)
     SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
            coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans,
            coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_widespread, 0)::BIGINT AS n_widespread,
-           coalesce(most_owners, 0)::BIGINT AS most_owners
+           coalesce(most_owners, 0)::BIGINT AS most_owners, coalesce(most_repositories, 0)::BIGINT AS most_repositories,
+           coalesce(n_repositories, 0)::BIGINT AS n_repositories
     FROM documents LEFT JOIN each_doc USING (doc_id)"""
     # fmt: on

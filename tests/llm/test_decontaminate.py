@@ -62,13 +62,23 @@ def test_removal_leaves_no_hit_and_clean_texts_alone(spark, case):
     assert sorted((i, t or "") for i, t in out if i is not None and i not in hits) == sorted((i, t or "") for i, t in rows if i is not None and i not in hits)
 
 
-def test_empty_tables_and_size_bound(spark, case):
+def test_empty_tables(spark, case):
     rows, _, bench = case
     docs = as_docs(spark, rows[:5])
     assert d.find_overlaps(docs.limit(0), bench).collect() == []
     assert d.find_overlaps(docs, bench.limit(0)).where("n_hit > 0").count() == 0
-    with pytest.raises(ValueError):
-        d.find_overlaps(docs, bench, most_bytes=10)
+
+
+def test_a_benchmark_in_lots_finds_and_removes_the_same(spark, case, same_rows):
+    rows, items, bench = case
+    docs = as_docs(spark, rows)
+    assert len(d.phrase_lots(bench, "item_id", "text", 10, 500)) > 2
+    found = d.find_overlaps(docs, bench, most_bytes=500)
+    assert found.columns == ["doc_id", "n_words", "n_hit", "item_ids"]
+    same_rows([(*r[:3], ",".join(r[3])) for r in found.collect()], [(*r[:3], ",".join(r[3])) for r in slow(rows, items)])
+    clean = d.remove_overlaps(docs, bench, most_bytes=500)
+    assert clean.columns == docs.columns and clean.count() == len(rows)
+    assert all(hit == 0 for _, _, hit, _ in slow([(r["doc_id"], r["text"]) for r in clean.collect()], items))
 
 
 def test_index_finds_every_occurrence():

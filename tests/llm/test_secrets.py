@@ -52,8 +52,8 @@ def test_masking_counts_repositories_of_an_owner_and_copies_once(spark):
     text = {r["doc_id"]: r["text"] for r in secrets.redact_live(owned(spark, rows)).collect()}
     assert all(text[k] == rows[k][2] for k in range(30))
     assert [text[100 + k] for k in range(30)] == ["one text with [SECRET]"] * 30
-    found = {r["doc_id"]: r["n_repositories"] for r in secrets.find_secrets(owned(spark, rows)).collect()}
-    assert found[0] == 30 and found[100] == 30
+    found = {r["doc_id"]: (r["n_live"], r["n_widespread"], r["n_repositories"]) for r in secrets.find_secrets(owned(spark, rows)).collect()}
+    assert found[0] == (0, 2, 30) and found[100] == (1, 0, 1)
 
 
 def test_masking_has_no_shape_rules_but_whole_placeholders(spark):
@@ -65,4 +65,6 @@ def test_masking_has_no_shape_rules_but_whole_placeholders(spark):
     rows = [(k, "s", t) for k, t in enumerate(values)]
     text = {r["doc_id"]: r["text"] for r in secrets.redact_live(owned(spark, rows)).collect()}
     assert {t: text[k] != t for k, _, t in rows} == values
+    live = {r["doc_id"]: r["n_live"] > 0 for r in secrets.find_secrets(owned(spark, rows)).collect()}
+    assert {t: live[k] for k, _, t in rows} == values  # one rule: what counts as live is what is masked
     assert text[0] == "password = [SECRET]" and text[len(rows) - 1] == "secret: [SECRET] is uncommon"

@@ -26,7 +26,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.saved_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a :func:`saved` table that nothing reads any more."""
+    context = df.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(df.saved_path)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def byte_column(batch: pa.RecordBatch, name: str) -> pa.Array:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from aerolith.llm.common import saved
+from aerolith.llm.common import discard, saved
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -28,7 +28,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, root) for every node of an edge but the roots themselves; root is the component's smallest node.
 
     Rounds go on until the edges stay as they are (stars around the roots).
-    Each round is a table in the shared scratch folder. Null ends and loops
+    Each round is a table in the shared scratch folder, which replaces the one
+    before. Null ends and loops
     are ignored; no edges give no rows.
     """
     now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
@@ -38,5 +39,6 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(state) == before or state[0] == 0:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = tuple(state)
+        before, old = tuple(state), now
         now = saved(_star(_star(now, True), False), "edges")
+        discard(old)

@@ -18,6 +18,7 @@ IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 ENDS_SENTENCE = np.zeros(256, bool)
 ENDS_SENTENCE[list(b".!?:;")] = True
 MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+LINE, BLOCK = 0, 1
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -26,249 +27,212 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-class Paragraphs:
-    """Paragraphs (lines of at least ``min_words`` words) of a few texts, with the hashes of their word shingles.
-
-    ``row`` is the text, ``line`` the first line in it and ``size`` the number
-    of lines (1, or more with ``blocks``: runs of lines between blank ones);
-    ``key`` is a 128-bit digest of the lower-cased words (ASCII letters and
-    white space), however they are wrapped; ``shingles`` of paragraph p are
-    ``hashes[cuts[p]:cuts[p + 1]]``, none if it is shorter than a shingle.
-    ``near`` tells which may be compared for near copies: all with a shingle
-    but blocks whose lines all end a sentence, as those lines are paragraphs.
-    """
+class Lines:
+    """Lines and words of a few texts, with hashes of the words and of their shingles."""
 
-    def __init__(self, texts: list[bytes | None], min_words: int, shingle: int, blocks: bool = False):
+    def __init__(self, texts: list[bytes | None], shingle: int, min_words: int):
         data = LOWER[np.frombuffer(b"\n".join(t or b"" for t in texts) + b"\n", np.uint8)]
         inside = np.concatenate(([False], ~IS_SPACE[data], [False]))
         edge = np.flatnonzero(inside[1:] != inside[:-1])
         starts, ends = edge[::2], edge[1::2]
         breaks = np.flatnonzero(data == 10)
-        first = np.concatenate(([0], np.searchsorted(starts, breaks)))  # first word of each line
-        count = np.diff(first)
+        self.shingle = shingle
+        self.first = np.concatenate(([0], np.searchsorted(starts, breaks)))  # first word of each line
+        self.count = np.diff(self.first)
         text_ends = np.cumsum([len(t or b"") + 1 for t in texts])
-        text_first = np.searchsorted(breaks, text_ends - 1) + 1  # lines up to the end of each text
-        line = last = np.flatnonzero(count)
-        if blocks and len(line):
-            of = np.searchsorted(text_first, line, side="right")
-            new = np.concatenate(([True], (np.diff(line) > 1) | (np.diff(of) > 0)))
-            line, last = line[new], line[np.concatenate((new[1:], [True]))]
-        n = first[last + 1] - first[line]
-        enough = n >= max(min_words, 1)
-        line, last, n = line[enough], last[enough], n[enough]
-        a, self.size = first[line], last - line + 1
-        open_ = np.zeros(len(count) + 1, np.int64)  # lines up to each that end within a sentence
-        open_[1:] = np.cumsum((count > 0) & ~ENDS_SENTENCE[data[ends[first[1:] - 1] - 1]]) if len(ends) else 0
+        self.text_first = np.searchsorted(breaks, text_ends - 1) + 1  # lines up to the end of each text
+        some = self.count > 0
+        whole = np.zeros(len(self.count), bool)  # a sentence with a shingle: a paragraph of its own
+        if len(ends):
+            whole = some & (self.count >= max(shingle, min_words)) & ENDS_SENTENCE[data[ends[np.maximum(self.first[1:], 1) - 1] - 1]]
+        self.parts = np.concatenate(([0], np.cumsum(some & ~whole)))  # lines before each that are not
         words = word_hashes(data, starts, ends)
         one = _mixed(words["f0"])
         total = np.zeros(max(0, len(one) - shingle + 1), np.uint64)
         for k in range(shingle):
             total = (total + one[k : k + len(total)]) * MIX[0]
-        total = _mixed(total)
-        sizes = np.maximum(n - shingle + 1, 0)
-        self.near = (sizes > 0) & ((self.size == 1) | (open_[last] > open_[line]))
+        self.shingles = _mixed(total)  # of the words from each on
+        self.raw = np.ascontiguousarray(words).view(np.uint8).tobytes()
+
+    def starts_of_blocks(self) -> np.ndarray:
+        """Lines with words that follow a blank line or the start of a text."""
+        line = np.flatnonzero(self.count)
+        if not len(line):
+            return line
+        of = np.searchsorted(self.text_first, line, side="right")
+        return line[np.concatenate(([True], (np.diff(line) > 1) | (np.diff(of) > 0)))]
+
+
+class Paragraphs:
+    """Lines (or blocks: runs of lines between blank ones) of at least ``min_words`` words.
+
+    ``row`` is the text, ``line`` the first line in it, ``size`` the number of
+    lines and ``block`` the first line of the block around it; ``key`` is a
+    128-bit digest of the kind and the lower-cased words (ASCII letters and
+    white space), however they are wrapped; ``shingles`` of paragraph p are
+    ``hashes[cuts[p]:cuts[p + 1]]``, none if it is shorter than a shingle.
+    ``near`` tells which are compared for near copies: all with a shingle, but
+    blocks made of lines that are compared themselves.
+    """
+
+    def __init__(self, lines: Lines, min_words: int, kind: int):
+        heads, line = lines.starts_of_blocks(), np.flatnonzero(lines.count)
+        last = line
+        if kind == BLOCK and len(line):
+            line, last = heads, line[np.append(np.searchsorted(line, heads[1:]), len(line)) - 1]
+        first = lines.first
+        n = first[last + 1] - first[line]
+        enough = n >= max(min_words, 1)
+        line, last, n = line[enough], last[enough], n[enough]
+        self.kind, self.size = kind, last - line + 1
+        sizes = np.maximum(n - lines.shingle + 1, 0)
+        self.near = (sizes > 0) & ((self.size == 1) | (lines.parts[last + 1] > lines.parts[line]))
         self.cuts = np.concatenate(([0], np.cumsum(sizes)))
-        at = np.arange(self.cuts[-1]) + np.repeat(a - self.cuts[:-1], sizes)
-        self.hashes = total[at] if len(at) else np.empty(0, np.uint64)
-        self.row = np.searchsorted(text_first, line, side="right")
-        self.line = line - np.concatenate(([0], text_first))[self.row]
-        raw = np.ascontiguousarray(words).view(np.uint8).tobytes()
-        self.key = [xxhash.xxh128_digest(raw[16 * x : 16 * (x + m)]) for x, m in zip(a.tolist(), n.tolist())]
-
-    def bands(self, bands: int, rows: int) -> list[bytes | None]:
-        """One number for the ``rows`` smallest hashes of each band; none for paragraphs without near copies."""
-        near = np.flatnonzero(self.near)
-        out = np.zeros((len(near), bands), np.uint64)
-        if len(near):
-            sizes = np.diff(self.cuts)[near]
+        at = np.arange(self.cuts[-1]) + np.repeat(first[line] - self.cuts[:-1], sizes)
+        self.hashes = lines.shingles[at] if len(at) else np.empty(0, np.uint64)
+        self.row = np.searchsorted(lines.text_first, line, side="right")
+        base = np.concatenate(([0], lines.text_first))[self.row]
+        self.line = line - base
+        self.block = (heads[np.searchsorted(heads, line, side="right") - 1] if len(line) else line) - base
+        mark = bytes([kind])
+        self.key = [xxhash.xxh128_digest(mark + lines.raw[16 * x : 16 * (x + m)]) for x, m in zip(first[line].tolist(), n.tolist())]
+
+    def bands(self, which: np.ndarray, bands: int, rows: int) -> np.ndarray:
+        """One number for the ``rows`` smallest hashes of each band, for the paragraphs ``which``."""
+        out = np.zeros((len(which), bands), np.uint64)
+        if len(which):
+            sizes = np.diff(self.cuts)[which]
             cuts = np.cumsum(sizes) - sizes
-            hashes = self.hashes[np.arange(sizes.sum()) + np.repeat(self.cuts[near] - cuts, sizes)]
+            hashes = self.hashes[np.arange(sizes.sum()) + np.repeat(self.cuts[which] - cuts, sizes)]
             seeds = _mixed(np.arange(1, bands * rows + 1, dtype=np.uint64) * MIX[0])
             for k, seed in enumerate(seeds):
                 least = np.minimum.reduceat(_mixed(hashes ^ seed), cuts)
-                out[:, k // rows] = _mixed((out[:, k // rows] + least) * MIX[0] + np.uint64(k // rows))
-        signed: list[bytes | None] = [None] * len(self.key)
-        for x, value in zip(near.tolist(), out.astype("<u8")):
-            signed[x] = value.tobytes()
-        return signed
-
+                out[:, k // rows] = _mixed((out[:, k // rows] + least) * MIX[0] + np.uint64(2 * (k // rows) + self.kind))
+        return out.view(np.int64)
 
-def similar(sets: list[np.ndarray], bands: np.ndarray, threshold: float) -> Iterator[tuple[int, int]]:
-    """Links that join all pairs with a band in common and Jaccard similarity of ``threshold`` or more.
 
-    Members already joined are not compared again: a group of near copies
-    costs about one comparison a member.
-    """
-    sizes = np.array([len(s) for s in sets])
-    cuts = np.concatenate(([0], np.cumsum(sizes)))
-    flat, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-    open_ = np.ones(len(sets), bool)
-    for first in range(len(sets)):
-        if not open_[first]:
-            continue
-        open_[first] = False
-        queue = [first]
-        while queue:
-            v = queue.pop()
-            near = np.flatnonzero(open_ & (bands == bands[v]).any(axis=1))
-            if not len(near):
-                continue
-            chosen = np.concatenate([np.arange(cuts[x], cuts[x + 1]) for x in near])
-            met = np.isin(flat[chosen], sets[v])
-            common = np.bincount(of[chosen][met], minlength=len(sets))[near]
-            linked = near[common >= threshold * (sizes[near] + sizes[v] - common)]
-            open_[linked] = False
-            for x in linked.tolist():
-                yield v, x
-            queue += linked.tolist()
-
-
-def paragraph_clusters(
-    docs: DataFrame,
-    min_words: int = 5,
-    shingle: int = 5,
-    threshold: float = 0.8,
-    bands: int = 12,
-    rows: int = 3,
-    block: int = 1000,
-    blocks: bool = False,
-) -> DataFrame:
-    """(key, n, keep_doc, keep_line): distinct paragraphs of ``docs`` (doc_id, text) that occur more than once, exactly or nearly.
+def sign(docs: DataFrame, min_words: int, shingle: int, bands: int, rows: int) -> DataFrame:
+    """(kind, key, u, doc_id, line, block, bands) of every line and block; bands where it may be compared, once a key and task.
 
-    ``keep_doc`` and ``keep_line`` name the first occurrence in the component.
-    Paragraphs shorter than a shingle are folded by their key alone.
+    ``u`` is the first half of the key.
     """
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[bytes] = set()
         for part in row_chunks(batches, "text", 4 << 20):
-            p = Paragraphs(byte_column(part, "text").to_pylist(), min_words, shingle, blocks)
-            ids = part.column("doc_id").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(p.key, pa.binary()),
-                    pa.array(ids[p.row].astype(np.int64)),
-                    pa.array(p.line.astype(np.int64)),
-                    pa.array(p.bands(bands, rows), pa.binary()),
-                ],
-                ["key", "doc_id", "line", "bands"],
-            )
-
-    signed = docs.mapInArrow(sign, "key binary, doc_id long, line long, bands binary")
-    heads = signed.groupBy("key").agg(
-        F.min(F.struct("doc_id", "line")).alias("head"), F.count("*").alias("n"), F.max("bands").alias("bands")
-    )
-    heads = saved(heads, "paragraphs")
-
-    # Distinct paragraphs with a band in common, as stars around the smallest key of each band: groups to verify.
-    position = F.explode(F.sequence(F.lit(0), F.lit(bands - 1)))
-    dealt = heads.where(F.col("bands").isNotNull()).select("key", "bands", position.alias("b")).select(
-        "key", F.concat(F.col("b").cast("string").cast("binary"), F.substring("bands", F.col("b") * 8 + 1, F.lit(8))).alias("band")
-    )
-    least = dealt.groupBy("band").agg(F.min("key").alias("least"), F.max("key").alias("most")).where(F.col("least") != F.col("most"))
-    stars = dealt.join(least, "band").where(F.col("key") != F.col("least")).select("key", "least").distinct()
-    groups = components(stars, "key", "least")
-    groups = saved(groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct()), "groups")
-    groups = groups.join(groups.groupBy("root").agg(F.count("*").alias("size")), "root")
-
-    # Groups of up to ``block`` members go whole to one of many shards. Larger ones are cut into parts by a hash, and each
-    # pair of parts is a shard: every pair meets, no task gets more than two parts.
-    members = saved(groups.join(heads.select("key", "head", "bands"), groups["node"] == heads["key"]).select("key", "root", "size", "head", "bands"), "members")
-    n_shards = max(1, -(-members.count() // block))
-    parts = F.ceil(F.col("size") / block).cast("int")
-    mine = F.pmod(F.xxhash64("key", F.lit(1)), parts).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), parts - 1), lambda o: F.concat_ws("-", F.hex("root"), F.least(o, mine), F.greatest(o, mine)))
-    shard = F.when(F.col("size") <= block, F.array(F.pmod(F.xxhash64("root"), F.lit(n_shards)).cast("string"))).otherwise(pairs)
-    wanted = members.select("key", "root", "bands", "head", shard.alias("shards"))
-
-    per_doc = wanted.groupBy(F.col("head.doc_id").alias("doc_id")).agg(
-        F.collect_list(F.struct(F.col("head.line").alias("line"), "key", "root", "bands", "shards")).alias("wanted")
-    )
-
-    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Shingle sets of the wanted paragraphs."""
+            lines = Lines(byte_column(part, "text").to_pylist(), shingle, min_words)
+            ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+            for kind in (BLOCK, LINE):
+                p = Paragraphs(lines, min_words, kind)
+                which = []
+                for k in np.flatnonzero(p.near).tolist():
+                    if p.key[k] not in met:
+                        met.add(p.key[k])
+                        which.append(k)
+                if len(met) > 1_000_000:
+                    met.clear()
+                offsets = np.zeros(len(p.key) + 1, np.int32)
+                offsets[np.array(which, np.int64) + 1] = bands
+                valid = np.zeros(len(p.key), bool)
+                valid[which] = True
+                listed = pa.ListArray.from_arrays(pa.array(np.cumsum(offsets), pa.int32()), pa.array(p.bands(np.array(which, np.int64), bands, rows).ravel()), mask=pa.array(~valid))
+                raw = b"".join(p.key)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(p.key), kind, np.int32)),
+                        pa.array(p.key, pa.binary()),
+                        pa.array(np.ascontiguousarray(np.frombuffer(raw, "<i8").reshape(-1, 2)[:, 0])),
+                        pa.array(ids[p.row]),
+                        pa.array(p.line.astype(np.int32)),
+                        pa.array(p.block.astype(np.int32)),
+                        listed,
+                    ],
+                    ["kind", "key", "u", "doc_id", "line", "block", "bands"],
+                )
+
+    return docs.mapInArrow(run, "kind int, key binary, u long, doc_id long, line int, block int, bands array<bigint>")
+
+
+def few(df: DataFrame, rows: int, broadcast_rows: int) -> DataFrame:
+    """``df`` broadcast if it has no more than ``broadcast_rows`` rows."""
+    return F.broadcast(df) if rows <= broadcast_rows else df
+
+
+def shingle_sets(docs: DataFrame, wanted: DataFrame, min_words: int, shingle: int, broadcast_rows: int) -> DataFrame:
+    """(u, key, shingles) of the ``wanted`` paragraphs (doc_id, line, key, u), made anew from the texts that hold them."""
+    per_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line", "key", "u")).alias("wanted"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in row_chunks(batches, "text", 1 << 20):
-            p = Paragraphs(byte_column(part, "text").to_pylist(), min_words, shingle, blocks)
-            place = {(r, x, k): i for i, (r, x, k) in enumerate(zip(p.row.tolist(), p.line.tolist(), p.key))}
-            out = {"shard": [], "key": [], "root": [], "bands": [], "shingles": []}
-            for r, wanted_ in enumerate(part.column("wanted").to_pylist()):
-                for w in wanted_:
-                    i = place.get((r, w["line"], w["key"]))
-                    if i is None:  # another row with the same id
-                        continue
-                    shingles = np.unique(p.hashes[p.cuts[i] : p.cuts[i + 1]]).astype("<u8").tobytes()
-                    for s in w["shards"]:
-                        for name, value in (("shard", s), ("key", w["key"]), ("root", w["root"]), ("bands", w["bands"]), ("shingles", shingles)):
-                            out[name].append(value)
-            yield pa.RecordBatch.from_pydict(out, pa.schema([("shard", pa.string()), *((n, pa.binary()) for n in list(out)[1:])]))
-
-    def verify(shard_: pa.Table) -> pa.Table:
-        rows_ = {r["key"]: r for r in shard_.to_pylist()}  # repeated rows of a document give the same paragraph
-        by_root: dict[bytes, list[dict]] = {}
-        for k in sorted(rows_):
-            by_root.setdefault(rows_[k]["root"], []).append(rows_[k])
-        a, b = [], []
-        for group in by_root.values():
-            sets = [np.frombuffer(r["shingles"], "<u8") for r in group]
-            signed_ = np.array([np.frombuffer(r["bands"], "<u8") for r in group])
-            for x, y in similar(sets, signed_, threshold):
-                a.append(group[x]["key"])
-                b.append(group[y]["key"])
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
-
-    fetched = docs.join(per_doc, "doc_id").mapInArrow(fetch, "shard string, key binary, root binary, bands binary, shingles binary")
-    links = fetched.groupBy("shard").applyInArrow(verify, "a binary, b binary")
-    roots = components(links, "a", "b")
+            lines = Lines(byte_column(part, "text").to_pylist(), shingle, min_words)
+            place = {}
+            for kind in (BLOCK, LINE):
+                p = Paragraphs(lines, min_words, kind)
+                place |= {(r, x, k): (p, i) for i, (r, x, k) in enumerate(zip(p.row.tolist(), p.line.tolist(), p.key))}
+            out = {"u": [], "key": [], "shingles": []}
+            for r, list_ in enumerate(part.column("wanted").to_pylist()):
+                for w in list_:
+                    p, i = place.get((r, w["line"], w["key"]), (None, 0))
+                    if p:  # else another row with the same id
+                        out["u"].append(w["u"])
+                        out["key"].append(w["key"])
+                        out["shingles"].append(np.unique(p.hashes[p.cuts[i] : p.cuts[i + 1]].view(np.int64)))
+            yield pa.RecordBatch.from_pydict(out, pa.schema([("u", pa.int64()), ("key", pa.binary()), ("shingles", pa.list_(pa.int64()))]))
+
+    texts = docs.join(few(per_doc, wanted.count(), broadcast_rows), "doc_id").select("text", "wanted")
+    return texts.mapInArrow(run, "u long, key binary, shingles array<bigint>").dropDuplicates(["key"])
+
+
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, key_a, key_b) of the pairs (a, b) of u whose shingle sets are similar enough."""
+    both = pairs.join(sets.toDF("a", "key_a", "sa"), "a").join(sets.toDF("b", "key_b", "sb"), "b")
+    common = F.size(F.array_intersect("sa", "sb"))
+    return both.where(common >= F.lit(float(threshold)) * (F.size("sa") + F.size("sb") - common)).select("a", "b", "key_a", "key_b")
+
+
+def near_copies(docs: DataFrame, signed: DataFrame, min_words: int, shingle: int, threshold: float, broadcast_rows: int) -> DataFrame:
+    """(key_a, key_b): links that join all paragraphs with a band in common and Jaccard similarity of ``threshold`` or more.
+
+    First each paragraph against the smallest of its bands, a few pairs each.
+    Bands whose paragraphs these links have not joined yet are then compared
+    between what is joined already, so a group of near copies costs about one
+    comparison a member.
+    """
+    dealt = signed.where("bands IS NOT NULL").select("u", F.explode("bands").alias("band"))
+    least = dealt.groupBy("band").agg(F.min("u").alias("least"), F.max("u").alias("most")).where("least <> most").select("band", "least")
+    met = saved(dealt.join(least, "band").distinct(), "bands")
+    stars = saved(met.where("u <> least").select(F.col("least").alias("a"), F.col("u").alias("b")).distinct(), "stars")
+
+    seen = met.select("u").distinct()
+    heads = signed.where("bands IS NOT NULL").groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("h"), F.first("u").alias("u"))
+    wanted = saved(heads.join(seen, "u").select(F.col("h.doc_id").alias("doc_id"), F.col("h.line").alias("line"), "key", "u"), "wanted")
+    sets = saved(shingle_sets(docs, wanted, min_words, shingle, broadcast_rows), "sets")
+
+    first = saved(verified(stars, sets, threshold), "links")
+    joined = components(first, "a", "b").toDF("u", "root")
+    placed = met.select("u", "band").join(joined, "u", "left").select("band", "u", F.coalesce("root", "u").alias("grp"))
+    open_ = placed.groupBy("band").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low < high").select("band")
+    rest = saved(placed.join(open_, "band"), "open-bands")
+    left, right = rest.toDF("band", "a", "ga"), rest.toDF("band", "b", "gb")
+    pairs = left.join(right, "band").where("ga < gb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    second = verified(pairs.join(stars, ["a", "b"], "left_anti"), sets, threshold)
+    return saved(first.unionByName(second).select("key_a", "key_b"), "links")
+
+
+def removals(met: DataFrame, links: DataFrame) -> DataFrame:
+    """(doc_id, line, kind, key, keep_doc) of every occurrence but the first of each component, by doc_id and line.
+
+    Links count between paragraphs that occur in ``met``.
+    """
+    heads = saved(met.groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("head"), F.count("*").alias("n")), "heads")
+    here = heads.select("key")
+    links = links.join(here.withColumnRenamed("key", "key_a"), "key_a", "left_semi").join(here.withColumnRenamed("key", "key_b"), "key_b", "left_semi")
+    roots = components(links, "key_a", "key_b")
     rooted = heads.join(roots, heads["key"] == roots["node"], "left").select("key", "head", "n", F.coalesce("root", "key").alias("root"))
-    rooted = saved(rooted, "rooted")
     keep = rooted.groupBy("root").agg(F.min("head").alias("keep"), F.sum("n").alias("total")).where("total > 1")
-    return rooted.join(keep, "root").select("key", "n", F.col("keep.doc_id").alias("keep_doc"), F.col("keep.line").alias("keep_line"))
-
-
-def _without_repeats(rows: DataFrame, min_words: int, shingle: int, blocks: bool, **parameters) -> DataFrame:
-    """``rows`` (doc_id, text, n, removed, sources) without their later paragraphs.
-
-    Adds to ``n`` the lines, or with ``blocks`` those of several lines and the removed ones.
-    """
-    known = rows.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    clusters = paragraph_clusters(known, min_words, shingle, blocks=blocks, **parameters)
-
-    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in row_chunks(batches, "text", 4 << 20):
-            p = Paragraphs(byte_column(part, "text").to_pylist(), min_words, shingle, blocks)
-            ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(p.key, pa.binary()), pa.array(ids[p.row]), pa.array(p.line.astype(np.int64))], ["key", "doc_id", "line"]
-            )
-
-    met = known.mapInArrow(occurrences, "key binary, doc_id long, line long").join(clusters, "key")
-    gone = met.where((F.col("doc_id") != F.col("keep_doc")) | (F.col("line") != F.col("keep_line")))
-    per_doc = gone.groupBy("doc_id").agg(
-        F.collect_set(F.struct("line", "key")).alias("gone"), F.collect_set("keep_doc").alias("more")
-    )
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in row_chunks(batches, "text", 4 << 20):
-            texts = byte_column(part, "text").to_pylist()
-            p = Paragraphs(texts, min_words, shingle, blocks)
-            here: list[dict[int, tuple[bytes, int]]] = [{} for _ in texts]
-            for r, x, k, m in zip(p.row.tolist(), p.line.tolist(), p.key, p.size.tolist()):
-                here[r][x] = k, m
-            n, removed, kept = part.column("n").to_pylist(), part.column("removed").to_pylist(), []
-            for r, (text, found, drop) in enumerate(zip(texts, here, part.column("gone").to_pylist())):
-                first = {g["line"] for g in drop or [] if found.get(g["line"], (None,))[0] == g["key"]}
-                out = {y for x in first for y in range(x, x + found[x][1])}
-                n[r] += sum(m > 1 or x in first for x, (_, m) in found.items()) if blocks else len(found)
-                removed[r] += len(first)
-                whole = (text or b"").decode()
-                kept.append("\n".join(x for k, x in enumerate(whole.split("\n")) if k not in out) if out else whole)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(kept, pa.string()), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), part.column("sources")],
-                ["doc_id", "text", "n", "removed", "sources"],
-            )
-
-    sources = F.when(F.col("more").isNull(), F.col("sources")).otherwise(F.array_sort(F.array_union("sources", "more")))
-    joined = rows.join(per_doc, "doc_id", "left").select("doc_id", "text", "n", "removed", sources.alias("sources"), "gone")
-    return joined.mapInArrow(cut, "doc_id long, text string, n long, removed long, sources array<long>")
+    told = rooted.join(keep, "root").select("key", "keep")
+    gone = met.join(told, "key").where((F.col("doc_id") != F.col("keep.doc_id")) | (F.col("line") != F.col("keep.line")))
+    return saved(gone.select("doc_id", "line", "kind", "key", F.col("keep.doc_id").alias("keep_doc")), "gone")
 
 
 def remove_repeated_paragraphs(
@@ -277,7 +241,10 @@ def remove_repeated_paragraphs(
     text_col: str = "text",
     min_words: int = 5,
     shingle: int = 5,
-    **parameters,
+    threshold: float = 0.8,
+    bands: int = 12,
+    rows: int = 3,
+    broadcast_rows: int = 300_000,
 ) -> DataFrame:
     """(doc_id, n_paragraphs, n_removed, sources, kept): texts without paragraphs that repeat, exactly or nearly, one met earlier.
 
@@ -288,20 +255,63 @@ def remove_repeated_paragraphs(
     of 3 rows: a pair of similarity 0.8 meets with probability 0.9998) find
     candidates; exact Jaccard similarity of 5-word shingles, 0.8 or more,
     verifies them; each component keeps its first paragraph by doc_id and
-    line. Blocks whose lines all end a sentence go only if equal: their lines
-    are paragraphs and are compared for near copies one by one.
+    line. Blocks made of lines that each end a sentence and hold a shingle go
+    only if equal: their lines are paragraphs and are compared one by one.
     ``n_paragraphs`` counts blocks of several lines, removed single ones and
     lines left to compare; ``sources`` lists the documents that held the kept
     paragraph when one was removed (its lines may repeat yet earlier ones).
 
+    One pass signs lines and blocks together; what travels are keys and
+    places. Texts are read again for the shingles of candidates and for the
+    cuts, joined with lists of up to ``broadcast_rows`` paragraphs by a
+    broadcast, with longer ones by a shuffle.
+
     Null text counts as empty; a row without id is kept whole and is no
     source. Repeated rows of one id share the decision. An empty table gives
     no rows.
     """
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n"),
-        F.lit(0).cast("long").alias("removed"), F.array().cast("array<long>").alias("sources"),
-    )
-    rows = saved(_without_repeats(rows, min_words, shingle, True, **parameters), "blocks")
-    rows = _without_repeats(rows, min_words, shingle, False, **parameters)
-    return rows.select("doc_id", F.col("n").alias("n_paragraphs"), F.col("removed").alias("n_removed"), "sources", F.col("text").alias("kept"))
+    rows_ = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    known = rows_.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    signed = saved(sign(known, min_words, shingle, bands, rows), "signed")
+    links = near_copies(known, signed, min_words, shingle, threshold, broadcast_rows)
+
+    places = signed.drop("bands", "u")
+    gone_blocks = removals(places.where(F.col("kind") == BLOCK), links)
+    inside = gone_blocks.select("doc_id", F.col("line").alias("block")).distinct()
+    lines = saved(places.where(F.col("kind") == LINE).join(inside, ["doc_id", "block"], "left_anti"), "lines-left")
+    gone = gone_blocks.unionByName(removals(lines, links))
+
+    per_doc = gone.groupBy("doc_id").agg(
+        F.collect_set(F.struct("kind", "line", "key")).alias("gone"), F.array_sort(F.collect_set("keep_doc")).alias("sources")
+    )
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in row_chunks(batches, "text", 4 << 20):
+            texts = byte_column(part, "text").to_pylist()
+            parsed = Lines(texts, shingle, min_words)
+            blocks, own = Paragraphs(parsed, min_words, BLOCK), Paragraphs(parsed, min_words, LINE)
+            drop = [{(g["kind"], g["line"], g["key"]) for g in d or []} for d in part.column("gone").to_pylist()]
+            n, removed = [0] * len(texts), [0] * len(texts)
+            out: list[set[int]] = [set() for _ in texts]
+            for r, x, k, m in zip(blocks.row.tolist(), blocks.line.tolist(), blocks.key, blocks.size.tolist()):
+                hit = (BLOCK, x, k) in drop[r]
+                n[r] += m > 1 or hit
+                if hit:
+                    removed[r] += 1
+                    out[r].update(range(x, x + m))
+            for r, x, k in zip(own.row.tolist(), own.line.tolist(), own.key):
+                if x not in out[r]:
+                    n[r] += 1
+                    if (LINE, x, k) in drop[r]:
+                        removed[r] += 1
+                        out[r].add(x)
+            kept = [(t or b"").decode() for t in texts]
+            kept = ["\n".join(x for k, x in enumerate(t.split("\n")) if k not in o) if o else t for t, o in zip(kept, out)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), part.column("sources"), pa.array(kept, pa.string())],
+                ["doc_id", "n_paragraphs", "n_removed", "sources", "kept"],
+            )
+
+    none = F.array().cast("array<long>")
+    joined = rows_.join(few(per_doc, gone.count(), broadcast_rows), "doc_id", "left").select("doc_id", "text", F.coalesce("sources", none).alias("sources"), "gone")
+    return joined.mapInArrow(cut, "doc_id long, n_paragraphs long, n_removed long, sources array<long>, kept string")

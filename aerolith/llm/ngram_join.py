@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from aerolith.llm.common import byte_column, saved, worker_cache
+from aerolith.llm.common import byte_column, discard, saved, worker_cache
 from aerolith.llm.components import components
 
 # 64-bit multipliers of a polynomial over word hashes and of its final mixing (splitmix64); fixed values.
@@ -159,16 +159,22 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, shingle: int, p
 
 
 def star_pairs(postings: DataFrame, bounds: Bounds) -> DataFrame:
-    """(a, b): each set with the smallest set id of its tokens, if enough tokens are shared. A few pairs a set.
+    """(a, b): each set with the hub of its tokens, if enough tokens are shared. A few pairs a set.
 
-    They only make the groups; what they miss is found between groups.
+    A token's hub is the set with the fewest tokens before it (then the
+    smallest id): of an original and its edited copies, the original, which
+    is near to all of them though they may not be near to each other. Hubs
+    only make the groups; what they miss is found between groups.
     """
-    hubs = postings.where("sid = hub").select("token", F.col("size").alias("hub_size"), F.col("rest").alias("hub_rest"))
+    best = F.min(F.struct((F.col("size") - F.col("rest")).alias("pos"), "sid", "size", "rest")).alias("hub")
+    hubs = postings.groupBy("token").agg(best).select(
+        "token", F.col("hub.sid").alias("hub"), F.col("hub.size").alias("hub_size"), F.col("hub.rest").alias("hub_rest")
+    )
     less = F.least("size", "hub_size")
-    met = postings.where("sid <> hub").join(hubs, "token")
+    met = postings.join(hubs, "token").where(F.col("sid") != F.col("hub"))
     met = met.where(bounds.reaches(F.col("size"), F.col("hub_size"), F.col("rest"), F.col("hub_rest"), less))
-    counted = met.groupBy("hub", "sid", less.alias("less")).count()
-    return counted.where(F.col("count") >= bounds.shared_column(F.col("less"))).select(F.col("hub").alias("a"), F.col("sid").alias("b"))
+    counted = met.groupBy(F.least("hub", "sid").alias("a"), F.greatest("hub", "sid").alias("b"), less.alias("less"))
+    return counted.count().where(F.col("count") >= bounds.shared_column(F.col("less"))).select("a", "b")
 
 
 def group_pairs(members: DataFrame, bounds: Bounds) -> DataFrame:
@@ -217,8 +223,8 @@ def similar_documents(
     Equal sets are folded first, so copies cost one row. Then:
 
     1. Every set's prefix tokens (rare ones first) are dealt by token. Each
-       set is checked against the smallest set of its tokens; what is really
-       similar forms the groups.
+       set is checked against the hubs of its tokens; what is really similar
+       forms the groups.
     2. The token-group matrix has one row for each token and group that holds
        it: the group's union of prefix tokens, without its members. A set
        is counted against the groups other than its own; a group is opened
@@ -244,16 +250,18 @@ def similar_documents(
     known = docs.where("id IS NOT NULL")
     folded = rows.where("id IS NOT NULL AND size > 0").groupBy("digest").agg(F.min("id").alias("head"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
     sets = saved(folded.withColumn("sid", F.monotonically_increasing_id()), "sets")
+    texts, rows = rows, saved(rows.drop("prefix"), "document-sizes")
+    discard(texts)
 
     postings = sets.select("sid", "size", F.posexplode("prefix").alias("pos", "token"))
     postings = postings.select("token", "sid", "size", (F.col("size") - F.col("pos")).alias("rest"))
-    hubs = postings.groupBy("token").agg(F.min("sid").alias("hub"), F.max("sid").alias("last")).where("hub < last").drop("last")
-    shared = saved(postings.join(hubs, "token"), "postings")
+    several = postings.groupBy("token").agg(F.min("sid").alias("first"), F.max("sid").alias("last")).where("first < last").select("token")
+    shared = saved(postings.join(several, "token"), "postings")
 
     check = lambda pairs: saved(verified(pairs, known, sets, shingle, percent, broadcast_rows), "links")
     stars = check(star_pairs(shared, bounds))
     groups = components(stars, "a", "b").toDF("sid", "root")
-    placed = shared.drop("hub").join(groups, "sid", "left").select("token", "sid", "size", "rest", F.coalesce("root", "sid").alias("grp"))
+    placed = shared.join(groups, "sid", "left").select("token", "sid", "size", "rest", F.coalesce("root", "sid").alias("grp"))
     mixed = placed.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low < high").select("token")
     members = saved(placed.join(mixed, "token"), "members")
     links = stars.unionByName(check(group_pairs(members, bounds)))

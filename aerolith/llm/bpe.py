@@ -143,11 +143,11 @@ class Coder:
 
     LONG = 60
 
-    def __init__(self, ranks: dict[bytes, int], memory: str = "200MB", words_per_query: int = 20_000, remembered: int = 250_000):
+    def __init__(self, ranks: dict[bytes, int], memory: str = "400MB", words_per_query: int = 20_000, remembered: int = 250_000):
         self.ranks, self.words_per_query, self.remembered = ranks, words_per_query, remembered
-        self.known: dict[str, tuple[bytes, bytes]] = {}  # ids and decoded ids of a word
-        self.older: dict[str, tuple[bytes, bytes]] = {}
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": memory})
+        self.known: dict[str, bytes] = {}  # ids of a word
+        self.older: dict[str, bytes] = {}
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": memory, "temp_directory": ""})  # nothing on local disks
         merges = [
             (ranks[t[:i]], ranks[t[i:]], rank)
             for t, rank in ranks.items()
@@ -167,7 +167,7 @@ class Coder:
         for word in words:
             raw = word.encode("utf-8", "surrogatepass")
             if raw in self.ranks:
-                self.known[word] = (np.int32(self.ranks[raw]).tobytes(), raw)
+                self.known[word] = np.int32(self.ranks[raw]).tobytes()
             else:
                 todo.append((word, raw))
         short = [x for x in todo if len(x[1]) <= self.LONG]
@@ -190,28 +190,22 @@ class Coder:
         found = self.con.sql(query).to_arrow_table()
         self.con.unregister("tokens")
         of, ids = found.column("word").to_numpy(), found.column("id").to_numpy().astype("<i4")
-        cuts = np.searchsorted(of, np.arange(len(words) + 1))
-        decoded = self.decode(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids)))
-        data, cuts = ids.tobytes(), (4 * cuts).tolist()
-        for (name, _), a, b, raw in zip(words, cuts, cuts[1:], decoded):
-            self.known[name] = (data[a:b], raw)
-
-    def encode(self, texts: list[str]) -> tuple[pa.ListArray, list[bytes]]:
-        """Token ids of each text, and the bytes these ids decode to (each distinct piece's ids are decoded once)."""
+        data, cuts = ids.tobytes(), (4 * np.searchsorted(of, np.arange(len(words) + 1))).tolist()
+        for (name, _), a, b in zip(words, cuts, cuts[1:]):
+            self.known[name] = data[a:b]
+
+    def encode(self, texts: list[str]) -> pa.ListArray:
+        """Token ids of each text."""
         split = [pieces(t) for t in texts]
         fresh = set().union(*split) - self.known.keys()
         for word in fresh & self.older.keys():
             self.known[word] = self.older[word]
         self._learn(sorted(fresh - self.known.keys()))
-        rows, decoded = [], []
-        for words in split:
-            found = [self.known[w] for w in words]
-            rows.append(b"".join([x[0] for x in found]))
-            decoded.append(b"".join([x[1] for x in found]))
+        rows = [b"".join([self.known[w] for w in words]) for words in split]
         if len(self.known) > self.remembered:  # words not met again are forgotten and learnt anew
             self.known, self.older = {}, self.known
         offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in rows])))
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(rows), "<i4"))), decoded
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(rows), "<i4")))
 
     def decode(self, ids: pa.ListArray) -> list[bytes]:
         """Bytes of each list of ids, by ordered aggregation."""
@@ -270,7 +264,7 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with _coder(shared.value) as coder:
             for part in row_chunks(batches, text_col, chunk_bytes):
-                ids, _ = coder.encode([t or "" for t in part.column(text_col).to_pylist()])
+                ids = coder.encode([t or "" for t in part.column(text_col).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, ids_col])
 
     return docs.select(other).mapInArrow(run, schema)
@@ -292,8 +286,7 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", bytes_col: str
 
 
 def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 4 << 20, keep: bool = False) -> DataFrame:
-    """(doc_id, ids, n_tokens, ids_text, decoded, same): encodes every text and decodes the ids again in the same task,
-    each distinct piece's ids once, joined in the order of the text.
+    """(doc_id, ids, n_tokens, ids_text, decoded, same): encodes every text and decodes its ids again in the same task.
 
     ``keep``: words learnt by a task serve the worker's next one (more memory, less work).
     ``ids_text`` is the decimal ids joined by one blank, ``same`` whether the
@@ -306,7 +299,8 @@ def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
         with _coder(shared.value, vocabulary if keep else None) as coder:
             for part in row_chunks(batches, "text", chunk_bytes):
                 texts = [t or "" for t in part.column("text").to_pylist()]
-                ids, decoded = coder.encode(texts)
+                ids = coder.encode(texts)
+                decoded = coder.decode(ids)
                 decimal = pa.ListArray.from_arrays(ids.offsets, ids.values.cast(pa.string()))
                 yield pa.RecordBatch.from_arrays(
                     [

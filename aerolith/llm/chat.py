@@ -183,6 +183,20 @@ def probe_rows(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
 
 
+def illustrated_parts(text: Column) -> Column:
+    """A text as two halves, next to each other or around an attachment, whose kind and size the text's length gives."""
+    whole = F.coalesce(text, F.lit(""))
+    half = F.floor(F.length(whole) / 2).cast("int")
+    halves = [whole.substr(F.lit(1), half), whole.substr(half + 1, F.length(whole))]
+    none = F.lit(None)
+    kind = F.get(F.array(*[F.lit(k) for k in ("image", "audio", "document")]), (F.length(whole) % 4).cast("int"))
+    units = F.when(kind == "document", none).otherwise(F.length(whole) % 5 + 1).cast("long")
+    part = lambda kind_, text_, ref, n: F.struct(kind_.alias("type"), text_.alias("text"), ref.cast("string").alias("ref"), n.cast("long").alias("units"))
+    one, two = (part(F.lit("text"), h, none, none) for h in halves)
+    attached = part(kind, none.cast("string"), F.concat(F.lit("ref-"), F.length(whole)), units)
+    return F.when(kind.isNull(), F.array(one, two)).otherwise(F.array(one, attached, two)).cast(PART)
+
+
 def oracle() -> str:
     """DuckDB SQL of the registered query."""
     escaped = "length(regexp_replace({c}, '<(~*)\\|', '<~\\1|', 'g'))"
@@ -191,12 +205,21 @@ def oracle() -> str:
     return f"""
     WITH turns AS (
       SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-      UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
+      UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+    rich AS (
+      SELECT *, substring(text, 1, length(text) // 2) AS one, substring(text, length(text) // 2 + 1) AS two,
+             CASE length(text) % 4 WHEN 0 THEN 'image' WHEN 1 THEN 'audio' WHEN 2 THEN 'document' END AS kind
+      FROM turns)
     SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns,
            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
            coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
            sum({len(OPEN) + 1 + len(CLOSE)} + {role} + {escaped.format(c='text')})::BIGINT AS formatted_chars,
-           0::BIGINT AS n_attachments, 0::BIGINT AS expanded_tokens
-    FROM turns GROUP BY conv_id"""
+           count(kind) AS n_attachments,
+           coalesce(sum(CASE kind WHEN 'document' THEN {TOKENS_PER_UNIT['document']} WHEN 'image' THEN (length(text) % 5 + 1) * {TOKENS_PER_UNIT['image']}
+                             WHEN 'audio' THEN (length(text) % 5 + 1) * {TOKENS_PER_UNIT['audio']} END), 0)::BIGINT AS expanded_tokens,
+           coalesce(string_agg(kind || ':ref-' || length(text), ',' ORDER BY turn, role, kind, text) FILTER (kind IS NOT NULL), '') AS attachment_refs,
+           sum({len(OPEN) + 1 + len(CLOSE)} + {role} + CASE WHEN kind IS NULL THEN {escaped.format(c='text')}
+               ELSE {escaped.format(c='one')} + {escaped.format(c='two')} + length(kind) + 4 END)::BIGINT AS illustrated_chars
+    FROM rich GROUP BY conv_id"""
     # fmt: on

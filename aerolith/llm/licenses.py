@@ -297,11 +297,20 @@ def oracle(templates: tuple[tuple[str, str], ...] = TEMPLATES, containment: floa
         w = [x for x in re.split("[^a-z0-9\x80-\U0010ffff]+", lower) if x]
         found.append(sorted({" ".join(w[k : k + SHINGLE]) for k in range(len(w) - SHINGLE + 1)}))
     usable = [k for k, f in enumerate(found) if f]
-    kinds, parts = [], []
+    kinds, parts, length = [], [], {}
     for c in size_classes([len(found[k]) for k in usable], containment, probability):
         for t in (usable[k] for k in c.templates):
+            length[t] = c.step * c.blocks
             kinds.append(f"({t}, '{templates[t][0]}', {c.step}, {c.blocks}, {len(found[t])})")
             parts += [f"({t}, '{x}')" for x in found[t]]
+    inside = []  # templates that a window of another one already holds
+    for a in usable:
+        for b in usable:
+            share = len({*found[a]} & {*found[b]}) / len(found[a])
+            if a != b and share >= containment - 1e-9:
+                larger = len(found[b]) > len(found[a]) or (len(found[b]) == len(found[a]) and b < a)
+                inside.append(f"({a}, {b}, {share!r}::DOUBLE, {str(larger).lower()}, {length[a]}, {length[b]})")
+    inside = ", ".join(inside) or "(-1, -1, 0::DOUBLE, false, 0, 0)"
     # fmt: off
     return f"""
     WITH kinds(template, license, step, blocks, n) AS (VALUES {", ".join(kinds)}),
@@ -323,10 +332,19 @@ def oracle(templates: tuple[tuple[str, str], ...] = TEMPLATES, containment: floa
       FROM windows GROUP BY doc_id, template, license, step, n, w HAVING count(DISTINCT s) / n >= {containment} - 1e-9),
     best AS (
       SELECT * FROM shares QUALIFY row_number() OVER (PARTITION BY doc_id, template ORDER BY share DESC, first_word) = 1),
+    inside(t, o, share, larger, n, m) AS (VALUES {inside}),
+    own AS (
+      SELECT doc_id, array_to_string(list_sort(list(DISTINCT license)), ',') AS best_licenses FROM best x
+      WHERE NOT EXISTS (
+        SELECT 1 FROM best y JOIN inside p ON p.o = y.template
+        WHERE y.doc_id = x.doc_id AND p.t = x.template AND x.share <= p.share + 1e-9
+          AND (y.share > x.share + 1e-9 OR (y.share >= x.share - 1e-9 AND p.larger))
+          AND y.first_word < x.first_word + p.n AND x.first_word < y.first_word + p.m)
+      GROUP BY doc_id),
     each_doc AS (
       SELECT doc_id, count(*) AS n_matches, array_to_string(list_sort(list(DISTINCT license)), ',') AS licenses, max(share) AS containment,
              array_to_string(list_sort(list(license || ':' || template || ':' || first_word)), ',') AS matches FROM best GROUP BY doc_id)
     SELECT doc_id, coalesce(n_matches, 0)::BIGINT AS n_matches, coalesce(licenses, '') AS licenses,
-           coalesce(containment, 0)::DOUBLE AS containment, coalesce(matches, '') AS matches
-    FROM documents LEFT JOIN each_doc USING (doc_id)"""
+           coalesce(containment, 0)::DOUBLE AS containment, coalesce(matches, '') AS matches, coalesce(best_licenses, '') AS best_licenses
+    FROM documents LEFT JOIN each_doc USING (doc_id) LEFT JOIN own USING (doc_id)"""
     # fmt: on

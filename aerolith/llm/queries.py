@@ -21,7 +21,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.find_licenses(table(spark, sf_dir, "documents"))
     where = F.transform("matches", lambda m: F.concat_ws(":", m["license"], m["template"].cast("string"), m["first_word"].cast("string")))
     best = F.coalesce(F.array_max(F.transform("matches", lambda m: m["containment"])), F.lit(0.0))
-    return found.select("doc_id", "n_matches", "licenses", best.alias("containment"), F.array_join(F.array_sort(where), ",").alias("matches"))
+    return found.select("doc_id", "n_matches", "licenses", best.alias("containment"), F.array_join(F.array_sort(where), ",").alias("matches"), "best_licenses")
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,15 +44,21 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(chat.probe_rows(spark))
-    rows = rows.withColumn("content", chat.text_parts(F.col("text")))
-    made = chat.read_back(chat.format_chats(rows))
+    plain = rows.withColumn("content", chat.text_parts(F.col("text")))
+    made = chat.read_back(chat.format_chats(plain))
     turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    return made.select(
+    formatted = made.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"),
         F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"), F.size("attachments").cast("long").alias("n_attachments"),
-        "expanded_tokens",
+        F.length("formatted").cast("long").alias("formatted_chars"),
     )
+    # the same turns as content of several parts, with attachments
+    rich = chat.format_chats(rows.withColumn("content", chat.illustrated_parts(F.col("text")))).select(
+        F.col("conv_id").alias("of"), F.size("attachments").cast("long").alias("n_attachments"), "expanded_tokens",
+        F.array_join(F.transform("attachments", lambda a: F.concat_ws(":", a["type"], a["ref"])), ",").alias("attachment_refs"),
+        F.length("formatted").cast("long").alias("illustrated_chars"),
+    )
+    return formatted.join(rich, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

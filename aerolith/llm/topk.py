@@ -24,6 +24,11 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
+def narrow(most: int) -> str:
+    """The smallest integer type that holds components up to ``most``."""
+    return next(t for t in ("<i1", "<i2", "<i4", "<i8") if most <= np.iinfo(t).max)
+
+
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact integer inner products: by floats where they are exact."""
     most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
@@ -99,7 +104,7 @@ def quantized(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> D
     return rows.select(F.col(id_col).cast("long").alias("vec_id"), whole.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
-def build_index(rows: DataFrame, space: Space, width: int, block_rows: int) -> DataFrame:
+def build_index(rows: DataFrame, space: Space, width: int, block_rows: int, kind: str) -> DataFrame:
     """(block, pivot, near, far, n, ids, rows): blocks of an annulus around the nearest pivot, at most ``block_rows`` rows each.
 
     Rows are range-partitioned by pivot, distance and id; many equal vectors
@@ -130,7 +135,7 @@ def build_index(rows: DataFrame, space: Space, width: int, block_rows: int) -> D
                     pa.array([d.max()]),
                     pa.array([len(d)], pa.int64()),
                     pa.array([rows_.column("vec_id").to_numpy().astype("<i8").tobytes()], pa.binary()),
-                    pa.array([v.astype("<i8").tobytes()], pa.binary()),
+                    pa.array([v.astype(kind).tobytes()], pa.binary()),
                 ],
                 ["block", "pivot", "near", "far", "n", "ids", "rows"],
             )
@@ -174,22 +179,26 @@ def top_k(
     """(query_id, rank, vec_id, score): the ``k`` largest integer inner products of each query, exactly.
 
     Queries are the rows whose id is divisible by ``query_every``; candidates
-    all rows but the query's own. Each query first searches the annulus with
-    the best bound, which gives it a ``k``-th score; then all annuli whose
-    triangle-inequality bound reaches that score, and no others. Equal scores
+    all rows but the query's own. Each query first searches the annuli with
+    the best bounds until they hold ``k`` candidates, which gives it a
+    ``k``-th score; then all annuli whose triangle-inequality bound reaches
+    that score, and no others. Pairs of annulus and query travel as ids; the
+    vectors of a lot of queries go to an annulus once. Equal scores
     are kept in reach, so ties go to the smaller id. Pivots come from at most
     ``sample_rows`` rows; every row is indexed. The table of annuli (one row a
     block) is shared with all tasks; blocks grow so that there are at most
     ``most_blocks`` and one a pivot and partition besides.
 
     Null or non-finite vectors take no part; shorter vectors count as filled
-    with zeros; repeated rows count once. Fewer than ``k`` candidates give
-    fewer rows; an empty table none.
+    with zeros; repeated rows count once. Components that ``scale`` takes
+    beyond 64 bits become the largest number of 64 bits, and scores are sums
+    of 64 bits. Fewer than ``k`` candidates give fewer rows; an empty table none.
     """
     spark = vectors.sparkSession
     rows = saved(quantized(vectors, id_col, vector_col, scale), "vectors")
     length = F.aggregate("v", F.lit(0.0), lambda s, c: s + c.cast("double") * c.cast("double"))
-    n, width, longest = rows.agg(F.count("*"), F.max(F.size("v")), F.max(length)).first()
+    largest = F.aggregate("v", F.lit(0).cast("long"), lambda s, c: F.greatest(s, c, -1 - c))
+    n, width, longest, most = rows.agg(F.count("*"), F.max(F.size("v")), F.max(length), F.max(largest)).first()
     out = "query_id long, rank int, vec_id long, score long"
     if not n:
         return spark.createDataFrame([], out)
@@ -197,30 +206,46 @@ def top_k(
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("v").toArrow().column("v").combine_chunks()
     space = Space(choose_pivots(_matrix(sample, width), pivots), float(longest))
     size = max(block_rows, -(-n // most_blocks))
-    index = saved(build_index(rows, space, width, size), "annuli")
+    kind = narrow(most)
+    index = saved(build_index(rows, space, width, size, kind), "annuli")
     annuli = index.select("block", "pivot", "near", "far", "n").orderBy("block").toPandas()
-    shared = spark.sparkContext.broadcast(
-        (annuli["block"].to_numpy(), annuli["pivot"].to_numpy(), annuli["near"].to_numpy(), annuli["far"].to_numpy())
-    )
-    queries = rows.where(F.col("vec_id") % query_every == 0).withColumnsRenamed({"vec_id": "query_id", "v": "q"})
+    shared = spark.sparkContext.broadcast(tuple(annuli[c].to_numpy() for c in ("block", "pivot", "near", "far", "n")))
+    lots = max(1, n // query_every // 256)
+    lot = F.pmod(F.xxhash64("query_id"), F.lit(lots)).alias("lot")
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v = _matrix(batch.column("v"), width).astype(kind)
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array([x.tobytes() for x in v], pa.binary())], ["query_id", "q"])
+
+    queries = rows.where(F.col("vec_id") % query_every == 0).mapInArrow(packed, "query_id long, q binary")
+    queries = saved(queries.select("query_id", "q", lot), "queries")
+    vectors_of = queries.groupBy("lot").agg(F.collect_list(F.struct("query_id", "q")).alias("members"))
+
+    def unpacked(rows_: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(rows_), kind).reshape(len(rows_), width).astype(np.int64)
 
     def plan(first: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            blocks, pivot, near, far = shared.value
+            blocks, pivot, near, far, held = shared.value
             for whole in batches:
                 for at in range(0, whole.num_rows, 256):
                     batch = whole.slice(at, 256)
-                    bound = space.best_scores(_matrix(batch.column("q"), width), pivot, near, far)
-                    best = bound.argmax(axis=1)
+                    bound = space.best_scores(unpacked(batch.column("q").to_pylist()), pivot, near, far)
+                    top = bound.argmax(axis=1)
+                    seed = np.zeros(bound.shape, bool)
+                    seed[np.arange(len(top)), top] = True
+                    for i in np.flatnonzero(held[top] <= k).tolist():  # too few rows, itself perhaps among them: the next annuli
+                        by = np.argsort(-bound[i], kind="stable")
+                        seed[i, by[: int(np.searchsorted(np.cumsum(held[by]), k + 1)) + 1]] = True
                     if first:
-                        q, b = np.arange(len(best)), best
+                        q, b = np.nonzero(seed)
                     else:
                         least = batch.column("least").to_numpy(zero_copy_only=False)
                         reach = bound >= np.where(np.isnan(least), -np.inf, least)[:, None]
-                        reach[np.arange(len(best)), best] = False  # searched already
-                        q, b = np.nonzero(reach)
+                        q, b = np.nonzero(reach & ~seed)  # those are searched already
                     part = batch.take(pa.array(q))
-                    yield pa.RecordBatch.from_arrays([pa.array(blocks[b]), part.column("query_id"), part.column("q")], ["block", "query_id", "q"])
+                    yield pa.RecordBatch.from_arrays([pa.array(blocks[b]), part.column("query_id"), part.column("lot")], ["block", "query_id", "lot"])
 
         return run
 
@@ -228,22 +253,22 @@ def top_k(
         for batch in batches:
             for row in batch.to_pylist():
                 ids = np.frombuffer(row["ids"], "<i8")
-                data = np.frombuffer(row["rows"], "<i8").reshape(len(ids), width)
-                query_ids = np.array([x["query_id"] for x in row["queries"]], np.int64)
-                wanted = _matrix(pa.array([x["q"] for x in row["queries"]], pa.list_(pa.int64())), width)
-                q, r, s = best_of(wanted, query_ids, data, ids, k)
+                data = np.frombuffer(row["rows"], kind).reshape(len(ids), width).astype(np.int64)
+                asked = set(row["asked"])
+                mine = [x for x in row["members"] if x["query_id"] in asked]
+                query_ids = np.array([x["query_id"] for x in mine], np.int64)
+                q, r, s = best_of(unpacked([x["q"] for x in mine]), query_ids, data, ids, k)
                 yield pa.RecordBatch.from_arrays([pa.array(query_ids[q]), pa.array(ids[r]), pa.array(s)], ["query_id", "vec_id", "score"])
 
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
 
     def searched(pairs: DataFrame) -> DataFrame:
         """Queries meet a block in lots of a few hundred; each lot reads the block once."""
-        lots = pairs.groupBy("block", F.pmod(F.xxhash64("query_id"), F.lit(max(1, n // query_every // 256))).alias("lot"))
-        lots = lots.agg(F.collect_list(F.struct("query_id", "q")).alias("queries"))
-        hits = lots.join(index.select("block", "ids", "rows"), "block").select("ids", "rows", "queries")
+        asked = pairs.groupBy("block", "lot").agg(F.collect_list("query_id").alias("asked"))
+        hits = asked.join(vectors_of, "lot").join(index.select("block", "ids", "rows"), "block").select("ids", "rows", "asked", "members")
         return hits.mapInArrow(search, "query_id long, vec_id long, score long")
 
-    pair = "block long, query_id long, q array<long>"
+    pair = "block long, query_id long, lot long"
     seeds = saved(searched(queries.mapInArrow(plan(True), pair)), "seeds")
     kept = seeds.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k)
     bounded = queries.join(kept.select("query_id", F.col("score").cast("double").alias("least")), "query_id", "left")

@@ -26,12 +26,19 @@ def test_words_of_any_length_match_the_library():
     texts += ["".join(rng.choice(a) for _ in range(rng.randrange(1, 160))) for a in ("ab", "the", "inga", "estr", "aeiouth", "日本é") for _ in range(25)]
     coder = bpe.Coder(RANKS, words_per_query=50, remembered=20)
     for _ in range(2):
-        ids, back = coder.encode(texts)
+        ids = coder.encode(texts)
         assert ids.to_pylist() == [TIKTOKEN.encode_ordinary(t) for t in texts]
+        back = coder.decode(ids)
         assert back == [t.encode() for t in texts]
     assert coder.decode(pa.array([[], *ids.to_pylist()], pa.list_(pa.int32()))) == [b"", *back]
 
 
+def test_decoding_goes_by_the_ids_alone():
+    coder = bpe.Coder(RANKS)
+    ids = [[RANKS[b"a"], RANKS[b" the"], RANKS[bytes([0xC3])], RANKS[bytes([0xA9])]], [], [RANKS[b"the"]] * 3]
+    assert coder.decode(pa.array(ids, pa.list_(pa.int32()))) == ["a theé".encode(), b"", b"thethethe"]
+
+
 def test_hard_texts_round_trip(hard_docs, hard_rows, same_rows):
     found = bpe.round_trip(hard_docs, vocabulary_path()).select("doc_id", "n_tokens", "ids_text", "decoded").collect()
     ids = [TIKTOKEN.encode_ordinary(t or "") for _, t in hard_rows]

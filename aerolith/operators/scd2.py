@@ -77,6 +77,7 @@ def merge(
     type1: Sequence[str] = (),
     close_missing: bool = False,
     far_future: date = FAR_FUTURE,
+    one_row_per_key: bool = False,
 ) -> DataFrame:
     """SCD2 merge of ``incoming`` (one row per natural key) into ``existing``.
 
@@ -88,7 +89,9 @@ def merge(
     The classified join is written once to the scratch folder. Re-running
     with the same snapshot changes nothing. A NULL key is a key
     like any other (NULL-safe join). Two incoming rows of one key, or a change
-    dated before the current version took effect, fail the load.
+    dated before the current version took effect, fail the load;
+    ``one_row_per_key`` tells that ``incoming`` (a :func:`snapshot`, say)
+    cannot hold two, which saves the check's window.
     """
     as_of_c = _d(as_of)
     attrs = [c for c in incoming.columns if c != natural_key]
@@ -99,7 +102,7 @@ def merge(
 
     cur = current.select(F.lit(True).alias("c__here"), *[F.col(c).alias(f"c_{c}") for c in out_cols])
     inc = incoming.select(
-        (F.count(F.lit(1)).over(Window.partitionBy(natural_key)) == 1).alias("i__here"),
+        (F.lit(True) if one_row_per_key else F.count(F.lit(1)).over(Window.partitionBy(natural_key)) == 1).alias("i__here"),
         *[F.col(c).alias(f"i_{c}") for c in incoming.columns],
     )
     j = cur.join(inc, F.col(f"c_{natural_key}").eqNullSafe(F.col(f"i_{natural_key}")), "full_outer")

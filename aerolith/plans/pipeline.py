@@ -57,7 +57,7 @@ class ColdPathResult:
 def _load_scd2(spark, snapshot: DataFrame, base: str, key: str, surrogate: str, tracked, as_of) -> DataFrame:
     """The dimension's next version."""
     if table_exists(spark, base):
-        return scd2.merge(read_latest(spark, base), snapshot, key, tracked, surrogate, as_of)
+        return scd2.merge(read_latest(spark, base), snapshot, key, tracked, surrogate, as_of, one_row_per_key=True)
     return scd2.first_load(snapshot, key, surrogate, as_of)
 
 

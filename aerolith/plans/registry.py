@@ -145,7 +145,7 @@ def customer_dims(spark: SparkSession, sf_dir: str):
     snap2 = S.customer_snapshot(spark, sf_dir, last)
     v2 = scd2.merge(
         v1, snap2, "c_custkey", ["c_mktsegment", "c_nationkey", "last_priority"], "customer_key",
-        last, type1=["c_name", "last_status"],
+        last, type1=["c_name", "last_status"], one_row_per_key=True,
     )
     return v1, v2
 

@@ -1,6 +1,7 @@
 """Registered queries against their DuckDB oracles, and the pipeline against a plain version of its stages."""
 
 import base64
+import hashlib
 import re
 
 import duckdb
@@ -43,6 +44,44 @@ def test_all_are_registered():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 14))
 
 
+# --- registered queries without SQL ----------------------------------------------------
+
+
+def rows_of(spark):
+    return [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+
+
+def sha(data):
+    return hashlib.sha256(data).hexdigest()
+
+
+def test_registered_op4_like_brute_force(spark, same_rows):
+    from test_paragraphs import slow_registered
+
+    found = queries.QUERIES["op4_paragraph_dedup"](spark, SMALL).collect()
+    wanted = [(i, n, gone, sources, sha(kept.encode())) for i, n, gone, sources, kept in slow_registered(rows_of(spark))]
+    same_rows([(*r[:3], ",".join(map(str, r["sources"])), r["kept_sha256"]) for r in found], wanted)
+
+
+def test_registered_op5_like_the_library(spark, same_rows):
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    wanted = []
+    for i, t in rows_of(spark):
+        ids = library.encode_ordinary(t or "")
+        wanted.append((i, len(ids), sha(" ".join(map(str, ids)).encode()), sha((t or "").encode())))
+    same_rows(queries.QUERIES["op5_byte_bpe"](spark, SMALL).collect(), wanted)
+
+
+def test_registered_op10_like_brute_force(spark, same_rows):
+    from test_simhash import slow_components
+
+    same_rows(queries.QUERIES["op10_simhash"](spark, SMALL).collect(), slow_components(rows_of(spark)))
+
+
 # --- pipeline -----------------------------------------------------------------------
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})

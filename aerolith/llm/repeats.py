@@ -1,4 +1,4 @@
-"""Exact substring deduplication: suffixes of sharded texts in order of their first bytes, equal ones by document."""
+"""Exact substring deduplication: longest previous factors by smaller positions in the suffix order of sharded texts."""
 
 from __future__ import annotations
 
@@ -149,8 +149,8 @@ class Segments:
         np.maximum.at(self.most, self.of, self.doc)
 
 
-def _suffix_order(v: np.ndarray, at: np.ndarray, steps: list[int], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Windows at ``at`` in the order of their bytes, then documents, and for each place the first place with equal bytes.
+def _suffix_order(v: np.ndarray, at: np.ndarray, steps: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes at ``at`` in the order of their first bytes, and for each place the first place with equal ones.
 
     Eight bytes at a time; only what is still tied is sorted further.
     """
@@ -166,23 +166,42 @@ def _suffix_order(v: np.ndarray, at: np.ndarray, steps: list[int], docs: np.ndar
         tied = ~new
         tied[:-1] |= ~new[1:]
         places, group = places[tied], group[tied]
+        if k == len(steps):  # what is left is equal in all bytes
+            head[places] = group
+            break
         rows = order[places]
-        value = v[at[rows] + steps[k]] if k < len(steps) else docs[rows]
+        value = v[at[rows] + steps[k]]
         by = np.lexsort((value, group))
         order[places], value = rows[by], value[by]
-    else:  # what is left is equal in all bytes
-        head[places] = group
     return order, head
 
 
-def earliest_sources(texts: list[bytes], docs: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(smallest document that holds it, for each window of each text; windows of each text).
+def previous_smaller(value: np.ndarray, head: np.ndarray) -> np.ndarray:
+    """For each place the nearest one before it, from ``head`` on, with a smaller value; -1 if there is none.
+
+    Every place follows its neighbour's pointer while that is not smaller:
+    what a pointer skips is not smaller than its owner either. All places
+    step at once, so skipped stretches double.
+    """
+    prev = np.arange(len(value)) - 1
+    prev[prev < head] = -1
+    open_ = np.flatnonzero(prev >= 0)
+    while len(open_):
+        open_ = open_[value[prev[open_]] >= value[open_]]
+        prev[open_] = prev[prev[open_]]
+        open_ = open_[prev[open_] >= 0]
+    return prev
+
 
-    ``docs`` is each text's own smallest document. Suffixes are sorted by
-    their first ``length`` bytes, equal ones by document, so the first of the
-    equal ones is where following previous smaller entries would lead. What a
-    whole longest-previous-factor array adds, the lengths beyond ``length``,
-    decides nothing here and is not computed.
+def earliest_sources(texts: list[bytes], docs: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(an earlier document that holds it, or its own, for each window of each text; windows of each text).
+
+    ``docs`` is each text's own smallest document, the position that counts.
+    A suffix's longest previous factor is the longer of what it has in common
+    with the previous and with the next smaller position in suffix order.
+    Lengths beyond ``length`` decide nothing, so the order goes by that many
+    bytes and the factors are capped there: one reaches the cap just when a
+    smaller position stands among the neighbours that are equal so far.
     """
     data = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.array([len(t) for t in texts], np.int64)
@@ -190,9 +209,15 @@ def earliest_sources(texts: list[bytes], docs: np.ndarray, length: int) -> tuple
     of = np.repeat(np.arange(len(texts)), count)
     at = np.arange(len(of)) + np.repeat(np.cumsum(sizes) - sizes - (np.cumsum(count) - count), count)
     v = _words(data, ">").astype(np.uint64)
-    order, head = _suffix_order(v, at, [*range(0, length - 7, 8), length - 8], docs[of])
-    source = np.empty(len(order), np.int64)
-    source[order] = docs[of[order[head]]]
+    order, head = _suffix_order(v, at, [*range(0, length - 7, 8), length - 8])
+    position, n = docs[of[order]], len(order)
+    ends = np.flatnonzero(np.append(head[1:] != head[:-1], True)) if n else head
+    tail = np.repeat(ends, np.diff(ends, prepend=-1))
+    before = previous_smaller(position, head)
+    after = n - 1 - previous_smaller(position[::-1], n - 1 - tail[::-1])[::-1]  # n: none
+    match = np.where(before >= 0, before, np.where(after < n, after, np.arange(n)))
+    source = np.empty(n, np.int64)
+    source[order] = position[match]
     return source, count
 
 
@@ -223,8 +248,9 @@ def remove_repeats(
     shard of its smallest piece hash. First only 31-bit tags of these hashes
     travel, once per pack: those of a single document cannot match. Segments
     of the others travel once per pack and distinct content. Each shard sorts
-    the suffixes of its distinct segments by their first ``length`` bytes and
-    documents, and tells each pack which windows have an earlier source. So a
+    the suffixes of its distinct segments and computes their longest previous
+    factors, capped at ``length``; it tells each pack which windows have an
+    earlier source. So a
     passage or copy that fills a third of the corpus is one entry a pack in
     its shard; keys that more than ``hot_packs`` packs hold (a common line with
     different text around it) are dealt by more keys, so they fill no

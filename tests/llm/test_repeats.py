@@ -49,6 +49,17 @@ def test_other_length_and_empty_table(spark, same_rows):
         repeats.Shards(8, 4)
 
 
+def test_smaller_positions():
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        value = rng.integers(0, 6, rng.integers(1, 30))
+        head = np.zeros(len(value), int)
+        for c in np.sort(rng.integers(0, len(value), 3)).tolist():
+            head[c:] = c
+        wanted = [max((j for j in range(head[i], i) if value[j] < value[i]), default=-1) for i in range(len(value))]
+        assert repeats.previous_smaller(value, head).tolist() == wanted
+
+
 def test_a_common_line_fills_no_one_shard():
     """Texts around one line of 30 bytes: dealt by the line's piece alone they meet in one bucket, by more keys in many."""
     rng = random.Random(4)

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from aerolith.llm.common import byte_column, discard, saved, worker_cache
@@ -47,71 +48,89 @@ class Bounds:
     Sets of a and b tokens that are linked share at least percent * (a + b) /
     (100 + percent). A prefix holds the first tokens of a set in one order of
     all tokens; ``rest`` is what a set has left from a token on, itself
-    included. The l-th token that two sets share leaves room for no more than
-    l - 1 + rest common ones, so linked sets share l tokens at which both
-    rests are large enough. l is one, and another for each ``slack`` tokens of
-    the smaller set: a passage that texts have in common does not yet make
-    them candidates.
+    included. The first token that two sets share leaves room for no more
+    common ones than either rest.
     """
 
-    def __init__(self, percent: int, slack: int = 20):
-        self.percent, self.slack = percent, slack
+    def __init__(self, percent: int):
+        self.percent = percent
 
     def least(self, size):
         """Smallest overlap with, and smallest size of, any partner."""
         return (size * self.percent + 99) // 100
 
-    def shared(self, size):
-        return 1 + size // self.slack
-
     def prefix(self, size):
-        return min(size, size - self.least(size) + self.shared(size))
+        return size - self.least(size) + 1
 
     def least_column(self, size: Column) -> Column:
         return F.floor((size * self.percent + 99) / 100)
 
-    def shared_column(self, size: Column) -> Column:
-        return 1 + F.floor(size / self.slack)
+    def reaches(self, size: Column, other_size: Column, rest: Column, other_rest: Column) -> Column:
+        """Whether sets whose first common token has these rests can be linked."""
+        return self.percent * (size + other_size) <= (100 + self.percent) * F.least(rest, other_rest)
+
 
-    def reaches(self, size: Column, other_size: Column, rest: Column, other_rest: Column, l_size: Column) -> Column:
-        """Whether a shared token with these rests can be among the first l (by ``l_size``) of linked sets."""
-        return self.percent * (size + other_size) <= (100 + self.percent) * (F.least(rest, other_rest) + self.shared_column(l_size) - 1)
+def _counter(tokens: np.ndarray, bits: int) -> np.ndarray:
+    """The counter of each token."""
+    return (tokens.view(np.uint64) >> np.uint64(17)).astype(np.int64) & ((1 << bits) - 1)
 
 
-def common_tokens(docs: DataFrame, shingle: int, sample_rows: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted token hashes met in several documents of a sample, and in how many.
+def token_levels(docs: DataFrame, shingle: int, bits: int, pieces: int = 64, salts: int = 32) -> np.ndarray:
+    """How frequent tokens are, by 2**bits counters over all documents: zero for what may be rare, else a logarithm.
 
-    They only order the tokens of the prefixes (rare ones first); any order
-    gives the same links, so the bounds on the sample lose nothing.
+    Levels only order the tokens of the prefixes (rare ones first); any order
+    gives the same links. The table has a fixed size, whatever the corpus:
+    tokens that share a counter blur each other, so the level is that of the
+    count beyond what chance gives a counter. Each task sends its counters in
+    ``pieces``, which are added up in two steps.
     """
-    n = docs.count()
+    n = 1 << bits
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(n, np.int32)
         for batch in batches:
             sets = [shingle_set(t.as_py(), shingle) for t in byte_column(batch, "text")]
             if sets:
-                token, held = np.unique(np.concatenate(sets), return_counts=True)
-                yield pa.RecordBatch.from_pydict({"token": token, "held": held})
+                at, times = np.unique(_counter(np.concatenate(sets), bits), return_counts=True)
+                held[at] += times.astype(np.int32)
+        salt = TaskContext.get().partitionId() % salts
+        for k, part in enumerate(np.split(held, pieces)):
+            if part.any():
+                yield pa.RecordBatch.from_pydict({"piece": pa.array([k], pa.int32()), "salt": pa.array([salt], pa.int32()), "held": pa.array([_packed(part)], pa.binary())})
+
+    def added(group: pa.Table) -> pa.Table:
+        total = np.zeros(n // pieces, np.int64)
+        for part in group.column("held").to_pylist():
+            total += _unpacked(part, n // pieces)
+        return pa.table({"piece": group.column("piece").slice(0, 1), "salt": pa.array([0], pa.int32()), "held": pa.array([_packed(total)], pa.binary())})
+
+    schema = "piece int, salt int, held binary"
+    parts = docs.select("text").mapInArrow(count, schema).groupBy("piece", "salt").applyInArrow(added, schema)
+    total = np.zeros(n, np.int64)
+    for row in parts.groupBy("piece").applyInArrow(added, schema).collect():  # a table of fixed size
+        total[row["piece"] * (n // pieces) : (row["piece"] + 1) * (n // pieces)] = _unpacked(row["held"], n // pieces)
+    chance = total.mean()
+    beyond = np.maximum(0, total - chance - 4 * np.sqrt(chance) - 1)
+    return np.minimum(255, np.ceil(8 * np.log2(1 + beyond))).astype(np.uint8)
 
-    part = docs.select("text").sample(fraction=min(1.0, sample_rows / max(n, 1)), seed=11).mapInArrow(run, "token long, held long")
-    found = part.groupBy("token").agg(F.sum("held").alias("held")).where("held > 1").orderBy(F.desc("held"), "token").limit(most).toPandas()
-    order = np.argsort(found["token"].to_numpy(np.int64))
-    return found["token"].to_numpy(np.int64)[order], found["held"].to_numpy(np.int64)[order]
 
+def _packed(counts: np.ndarray) -> bytes:
+    return pa.compress(counts.astype("<i8").tobytes(), "zstd", asbytes=True)
 
-def prefix_tokens(tokens: np.ndarray, common: tuple[np.ndarray, np.ndarray], bounds: Bounds) -> np.ndarray:
-    """The set's first tokens, those of the least sample count first, then by hash."""
-    known, held = common
-    count = np.zeros(len(tokens), np.int64)
-    if len(known):
-        at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
-        count = np.where(known[at] == tokens, held[at], 0)
-    return tokens[np.argsort(count, kind="stable")[: int(bounds.prefix(len(tokens)))]]
 
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, 8 * n, "zstd", asbytes=True), "<i8")
 
-def document_sets(docs: DataFrame, shingle: int, common: tuple[np.ndarray, np.ndarray], bounds: Bounds) -> DataFrame:
+
+def prefix_tokens(tokens: np.ndarray, levels: np.ndarray, bounds: Bounds) -> np.ndarray:
+    """The set's first tokens, those of the least level first, then by hash."""
+    level = levels[_counter(tokens, len(levels).bit_length() - 1)]
+    return tokens[np.argsort(level, kind="stable")[: int(bounds.prefix(len(tokens)))]]
+
+
+def document_sets(docs: DataFrame, shingle: int, levels: np.ndarray, bounds: Bounds) -> DataFrame:
     """(id, size, digest, prefix): the shingle set of each row by its size, 128-bit digest and prefix tokens."""
-    order = docs.sparkSession.sparkContext.broadcast(common)  # bounded by the sample's parameters
+    order = docs.sparkSession.sparkContext.broadcast(levels)  # a byte a counter
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,7 +178,7 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, shingle: int, p
 
 
 def star_pairs(postings: DataFrame, bounds: Bounds) -> DataFrame:
-    """(a, b): each set with the hub of its tokens, if enough tokens are shared. A few pairs a set.
+    """(a, b): each set with the hubs of its tokens, where they can be linked. A few pairs a set.
 
     A token's hub is the set with the fewest tokens before it (then the
     smallest id): of an original and its edited copies, the original, which
@@ -170,11 +189,9 @@ def star_pairs(postings: DataFrame, bounds: Bounds) -> DataFrame:
     hubs = postings.groupBy("token").agg(best).select(
         "token", F.col("hub.sid").alias("hub"), F.col("hub.size").alias("hub_size"), F.col("hub.rest").alias("hub_rest")
     )
-    less = F.least("size", "hub_size")
     met = postings.join(hubs, "token").where(F.col("sid") != F.col("hub"))
-    met = met.where(bounds.reaches(F.col("size"), F.col("hub_size"), F.col("rest"), F.col("hub_rest"), less))
-    counted = met.groupBy(F.least("hub", "sid").alias("a"), F.greatest("hub", "sid").alias("b"), less.alias("less"))
-    return counted.count().where(F.col("count") >= bounds.shared_column(F.col("less"))).select("a", "b")
+    met = met.where(bounds.reaches(F.col("size"), F.col("hub_size"), F.col("rest"), F.col("hub_rest")))
+    return met.select(F.least("hub", "sid").alias("a"), F.greatest("hub", "sid").alias("b")).distinct()
 
 
 def group_pairs(members: DataFrame, bounds: Bounds) -> DataFrame:
@@ -184,28 +201,23 @@ def group_pairs(members: DataFrame, bounds: Bounds) -> DataFrame:
     hold. The token-group matrix has a row for each token of a group's union,
     with the smallest size and the largest rest of the members that hold it.
     They bound the overlap of a query set with any of those members; only
-    groups that reach the bound, with enough tokens, are opened, by the tokens
-    they share with the query. A group of one member needs no opening.
+    groups that reach the bound are opened, by the tokens they share with the
+    query. A group of one member needs no opening.
     """
     matrix = members.groupBy("token", F.col("grp").alias("other")).agg(
         F.min("size").alias("low"), F.max("rest").alias("most"), F.min("sid").alias("first"), F.max("sid").alias("last")
     )
     size = F.col("size")
     met = members.join(matrix, "token").where(
-        (F.col("grp") < F.col("other")) & bounds.reaches(size, F.greatest("low", bounds.least_column(size)), F.col("rest"), F.col("most"), size)
-    )
-    bound = met.groupBy("sid", "size", "other").agg(
-        F.count("*").alias("n"), F.min("low").alias("low"), F.min("first").alias("first"), F.max("last").alias("last")
+        (F.col("grp") < F.col("other")) & bounds.reaches(size, F.greatest("low", bounds.least_column(size)), F.col("rest"), F.col("most"))
     )
-    bound = saved(bound.where(F.col("n") >= bounds.shared_column(bounds.least_column(size))), "qualified")
-    single = bound.where(F.col("first") == F.col("last")).where(F.col("n") >= bounds.shared_column(F.least("size", "low")))
+    bound = saved(met.groupBy("sid", "other").agg(F.min("first").alias("first"), F.max("last").alias("last")), "qualified")
+    single = bound.where("first = last").select(F.col("sid").alias("a"), F.col("first").alias("b"))
 
     queries = bound.where("first < last").select("sid", "other").join(members.select("sid", "size", "rest", "token"), "sid")
     inside = members.select("token", F.col("grp").alias("other"), F.col("sid").alias("b"), F.col("size").alias("b_size"), F.col("rest").alias("b_rest"))
-    less = F.least("size", "b_size")
-    opened = queries.join(inside, ["token", "other"]).where(bounds.reaches(size, F.col("b_size"), F.col("rest"), F.col("b_rest"), less))
-    counted = opened.groupBy("sid", "b", less.alias("less")).count().where(F.col("count") >= bounds.shared_column(F.col("less")))
-    return single.select(F.col("sid").alias("a"), F.col("first").alias("b")).unionByName(counted.select(F.col("sid").alias("a"), "b"))
+    opened = queries.join(inside, ["token", "other"]).where(bounds.reaches(size, F.col("b_size"), F.col("rest"), F.col("b_rest")))
+    return single.unionByName(opened.select(F.col("sid").alias("a"), "b").distinct())
 
 
 def similar_documents(
@@ -214,27 +226,26 @@ def similar_documents(
     text_col: str = "text",
     shingle: int = 5,
     percent: int = 80,
-    sample_rows: int = 10_000,
-    most_common: int = 200_000,
+    bits: int = 24,
     broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """(id, n_shingles, component_id): documents linked where 100 * intersection >= percent * union of their shingle sets.
 
     Equal sets are folded first, so copies cost one row. Then:
 
-    1. Every set's prefix tokens (rare ones first) are dealt by token. Each
-       set is checked against the hubs of its tokens; what is really similar
-       forms the groups.
+    1. Counters of a fixed size (``2**bits``) over all documents say how
+       frequent tokens are. Every set's prefix tokens, rare ones first, are
+       dealt by token. Each set is checked against the hubs of its tokens;
+       what is really similar forms the groups.
     2. The token-group matrix has one row for each token and group that holds
        it: the group's union of prefix tokens, without its members. A set
-       is counted against the groups other than its own; a group is opened
-       only if the bound on the set's overlap with its members reaches what a
-       link needs, at as many tokens as it needs.
+       meets the groups other than its own; a group is opened only if the
+       bound on the set's overlap with its members reaches what a link needs.
        Pairs within a group need no check: the group is connected.
     3. Candidates are verified on their whole sets, made anew from the texts,
        and all links are joined to components.
 
-    The result does not depend on the sample: the prefix bound holds in any
+    The result does not depend on the counters: the prefix bound holds in any
     order of the tokens. Shingles are compared by 64-bit hashes, sets by
     128-bit digests. A token that many *groups* hold in their prefix is
     compared between each two of them.
@@ -246,7 +257,7 @@ def similar_documents(
     """
     bounds = Bounds(percent)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = saved(document_sets(docs, shingle, common_tokens(docs, shingle, sample_rows, most_common), bounds), "document-sets")
+    rows = saved(document_sets(docs, shingle, token_levels(docs, shingle, bits), bounds), "document-sets")
     known = docs.where("id IS NOT NULL")
     folded = rows.where("id IS NOT NULL AND size > 0").groupBy("digest").agg(F.min("id").alias("head"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
     sets = saved(folded.withColumn("sid", F.monotonically_increasing_id()), "sets")

@@ -65,7 +65,7 @@ def near_rows(rng, n=150):
 def test_components_like_all_pairs(spark, same_rows, seed):
     rng = random.Random(seed)
     rows = near_rows(rng)
-    found = ngram_join.similar_documents(as_docs(spark, rows), sample_rows=(10_000, 40, 1)[seed - 1], broadcast_rows=(1000, 0, 0)[seed - 1])
+    found = ngram_join.similar_documents(as_docs(spark, rows), bits=(24, 12, 6)[seed - 1], broadcast_rows=(1000, 0, 0)[seed - 1])
     same_rows(found.collect(), brute(rows))
 
 
@@ -87,21 +87,25 @@ def test_one_id_of_several_texts_and_other_thresholds(spark, same_rows):
 
 
 def test_linked_sets_always_meet():
-    """The bound that the candidates rest on: random linked sets in a random order of all tokens."""
-    rng = random.Random(5)
-    for _ in range(3000):
-        percent, slack = rng.choice([50, 80, 95, 100]), rng.choice([2, 3, 20])
-        bounds = ngram_join.Bounds(percent, slack)
-        universe = list(range(60))
-        rng.shuffle(universe)
-        common = universe[: rng.randrange(1, 40)]
-        only = universe[len(common) :]
-        a = common + only[: rng.randrange(0, 6)]
-        b = common + only[6 : 6 + rng.randrange(0, 6)]
-        if 100 * len(common) < percent * (len(a) + len(b) - len(common)):
-            continue
-        rest = [{t: len(x) - k for k, t in enumerate(sorted(x)) if k < bounds.prefix(len(x))} for x in (a, b)]
-        less = min(len(a), len(b))
-        fits = [t for t in rest[0].keys() & rest[1].keys() if percent * (len(a) + len(b)) <= (100 + percent) * (min(rest[0][t], rest[1][t]) + bounds.shared(less) - 1)]
-        assert len(fits) >= min(bounds.shared(less), len(common))
-        assert slack < 20 or bounds.shared(less) <= bounds.least(less)
+    """The bound that the candidates rest on, over all sizes of small sets and all places of their first common token."""
+    for percent in (50, 80, 95, 100):
+        bounds = ngram_join.Bounds(percent)
+        for a in range(1, 25):
+            for b in range(a, 25):
+                for common in range(1, a + 1):
+                    if 100 * common >= percent * (a + b - common):
+                        for i in range(a - common + 1):  # tokens of either set before the first common one
+                            for j in range(b - common + 1):
+                                assert i < bounds.prefix(a) and j < bounds.prefix(b)
+                                assert percent * (a + b) <= (100 + percent) * min(a - i, b - j)
+
+
+def test_levels_tell_frequent_tokens(spark):
+    rng = random.Random(6)
+    passage = prose(rng, 30)
+    words = [f"w{k}" for k in range(5000)]
+    rows = [(k, f"{prose(rng, 40, words)} {passage if k % 2 else ''}") for k in range(200)]
+    levels = ngram_join.token_levels(as_docs(spark, rows).select("text"), 5, 16, pieces=4, salts=2)
+    level = lambda text: levels[ngram_join._counter(ngram_join.shingle_set(text.encode()), 16)]
+    assert levels.shape == (1 << 16,) and level(passage).min() > 40
+    assert (level(rows[0][1]) == 0).mean() > 0.9

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from aerolith.llm.common import byte_column, row_chunks, saved
 from aerolith.llm.components import components
 from aerolith.llm.decontaminate import LOWER, word_hashes
+from aerolith.llm.ngram_join import Bounds, group_pairs, star_pairs
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -176,7 +177,8 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, min_words: int, shingle: in
                     if p:  # else another row with the same id
                         out["u"].append(w["u"])
                         out["key"].append(w["key"])
-                        out["shingles"].append(np.unique(p.hashes[p.cuts[i] : p.cuts[i + 1]].view(np.int64)))
+                        own = p.hashes[p.cuts[i] : p.cuts[i + 1]] ^ (MIX[2] * np.uint64(p.kind))  # lines and blocks have none in common
+                        out["shingles"].append(np.unique(own.view(np.int64)))
             yield pa.RecordBatch.from_pydict(out, pa.schema([("u", pa.int64()), ("key", pa.binary()), ("shingles", pa.list_(pa.int64()))]))
 
     texts = docs.join(few(per_doc, wanted.count(), broadcast_rows), "doc_id").select("text", "wanted")
@@ -190,32 +192,48 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return both.where(common >= F.lit(float(threshold)) * (F.size("sa") + F.size("sb") - common)).select("a", "b", "key_a", "key_b")
 
 
+def postings_of(sets: DataFrame, bounds: Bounds) -> DataFrame:
+    """(token, sid, size, rest) of the shared shingles in each set's prefix, those of few sets first.
+
+    Shingles of a single set come before all others and meet nothing: only
+    their number counts.
+    """
+    tokens = sets.select("u", F.explode("shingles").alias("token"))
+    shared = tokens.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
+    listed = tokens.join(shared, "token").groupBy("u").agg(F.sort_array(F.collect_list(F.struct("held", "token"))).alias("t"))
+    sized = sets.select("u", F.size("shingles").cast("long").alias("size")).distinct().join(listed, "u")
+    alone = F.col("size") - F.size("t")
+    prefix = F.col("size") - bounds.least_column(F.col("size")) + 1
+    first = F.slice("t", F.lit(1), F.greatest(F.lit(0), prefix - alone).cast("int"))
+    rows = sized.select("u", "size", alone.alias("alone"), F.posexplode(first).alias("pos", "x"))
+    return rows.select(F.col("x.token").alias("token"), F.col("u").alias("sid"), "size", (F.col("size") - F.col("alone") - F.col("pos")).alias("rest"))
+
+
 def near_copies(docs: DataFrame, signed: DataFrame, min_words: int, shingle: int, threshold: float, broadcast_rows: int) -> DataFrame:
     """(key_a, key_b): links that join all paragraphs with a band in common and Jaccard similarity of ``threshold`` or more.
 
-    First each paragraph against the smallest of its bands, a few pairs each.
-    Bands whose paragraphs these links have not joined yet are then compared
-    between what is joined already, so a group of near copies costs about one
-    comparison a member.
+    Paragraphs that collide in a band with another one are candidates; their
+    shingle sets are made anew. Which of them to compare, exact bounds on the
+    overlap say (see :mod:`aerolith.llm.ngram_join`): each with the hubs of
+    its shingles first, then only between what these links have not joined.
+    So neither a group of near copies nor one of many unlike edits of one
+    paragraph, whose bands collide all the same, costs all its pairs.
     """
     dealt = signed.where("bands IS NOT NULL").select("u", F.explode("bands").alias("band"))
-    least = dealt.groupBy("band").agg(F.min("u").alias("least"), F.max("u").alias("most")).where("least <> most").select("band", "least")
-    met = saved(dealt.join(least, "band").distinct(), "bands")
-    stars = saved(met.where("u <> least").select(F.col("least").alias("a"), F.col("u").alias("b")).distinct(), "stars")
-
-    seen = met.select("u").distinct()
+    several = dealt.groupBy("band").agg(F.min("u").alias("least"), F.max("u").alias("most")).where("least <> most").select("band")
+    seen = dealt.join(several, "band").select("u").distinct()
     heads = signed.where("bands IS NOT NULL").groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("h"), F.first("u").alias("u"))
     wanted = saved(heads.join(seen, "u").select(F.col("h.doc_id").alias("doc_id"), F.col("h.line").alias("line"), "key", "u"), "wanted")
     sets = saved(shingle_sets(docs, wanted, min_words, shingle, broadcast_rows), "sets")
 
-    first = saved(verified(stars, sets, threshold), "links")
-    joined = components(first, "a", "b").toDF("u", "root")
-    placed = met.select("u", "band").join(joined, "u", "left").select("band", "u", F.coalesce("root", "u").alias("grp"))
-    open_ = placed.groupBy("band").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low < high").select("band")
-    rest = saved(placed.join(open_, "band"), "open-bands")
-    left, right = rest.toDF("band", "a", "ga"), rest.toDF("band", "b", "gb")
-    pairs = left.join(right, "band").where("ga < gb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    second = verified(pairs.join(stars, ["a", "b"], "left_anti"), sets, threshold)
+    bounds = Bounds(int(100 * threshold))
+    postings = saved(postings_of(sets, bounds), "postings")
+    first = saved(verified(star_pairs(postings, bounds), sets, threshold), "links")
+    joined = components(first, "a", "b").toDF("sid", "root")
+    placed = postings.join(joined, "sid", "left").select("token", "sid", "size", "rest", F.coalesce("root", "sid").alias("grp"))
+    mixed = placed.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low < high").select("token")
+    members = saved(placed.join(mixed, "token"), "members")
+    second = verified(group_pairs(members, bounds), sets, threshold)
     return saved(first.unionByName(second).select("key_a", "key_b"), "links")
 
 

@@ -106,12 +106,13 @@ def token_levels(docs: DataFrame, shingle: int, bits: int, pieces: int = 64, sal
 
     schema = "piece int, salt int, held binary"
     parts = docs.select("text").mapInArrow(count, schema).groupBy("piece", "salt").applyInArrow(added, schema)
-    total = np.zeros(n, np.int64)
-    for row in parts.groupBy("piece").applyInArrow(added, schema).collect():  # a table of fixed size
-        total[row["piece"] * (n // pieces) : (row["piece"] + 1) * (n // pieces)] = _unpacked(row["held"], n // pieces)
-    chance = total.mean()
-    beyond = np.maximum(0, total - chance - 4 * np.sqrt(chance) - 1)
-    return np.minimum(255, np.ceil(8 * np.log2(1 + beyond))).astype(np.uint8)
+    found = parts.groupBy("piece").applyInArrow(added, schema).select("piece", "held").collect()  # of a fixed size, compressed
+    chance = sum(int(_unpacked(row["held"], n // pieces).sum()) for row in found) / n
+    levels = np.zeros(n, np.uint8)
+    for row in found:
+        beyond = np.maximum(0, _unpacked(row["held"], n // pieces) - chance - 4 * np.sqrt(chance) - 1)
+        levels[row["piece"] * (n // pieces) : (row["piece"] + 1) * (n // pieces)] = np.minimum(255, np.ceil(8 * np.log2(1 + beyond)))
+    return levels
 
 
 def _packed(counts: np.ndarray) -> bytes:

@@ -178,13 +178,14 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, shingle: int, p
     return both.where(100 * common >= percent * (F.size("ta") + F.size("tb") - common)).select("a", "b")
 
 
-def star_pairs(postings: DataFrame, bounds: Bounds) -> DataFrame:
+def star_pairs(postings: DataFrame, bounds: Bounds, one: bool = False) -> DataFrame:
     """(a, b): each set with the hubs of its tokens, where they can be linked. A few pairs a set.
 
     A token's hub is the set with the fewest tokens before it (then the
     smallest id): of an original and its edited copies, the original, which
     is near to all of them though they may not be near to each other. Hubs
-    only make the groups; what they miss is found between groups.
+    only make the groups; what they miss is found between groups. ``one``
+    takes the hub of most of a set's tokens alone.
     """
     best = F.min(F.struct((F.col("size") - F.col("rest")).alias("pos"), "sid", "size", "rest")).alias("hub")
     hubs = postings.groupBy("token").agg(best).select(
@@ -192,6 +193,8 @@ def star_pairs(postings: DataFrame, bounds: Bounds) -> DataFrame:
     )
     met = postings.join(hubs, "token").where(F.col("sid") != F.col("hub"))
     met = met.where(bounds.reaches(F.col("size"), F.col("hub_size"), F.col("rest"), F.col("hub_rest")))
+    if one:
+        met = met.groupBy("sid", "hub").count().groupBy("sid").agg(F.max(F.struct("count", "hub"))["hub"].alias("hub"))
     return met.select(F.least("hub", "sid").alias("a"), F.greatest("hub", "sid").alias("b")).distinct()
 
 

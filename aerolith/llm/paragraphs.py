@@ -154,12 +154,7 @@ def sign(docs: DataFrame, min_words: int, shingle: int, bands: int, rows: int) -
     return docs.mapInArrow(run, "kind int, key binary, u long, doc_id long, line int, block int, bands array<bigint>")
 
 
-def few(df: DataFrame, rows: int, broadcast_rows: int) -> DataFrame:
-    """``df`` broadcast if it has no more than ``broadcast_rows`` rows."""
-    return F.broadcast(df) if rows <= broadcast_rows else df
-
-
-def shingle_sets(docs: DataFrame, wanted: DataFrame, min_words: int, shingle: int, broadcast_rows: int) -> DataFrame:
+def shingle_sets(docs: DataFrame, wanted: DataFrame, min_words: int, shingle: int) -> DataFrame:
     """(u, key, shingles) of the ``wanted`` paragraphs (doc_id, line, key, u), made anew from the texts that hold them."""
     per_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line", "key", "u")).alias("wanted"))
 
@@ -181,7 +176,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, min_words: int, shingle: in
                         out["shingles"].append(np.unique(own.view(np.int64)))
             yield pa.RecordBatch.from_pydict(out, pa.schema([("u", pa.int64()), ("key", pa.binary()), ("shingles", pa.list_(pa.int64()))]))
 
-    texts = docs.join(few(per_doc, wanted.count(), broadcast_rows), "doc_id").select("text", "wanted")
+    texts = docs.join(per_doc, "doc_id").select("text", "wanted")
     return texts.mapInArrow(run, "u long, key binary, shingles array<bigint>").dropDuplicates(["key"])
 
 
@@ -209,13 +204,13 @@ def postings_of(sets: DataFrame, bounds: Bounds) -> DataFrame:
     return rows.select(F.col("x.token").alias("token"), F.col("u").alias("sid"), "size", (F.col("size") - F.col("alone") - F.col("pos")).alias("rest"))
 
 
-def near_copies(docs: DataFrame, signed: DataFrame, min_words: int, shingle: int, threshold: float, broadcast_rows: int) -> DataFrame:
+def near_copies(docs: DataFrame, signed: DataFrame, min_words: int, shingle: int, threshold: float) -> DataFrame:
     """(key_a, key_b): links that join all paragraphs with a band in common and Jaccard similarity of ``threshold`` or more.
 
     Paragraphs that collide in a band with another one are candidates; their
     shingle sets are made anew. Which of them to compare, exact bounds on the
-    overlap say (see :mod:`aerolith.llm.ngram_join`): each with the hubs of
-    its shingles first, then only between what these links have not joined.
+    overlap say (see :mod:`aerolith.llm.ngram_join`): each with the best hub
+    of its shingles first, then only between what these links have not joined.
     So neither a group of near copies nor one of many unlike edits of one
     paragraph, whose bands collide all the same, costs all its pairs.
     """
@@ -224,11 +219,11 @@ def near_copies(docs: DataFrame, signed: DataFrame, min_words: int, shingle: int
     seen = dealt.join(several, "band").select("u").distinct()
     heads = signed.where("bands IS NOT NULL").groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("h"), F.first("u").alias("u"))
     wanted = saved(heads.join(seen, "u").select(F.col("h.doc_id").alias("doc_id"), F.col("h.line").alias("line"), "key", "u"), "wanted")
-    sets = saved(shingle_sets(docs, wanted, min_words, shingle, broadcast_rows), "sets")
+    sets = saved(shingle_sets(docs, wanted, min_words, shingle), "sets")
 
     bounds = Bounds(int(100 * threshold))
     postings = saved(postings_of(sets, bounds), "postings")
-    first = saved(verified(star_pairs(postings, bounds), sets, threshold), "links")
+    first = saved(verified(star_pairs(postings, bounds, one=True), sets, threshold), "links")
     joined = components(first, "a", "b").toDF("sid", "root")
     placed = postings.join(joined, "sid", "left").select("token", "sid", "size", "rest", F.coalesce("root", "sid").alias("grp"))
     mixed = placed.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low < high").select("token")
@@ -262,7 +257,6 @@ def remove_repeated_paragraphs(
     threshold: float = 0.8,
     bands: int = 12,
     rows: int = 3,
-    broadcast_rows: int = 300_000,
 ) -> DataFrame:
     """(doc_id, n_paragraphs, n_removed, sources, kept): texts without paragraphs that repeat, exactly or nearly, one met earlier.
 
@@ -280,9 +274,8 @@ def remove_repeated_paragraphs(
     paragraph when one was removed (its lines may repeat yet earlier ones).
 
     One pass signs lines and blocks together; what travels are keys and
-    places. Texts are read again for the shingles of candidates and for the
-    cuts, joined with lists of up to ``broadcast_rows`` paragraphs by a
-    broadcast, with longer ones by a shuffle.
+    places. Texts are shuffled twice, to the places of candidates and to
+    those of the cuts.
 
     Null text counts as empty; a row without id is kept whole and is no
     source. Repeated rows of one id share the decision. An empty table gives
@@ -291,7 +284,7 @@ def remove_repeated_paragraphs(
     rows_ = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     known = rows_.where("doc_id IS NOT NULL AND text IS NOT NULL")
     signed = saved(sign(known, min_words, shingle, bands, rows), "signed")
-    links = near_copies(known, signed, min_words, shingle, threshold, broadcast_rows)
+    links = near_copies(known, signed, min_words, shingle, threshold)
 
     places = signed.drop("bands", "u")
     gone_blocks = removals(places.where(F.col("kind") == BLOCK), links)
@@ -331,5 +324,5 @@ def remove_repeated_paragraphs(
             )
 
     none = F.array().cast("array<long>")
-    joined = rows_.join(few(per_doc, gone.count(), broadcast_rows), "doc_id", "left").select("doc_id", "text", F.coalesce("sources", none).alias("sources"), "gone")
+    joined = rows_.join(per_doc, "doc_id", "left").select("doc_id", "text", F.coalesce("sources", none).alias("sources"), "gone")
     return joined.mapInArrow(cut, "doc_id long, n_paragraphs long, n_removed long, sources array<long>, kept string")

@@ -36,8 +36,7 @@ def slow(rows, least=20, threshold=0.8):
     return [(i, len(gone[n]), "\n".join(x for k, x in enumerate((t or "").split("\n")) if k not in gone[n])) for n, (i, t) in enumerate(rows)]
 
 
-@pytest.mark.parametrize("broadcast_rows", [300_000, 0])
-def test_matches_brute_force(spark, hard_rows, same_rows, broadcast_rows):
+def test_matches_brute_force(spark, hard_rows, same_rows):
     rng = random.Random(8)
     words = [f"w{k}" for k in range(400)]
     passages = [prose(rng, 60, words) for _ in range(5)]
@@ -49,7 +48,7 @@ def test_matches_brute_force(spark, hard_rows, same_rows, broadcast_rows):
         return " ".join(w)
 
     rows = hard_rows + [(500 + k, "\n".join([prose(rng, 30, words), edited(rng.choice(passages)), "short line", prose(rng, 25, words)])) for k in range(60)]
-    found = paragraphs.remove_repeated_paragraphs(as_docs(spark, rows), broadcast_rows=broadcast_rows)
+    found = paragraphs.remove_repeated_paragraphs(as_docs(spark, rows))
     same_rows(found.select("doc_id", "n_removed", "kept").collect(), slow(rows))
 
 

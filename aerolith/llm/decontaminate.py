@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from aerolith.llm.common import byte_column, row_chunks, saved
 
@@ -295,7 +295,7 @@ def remove_overlaps(
     if len(lots) == 1:
         return docs.mapInArrow(_remover(lots[0](), text_col, shard_bytes, None), docs.schema)
     cut = "_overlap_cut"
-    schema = docs.schema.add(cut, "boolean")
+    schema = T.StructType([*docs.schema.fields, T.StructField(cut, T.BooleanType())])
     while True:
         changed = False
         for lot in lots:

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from aerolith.llm.common import byte_column, saved
 from aerolith.llm.components import components
@@ -228,7 +228,7 @@ def component_table(fps: DataFrame, max_bits: int, segments: int, shard_rows: in
 
 
 def _with_fingerprint(docs: DataFrame, text_col: str, name: str, shingle: int) -> DataFrame:
-    schema = docs.schema.add(name, "long")
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

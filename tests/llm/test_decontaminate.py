@@ -72,11 +72,11 @@ def test_empty_tables(spark, case):
 def test_a_benchmark_in_lots_finds_and_removes_the_same(spark, case, same_rows):
     rows, items, bench = case
     docs = as_docs(spark, rows)
-    assert len(d.phrase_lots(bench, "item_id", "text", 10, 500)) > 2
-    found = d.find_overlaps(docs, bench, most_bytes=500)
+    assert len(d.phrase_lots(bench, "item_id", "text", 10, 200)) > 2
+    found = d.find_overlaps(docs, bench, most_bytes=200)
     assert found.columns == ["doc_id", "n_words", "n_hit", "item_ids"]
     same_rows([(*r[:3], ",".join(r[3])) for r in found.collect()], [(*r[:3], ",".join(r[3])) for r in slow(rows, items)])
-    clean = d.remove_overlaps(docs, bench, most_bytes=500)
+    clean = d.remove_overlaps(docs, bench, most_bytes=200)
     assert clean.columns == docs.columns and clean.count() == len(rows)
     assert all(hit == 0 for _, _, hit, _ in slow([(r["doc_id"], r["text"]) for r in clean.collect()], items))
 

@@ -31,6 +31,11 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files of finished steps when the driver's garbage is collected; this has it done now."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def discard(df: DataFrame) -> None:
     """Deletes the files of a :func:`saved` table that nothing reads any more."""
     context = df.sparkSession.sparkContext

@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from aerolith.llm.common import byte_column, row_chunks, saved
+from aerolith.llm.common import byte_column, free_shuffles, row_chunks, saved
 from aerolith.llm.components import components
 from aerolith.llm.decontaminate import LOWER, word_hashes
 from aerolith.llm.ngram_join import Bounds, group_pairs, star_pairs
@@ -219,10 +219,13 @@ def near_copies(docs: DataFrame, signed: DataFrame, min_words: int, shingle: int
     seen = dealt.join(several, "band").select("u").distinct()
     heads = signed.where("bands IS NOT NULL").groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("h"), F.first("u").alias("u"))
     wanted = saved(heads.join(seen, "u").select(F.col("h.doc_id").alias("doc_id"), F.col("h.line").alias("line"), "key", "u"), "wanted")
+    free_shuffles(docs.sparkSession)
     sets = saved(shingle_sets(docs, wanted, min_words, shingle), "sets")
+    free_shuffles(docs.sparkSession)
 
     bounds = Bounds(int(100 * threshold))
     postings = saved(postings_of(sets, bounds), "postings")
+    free_shuffles(docs.sparkSession)
     first = saved(verified(star_pairs(postings, bounds, one=True), sets, threshold), "links")
     joined = components(first, "a", "b").toDF("sid", "root")
     placed = postings.join(joined, "sid", "left").select("token", "sid", "size", "rest", F.coalesce("root", "sid").alias("grp"))
@@ -285,12 +288,14 @@ def remove_repeated_paragraphs(
     known = rows_.where("doc_id IS NOT NULL AND text IS NOT NULL")
     signed = saved(sign(known, min_words, shingle, bands, rows), "signed")
     links = near_copies(known, signed, min_words, shingle, threshold)
+    free_shuffles(docs.sparkSession)
 
     places = signed.drop("bands", "u")
     gone_blocks = removals(places.where(F.col("kind") == BLOCK), links)
     inside = gone_blocks.select("doc_id", F.col("line").alias("block")).distinct()
     lines = saved(places.where(F.col("kind") == LINE).join(inside, ["doc_id", "block"], "left_anti"), "lines-left")
     gone = gone_blocks.unionByName(removals(lines, links))
+    free_shuffles(docs.sparkSession)
 
     per_doc = gone.groupBy("doc_id").agg(
         F.collect_set(F.struct("kind", "line", "key")).alias("gone"), F.array_sort(F.collect_set("keep_doc")).alias("sources")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import sys
+import time
 import types
 from collections.abc import Callable, Iterator
 
@@ -32,8 +34,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 
 
 def free_shuffles(spark: SparkSession) -> None:
-    """Spark deletes the shuffle files of finished steps when the driver's garbage is collected; this has it done now."""
-    spark.sparkContext._jvm.System.gc()
+    """Spark deletes the shuffle files of finished steps when the driver's garbage is collected; this has it done now.
+
+    Twice, as what Python lets go the first time is the JVM's garbage the second.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def discard(df: DataFrame) -> None:

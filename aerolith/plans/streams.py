@@ -79,16 +79,25 @@ def messages_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return air.unionByName(weather).unionByName(sensor)
 
 
+# Records of a file of messages. A micro-batch takes a file a core, so that a
+# batch, which is kept parsed until all its tables are written, does not grow with the feed.
+FILE_RECORDS = 500_000
+
+
+def files_at_once(spark: SparkSession) -> int:
+    return max(2, spark.sparkContext.defaultParallelism)
+
+
 def routed(spark: SparkSession, sf_dir: str) -> tuple[dict[str, Route], str]:
     root = scratch_path(spark, "routes")
     messages = messages_of(spark, sf_dir)
-    messages.repartition(4).write.parquet(f"{root}/messages")
+    messages.write.option("maxRecordsPerFile", FILE_RECORDS).parquet(f"{root}/messages")
     routes = {
         AIR: Route(BRONZE_AIR, f"{root}/air", "station_id"),
         WEATHER: Route(BRONZE_WEATHER, f"{root}/weather", "city_id"),
         SENSOR: Route(BRONZE_SENSOR, f"{root}/sensor", "sensor_id"),
     }
-    stream = file_stream(spark, f"{root}/messages", messages.schema, max_files_per_trigger=2)
+    stream = file_stream(spark, f"{root}/messages", messages.schema, max_files_per_trigger=files_at_once(spark))
     start_routes(stream, routes, f"{root}/chk", f"{root}/quarantine", trigger=ONCE).awaitTermination()
     return routes, f"{root}/quarantine"
 

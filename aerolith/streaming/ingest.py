@@ -14,7 +14,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -22,7 +21,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from aerolith.functions.clean import non_blank
 from aerolith.functions.json import CORRUPT
-from aerolith.sinks import checkpoint_id
+from aerolith.session import scratch_path
+from aerolith.sinks import checkpoint_id, delete_path
 
 PARTITIONS = ("date", "hour", "epoch")
 PROVENANCE = ("topic", "partition", "offset", "key", "timestamp")
@@ -95,25 +95,33 @@ def _land(rows: DataFrame, path: str, epoch: str, partitions: Sequence[str]) ->
 
 
 def land_batch(routes: dict[str | None, Route], checkpoint: str, quarantine: str | None) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: every table and quarantine written from one kept batch."""
+    """``foreachBatch`` function: every table and quarantine written from one kept batch.
+
+    The parsed batch is kept in files of the shared scratch folder. Kept by
+    ``persist`` it is read back from disk through one object stream, which
+    holds a hundred column batches of ten thousand messages for each task.
+    """
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         # Epochs of another checkpoint have other names: a fresh start replaces nothing.
         epoch = f"{checkpoint_id(batch.sparkSession, checkpoint)[:8]}-{epoch_id:012d}"
         kept = [c for c in PROVENANCE if c in batch.columns]
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        spark = batch.sparkSession
+        kept_at = scratch_path(spark, "batch")
         try:
+            batch.write.parquet(kept_at)
+            parsed = spark.read.schema(batch.schema).parquet(kept_at)
             for k, (topic, route) in enumerate(routes.items()):
-                good = batch.where(F.col(f"{_doc(k)}").isNotNull() & F.col("reason").isNull())
+                good = parsed.where(F.col(f"{_doc(k)}").isNotNull() & F.col("reason").isNull())
                 fields = [F.col(f"{_doc(k)}.{f.name}").alias(f.name) for f in route.schema.fields]
                 extra = [c for c in kept if c not in route.schema.fieldNames()]
                 _land(good.select(*fields, *extra, "date", "hour"), route.path, epoch, PARTITIONS)
             if quarantine:
-                rejects = batch.where(F.col("reason").isNotNull()).select(*kept, "raw", "reason", "date", "hour")
+                rejects = parsed.where(F.col("reason").isNotNull()).select(*kept, "raw", "reason", "date", "hour")
                 by_topic = ["topic"] if "topic" in kept else []
                 _land(rejects, quarantine, epoch, [*by_topic, *PARTITIONS])
         finally:
-            batch.unpersist()
+            delete_path(spark, kept_at)
 
     return run
 

@@ -313,3 +313,27 @@ def test_a_store_refuses_a_second_checkpoint_and_expires_old_hours(spark, tmp):
     except Exception as e:
         raised = "store of its own" in str(e)
     assert raised
+
+
+def test_a_routed_batch_is_kept_in_files_and_not_in_memory(spark, tmp, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from aerolith.schemas import BRONZE_SENSOR
+    from aerolith.session import scratch_root
+    from aerolith.streaming.ingest import Route, land_batch, landing_columns, parse_routes
+
+    def never(*_):
+        raise AssertionError("persisted")
+
+    monkeypatch.setattr(DataFrame, "persist", never)
+    monkeypatch.setattr("aerolith.streaming.ingest.checkpoint_id", lambda *_: "0" * 8)
+    schema = StructType([StructField(c, StringType()) for c in ("topic", "key", "value")])
+    msgs = [("sensor-stream", "s1", json.dumps({"sensor_id": "s1", "value": 1.5})), ("sensor-stream", "s2", "{not json"), ("elsewhere", "1", "{}")]
+    routes = {"sensor-stream": Route(BRONZE_SENSOR, os.path.join(tmp, "sensor"), "sensor_id")}
+    batch = landing_columns(parse_routes(spark.createDataFrame(msgs, schema), routes))
+    land_batch(routes, os.path.join(tmp, "chk"), os.path.join(tmp, "quarantine"))(batch, 0)
+    assert [(r.sensor_id, r.value) for r in spark.read.parquet(os.path.join(tmp, "sensor")).collect()] == [("s1", 1.5)]
+    assert {(r.key, r.reason) for r in spark.read.parquet(os.path.join(tmp, "quarantine")).collect()} == {("s2", "malformed"), ("1", "no route")}
+    root = scratch_root(spark).removeprefix("file:")
+    assert not [f for f in os.listdir(root) if f.startswith("batch-")]

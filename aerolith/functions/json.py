@@ -19,6 +19,10 @@ def parse_payload(
 
     A malformed document gives a *non-null* struct whose fields are NULL except
     ``_corrupt_record``, so callers must test that field, not the struct.
+
+    The struct comes out of a one-element array: the optimizer copies a plain
+    column's expression into every filter on it, and each copy parses (and
+    makes, where it is computed) the document again.
     """
     with_corrupt = StructType(list(schema.fields) + [StructField(CORRUPT, StringType())])
     parsed = F.from_json(
@@ -26,7 +30,7 @@ def parse_payload(
         with_corrupt,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
-    return df.withColumn(out, parsed)
+    return df.select(*[c for c in df.columns if c != out], F.explode(F.array(parsed)).alias(out))
 
 
 def is_malformed(payload: str = "payload") -> Column:

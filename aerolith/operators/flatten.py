@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.functions.clean import non_blank, parse_double, parse_int
+from aerolith.functions.clean import non_blank, null_sentinels
 from aerolith.functions.json import CORRUPT, is_malformed, parse_payload
 from aerolith.schemas import AIR_API, WEATHER_API
 
@@ -26,6 +26,9 @@ def _split(parsed: DataFrame, good_cond: Column, value_col: str, reason: Column)
     return good, bad
 
 
+AIR_NUMBERS = ("lat", "lon", "pm25_value", "pm25_aqi", "pm10_value", "o3_value", "co_value", "no2_value", "so2_value", "overall_aqi")
+
+
 def flatten_air(raw: DataFrame, value_col: str = "value", ingested_col: str | None = None):
     """Station documents -> 20 Bronze columns; returns ``(records, rejects)``.
 
@@ -50,22 +53,23 @@ def flatten_air(raw: DataFrame, value_col: str = "value", ingested_col: str | No
         F.col(f"{_P}.areaEN").alias("area_en"),
         F.col(f"{_P}.areaTH").alias("area_th"),
         F.col(f"{_P}.stationType").alias("station_type"),
-        parse_double(f"{_P}.lat").alias("lat"),
-        parse_double(f"{_P}.long").alias("lon"),
+        F.col(f"{_P}.lat").try_cast("double").alias("lat"),
+        F.col(f"{_P}.long").try_cast("double").alias("lon"),
         F.col(f"{a}.date").alias("reading_date"),
         F.col(f"{a}.time").alias("reading_time"),
-        parse_double(f"{a}.PM25.value").alias("pm25_value"),
-        parse_int(f"{a}.PM25.aqi").alias("pm25_aqi"),
-        parse_double(f"{a}.PM10.value").alias("pm10_value"),
-        parse_double(f"{a}.O3.value").alias("o3_value"),
-        parse_double(f"{a}.CO.value").alias("co_value"),
-        parse_double(f"{a}.NO2.value").alias("no2_value"),
-        parse_double(f"{a}.SO2.value").alias("so2_value"),
-        parse_int(f"{a}.AQI.aqi").alias("overall_aqi"),
+        F.col(f"{a}.PM25.value").try_cast("double").alias("pm25_value"),
+        F.col(f"{a}.PM25.aqi").try_cast("int").alias("pm25_aqi"),
+        F.col(f"{a}.PM10.value").try_cast("double").alias("pm10_value"),
+        F.col(f"{a}.O3.value").try_cast("double").alias("o3_value"),
+        F.col(f"{a}.CO.value").try_cast("double").alias("co_value"),
+        F.col(f"{a}.NO2.value").try_cast("double").alias("no2_value"),
+        F.col(f"{a}.SO2.value").try_cast("double").alias("so2_value"),
+        F.col(f"{a}.AQI.aqi").try_cast("int").alias("overall_aqi"),
         F.col(f"{a}.AQI.param").alias("aqi_param"),
         _ingested(good, ingested_col).alias("ingested_at"),
     )
-    return records, bad
+    # A step of its own: the test and the value share one cast of the text.
+    return null_sentinels(records, AIR_NUMBERS), bad
 
 
 def flatten_weather(raw: DataFrame, value_col: str = "value", ingested_col: str | None = None):

@@ -142,3 +142,12 @@ def test_unknown_member_and_unmatched_observation(spark):
     assert obs.get == {"rows": 3, "station_key_unmatched": 1, "region_key_unmatched": 1}
     filled = facts.unknown_member(df, ["station_key", "region_key"]).collect()
     assert sorted((r.station_key, r.region_key) for r in filled) == [(-1, 2), (1, -1), (3, 4)]
+
+
+def test_a_document_is_parsed_once_whatever_is_tested_on_it(spark):
+    texts = ['{"stationID":"a","lat":"-1","AQILast":{"PM25":{"value":"3.5","aqi":"4.0"}}}', '{"stationID":" "}', "{cut", None]
+    good, bad = flatten_air(spark.createDataFrame([(t, "now") for t in texts], "value string, ingested_at string"), "value", "ingested_at")
+    assert [(r.station_id, r.lat, r.pm25_value, r.pm25_aqi) for r in good.collect()] == [("a", None, 3.5, None)]
+    assert sorted(r.reason for r in bad.collect()) == ["malformed", "malformed", "missing station id"]
+    for df in (good, bad):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from aerolith.operators.dedup import latest_per_key
+from aerolith.operators.dedup import latest_of_repeated, latest_per_key
 from aerolith.operators.keys import dense_keys, duplicate_keys
 
 
@@ -95,3 +95,46 @@ def test_condition_without_description_is_found(spark):
         "if(id = 0, 'light', null) AS weather_desc", "timestamp'2026-01-01 00:00:00' AS reading_ts_utc", "date'2026-01-01' AS reading_date")
     fct = facts.fct_weather_hourly(df, dims.dim_weather_condition(df))
     assert sorted(r.weather_condition_key for r in fct.collect()) == [1, 2]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_of_repeated_equals_window_pick(spark):
+    df = spark.createDataFrame(_rows() * 2 + [("s4", "2026-01-01", "10:00", "x", None)], "k string, d string, t string, ing string, v double")
+    want = sorted(map(str, latest_per_key(df, ["k", "d", "t"], ["ing"]).collect()))
+    assert sorted(map(str, latest_of_repeated(df, ["k", "d", "t"], ["ing"]).collect())) == want
+    spark.conf.set("aerolith.broadcast.maxBytes", "1")  # too many repeated keys to broadcast
+    try:
+        assert sorted(map(str, latest_of_repeated(df, ["k", "d", "t"], ["ing"]).collect())) == want
+    finally:
+        spark.conf.unset("aerolith.broadcast.maxBytes")
+
+
+def test_silver_moves_only_rows_of_repeated_keys(spark):
+    from aerolith.operators.silver import silver_weather
+
+    df = spark.range(50).selectExpr("id AS city_id", "0L AS reading_ts", "'2026-01-01T00:00:00Z' AS ingested_at", "id AS temp_c")
+    silver = silver_weather(df)
+    once, again = _plan(silver).split("Window [", 1)
+    assert "LeftAnti" in once and "Exchange hashpartitioning" not in once and "LeftSemi" in again
+    assert silver.count() == 50
+
+
+def test_supplier_places_are_broadcast_by_their_own_size(spark, tmp_path):
+    from aerolith.plans import standins as S
+
+    spark.sql("SELECT 1L AS l_suppkey, 1L AS l_orderkey, 1 AS l_linenumber, 1.0D AS l_quantity, 1.0D AS l_extendedprice, 0.1D AS l_discount, 0.1D AS l_tax, "
+              "'R' AS l_returnflag, DATE'1995-01-01' AS l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("SELECT id AS s_suppkey, 'S' AS s_name, 1 AS s_nationkey, 1.0D AS s_acctbal FROM range(9)").coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.sql("SELECT 1 AS n_nationkey, 'N' AS n_name, 1 AS n_regionkey").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.conf.set("aerolith.broadcast.maxBytes", "20000")  # each table is below, the product of both above
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        bronze = S.bronze_air(spark, str(tmp_path))
+        assert "SortMergeJoin" not in _plan(bronze)
+        assert [(r.station_id, r.area_en) for r in bronze.collect()] == [("1", "N")]
+    finally:
+        spark.conf.unset("aerolith.broadcast.maxBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

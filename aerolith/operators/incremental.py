@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from aerolith.functions.constants import PM25_THRESHOLD
 from aerolith.functions.time import iso_to_ts
-from aerolith.operators.dedup import latest_per_key
+from aerolith.operators.dedup import latest_of_repeated
 from aerolith.operators.joins import lookup
 from aerolith.operators.silver import silver_air
 from aerolith.sinks import materialize, partition_values, write_partitioned
@@ -28,8 +28,10 @@ def upsert_partitions(spark: SparkSession, new: DataFrame, path: str, keys: Sequ
     Equal to de-duplicating old and new rows together: the latest of a union is
     the latest of both latest rows. The partition must follow from the keys.
     Touched values are few (days, months); only their folders are read and
-    replaced, so the files of all others stay as they are.
+    replaced, so the files of all others stay as they are. ``new`` is made
+    once; what is merged is written aside only where it holds rows of the table.
     """
+    new = materialize(new, "load")
     touched = sorted(r[0] for r in new.select(partition).distinct().collect())
     rows = new
     known = set(partition_values(spark, path, partition)) & set(touched)
@@ -37,7 +39,9 @@ def upsert_partitions(spark: SparkSession, new: DataFrame, path: str, keys: Sequ
         old = spark.read.option("basePath", path).parquet(*[f"{path.rstrip('/')}/{partition}={v}" for v in sorted(known)])
         rows = old.withColumn(partition, F.col(partition).cast(new.schema[partition].dataType)).unionByName(new)
     columns = [F.col(c) for c in new.columns]
-    merged = materialize(latest_per_key(rows.select(*columns), keys, order), "upsert")  # what is read is not overwritten while it is read
+    merged = latest_of_repeated(rows.select(*columns), keys, order)
+    if known:
+        merged = materialize(merged, "upsert")  # what is read is not overwritten while it is read
     write_partitioned(merged, path, [partition], replace="touched")
     return touched
 

@@ -135,3 +135,14 @@ def test_states_of_any_split_add_up(spark):
     grain = ["reading_date", "station_id"]
     shown = lambda s: sorted(str([v for v in r]) for r in incremental.finish_states(s, grain).collect())
     assert shown(merged) == shown(incremental.daily_states(silver, 4.0))
+
+
+def test_first_load_makes_its_rows_once_and_sets_nothing_aside(spark, tmp, monkeypatch):
+    made, real = [], incremental.materialize
+    monkeypatch.setattr(incremental, "materialize", lambda df, name: made.append(name) or real(df, name))
+    silver = os.path.join(tmp, "silver")
+    for names in (["load"], ["load", "upsert"]):
+        made.clear()
+        incremental.load_silver_air(spark, spark.createDataFrame([air("2026-01-10", 9, 10.0, 1)], AIR), silver)
+        assert made == names
+    assert incremental.silver_rows(spark, silver).count() == 1

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,12 +45,17 @@ def _levels(fields: Mapping[str, tuple[str, str]]) -> dict[str, list[str]]:
     return known
 
 
-def unknown_fields(doc: Column, fields: Mapping[str, tuple[str, str]]) -> Column:
-    """map<path, JSON text> of everything in the declared objects that no field declares."""
+def unknown_fields(doc: Column, fields: Mapping[str, tuple[str, str]], is_object: Callable[[str], Column] | None = None) -> Column:
+    """map<path, JSON text> of everything in the declared objects that no field declares.
+
+    Places that ``is_object`` (if given) denies are not opened.
+    """
 
     def inside(place: str, names: list[str]) -> Column:
         prefix = f"{place}." if place else ""
         fields_here = F.try_variant_get(doc, f"$.{place}" if place else "$", "map<string,variant>")
+        if is_object:
+            fields_here = F.when(is_object(place), fields_here)
         other = F.map_filter(fields_here, lambda k, v: ~k.isin(names))
         text = F.transform_values(F.transform_keys(other, lambda k, v: F.concat(F.lit(prefix), k)), lambda k, v: F.to_json(v))
         return F.coalesce(text, F.create_map().cast("map<string,string>"))
@@ -58,6 +63,37 @@ def unknown_fields(doc: Column, fields: Mapping[str, tuple[str, str]]) -> Column
     return F.map_concat(*[inside(place, names) for place, names in _levels(fields).items()])
 
 
+def _shape(fields: Mapping[str, tuple[str, str]]) -> tuple[dict, set[str]]:
+    """The documents as nested dicts down to (column, type), and the columns that found a place of their own there.
+
+    Left out are columns whose place, or one that differs by case alone, is
+    taken by another one or by a declared object: a struct cannot name both.
+    """
+    shape, placed, levels = {}, set(), _levels(fields)
+    for name, (path, kind) in fields.items():
+        parts, node, steps = path.split("."), shape, []
+        for part in parts[:-1]:
+            steps.append((node, part))
+            node = node.get(part, {})
+        steps.append((node, parts[-1]))
+        alike = any(k != part and k.lower() == part.lower() for at, part in steps for k in at)
+        if alike or path in levels or parts[-1] in node:
+            continue
+        node = shape
+        for part in parts[:-1]:
+            node = node.setdefault(part, {})
+        node[parts[-1]] = (name, kind)
+        placed.add(name)
+    return shape, placed
+
+
+def _struct_type(shape: dict, as_variant: bool) -> str:
+    def of(x) -> str:
+        return _struct_type(x, as_variant) if isinstance(x, dict) else "variant" if as_variant else x[1]
+
+    return "struct<" + ",".join(f"`{k}`:{of(x)}" for k, x in shape.items()) + ">"
+
+
 def flatten_variant(
     raw: DataFrame,
     fields: Mapping[str, tuple[str, str]],
@@ -74,25 +110,45 @@ def flatten_variant(
     is named by its path. ``extras`` keeps fields nobody declared, at any
     declared depth, with their JSON. ``rejected`` rows are documents that are
     not JSON objects (``malformed``) or lack ``id_column`` (``missing id``).
-    Each document is parsed once. Other columns of ``raw`` stay.
+    Each document is parsed once and walked once for all its values, once more
+    for what they are there. Other columns of ``raw`` stay.
     """
-    doc = F.col("__doc")
+    doc, values, found = F.col("__doc"), F.col("__values"), F.col("__found")
+    shape, placed = _shape(fields)
     rows = raw.withColumn("__doc", F.try_parse_json(F.col(value_col).cast("string")))
-    is_object = F.coalesce(F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False))
+    rows = rows.withColumns({c: F.try_variant_get(doc, "$", _struct_type(shape, c == "__found")) for c in ("__values", "__found")} if shape else {})
+
+    def at(struct: Column, path: str) -> Column:
+        for part in path.split(".") if path else []:
+            struct = struct.getField(part)
+        return struct
+
+    def inside(place: str) -> Column:
+        """Whether the place holds an object."""
+        here = shape
+        for part in place.split(".") if place else []:
+            here = here.get(part, {})
+        if here:
+            return at(found, place).isNotNull()
+        return F.coalesce(F.schema_of_variant(F.try_variant_get(doc, f"$.{place}" if place else "$", "variant")).startswith("OBJECT"), F.lit(False))
+
+    is_object = inside("")
     columns, reasons = {}, [F.when(~is_object, F.lit("malformed"))]
     for name, (path, kind) in fields.items():
-        value = F.try_variant_get(doc, f"$.{path}", kind)
-        there = F.try_variant_get(doc, f"$.{path}", "variant")
-        nested = F.schema_of_variant(there).rlike("^(OBJECT|ARRAY)")
+        value = at(values, path) if name in placed else F.try_variant_get(doc, f"$.{path}", kind)
+        there = at(found, path) if name in placed else F.try_variant_get(doc, f"$.{path}", "variant")
+        what = F.schema_of_variant(there)
+        nested = F.coalesce(what.startswith("OBJECT") | what.startswith("ARRAY"), F.lit(False))
         given = there.isNotNull() & ~F.is_variant_null(there)
         reasons.append(F.when(given & (value.isNull() | nested), F.lit(f"wrong type: {name}")))
-        value = F.when(~F.coalesce(nested, F.lit(False)), value)
+        value = F.when(~nested, value) if kind == "string" else value  # nothing nested is read as a number
         columns[name] = sentinel_to_null(value) if negative_is_missing and kind != "string" else value
-    out = rows.withColumns(columns | {"extras": unknown_fields(doc, fields)})
+    out = rows.withColumns(columns | {"extras": unknown_fields(doc, fields, inside)})
     for place in filter(None, _levels(fields)):
         there = F.try_variant_get(doc, f"$.{place}", "variant")
-        reasons.append(F.when(there.isNotNull() & ~F.is_variant_null(there) & ~F.schema_of_variant(there).startswith("OBJECT"), F.lit(f"wrong type: {place}")))
+        reasons.append(F.when(~inside(place) & there.isNotNull() & ~F.is_variant_null(there), F.lit(f"wrong type: {place}")))
     if id_column:
         reasons.append(F.when(is_object & ~F.coalesce(non_blank(columns[id_column]), F.lit(False)), F.lit("missing id")))
     out = out.withColumn("reasons", F.array_compact(F.array(*reasons)))
-    return out.withColumn("rejected", F.arrays_overlap("reasons", F.array(F.lit("malformed"), F.lit("missing id")))).drop("__doc", value_col)
+    out = out.withColumn("rejected", F.arrays_overlap("reasons", F.array(F.lit("malformed"), F.lit("missing id"))))
+    return out.drop("__doc", "__values", "__found", value_col)

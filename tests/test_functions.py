@@ -133,6 +133,31 @@ def test_drifting_documents(spark):
     assert one.reasons == ["wrong type: pm10_value", "wrong type: o3_value", "wrong type: overall_aqi"]
 
 
+def test_drifting_documents_are_walked_once_for_all_fields(spark):
+    from aerolith.operators import drift
+
+    df = spark.createDataFrame([("{}",)], "value string")
+    plan = drift.flatten_variant(df, drift.AIR_FIELDS, id_column="station_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_variant_get(") <= 2 + 3 * len(drift._levels(drift.AIR_FIELDS))
+
+
+def test_drifting_documents_with_fields_in_one_place(spark):
+    from aerolith.operators import drift
+
+    fields = {
+        "n": ("a.x", "double"), "t": ("a.x", "string"), "whole": ("a", "string"), "upper": ("a.X", "int"), "other": ("A.y", "int"), "list": ("l", "string"),
+        "id": ("id", "string"),
+    }
+    docs = ['{"id":"i","a":{"x":"5","X":6},"A":{"y":-7,"z":[1]},"l":[1,2]}', '{"id":{"q":1},"a":3,"A":[],"l":"w"}', '{"a":null,"A":{},"l":null}', "{}", "null"]
+    df = spark.createDataFrame([(d, k) for k, d in enumerate(docs)], "value string, k int")
+    out = drift.flatten_variant(df, fields, id_column="id").orderBy("k").collect()
+    assert [tuple(r[c] for c in fields) for r in out] == [(5.0, "5", None, 6, None, None, "i"), (None, None, "3", None, None, "w", None)] + [(None,) * 7] * 3
+    assert [r.extras for r in out] == [{"A.z": "[1]"}, {}, {}, {}, {}]
+    assert [r.reasons for r in out] == [
+        ["wrong type: whole", "wrong type: list"], ["wrong type: id", "wrong type: a", "wrong type: A", "missing id"], ["missing id"], ["missing id"], ["malformed"],
+    ]
+
+
 def test_wide_keys(spark):
     from aerolith.operators.keys import wide_key
 

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from aerolith.operators.dedup import latest_of_repeated, latest_per_key
+from aerolith.operators.dedup import latest_by_time, latest_of_repeated, latest_per_key
 from aerolith.operators.keys import dense_keys, duplicate_keys
 
 
@@ -138,3 +138,30 @@ def test_supplier_places_are_broadcast_by_their_own_size(spark, tmp_path):
     finally:
         spark.conf.unset("aerolith.broadcast.maxBytes")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_snapshot_sorts_only_each_keys_newest_rows(spark):
+    from datetime import datetime
+
+    from aerolith.operators.scd2 import snapshot
+
+    rnd = random.Random(3)
+    rows = [(rnd.choice([None, "a", "b", "c", "d"]), rnd.choice([None, *range(5)]), rnd.choice([None, 1.0, float("nan")]), k % 4) for k in range(400)]
+    rows = [(k, t if t is None or k == "d" else datetime(2026, 1, 1 + t), v, x) for k, t, v, x in rows if k != "d"] + [("d", None, 2.0, 1), ("d", None, 2.0, 1), ("d", None, None, 3)]
+    df = spark.createDataFrame(rows, "k string, t timestamp, v double, x int").repartition(5)
+    for attributes in (["v", "x"], ["x"]):
+        wanted = latest_per_key(df.select("k", *attributes, "t"), ["k"], ["t"]).drop("t")
+        found = snapshot(df, "k", attributes, "t")
+        assert sorted(map(repr, found.collect())) == sorted(map(repr, wanted.collect())) and found.count() == 5
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan.partition("WindowGroupLimit")[2]
+
+
+def test_latest_by_time_without_broadcast(spark):
+    df = spark.range(60).select((F.col("id") % 7).alias("k"), F.col("id").alias("t"))
+    spark.conf.set("aerolith.broadcast.maxBytes", "1")
+    try:
+        found = latest_by_time(df, ["k"], "t")
+        assert {(r.k, r.t) for r in found.collect()} == {(t % 7, t) for t in range(53, 60)}
+    finally:
+        spark.conf.unset("aerolith.broadcast.maxBytes")

@@ -337,3 +337,18 @@ def test_a_routed_batch_is_kept_in_files_and_not_in_memory(spark, tmp, monkeypat
     assert {(r.key, r.reason) for r in spark.read.parquet(os.path.join(tmp, "quarantine")).collect()} == {("s2", "malformed"), ("1", "no route")}
     root = scratch_root(spark).removeprefix("file:")
     assert not [f for f in os.listdir(root) if f.startswith("batch-")]
+
+
+def test_a_lot_of_the_hot_store_is_read_by_all_cores(spark, monkeypatch):
+    from aerolith.plans import registry
+
+    small = "/root/testdata/sf0.001"
+    wanted = {(r.sensor_id, r.window_start, r.reading_count) for r in sinks.read_store(spark, registry.hot_store(spark, small), STORE_KEYS).collect()}
+    monkeypatch.setattr(registry, "LOT_FILE_BYTES", (1 << 10, 64 << 20))
+    path = registry.hot_store(spark, small)
+    files = [f for f in os.listdir(path.removesuffix("store") + "events") if f.endswith(".parquet")]
+    assert len(files) == 4 * spark.sparkContext.defaultParallelism
+    assert spark.read.parquet(path).select(sinks.EPOCH).distinct().count() == 4
+    assert {(r.sensor_id, r.window_start, r.reading_count) for r in sinks.read_store(spark, path, STORE_KEYS).collect()} == wanted
+    monkeypatch.setattr(registry, "LOT_FILE_BYTES", (1 << 10, 1 << 10))
+    assert registry.lot_files(spark, registry.S.table(spark, small, "events")) > spark.sparkContext.defaultParallelism

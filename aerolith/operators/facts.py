@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,13 +87,15 @@ def fct_air_quality_hourly(
     mode: str = "current",
     key: str = "hash",
     unknown_key: int | None = None,
+    columns: Sequence[str] = AIR_HOURLY_COLUMNS,
 ) -> DataFrame:
     """One row per Silver air reading with station and region keys.
 
     ``mode="as_of"`` picks the station version valid at the reading time.
     ``air_quality_key`` is a stable 64-bit hash of (station_id, reading_ts_utc)
     by default; ``key="wide"`` gives 128 bits, ``key="run"`` the per-run unique id. Unmatched keys stay
-    NULL unless ``unknown_key`` (e.g. -1) names an unknown member.
+    NULL unless ``unknown_key`` (e.g. -1) names an unknown member. ``columns``
+    may name fewer: Silver then needs no others.
     """
     df = _air_keys(silver_air, dim_station, dim_region, mode)
     if unknown_key is not None:
@@ -102,7 +106,7 @@ def fct_air_quality_hourly(
             "air_quality_key": _fact_key(key, ["station_id", "reading_ts_utc"]),
         }
     )
-    return df.select("air_quality_key", *AIR_HOURLY_COLUMNS)
+    return df.select("air_quality_key", *columns)
 
 
 def fct_pollution_daily_summary(
@@ -190,6 +194,7 @@ def fct_weather_hourly(
     dim_weather_condition: DataFrame,
     dim_date: DataFrame | None = None,
     key: str = "hash",
+    columns: Sequence[str] = WEATHER_HOURLY_COLUMNS,
 ) -> DataFrame:
     """One row per city reading with its weather-condition key.
 
@@ -199,6 +204,7 @@ def fct_weather_hourly(
     of its main condition — a many-to-many fan-out that is not reproduced.)
     ``dim_date`` (optional) is a conformance check: the left join adds no
     columns; use :func:`unmatched_dates` to report keys missing from it.
+    ``columns`` may name fewer: Silver then needs no others.
     """
     conds = dim_weather_condition.select(
         F.col("weather_main").alias("__m"), F.col("weather_description").alias("__d"), "weather_condition_key"
@@ -209,7 +215,7 @@ def fct_weather_hourly(
     if dim_date is not None:
         df = df.join(maybe_broadcast(dim_date.select("date_key")), "date_key", "left")
     df = df.withColumn("weather_hourly_key", _fact_key(key, ["city_id", "reading_ts_utc", "weather_condition_key"]))
-    return df.select("weather_hourly_key", *WEATHER_HOURLY_COLUMNS)
+    return df.select("weather_hourly_key", *columns)
 
 
 def unmatched_dates(fact: DataFrame, dim_date: DataFrame) -> DataFrame:

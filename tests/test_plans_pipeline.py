@@ -145,3 +145,27 @@ def test_load_report_counts_what_has_no_member(spark, tmp):
     report = {(r.table_name, r.column_name): (r.row_count, r.missing) for r in res.report(spark).collect()}
     assert report["fct_sensor_reading", "calendar_key"] == (res.counts["silver_sensor"],) * 2
     assert len(res.counts) == 15
+
+
+def test_key_report_writes_down_only_what_keys_are_made_from(spark, monkeypatch):
+    from aerolith.plans import registry, reports
+
+    kept, keys = {}, {}
+    store = registry.materialize
+    report = reports.fact_key_report
+
+    def noted(df, name):
+        kept[name] = set(df.columns)
+        return store(df, name)
+
+    def told(keyed):
+        keys.update({name: df.schema[0].dataType.simpleString() for name, df in keyed.items()})
+        return report(keyed)
+
+    monkeypatch.setattr(registry, "materialize", noted)
+    monkeypatch.setattr(reports, "materialize", noted)
+    monkeypatch.setattr(reports, "fact_key_report", told)
+    rows = QUERIES["fact_keys_unique"](spark, SF_SMALL).collect()
+    assert len(rows) == 5 and all(r.row_count == r.distinct_keys > 0 and r.null_keys == 0 for r in rows)
+    assert not {"pm10_value", "ingested_at"} & kept["silver-air"] and kept["silver-weather"] == set(reports.KEYED_WEATHER)
+    assert set(keys.values()) == {"binary"}

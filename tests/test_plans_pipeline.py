@@ -1,10 +1,12 @@
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 
+from aerolith import sinks
 from aerolith.operators.joins import estimated_bytes, lookup
 from aerolith.plans import standins as S
 from aerolith.plans.registry import QUERIES
@@ -169,3 +171,35 @@ def test_key_report_writes_down_only_what_keys_are_made_from(spark, monkeypatch)
     assert len(rows) == 5 and all(r.row_count == r.distinct_keys > 0 and r.null_keys == 0 for r in rows)
     assert not {"pm10_value", "ingested_at"} & kept["silver-air"] and kept["silver-weather"] == set(reports.KEYED_WEATHER)
     assert set(keys.values()) == {"binary"}
+
+
+def test_facts_are_written_where_silver_lies(spark, tmp, monkeypatch):
+    from aerolith.plans.pipeline import run_cold_path
+
+    days = F.col("reading_date").between("1996-05-01", "1996-05-10")
+    air = S.bronze_air(spark, SF_SMALL).filter(days)
+    weather = S.bronze_weather(spark, SF_SMALL).filter(F.to_date(F.timestamp_seconds("reading_ts")).between("1996-05-01", "1996-05-10"))
+    sensor = S.bronze_sensor(spark, SF_SMALL).filter(F.col("reading_ts") < F.lit("2024-01-03"))
+    facts = {"air_quality_key": "fct_air_quality_hourly", "weather_hourly_key": "fct_weather_hourly", "sensor_reading_key": "fct_sensor_reading"}
+    dealt, deal = set(), sinks.rebalanced
+
+    def noted(df, cols=()):
+        dealt.update(df.columns)
+        return deal(df, cols)
+
+    monkeypatch.setattr(sinks, "rebalanced", noted)
+
+    def rows(root):
+        dealt.clear()
+        res = run_cold_path(spark, air, weather, sensor, root, date(2026, 1, 1), (date(1996, 5, 1), date(1996, 5, 20)))
+        return res, {t: sorted(map(str, spark.read.parquet(res.path(f"gold/{t}")).collect())) for t in facts.values()}
+
+    res, found = rows(tmp + "/a")
+    assert not set(facts) & dealt and "daily_summary_key" in dealt and all(found.values())
+    folders = Path(res.path("gold/fct_air_quality_hourly")).glob("reading_date=*")
+    assert all(len(list(f.glob("*.parquet"))) <= len(list(Path(res.path("silver/air_quality"), f.name).glob("*.parquet"))) for f in folders)
+    spark.conf.set("aerolith.broadcast.maxBytes", "1")
+    try:  # lookups that shuffle the readings: the facts are dealt by date again
+        assert rows(tmp + "/b")[1] == found and set(facts) <= dealt
+    finally:
+        spark.conf.unset("aerolith.broadcast.maxBytes")

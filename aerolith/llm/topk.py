@@ -263,15 +263,21 @@ def top_k(
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
 
     def searched(pairs: DataFrame) -> DataFrame:
-        """Queries meet a block in lots of a few hundred; each lot reads the block once."""
+        """Queries meet a block in lots of a few hundred; each lot reads the block once.
+
+        Neither the vectors nor the blocks may be broadcast: Spark would go by the size of
+        their files, which says nothing of the rows in them where vectors repeat.
+        """
         asked = pairs.groupBy("block", "lot").agg(F.collect_list("query_id").alias("asked"))
-        hits = asked.join(vectors_of, "lot").join(index.select("block", "ids", "rows"), "block").select("ids", "rows", "asked", "members")
+        wanted = F.filter("members", lambda m: F.array_contains("asked", m["query_id"])).alias("members")
+        met = asked.join(vectors_of.hint("merge"), "lot").select("block", "asked", wanted)
+        hits = met.join(index.select("block", "ids", "rows").hint("merge"), "block").select("ids", "rows", "asked", "members")
         return hits.mapInArrow(search, "query_id long, vec_id long, score long")
 
     pair = "block long, query_id long, lot long"
     seeds = saved(searched(queries.mapInArrow(plan(True), pair)), "seeds")
     kept = seeds.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k)
-    bounded = queries.join(kept.select("query_id", F.col("score").cast("double").alias("least")), "query_id", "left")
+    bounded = queries.join(kept.select("query_id", F.col("score").cast("double").alias("least")).hint("merge"), "query_id", "left")
     more = searched(bounded.mapInArrow(plan(False), pair))
     ranked = seeds.unionByName(more).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

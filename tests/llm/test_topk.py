@@ -34,3 +34,10 @@ def test_few_candidates_large_numbers_and_empty_table(spark, same_rows):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     same_rows(topk.top_k(df).collect(), slow(rows))
     assert topk.top_k(df.limit(0)).collect() == []
+
+
+def test_no_table_of_vectors_is_broadcast(spark, same_rows):
+    rows = [(k, [0.5, 0.25]) for k in range(200)]  # their files are tiny, their rows are not
+    found = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), k=3, block_rows=16)
+    assert "BroadcastExchange" not in found._jdf.queryExecution().executedPlan().toString()
+    same_rows(found.collect(), slow(rows, k=3))

@@ -91,7 +91,7 @@ def files_at_once(spark: SparkSession) -> int:
 def routed(spark: SparkSession, sf_dir: str) -> tuple[dict[str, Route], str]:
     root = scratch_path(spark, "routes")
     messages = messages_of(spark, sf_dir)
-    messages.write.option("maxRecordsPerFile", FILE_RECORDS).parquet(f"{root}/messages")
+    messages.write.option("maxRecordsPerFile", FILE_RECORDS).option("compression", "zstd").parquet(f"{root}/messages")
     routes = {
         AIR: Route(BRONZE_AIR, f"{root}/air", "station_id"),
         WEATHER: Route(BRONZE_WEATHER, f"{root}/weather", "city_id"),

@@ -97,9 +97,10 @@ def _land(rows: DataFrame, path: str, epoch: str, partitions: Sequence[str]) ->
 def land_batch(routes: dict[str | None, Route], checkpoint: str, quarantine: str | None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: every table and quarantine written from one kept batch.
 
-    The parsed batch is kept in files of the shared scratch folder. Kept by
-    ``persist`` it is read back from disk through one object stream, which
-    holds a hundred column batches of ten thousand messages for each task.
+    The parsed batch is kept in files of the shared scratch folder, the text of
+    rejects only: all others are in their documents. Kept by ``persist`` it is
+    read back from disk through one object stream, which holds a hundred column
+    batches of ten thousand messages for each task.
     """
 
     def run(batch: DataFrame, epoch_id: int) -> None:
@@ -109,7 +110,8 @@ def land_batch(routes: dict[str | None, Route], checkpoint: str, quarantine: str
         spark = batch.sparkSession
         kept_at = scratch_path(spark, "batch")
         try:
-            batch.write.parquet(kept_at)
+            text = F.when(F.col("reason").isNotNull(), F.col("raw"))
+            batch.withColumn("raw", text).write.option("compression", "zstd").parquet(kept_at)
             parsed = spark.read.schema(batch.schema).parquet(kept_at)
             for k, (topic, route) in enumerate(routes.items()):
                 good = parsed.where(F.col(f"{_doc(k)}").isNotNull() & F.col("reason").isNull())

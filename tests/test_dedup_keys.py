@@ -165,3 +165,20 @@ def test_latest_by_time_without_broadcast(spark):
         assert {(r.k, r.t) for r in found.collect()} == {(t % 7, t) for t in range(53, 60)}
     finally:
         spark.conf.unset("aerolith.broadcast.maxBytes")
+
+
+def test_files_with_many_rows_are_not_broadcast(spark, tmp_path):
+    from aerolith.operators.joins import estimated_bytes, lookup
+
+    spark.range(50_000).selectExpr("id AS k", "'a rather long name of the same kind' AS name").coalesce(1).write.parquet(f"{tmp_path}/dim")
+    dim = spark.read.parquet(f"{tmp_path}/dim")
+    fact = spark.createDataFrame([(1, 7), (2, 60_000), (3, None)], "id long, k long")
+    spark.conf.set("aerolith.broadcast.maxBytes", "1000000")  # the file is smaller, its rows take several megabytes
+    try:
+        assert estimated_bytes(dim) < 1_000_000
+        found = lookup(fact, dim, "k")
+        assert "BroadcastHashJoin" not in _plan(found)
+        assert sorted((r.id, r.name) for r in found.collect() if r.name) == [(1, "a rather long name of the same kind")] and found.count() == 3
+        assert "BroadcastHashJoin" in _plan(lookup(fact, dim.where("k < 100"), "k"))
+    finally:
+        spark.conf.unset("aerolith.broadcast.maxBytes")

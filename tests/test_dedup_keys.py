@@ -182,3 +182,15 @@ def test_files_with_many_rows_are_not_broadcast(spark, tmp_path):
         assert "BroadcastHashJoin" in _plan(lookup(fact, dim.where("k < 100"), "k"))
     finally:
         spark.conf.unset("aerolith.broadcast.maxBytes")
+
+
+def test_repeated_hashes_are_told_packed(spark):
+    df = spark.range(60_000).selectExpr("id % 40000 AS k", "id AS ing", "cast(id % 7 AS string) AS v")  # 20,000 keys come twice
+    want = latest_per_key(df, ["k"], ["ing"]).agg(*[F.sum(c) for c in ("k", "ing", "v")], F.count("*")).first()
+    spark.conf.set("aerolith.broadcast.maxBytes", "100000")  # their hashes take 160,000 bytes as they are
+    try:
+        found = latest_of_repeated(df, ["k"], ["ing"])
+        assert "LeftAnti" in _plan(found)
+        assert found.agg(*[F.sum(c) for c in ("k", "ing", "v")], F.count("*")).first() == want
+    finally:
+        spark.conf.unset("aerolith.broadcast.maxBytes")

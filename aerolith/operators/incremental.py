@@ -12,7 +12,8 @@ from aerolith.functions.time import iso_to_ts
 from aerolith.operators.dedup import latest_of_repeated
 from aerolith.operators.joins import lookup
 from aerolith.operators.silver import silver_air
-from aerolith.sinks import materialize, partition_values, write_partitioned
+from aerolith.session import free_shuffles
+from aerolith.sinks import delete_path, materialize, partition_values, write_partitioned
 
 PARTITION = "load_part"
 _INGEST = "__ingest_ts"
@@ -30,8 +31,10 @@ def upsert_partitions(spark: SparkSession, new: DataFrame, path: str, keys: Sequ
     Touched values are few (days, months); only their folders are read and
     replaced, so the files of all others stay as they are. ``new`` is made
     once; what is merged is written aside only where it holds rows of the table.
+    Both, and the shuffle files, are deleted when the table is written.
     """
     new = materialize(new, "load")
+    aside = [new.saved_path]
     touched = sorted(r[0] for r in new.select(partition).distinct().collect())
     rows = new
     known = set(partition_values(spark, path, partition)) & set(touched)
@@ -42,7 +45,11 @@ def upsert_partitions(spark: SparkSession, new: DataFrame, path: str, keys: Sequ
     merged = latest_of_repeated(rows.select(*columns), keys, order)
     if known:
         merged = materialize(merged, "upsert")  # what is read is not overwritten while it is read
+        aside.append(merged.saved_path)
     write_partitioned(merged, path, [partition], replace="touched")
+    for done in aside:
+        delete_path(spark, done)
+    free_shuffles(spark)
     return touched
 
 
@@ -117,11 +124,16 @@ def load_daily_states(spark: SparkSession, silver_path: str, path: str, touched:
     states = daily_states(silver_rows(spark, silver_path, touched), threshold)
     states = states.withColumn(PARTITION, F.date_format("reading_date", "yyyy-MM"))
     write_partitioned(states, path, [PARTITION], replace="touched")
+    free_shuffles(spark)
 
 
 def daily_summary(states: DataFrame, dim_station: DataFrame, dim_region: DataFrame) -> DataFrame:
-    """The daily summary fact from states: keys are looked up on the few state rows, not on the readings."""
+    """The daily summary fact from states: keys are looked up on the few state rows, not on the readings.
+
+    States are of a day already, so that adding them up takes few rows away: they are dealt once, by the fact's grain.
+    """
+    grain = ["date_key", "station_key", "region_key", "reading_date"]
     stations = dim_station.where("is_current").select("station_id", "station_key")
     regions = dim_region.select(F.col("region_name").alias("area_en"), "region_key")
     keyed = lookup(lookup(states, stations, "station_id"), regions, "area_en")
-    return finish_states(keyed, ["date_key", "station_key", "region_key", "reading_date"])
+    return finish_states(keyed.repartition(*grain), grain)

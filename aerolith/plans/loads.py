@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from aerolith.operators import facts, incremental
 from aerolith.operators.history import VERSION, history
+from aerolith.operators.joins import fits_broadcast
 from aerolith.operators.scd2 import EFFECTIVE, EXPIRY
 from aerolith.plans import standins as S
 from aerolith.plans.oracle import CTES, with_ctes
@@ -97,8 +98,13 @@ def q_fct_sensor_asof(spark, sf_dir):
 
 
 def two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Bronze as it might arrive: the newest days, and corrections of the half year before, come in a second load."""
-    bronze = materialize(S.bronze_air(spark, sf_dir), "bronze-air")
+    """Bronze as it might arrive: the newest days, and corrections of the half year before, come in a second load.
+
+    It is written down only if making it takes a shuffle, which every reading of it would repeat.
+    """
+    bronze = S.bronze_air(spark, sf_dir)
+    if not all(fits_broadcast(S.table(spark, sf_dir, t)) for t in ("supplier", "nation")):
+        bronze = materialize(bronze, "bronze-air")
     day, last = F.to_date("reading_date"), bronze.agg(F.max(F.to_date("reading_date"))).scalar()
     corrected = (day > F.date_sub(last, 390)) & (F.second(F.to_timestamp("ingested_at")) % 2 == 1)
     second = (day > F.date_sub(last, 200)) | corrected

@@ -4,7 +4,8 @@ Stages run in dependency order; each stage reads what the previous one wrote
 (state passes through tables, as between separate jobs), so a failed stage is
 re-run alone and lineage never spans the whole pipeline. Type-2 dimensions are
 versioned: a merge reads the latest committed version and writes the next
-one, so the input of a running merge is never deleted.
+one, so the input of a running merge is never deleted. After a stage its shuffle
+files are deleted.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from aerolith.operators import dims, facts, scd2, silver
 from aerolith.operators.joins import fits_broadcast
 from aerolith.operators.keys import duplicate_keys
+from aerolith.session import free_shuffles
 from aerolith.sinks import read_latest, table_exists, write_partitioned, write_table, write_version
 
 STATION_ATTRS = ["station_name_en", "station_name_th", "area_en", "station_type", "lat", "lon"]
@@ -100,6 +102,8 @@ def run_cold_path(
     sw = spark.read.parquet(p("silver/weather"))
     ss = spark.read.parquet(p("silver/sensor_readings"))
 
+    free_shuffles(spark)
+
     # Stage 2: dimensions.
     load("dim_date", dims.dim_date(spark, *(dim_date_range or ())), ["date_key"], lambda df: write_table(df, p("gold/dim_date")))
     type1 = {
@@ -124,6 +128,7 @@ def run_cold_path(
         read_latest(spark, p(f"gold/{n}")) for n in ("dim_region", "dim_zone", "dim_sensor_type", "dim_weather_condition")
     )
     dim_date = spark.read.parquet(p("gold/dim_date"))
+    free_shuffles(spark)
 
     # Stage 3: facts. Where all lookups are broadcast, a reading's fact row lies where Silver has the
     # reading, in a file of its date: it is written from there.
@@ -144,6 +149,8 @@ def run_cold_path(
     load_fact(hourly, facts.fct_weather_hourly(sw, dim_wc), ["weather_condition_key"],
               lambda df: write_table(df, p(f"gold/{hourly}"), in_place=in_place(dim_wc)))
 
+    free_shuffles(spark)
+
     # Stage 4: anomaly fact from the written reading fact.
     event = "fct_sensor_anomaly_event"
     readings = spark.read.parquet(p(f"gold/{reading}"))

@@ -146,3 +146,33 @@ def test_first_load_makes_its_rows_once_and_sets_nothing_aside(spark, tmp, monke
         incremental.load_silver_air(spark, spark.createDataFrame([air("2026-01-10", 9, 10.0, 1)], AIR), silver)
         assert made == names
     assert incremental.silver_rows(spark, silver).count() == 1
+
+
+def test_what_a_load_sets_aside_is_deleted(spark, tmp):
+    import os
+
+    from aerolith.operators.incremental import upsert_partitions
+    from aerolith.session import scratch_root
+
+    root = scratch_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    for load in ([("a", 1, "p"), ("b", 1, "p")], [("a", 2, "p"), ("c", 2, "q")]):
+        new = spark.createDataFrame(load, "k string, at int, part string")
+        upsert_partitions(spark, new, f"{tmp}/t", ["k", "part"], ["at"], "part")
+    assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp}/t").collect()) == [("a", 2, "p"), ("b", 1, "p"), ("c", 2, "q")]
+    assert not [f for f in set(os.listdir(root)) - before if f.startswith(("load-", "upsert-"))]
+
+
+def test_daily_summary_deals_states_once(spark):
+    from aerolith.operators.incremental import daily_states, daily_summary
+
+    rows = [("2026-01-01", 20260101, s, a, p, v) for s in "ab" for a, p, v in (("x", "O3", 1.0), ("x", "O3", 3.0), (None, "CO", None), ("y", None, 5.0))]
+    silver = spark.createDataFrame(rows, "d string, date_key int, station_id string, area_en string, aqi_param string, pm25_value double")
+    silver = silver.selectExpr("cast(d AS date) AS reading_date", "* except (d)")
+    stations = spark.sql("SELECT 'a' AS station_id, 1 AS station_key, true AS is_current")
+    regions = spark.sql("SELECT 'x' AS region_name, 7 AS region_key")
+    found = daily_summary(daily_states(silver), stations, regions)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2  # one makes the states
+    got = {(r.station_key, r.region_key): (r.avg_pm25, r.max_pm25, r.dominant_aqi_param) for r in found.collect()}
+    # readings without a known region, or station, are a group each
+    assert got == {(1, 7): (2.0, 3.0, "O3"), (1, None): (5.0, 5.0, "CO"), (None, 7): (2.0, 3.0, "O3"), (None, None): (5.0, 5.0, "CO")}

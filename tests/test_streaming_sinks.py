@@ -352,3 +352,23 @@ def test_a_lot_of_the_hot_store_is_read_by_all_cores(spark, monkeypatch):
     assert {(r.sensor_id, r.window_start, r.reading_count) for r in sinks.read_store(spark, path, STORE_KEYS).collect()} == wanted
     monkeypatch.setattr(registry, "LOT_FILE_BYTES", (1 << 10, 1 << 10))
     assert registry.lot_files(spark, registry.S.table(spark, small, "events")) > spark.sparkContext.defaultParallelism
+
+
+def test_a_kept_batch_holds_the_text_of_rejects_only(spark, tmp, monkeypatch):
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from aerolith.schemas import BRONZE_SENSOR
+    from aerolith.streaming.ingest import Route, land_batch, landing_columns, parse_routes
+
+    kept = []
+    monkeypatch.setattr("aerolith.streaming.ingest.delete_path", lambda _, path: kept.append(path))
+    monkeypatch.setattr("aerolith.streaming.ingest.checkpoint_id", lambda *_: "0" * 8)
+    schema = StructType([StructField(c, StringType()) for c in ("topic", "key", "value")])
+    msgs = [("sensor-stream", "s1", json.dumps({"sensor_id": "s1", "value": 1.5})), ("sensor-stream", "s2", "{not json"), ("elsewhere", "1", "{}")]
+    routes = {"sensor-stream": Route(BRONZE_SENSOR, os.path.join(tmp, "sensor"), "sensor_id")}
+    batch = landing_columns(parse_routes(spark.createDataFrame(msgs, schema), routes))
+    land_batch(routes, "chk", os.path.join(tmp, "quarantine"))(batch, 0)
+    assert {(r.key, r.raw) for r in spark.read.parquet(kept[0]).collect()} == {("s1", None), ("s2", "{not json"), ("1", "{}")}
+    rejects = spark.read.parquet(os.path.join(tmp, "quarantine")).collect()
+    assert {(r.raw, r.reason) for r in rejects} == {("{not json", "malformed"), ("{}", "no route")}
+    assert [r.value for r in spark.read.parquet(os.path.join(tmp, "sensor")).collect()] == [1.5]
